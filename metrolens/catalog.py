@@ -611,7 +611,8 @@ def _hav_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     two = "CAST(2.0 AS DOUBLE)"
     s1 = f"sin((radians({lat2}) - radians({lat1})) / {two})"
     s2 = f"sin((radians({lon2}) - radians({lon1})) / {two})"
-    a = f"least(CAST(1.0 AS DOUBLE), {s1} * {s1} + cos(radians({lat1})) * cos(radians({lat2})) * ({s2} * {s2}))"
+    raw = f"({s1} * {s1} + cos(radians({lat1})) * cos(radians({lat2})) * ({s2} * {s2}))"
+    a = f"(CASE WHEN {raw} > 1.0 THEN CAST(1.0 AS DOUBLE) ELSE {raw} END)"
     return f"(CAST(6371.0 AS DOUBLE) * ({two} * atan2(sqrt({a}), sqrt(CAST(1.0 AS DOUBLE) - {a}))))"
 
 

@@ -27,7 +27,9 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     half_dlon = (F.radians(as_col(lon2)) - F.radians(as_col(lon1))) / 2.0
     s_lat = F.sin(half_dlat)
     s_lon = F.sin(half_dlon)
-    a = F.least(F.lit(1.0), s_lat * s_lat + F.cos(p1) * F.cos(p2) * (s_lon * s_lon))
+    raw = s_lat * s_lat + F.cos(p1) * F.cos(p2) * (s_lon * s_lon)
+    # Not least(): it skips NULLs and would turn a NULL coordinate into a distance.
+    a = F.when(raw > 1.0, F.lit(1.0)).otherwise(raw)
     return F.lit(float(radius_km)) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
 
 

@@ -96,8 +96,11 @@ def _lower_bound_km(lat: Column, lon: Column, ci: Column, cj: Column, cell: floa
     return F.least(F.when(F.isnull(d_lat), inf).otherwise(by_lat), by_lon)
 
 
-def _site_blocks(sites: DataFrame, cell: float) -> DataFrame:
-    """Each site copied to the 9 cells whose block contains it."""
+def _site_blocks(sites: DataFrame, cell: float | None) -> DataFrame:
+    """Each site copied to the 9 cells whose block contains it; with
+    ``cell=None`` (the last level) every site sits in the single cell (0, 0)."""
+    if cell is None:
+        return sites.select(F.lit(0).cast("bigint").alias("ci"), F.lit(0).cast("bigint").alias("cj"), "site", "slat", "slon")
     offsets = F.array(*[F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj")) for di, dj in _NEIGHBOURS])
     return (
         sites.withColumn("o", F.explode(offsets))
@@ -111,21 +114,29 @@ def _site_blocks(sites: DataFrame, cell: float) -> DataFrame:
     )
 
 
-def _score_level(pending: DataFrame, blocks: DataFrame, cell: float, cos_min: float) -> DataFrame:
-    cells = pending.withColumn("ci", F.floor(F.col("lat") / cell)).withColumn("cj", F.floor(F.col("lon") / cell))
+def _score_level(pending: DataFrame, blocks: DataFrame, cell: float | None, cos_min: float) -> DataFrame:
+    if cell is None:
+        cells = pending.withColumn("ci", F.lit(0).cast("bigint")).withColumn("cj", F.lit(0).cast("bigint"))
+    else:
+        cells = pending.withColumn("ci", F.floor(F.col("lat") / cell)).withColumn("cj", F.floor(F.col("lon") / cell))
     cand = cells.join(blocks, ["ci", "cj"], "left")
     km = haversine_km("lat", "lon", "slat", "slon")
     best = cand.groupBy("lat", "lon", "n", "ci", "cj").agg(
         F.min(F.when(F.col("site").isNotNull(), F.struct(km.alias("km"), F.col("site").alias("site")))).alias("b")
     )
-    bound = _lower_bound_km(F.col("lat"), F.col("lon"), F.col("ci"), F.col("cj"), cell, cos_min)
+    if cell is None:
+        # Every site was a candidate: the best one is exact.
+        exact = F.col("b").isNotNull()
+    else:
+        bound = _lower_bound_km(F.col("lat"), F.col("lon"), F.col("ci"), F.col("cj"), cell, cos_min)
+        exact = F.coalesce(F.col("b.km") < bound * (1.0 - _MARGIN), F.lit(False))
     return best.select(
         "lat",
         "lon",
         "n",
         F.col("b.site").alias("site"),
         F.col("b.km").alias("km"),
-        F.coalesce(F.col("b.km") < bound * (1.0 - _MARGIN), F.lit(False)).alias("exact"),
+        exact.alias("exact"),
     )
 
 
@@ -165,17 +176,20 @@ def assign_nearest(
     pending = pts
     settled = []
     while True:
-        blocks = _site_blocks(site_rows, cell)
+        # A block three cells wide that would reach round the globe: finish
+        # with one global cell, where every site is a candidate.
+        level_cell = None if 3 * cell >= 360.0 else cell
+        blocks = _site_blocks(site_rows, level_cell)
         if strategy in ("DEFAULT", "broadcast"):
             blocks = F.broadcast(blocks) if small else blocks
         else:
             blocks = with_strategy(blocks, strategy)
-        level = _score_level(pending, blocks, cell, cos_min).checkpoint(eager=True)
+        level = _score_level(pending, blocks, level_cell, cos_min).checkpoint(eager=True)
         settled.append(level.filter("exact").drop("exact"))
         pending = level.filter(~F.col("exact")).select("lat", "lon", "n")
-        if 3 * cell >= 360.0 or pending.isEmpty():
+        if level_cell is None or pending.isEmpty():
             break
-        cell = min(cell * growth, 360.0)
+        cell *= growth
     out = settled[0]
     for part in settled[1:]:
         out = out.unionByName(part)
