@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+# A separator no text line contains: makes the CSV reader return whole lines.
+_NO_SEP = "\u0001"
+
+
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -77,35 +81,27 @@ def split_fields(
     non-blank line of each file (the header), keep lines with at least
     ``min_fields`` fields, trim every field (an empty field reads as '').
 
-    Runs on the CSV reader with quoting off: a line whose field count differs
-    from ``min_fields`` is flagged in a corrupt-record column, and such a line
-    is kept only when it has *more* fields. Output columns are the fields at
-    positions ``keep`` (default: the first ``min_fields``), named ``names`` or
-    ``f{i}``.
+    Splitting and counting are built-in expressions (``split``/``size``), so
+    the work stays in the JVM and files split across tasks. Output columns
+    are the fields at positions ``keep`` (default: the first ``min_fields``),
+    named ``names`` or ``f{i}``.
     """
     keep = list(keep) if keep is not None else list(range(min_fields))
     if max(keep) >= min_fields:
         raise ValueError("keep positions must be below min_fields")
     names = list(names) if names else [f"f{i}" for i in keep]
-    fields = [StructField(f"_f{i}", StringType()) for i in range(min_fields)]
-    schema = StructType(fields + [StructField("_line", StringType())])
-    raw = (
-        spark.read.schema(schema)
+    # The CSV reader only skips blank lines and each file's header line; with a
+    # separator that never occurs and quoting off, every line is one raw field.
+    lines = (
+        spark.read.schema("line string")
         .option("header", True)
-        .option("enforceSchema", True)
-        .option("sep", sep)
+        .option("sep", _NO_SEP)
         .option("quote", "")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_line")
         .csv(_paths(paths))
     )
-    n_fields = F.size(F.split(F.col("_line"), re.escape(sep), -1))
-    wide_enough = F.col("_line").isNull() | (n_fields >= min_fields)
-    return raw.filter(wide_enough).select(
-        *[
-            F.regexp_replace(F.coalesce(F.col(f"_f{i}"), F.lit("")), r"^\s+|\s+$", "").alias(n)
-            for i, n in zip(keep, names)
-        ]
+    parts = F.split(F.col("line"), re.escape(sep), -1)
+    return lines.filter(F.size(parts) >= min_fields).select(
+        *[F.regexp_replace(F.element_at(parts, i + 1), r"^\s+|\s+$", "").alias(n) for i, n in zip(keep, names)]
     )
 
 
