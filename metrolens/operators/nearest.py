@@ -15,8 +15,8 @@ a window. Here points and sites meet through an equi-join on grid cells:
    spans the globe every site is a candidate, so the loop always ends
    exactly; in practice almost every point is settled at the first level.
 
-Every level is written to the shared checkpoint folder, which cuts lineage
-and makes a level survive executor loss. The site table is broadcast only
+Every level is written as a Parquet table under the shared checkpoint
+folder, which cuts lineage and makes a level survive executor loss. The site table is broadcast only
 after its row count is checked; above the bound the join shuffles.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_km
 from metrolens.operators.joins import JOIN_STRATEGIES, rows_at_most, with_strategy
-from metrolens.session import checkpoint_dir
+from metrolens.session import materialize
 
 UNITS = ("location", "event")
 
@@ -64,11 +64,17 @@ def _site_stats(sites: DataFrame) -> dict:
     return row.asDict()
 
 
+# Base cell edge in units of the mean site spacing. At 2, a 3x3 block holds
+# about 36 sites, and the nearest site of almost every point lies well inside.
+BASE_CELL_SPACINGS = 2.0
+
+
 def _base_cell(stats: dict) -> float:
-    """Cell edge in degrees such that a cell holds about one site on average."""
+    """Cell edge in degrees: BASE_CELL_SPACINGS times the mean site spacing."""
     span_lat = max(stats["lat1"] - stats["lat0"], 1e-3)
     span_lon = max(stats["lon1"] - stats["lon0"], 1e-3)
-    return min(360.0, max(1e-3, math.sqrt(span_lat * span_lon / max(stats["n"], 1))))
+    spacing = math.sqrt(span_lat * span_lon / max(stats["n"], 1))
+    return min(360.0, max(1e-3, BASE_CELL_SPACINGS * spacing))
 
 
 def _lower_bound_km(lat: Column, lon: Column, ci: Column, cj: Column, cell: float, cos_min: float) -> Column:
@@ -161,7 +167,6 @@ def assign_nearest(
     """
     if strategy not in JOIN_STRATEGIES:
         raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
-    checkpoint_dir(points.sparkSession)
     site_rows = sites.select(
         F.col(site_key).alias("site"), F.col(site_lat).cast("double").alias("slat"), F.col(site_lon).cast("double").alias("slon")
     ).filter(F.col("slat").isNotNull() & F.col("slon").isNotNull())
@@ -184,7 +189,7 @@ def assign_nearest(
             blocks = F.broadcast(blocks) if small else blocks
         else:
             blocks = with_strategy(blocks, strategy)
-        level = _score_level(pending, blocks, level_cell, cos_min).checkpoint(eager=True)
+        level = materialize(_score_level(pending, blocks, level_cell, cos_min), "nearest-level")
         settled.append(level.filter("exact").drop("exact"))
         pending = level.filter(~F.col("exact")).select("lat", "lon", "n")
         if level_cell is None or pending.isEmpty():

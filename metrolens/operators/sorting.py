@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metrolens.session import checkpoint_dir
+from metrolens.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
@@ -19,14 +19,13 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos", che
     ``orderBy``, each row gets (partition, index-in-partition) from
     ``monotonically_increasing_id``, per-partition counts (one row per
     partition) become offsets, and a broadcast join of that tiny table adds
-    them. The sorted, tagged data is checkpointed to the shared checkpoint
-    folder first so both uses see the same partitioning. ``order`` should
+    them. The sorted, tagged data is written once under the shared checkpoint
+    folder first, so both uses read the same row tags. ``order`` should
     be total (end with a unique key) for positions to be deterministic.
     """
     tagged = df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id())
     if checkpoint:
-        checkpoint_dir(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
+        tagged = materialize(tagged, "position")
     tagged = tagged.withColumn("__part", F.shiftright(F.col("__mid"), _ROW_BITS))
     counts = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
