@@ -451,11 +451,75 @@ def q_profile(spark, sf_dir):
     return profile(_orders(spark, sf_dir))
 
 
+def _write_incident_csvs(spark, sf_dir) -> list[str]:
+    """Incidents as two CSV files with the source's own column names, split by event id range halves."""
+    base = staging_path(spark, "incidents-csv")
+    inc = incidents(spark, sf_dir).toDF("EVENT ID", "TIME OCC", "Premis Desc", "LAT", "LON")
+    middle = F.lit(_median_event_id(spark, sf_dir))
+    first = inc.filter(F.col("EVENT ID") < middle)
+    second = inc.filter(~(F.col("EVENT ID") < middle) | F.col("EVENT ID").isNull())
+    return [write_csv(first, f"{base}/first"), write_csv(second, f"{base}/second")]
+
+
+def _median_event_id(spark, sf_dir) -> int:
+    # One-row aggregate: the split point between the two incident files.
+    row = read_table(spark, sf_dir, "events", ["event_id"]).agg(
+        F.percentile_approx("event_id", 0.5).alias("m")
+    ).first()
+    return int(row.m or 0)
+
+
+def q_share_by_bucket_csv(spark, sf_dir):
+    """C1 end to end from two CSV files: declared text schema, ANSI-safe cast, union, share."""
+    raw_schema = "`EVENT ID` string, `TIME OCC` string, `Premis Desc` string, LAT string, LON string"
+    parts = [read_csv(spark, p, schema=raw_schema) for p in _write_incident_csvs(spark, sf_dir)]
+    crimes = cast_columns(
+        union_all(parts), {"time_occ": ("TIME OCC", "int"), "premis_desc": ("Premis Desc", None)}
+    )
+    return street_share(crimes)
+
+
+def q_ratio_join_geojson(spark, sf_dir):
+    """C3 end to end: census blocks from GeoJSON, population per ZIP, joined to income."""
+    blocks_path = _write_blocks(spark, sf_dir, "lines")
+    census = group_sum(read_geojson(spark, blocks_path, layout="lines"), ["zipcode"], "population", "total_population")
+    return ratio_join(
+        census, income_lenient(spark, sf_dir), "zipcode", "median_income", "total_population",
+        "per_capita_income_2020_2021", decimals=2,
+    ).orderBy("zipcode")
+
+
+def q_nearest_csv_sites(spark, sf_dir):
+    """C4 with stations from a CSV whose X column is the longitude and Y the latitude."""
+    path = staging_path(spark, "stations-csv")
+    write_csv(sites(spark, sf_dir).select(
+        F.col("division").alias("DIVISION"), F.col("station_lon").alias("X"), F.col("station_lat").alias("Y")
+    ), path)
+    stations = read_csv(spark, path, schema="DIVISION string, X double, Y double")
+    return nearest_join(
+        incidents(spark, sf_dir), stations, "crime_lat", "crime_lon", "DIVISION", "Y", "X", unit="location"
+    ).orderBy(F.col("crime_count").desc(), F.col("division"))
+
+
+def q_union_by_position(spark, sf_dir):
+    early, late = _order_halves(spark, sf_dir, ORDER_COLUMNS)
+    return union_all([early, late], by_position=True)
+
+
 REPORT_STRATEGIES = ["DEFAULT", "broadcast", "merge", "shuffle_hash"]
 
 
 def q_strategy_report(spark, sf_dir):
-    return strategy_report(spark, lambda s: per_capita(spark, sf_dir, s), REPORT_STRATEGIES)
+    census = census_by_zip(spark, sf_dir)
+    income_df = income_lenient(spark, sf_dir)
+
+    def build(strategy):
+        return ratio_join(
+            census, income_df, "zipcode", "median_income", "total_population",
+            "per_capita_income_2020_2021", decimals=2, strategy=strategy,
+        ).orderBy("zipcode")
+
+    return strategy_report(spark, build, REPORT_STRATEGIES, cache=[census, income_df])
 
 
 def q_nearest_strategy_report(spark, sf_dir):
@@ -537,6 +601,10 @@ QUERIES: dict[str, Builder] = {
     "geojson_document": q_geojson_document,
     "geojson_profile": q_geojson_profile,
     "parquet_roundtrip": q_parquet_roundtrip,
+    "share_by_bucket_csv": q_share_by_bucket_csv,
+    "ratio_join_geojson": q_ratio_join_geojson,
+    "nearest_csv_sites": q_nearest_csv_sites,
+    "union_by_position": q_union_by_position,
     "profile": q_profile,
     "strategy_report": q_strategy_report,
     "nearest_strategy_report": q_nearest_strategy_report,
@@ -810,6 +878,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
 }
 ORACLE_SQL["haversine_udf"] = ORACLE_SQL["haversine"]
+ORACLE_SQL["share_by_bucket_csv"] = ORACLE_SQL["share_by_bucket"]
+ORACLE_SQL["ratio_join_geojson"] = ORACLE_SQL["ratio_join"]
+ORACLE_SQL["nearest_csv_sites"] = ORACLE_SQL["nearest_per_location"]
+ORACLE_SQL["union_by_position"] = _ORDERS_SELECT
 
 # Queries whose output is a timing report: checked for rows only.
 REPORTS = ("strategy_report", "nearest_strategy_report", "format_report", "api_report")

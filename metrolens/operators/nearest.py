@@ -6,7 +6,11 @@ a window. Here points and sites meet through an equi-join on grid cells:
 1. Points are reduced to distinct coordinates with their multiplicity
    (partial aggregation, so one hot coordinate costs one row per task).
 2. Each site is copied to the 3x3 block of cells around its own cell; a
-   point joins the sites of its block on (cell_lat, cell_lon).
+   point joins the sites of its block on (cell_lat, cell_lon). When the site
+   table is small (row count checked) the copies are grouped into one
+   candidate list per cell and broadcast, so each point meets one list and
+   ``array_min`` picks the best without any aggregation or sort; otherwise
+   points join candidate rows and a per-point aggregate picks it.
 3. For every point the best candidate (least km, then least site key) is
    kept, and a *lower bound* on the distance to any site outside the block is
    computed from the block edges. A point whose best candidate is strictly
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_km
 from metrolens.operators.joins import JOIN_STRATEGIES, rows_at_most, with_strategy
-from metrolens.session import materialize
+from metrolens.session import materialize_observed
 
 UNITS = ("location", "event")
 
@@ -120,16 +124,44 @@ def _site_blocks(sites: DataFrame, cell: float | None) -> DataFrame:
     )
 
 
-def _score_level(pending: DataFrame, blocks: DataFrame, cell: float | None, cos_min: float) -> DataFrame:
+def _site_lists(sites: DataFrame, cell: float | None) -> DataFrame:
+    """One row per cell: the sites of the 3x3 block around it, as an array.
+
+    Only for a site table whose row count was checked: a list holds at most
+    every site."""
+    return _site_blocks(sites, cell).groupBy("ci", "cj").agg(
+        F.collect_list(F.struct("site", "slat", "slon")).alias("cands")
+    )
+
+
+def _cells(pending: DataFrame, cell: float | None) -> DataFrame:
     if cell is None:
-        cells = pending.withColumn("ci", F.lit(0).cast("bigint")).withColumn("cj", F.lit(0).cast("bigint"))
-    else:
-        cells = pending.withColumn("ci", F.floor(F.col("lat") / cell)).withColumn("cj", F.floor(F.col("lon") / cell))
-    cand = cells.join(blocks, ["ci", "cj"], "left")
+        return pending.withColumn("ci", F.lit(0).cast("bigint")).withColumn("cj", F.lit(0).cast("bigint"))
+    return pending.withColumn("ci", F.floor(F.col("lat") / cell)).withColumn("cj", F.floor(F.col("lon") / cell))
+
+
+def _best_from_lists(cells: DataFrame, lists: DataFrame) -> DataFrame:
+    """Each point meets its cell's candidate list (one row per point, no
+    aggregation): the best candidate is the least (km, site) struct."""
+    scored = F.transform(
+        "cands",
+        lambda s: F.struct(haversine_km("lat", "lon", s["slat"], s["slon"]).alias("km"), s["site"].alias("site")),
+    )
+    return cells.join(lists, ["ci", "cj"], "left").select("lat", "lon", "n", "ci", "cj", F.array_min(scored).alias("b"))
+
+
+def _best_from_rows(cells: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each point meets every candidate site as a row; the least (km, site)
+    per point is an aggregate over rows already partitioned by point."""
     km = haversine_km("lat", "lon", "slat", "slon")
-    best = cand.groupBy("lat", "lon", "n", "ci", "cj").agg(
-        F.min(F.when(F.col("site").isNotNull(), F.struct(km.alias("km"), F.col("site").alias("site")))).alias("b")
+    return (
+        cells.join(blocks, ["ci", "cj"], "left")
+        .groupBy("lat", "lon", "n", "ci", "cj")
+        .agg(F.min(F.when(F.col("site").isNotNull(), F.struct(km.alias("km"), F.col("site").alias("site")))).alias("b"))
     )
+
+
+def _settle(best: DataFrame, cell: float | None, cos_min: float) -> DataFrame:
     if cell is None:
         # Every site was a candidate: the best one is exact.
         exact = F.col("b").isNotNull()
@@ -184,15 +216,20 @@ def assign_nearest(
         # A block three cells wide that would reach round the globe: finish
         # with one global cell, where every site is a candidate.
         level_cell = None if 3 * cell >= 360.0 else cell
-        blocks = _site_blocks(site_rows, level_cell)
-        if strategy in ("DEFAULT", "broadcast"):
-            blocks = F.broadcast(blocks) if small else blocks
+        cells = _cells(pending, level_cell)
+        if small:
+            lists = _site_lists(site_rows, level_cell)
+            lists = F.broadcast(lists) if strategy in ("DEFAULT", "broadcast") else lists.hint(strategy)
+            best = _best_from_lists(cells, lists)
         else:
-            blocks = with_strategy(blocks, strategy)
-        level = materialize(_score_level(pending, blocks, level_cell, cos_min), "nearest-level")
+            blocks = _site_blocks(site_rows, level_cell)
+            best = _best_from_rows(cells, blocks if strategy in ("DEFAULT", "broadcast") else blocks.hint(strategy))
+        level, seen = materialize_observed(
+            _settle(best, level_cell, cos_min), "nearest-level", {"unsettled": F.count_if(~F.col("exact"))}
+        )
         settled.append(level.filter("exact").drop("exact"))
         pending = level.filter(~F.col("exact")).select("lat", "lon", "n")
-        if level_cell is None or pending.isEmpty():
+        if level_cell is None or not seen["unsettled"]:
             break
         cell *= growth
     out = settled[0]

@@ -12,6 +12,7 @@ import statistics
 import time
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from metrolens.plans.explain import executed_join_nodes
@@ -44,13 +45,26 @@ def strategy_report(
     strategies: Sequence[str],
     repeats: int = 1,
     warmup: bool = True,
+    cache: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """DataFrame(strategy, join_node, rows, seconds) for ``build(strategy)``."""
-    out = []
-    for strategy in strategies:
-        df, rows, seconds = _measure(lambda s=strategy: build(s), repeats, warmup)
-        nodes = executed_join_nodes(df)
-        out.append((strategy, ",".join(nodes) if nodes else None, rows, float(seconds)))
+    """DataFrame(strategy, join_node, rows, seconds) for ``build(strategy)``.
+
+    DataFrames in ``cache`` (the join inputs) are persisted and counted
+    before timing, so every strategy starts from the same cached inputs, and
+    unpersisted afterwards.
+    """
+    for df in cache:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+        df.count()
+    try:
+        out = []
+        for strategy in strategies:
+            df, rows, seconds = _measure(lambda s=strategy: build(s), repeats, warmup)
+            nodes = executed_join_nodes(df)
+            out.append((strategy, ",".join(nodes) if nodes else None, rows, float(seconds)))
+    finally:
+        for df in cache:
+            df.unpersist()
     return spark.createDataFrame(out, "strategy string, join_node string, rows bigint, seconds double")
 
 

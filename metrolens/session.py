@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every metrolens job expects. Callers may override any of them.
 DEFAULT_CONF = {
@@ -67,7 +67,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     plan computes it twice: once for the action, once for the write), and the
     files survive the loss of any executor.
     """
+    return materialize_observed(df, name, {})[0]
+
+
+def materialize_observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """:func:`materialize`, also returning aggregate ``metrics`` (name ->
+    aggregate expression) computed during the same write job."""
     spark = df.sparkSession
     path = staging_path(spark, name)
+    observation = None
+    if metrics:
+        observation = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = df.observe(observation, *[expr.alias(key) for key, expr in metrics.items()])
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), (observation.get if observation else {})

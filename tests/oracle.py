@@ -28,11 +28,14 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if EXACT else round(v, 9)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v

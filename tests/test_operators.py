@@ -135,3 +135,17 @@ def test_nearest_matches_brute_force(spark, seed, n_sites, region):
     for key, (km, site) in want.items():
         assert got[key][1] == site, key
         assert got[key][0] == pytest.approx(km, abs=1e-6)
+
+
+@pytest.mark.parametrize("strategy", ["DEFAULT", "merge", "shuffle_hash"])
+def test_nearest_large_site_path_matches_brute_force(spark, strategy):
+    # max_broadcast_sites=0 forces the path for site tables too large to broadcast.
+    rng = random.Random(11)
+    sites = [(f"S{i:02d}", round(rng.uniform(-60, 60), 3), round(rng.uniform(-180, 179.9), 3)) for i in range(30)]
+    points = [(round(rng.uniform(-70, 70), 3), round(rng.uniform(-180, 179.9), 3)) for _ in range(300)]
+    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+    pdf = spark.createDataFrame(points, "lat double, lon double")
+    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", strategy=strategy, max_broadcast_sites=0)
+    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
+    want = _brute(points, sites)
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
