@@ -60,3 +60,11 @@ def test_rejected_strategy(spark):
     a = spark.range(3)
     with pytest.raises(ValueError):
         hinted_join(a, a, "id", strategy="shuffle_replicate_nl")
+
+
+def test_partitioned_parquet_prunes_partitions(spark):
+    from pyspark.sql import functions as F
+
+    df = QUERIES["parquet_roundtrip"](spark, SF).filter(F.col("o_orderstatus") == "F")
+    plan = plan_text(df)
+    assert "PartitionFilters: [isnotnull(o_orderstatus" in plan and "(o_orderstatus" in plan
