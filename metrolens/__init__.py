@@ -6,4 +6,13 @@ Every public operator takes and returns a ``pyspark.sql.DataFrame`` (or a
 ``metrolens.plans``.
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package that run inside Python workers (the Arrow UDF
+# twins, the GeoJSON writer) are pickled by value, so executors need no copy
+# of the package on their path.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
