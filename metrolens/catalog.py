@@ -136,8 +136,8 @@ def street_share_sql(spark: SparkSession, df: DataFrame) -> DataFrame:
     )
 
 
-def month_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    year, month = date_parts("date_rptd")
+def month_parts(spark: SparkSession, sf_dir: str, mode: str = "slice") -> DataFrame:
+    year, month = date_parts("date_rptd", mode=mode)
     return orders_text(spark, sf_dir).select("o_orderkey", year.alias("year"), month.alias("month"))
 
 
@@ -297,6 +297,10 @@ def q_date_parts(spark, sf_dir):
     return month_parts(spark, sf_dir)
 
 
+def q_date_parts_parsed(spark, sf_dir):
+    return month_parts(spark, sf_dir, "parse")
+
+
 def q_topk_rank(spark, sf_dir):
     return top_months(spark, sf_dir, "rank")
 
@@ -573,6 +577,7 @@ QUERIES: dict[str, Builder] = {
     "group_sum": q_group_sum,
     "group_avg": q_group_avg,
     "date_parts": q_date_parts,
+    "date_parts_parsed": q_date_parts_parsed,
     "topk_rank": q_topk_rank,
     "topk_row_number": q_topk_row_number,
     "sql_topk": q_sql_topk,
@@ -878,6 +883,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
 }
 ORACLE_SQL["haversine_udf"] = ORACLE_SQL["haversine"]
+ORACLE_SQL["date_parts_parsed"] = _sql(
+    "SELECT o_orderkey, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month "
+    "FROM (SELECT o_orderkey, try_strptime(date_rptd, '%Y %b %d %I:%M:%S %p') AS ts FROM orders_text)"
+)
 ORACLE_SQL["share_by_bucket_csv"] = ORACLE_SQL["share_by_bucket"]
 ORACLE_SQL["ratio_join_geojson"] = ORACLE_SQL["ratio_join"]
 ORACLE_SQL["nearest_csv_sites"] = ORACLE_SQL["nearest_per_location"]

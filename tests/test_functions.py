@@ -97,3 +97,15 @@ def test_haversine_values(spark):
     assert rows[3].km is None and rows[3].km_udf is None
     for r in rows[:3]:
         assert r.km_udf == pytest.approx(r.km, abs=1e-9)
+
+
+def test_date_parts_parse_mode(spark):
+    df = spark.createDataFrame(
+        [("2010 Feb 20 12:00:00 AM",), ("2010 FEB 20 12:00:00 AM",), ("2010 Feb 30 12:00:00 AM",), ("02/20/2010",)],
+        "d string",
+    )
+    y, m = date_parts("d", mode="parse")
+    got = [(r.y, r.m) for r in df.select(y.alias("y"), m.alias("m")).collect()]
+    assert got == [(2010, 2), (2010, 2), (None, None), (None, None)]
+    y, m = date_parts("d")
+    assert [(r.y, r.m) for r in df.select(y.alias("y"), m.alias("m")).collect()][2] == (2010, 2)
