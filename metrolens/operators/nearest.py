@@ -56,29 +56,36 @@ def distinct_points(points: DataFrame, lat: str, lon: str, weight: str = "n") ->
     )
 
 
+# Candidate cell edges in degrees: 0.001 * 2^k, from about 100 m to beyond the globe.
+_CELL_LADDER = tuple(0.001 * 2**k for k in range(19))
+
+# Most sites a base cell may hold. A 3x3 block then offers at most 9x this
+# many candidates, even where a third of all sites crowd into one spot.
+MAX_SITES_PER_CELL = 16
+
+
 def _site_stats(sites: DataFrame) -> dict:
-    row = sites.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("slat").alias("lat0"),
-        F.max("slat").alias("lat1"),
-        F.min("slon").alias("lon0"),
-        F.max("slon").alias("lon1"),
-        F.max(F.abs("slat")).alias("abslat"),
-    ).first()
-    return row.asDict()
-
-
-# Base cell edge in units of the mean site spacing. At 2, a 3x3 block holds
-# about 36 sites, and the nearest site of almost every point lies well inside.
-BASE_CELL_SPACINGS = 2.0
-
-
-def _base_cell(stats: dict) -> float:
-    """Cell edge in degrees: BASE_CELL_SPACINGS times the mean site spacing."""
-    span_lat = max(stats["lat1"] - stats["lat0"], 1e-3)
-    span_lon = max(stats["lon1"] - stats["lon0"], 1e-3)
-    spacing = math.sqrt(span_lat * span_lon / max(stats["n"], 1))
-    return min(360.0, max(1e-3, BASE_CELL_SPACINGS * spacing))
+    """Site count, largest |latitude|, and the fullest cell at every ladder size (one small job)."""
+    sizes = F.array(*[F.lit(g) for g in _CELL_LADDER])
+    per_cell = (
+        sites.select(F.posexplode(sizes).alias("k", "g"), "slat", "slon")
+        .groupBy("k", F.floor(F.col("slat") / F.col("g")).alias("ci"), F.floor(F.col("slon") / F.col("g")).alias("cj"))
+        .agg(F.count(F.lit(1)).alias("sites"), F.max(F.abs("slat")).alias("abslat"))
+    )
+    # One row per ladder size: at most len(_CELL_LADDER) rows reach the driver.
+    rows = per_cell.groupBy("k").agg(
+        F.max("sites").alias("peak"), F.sum("sites").alias("n"), F.max("abslat").alias("abslat")
+    ).collect()
+    if not rows:
+        return {"n": 0}
+    peaks = {r.k: r.peak for r in rows}
+    return {"n": rows[0].n, "abslat": max(r.abslat for r in rows), "peaks": peaks}
+
+
+def _base_cell(stats: dict, max_per_cell: int = MAX_SITES_PER_CELL) -> float:
+    """The coarsest ladder size whose fullest cell holds at most ``max_per_cell`` sites."""
+    fitting = [_CELL_LADDER[k] for k, peak in stats["peaks"].items() if peak <= max_per_cell]
+    return max(fitting) if fitting else _CELL_LADDER[0]
 
 
 def _lower_bound_km(lat: Column, lon: Column, ci: Column, cj: Column, cell: float, cos_min: float) -> Column:

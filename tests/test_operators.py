@@ -149,3 +149,24 @@ def test_nearest_large_site_path_matches_brute_force(spark, strategy):
     got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
     want = _brute(points, sites)
     assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+
+
+def test_nearest_with_clustered_sites(spark):
+    # A third of the sites crowd into one block: the base cell must shrink so
+    # no cell holds more than MAX_SITES_PER_CELL, and results stay exact.
+    from metrolens.operators.nearest import MAX_SITES_PER_CELL, _base_cell, _site_stats
+
+    rng = random.Random(21)
+    crowd = [(f"C{i:03d}", round(34.05 + rng.uniform(0, 0.002), 5), round(-118.25 + rng.uniform(0, 0.002), 5)) for i in range(40)]
+    spread = [(f"S{i:03d}", round(rng.uniform(20, 50), 3), round(rng.uniform(-125, -70), 3)) for i in range(80)]
+    sites = crowd + spread
+    points = [(round(34.05 + rng.uniform(-0.01, 0.01), 5), round(-118.25 + rng.uniform(-0.01, 0.01), 5)) for _ in range(150)]
+    points += [(round(rng.uniform(20, 50), 3), round(rng.uniform(-125, -70), 3)) for _ in range(150)]
+    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+    stats = _site_stats(sdf)
+    cell = _base_cell(stats)
+    assert stats["peaks"][[k for k in stats["peaks"]][0]] >= 1
+    assert max(p for k, p in stats["peaks"].items() if abs(0.001 * 2**k - cell) < 1e-12) <= MAX_SITES_PER_CELL
+    pdf = spark.createDataFrame(points, "lat double, lon double")
+    got = {(r.lat, r.lon): r.site for r in assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon").collect()}
+    assert got == {k: v[1] for k, v in _brute(points, sites).items()}
