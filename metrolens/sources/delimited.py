@@ -23,6 +23,15 @@ def trim_header_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+def normalize_column_names(df: DataFrame) -> DataFrame:
+    """Lower-case names with runs of spaces and punctuation turned into '_'
+    ('TIME OCC' -> 'time_occ', 'Premis Desc' -> 'premis_desc')."""
+    def clean(name: str) -> str:
+        return re.sub(r"[^0-9a-zA-Z]+", "_", name.strip()).strip("_").lower()
+
+    return df.toDF(*[clean(c) for c in df.columns])
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from metrolens.operators.setops import union_all
-from metrolens.sources.delimited import read_csv
+from metrolens.sources.delimited import normalize_column_names, read_csv
 
 
 def to_parquet(
@@ -38,9 +38,15 @@ def convert_csv_to_parquet(
     schema: StructType | str,
     out_path: str,
     partition_by: Sequence[str] | None = None,
+    normalize_names: bool = False,
 ) -> DataFrame:
     """Read several CSV files under one schema, union them by name, write Parquet,
-    and return the Parquet read of the result (lazy)."""
+    and return the Parquet read of the result (lazy).
+
+    ``normalize_names`` rewrites names such as 'TIME OCC' to 'time_occ' first
+    (``partition_by`` then refers to the rewritten names)."""
     union = union_all([read_csv(spark, p, schema=schema) for p in csv_paths])
+    if normalize_names:
+        union = normalize_column_names(union)
     to_parquet(union, out_path, partition_by)
     return spark.read.parquet(out_path)

@@ -68,3 +68,15 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (None, "y")], "a int, b string")
     got = {r.column_name: (r.data_type, r.row_count, r.null_count) for r in profile(df).collect()}
     assert got == {"a": ("int", 3, 1), "b": ("string", 3, 1)}
+
+
+def test_convert_csv_to_parquet_normalizes_names(spark):
+    from metrolens.sources.parquet import convert_csv_to_parquet
+
+    base = _local(spark, "convert-fixture")
+    a = _write(base + "/a", "a.csv", "DR_NO,TIME OCC,Premis Desc\n1,0830,STREET\n")
+    b = _write(base + "/b", "b.csv", "DR_NO,TIME OCC,Premis Desc\n2,1200,HOUSE\n")
+    schema = "`DR_NO` bigint, `TIME OCC` string, `Premis Desc` string"
+    out = convert_csv_to_parquet(spark, [a, b], schema, staging_path(spark, "converted"), ["premis_desc"], True)
+    assert sorted(out.columns) == ["dr_no", "premis_desc", "time_occ"]
+    assert sorted((r.dr_no, r.time_occ, r.premis_desc) for r in out.collect()) == [(1, "0830", "STREET"), (2, "1200", "HOUSE")]
