@@ -81,3 +81,31 @@ def materialize_observed(df: DataFrame, name: str, metrics: dict[str, Column]) -
         df = df.observe(observation, *[expr.alias(key) for key, expr in metrics.items()])
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path), (observation.get if observation else {})
+
+
+def cluster_conf(
+    shuffle_bytes: float,
+    total_cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    max_shuffle_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Settings that keep shuffle and scan partitions near ``target_partition_bytes``.
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle (after
+    column pruning and partial aggregation, usually far below the input
+    size). The initial partition count is an upper bound that AQE coalesces
+    down at run time; it is capped because the driver tracks map x reduce
+    statuses. Skewed partitions above 4x the median and 1 GiB are split.
+    """
+    partitions = int(min(max_shuffle_partitions, max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    }

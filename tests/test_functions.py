@@ -109,3 +109,12 @@ def test_date_parts_parse_mode(spark):
     assert got == [(2010, 2), (2010, 2), (None, None), (None, None)]
     y, m = date_parts("d")
     assert [(r.y, r.m) for r in df.select(y.alias("y"), m.alias("m")).collect()][2] == (2010, 2)
+
+
+def test_cluster_conf_sizes_partitions():
+    from metrolens.session import cluster_conf
+
+    conf = cluster_conf(shuffle_bytes=20e12, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 74506
+    assert int(cluster_conf(1e6, 16)["spark.sql.shuffle.partitions"]) == 32
+    assert int(cluster_conf(1e18, 16)["spark.sql.shuffle.partitions"]) == 100_000
