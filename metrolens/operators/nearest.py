@@ -46,11 +46,15 @@ _MARGIN = 1e-9
 _NEIGHBOURS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
 
+def _usable(lat: str, lon: str) -> Column:
+    return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
+
+
 def distinct_points(points: DataFrame, lat: str, lon: str, weight: str = "n") -> DataFrame:
-    """Distinct non-NULL coordinates with their number of rows."""
+    """Distinct coordinates (neither NULL nor NaN) with their number of rows."""
     return (
-        points.select(F.col(lat).alias("lat"), F.col(lon).alias("lon"))
-        .filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        points.select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
+        .filter(_usable("lat", "lon"))
         .groupBy("lat", "lon")
         .agg(F.count(F.lit(1)).alias(weight))
     )
@@ -201,14 +205,14 @@ def assign_nearest(
     """Distinct point -> (lat, lon, n, site, km) with the exact nearest site.
 
     Ties in distance go to the smallest site key. Points or sites with a NULL
-    coordinate take no part. Runs one small job on the sites and one
+    or NaN coordinate take no part. Runs one small job on the sites and one
     checkpointed job per grid level.
     """
     if strategy not in JOIN_STRATEGIES:
         raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
     site_rows = sites.select(
         F.col(site_key).alias("site"), F.col(site_lat).cast("double").alias("slat"), F.col(site_lon).cast("double").alias("slon")
-    ).filter(F.col("slat").isNotNull() & F.col("slon").isNotNull())
+    ).filter(_usable("slat", "slon"))
     pts = distinct_points(points, point_lat, point_lon)
     stats = _site_stats(site_rows)
     if not stats["n"]:

@@ -86,7 +86,7 @@ def test_with_position_and_limit(spark):
 def test_nearest_fixture(spark):
     sites = spark.createDataFrame([("A", 0.0, -5.0), ("B", 0.0, 5.0)], "division string, lat double, lon double")
     pts = spark.createDataFrame(
-        [(0.0, -4.0)] * 3 + [(0.0, 4.0), (0.0, 0.0), (None, 1.0)], "lat double, lon double"
+        [(0.0, -4.0)] * 3 + [(0.0, 4.0), (0.0, 0.0), (None, 1.0), (float("nan"), 1.0)], "lat double, lon double"
     )
     loc = {r.division: r.crime_count for r in nearest_join(pts, sites, "lat", "lon", "division", "lat", "lon", "location").collect()}
     evt = {r.division: r.crime_count for r in nearest_join(pts, sites, "lat", "lon", "division", "lat", "lon", "event").collect()}
