@@ -80,3 +80,30 @@ def test_convert_csv_to_parquet_normalizes_names(spark):
     out = convert_csv_to_parquet(spark, [a, b], schema, staging_path(spark, "converted"), ["premis_desc"], True)
     assert sorted(out.columns) == ["dr_no", "premis_desc", "time_occ"]
     assert sorted((r.dr_no, r.time_occ, r.premis_desc) for r in out.collect()) == [(1, "0830", "STREET"), (2, "1200", "HOUSE")]
+
+
+def test_geojson_profile_mixed_types(spark):
+    from metrolens.sources import profile_geojson
+
+    base = _local(spark, "profile-fixture")
+    lines = '{"type": "FeatureCollection", "features": [\n' + ",\n".join(json.dumps(f) for f in FEATURES) + "\n]}\n"
+    path = _write(base, "a.geojson", lines)
+    got = {(r.kind, r.name, r.value_type): r.features for r in profile_geojson(spark, path, layout="lines").collect()}
+    assert got[("feature_type", "Feature", None)] == 8
+    assert got[("geometry_type", "Polygon", None)] == 8
+    # ZCTA20: strings in features 1, 3, 4, 7, 8; a number in 2; null in 5; absent in 6.
+    assert got[("property", "ZCTA20", "STRING")] == 5
+    assert got[("property", "ZCTA20", "BIGINT")] == 1
+    assert got[("property", "ZCTA20", "VOID")] == 1
+    # POP20: numbers in 1, 3, 4, 5, 6; a string in 2; null in 7; absent in 8.
+    assert got[("property", "POP20", "BIGINT")] == 5
+    assert got[("property", "POP20", "STRING")] == 1
+    assert got[("property", "POP20", "VOID")] == 1
+
+
+def test_split_fields_skips_each_files_header(spark):
+    base = _local(spark, "split-multi")
+    a = _write(base, "a.csv", "Zip;Name;Income\n90001;A;$1\n")
+    b = _write(base, "b.csv", "\nZip;Name;Income\n90002;B;$2\n")
+    got = sorted(tuple(r) for r in split_fields(spark, [a, b], ";", 3, keep=[0, 2]).collect())
+    assert got == [("90001", "$1"), ("90002", "$2")]
