@@ -477,7 +477,8 @@ def q_profile(spark, sf_dir):
 
 
 def _write_incident_csvs(spark, sf_dir) -> list[str]:
-    """Incidents as two CSV files with the source's own column names, split by event id range halves."""
+    """Incidents as two CSV files with the source's own column names (spaces included),
+    split at the median event id, like the source's two reporting periods. Every row is kept."""
     base = staging_path(spark, "incidents-csv")
     inc = incidents(spark, sf_dir).toDF("EVENT ID", "TIME OCC", "Premis Desc", "LAT", "LON")
     middle = F.lit(_median_event_id(spark, sf_dir))
