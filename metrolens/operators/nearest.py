@@ -10,7 +10,8 @@ a window. Here points and sites meet through an equi-join on grid cells:
    table is small (row count checked) the copies are grouped into one
    candidate list per cell and broadcast, so each point meets one list and
    ``array_min`` picks the best without any aggregation or sort; otherwise
-   points join candidate rows and a per-point aggregate picks it.
+   points join candidate rows on (cell, salt), so a crowded cell is spread
+   over many tasks, and a per-point aggregate picks it.
 3. For every point the best candidate (least km, then least site key) is
    kept, and a *lower bound* on the distance to any site outside the block is
    computed from the block edges. A point whose best candidate is strictly
@@ -40,6 +41,10 @@ UNITS = ("location", "event")
 # Broadcast bound: 9 copies of each site are broadcast per level.
 MAX_BROADCAST_SITES = 100_000
 
+# Salt values per cell when points and candidate rows meet through a shuffle
+# (site table above the broadcast bound).
+SALT_BUCKETS = 16
+
 # Relative safety margin between a candidate distance and the bound.
 _MARGIN = 1e-9
 
@@ -161,13 +166,21 @@ def _best_from_lists(cells: DataFrame, lists: DataFrame) -> DataFrame:
     return cells.join(lists, ["ci", "cj"], "left").select("lat", "lon", "n", "ci", "cj", F.array_min(scored).alias("b"))
 
 
-def _best_from_rows(cells: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Each point meets every candidate site as a row; the least (km, site)
-    per point is an aggregate over rows already partitioned by point."""
+def _best_from_rows(cells: DataFrame, blocks: DataFrame, salt_buckets: int) -> DataFrame:
+    """Each point meets every candidate site as a row, joined on (cell, salt);
+    the least (km, site) per point is an aggregate over rows already
+    partitioned by that key (no further shuffle).
+
+    The salt (a hash of the coordinate) spreads a cell that holds a large
+    share of all points over ``salt_buckets`` tasks; every site copy is
+    repeated once per salt value so each point still sees all its candidates.
+    """
+    salted_cells = cells.withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), F.lit(salt_buckets)))
+    salted_blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
     km = haversine_km("lat", "lon", "slat", "slon")
     return (
-        cells.join(blocks, ["ci", "cj"], "left")
-        .groupBy("lat", "lon", "n", "ci", "cj")
+        salted_cells.join(salted_blocks, ["ci", "cj", "salt"], "left")
+        .groupBy("lat", "lon", "n", "ci", "cj", "salt")
         .agg(F.min(F.when(F.col("site").isNotNull(), F.struct(km.alias("km"), F.col("site").alias("site")))).alias("b"))
     )
 
@@ -201,6 +214,7 @@ def assign_nearest(
     growth: float = 4.0,
     strategy: str = "DEFAULT",
     max_broadcast_sites: int = MAX_BROADCAST_SITES,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Distinct point -> (lat, lon, n, site, km) with the exact nearest site.
 
@@ -234,7 +248,8 @@ def assign_nearest(
             best = _best_from_lists(cells, lists)
         else:
             blocks = _site_blocks(site_rows, level_cell)
-            best = _best_from_rows(cells, blocks if strategy in ("DEFAULT", "broadcast") else blocks.hint(strategy))
+            blocks = blocks if strategy in ("DEFAULT", "broadcast") else blocks.hint(strategy)
+            best = _best_from_rows(cells, blocks, salt_buckets)
         level, seen = materialize_observed(
             _settle(best, level_cell, cos_min), "nearest-level", {"unsettled": F.count_if(~F.col("exact"))}
         )
