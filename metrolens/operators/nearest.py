@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_km
-from metrolens.operators.joins import JOIN_STRATEGIES, rows_at_most, with_strategy
+from metrolens.operators.joins import JOIN_STRATEGIES, rows_at_most
 from metrolens.session import materialize_observed
 
 UNITS = ("location", "event")
