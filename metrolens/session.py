@@ -42,8 +42,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is the folder named by ``spark.checkpoint.dir``. Only
     when the session has none (local tests) is a private folder created.
+    A session without a SparkContext (Spark Connect) uses the conf value.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
