@@ -39,3 +39,19 @@ def test_entry(spark):
     assert df.count() > 0
     assert set(entry_mod.queries()) == set(QUERIES)
     assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+
+
+@pytest.mark.parametrize(
+    "key,key_fn",
+    [
+        ("share_by_bucket", lambda r: (-r.street_pct, r.time_of_day)),
+        ("topk_rank", lambda r: (r.year, -r.crime_total, r.ranking, r.month)),
+        ("sql_topk", lambda r: (r.year, -r.crime_total, r.ranking)),
+        ("ratio_join", lambda r: r.zipcode),
+        ("nearest_per_event", lambda r: (-r.crime_count, r.division)),
+        ("limit_n", lambda r: (-r.o_totalprice, r.o_orderkey)),
+    ],
+)
+def test_results_come_back_in_stated_order(spark, key, key_fn):
+    rows = QUERIES[key](spark, SF).collect()
+    assert rows == sorted(rows, key=key_fn)
