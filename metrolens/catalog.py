@@ -192,7 +192,9 @@ def per_capita(spark: SparkSession, sf_dir: str, strategy: str = "DEFAULT") -> D
     ).orderBy("zipcode")
 
 
-def nearest_division(spark: SparkSession, sf_dir: str, unit: str = "location", strategy: str = "DEFAULT") -> DataFrame:
+def nearest_division(
+    spark: SparkSession, sf_dir: str, unit: str = "location", strategy: str = "DEFAULT", trace: list | None = None
+) -> DataFrame:
     """C4: each incident point to its nearest station; count and mean km per division."""
     return nearest_join(
         incidents(spark, sf_dir),
@@ -204,6 +206,7 @@ def nearest_division(spark: SparkSession, sf_dir: str, unit: str = "location", s
         "station_lon",
         unit=unit,
         strategy=strategy,
+        trace=trace,
     ).orderBy(F.col("crime_count").desc(), F.col("division"))
 
 
@@ -549,7 +552,12 @@ def q_strategy_report(spark, sf_dir):
 
 
 def q_nearest_strategy_report(spark, sf_dir):
-    return strategy_report(spark, lambda s: nearest_division(spark, sf_dir, "location", s), REPORT_STRATEGIES)
+    def build(strategy):
+        trace: list = []
+        df = nearest_division(spark, sf_dir, "location", strategy, trace)
+        return df, [node for level in trace for node in level["join"]]
+
+    return strategy_report(spark, build, REPORT_STRATEGIES)
 
 
 def _write_incident_sources(spark, sf_dir) -> tuple[str, str]:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_km
 from metrolens.operators.joins import JOIN_STRATEGIES, rows_at_most
+from metrolens.plans.explain import executed_join_nodes
 from metrolens.session import materialize_observed
 
 UNITS = ("location", "event")
@@ -215,9 +216,13 @@ def assign_nearest(
     strategy: str = "DEFAULT",
     max_broadcast_sites: int = MAX_BROADCAST_SITES,
     salt_buckets: int = SALT_BUCKETS,
+    trace: list | None = None,
 ) -> DataFrame:
     """Distinct point -> (lat, lon, n, site, km) with the exact nearest site.
 
+    ``trace``, when given, receives one dict per grid level: cell size, the
+    join operator of the level's plan and the number of unsettled points.
+
     Ties in distance go to the smallest site key. Points or sites with a NULL
     or NaN coordinate take no part. Runs one small job on the sites and one
     checkpointed job per grid level.
@@ -250,9 +255,12 @@ def assign_nearest(
             blocks = _site_blocks(site_rows, level_cell)
             blocks = blocks if strategy in ("DEFAULT", "broadcast") else blocks.hint(strategy)
             best = _best_from_rows(cells, blocks, salt_buckets)
-        level, seen = materialize_observed(
-            _settle(best, level_cell, cos_min), "nearest-level", {"unsettled": F.count_if(~F.col("exact"))}
-        )
+        scored = _settle(best, level_cell, cos_min)
+        level, seen = materialize_observed(scored, "nearest-level", {"unsettled": F.count_if(~F.col("exact"))})
+        if trace is not None:
+            # The level's join carries an explicit broadcast or hint, so the
+            # operator in its plan is the one that ran.
+            trace.append({"cell_deg": level_cell, "join": executed_join_nodes(scored), "unsettled": seen["unsettled"]})
         settled.append(level.filter("exact").drop("exact"))
         pending = level.filter(~F.col("exact")).select("lat", "lon", "n")
         if level_cell is None or not seen["unsettled"]:

@@ -18,25 +18,28 @@ from pyspark.sql import DataFrame, SparkSession
 from metrolens.plans.explain import executed_join_nodes
 
 
-def time_action(build: Callable[[], DataFrame]) -> tuple[DataFrame, int, float]:
-    """Build the query and run it to completion; returns (df, rows, seconds).
-
-    The action is ``collect`` on the query's own plan, so the plan can be
-    read afterwards; reports are meant for bounded result tables (one row
-    per ZIP, per division, per time band).
+def time_action(build: Callable[[], DataFrame | tuple[DataFrame, list[str]]]) -> tuple[DataFrame, int, float, list[str]]:
+    """Build the query and run it to completion; returns (df, rows, seconds, joins).
+
+    ``build`` may return ``(df, joins)`` where ``joins`` names join operators
+    that ran in earlier jobs of the query (e.g. materialised levels). The
+    action is ``collect`` on the query's own plan, so the plan can be read
+    afterwards; reports are meant for bounded result tables (one row per ZIP,
+    per division, per time band).
     """
     start = time.perf_counter()
-    df = build()
+    built = build()
+    df, joins = built if isinstance(built, tuple) else (built, [])
     rows = len(df.collect())
-    return df, rows, time.perf_counter() - start
+    return df, rows, time.perf_counter() - start, list(joins)
 
 
-def _measure(build: Callable[[], DataFrame], repeats: int, warmup: bool) -> tuple[DataFrame, int, float]:
+def _measure(build: Callable, repeats: int, warmup: bool) -> tuple[DataFrame, int, float, list[str]]:
     if warmup:
         time_action(build)
     runs = [time_action(build) for _ in range(max(1, repeats))]
-    df, rows, _ = runs[-1]
-    return df, rows, statistics.median(r[2] for r in runs)
+    df, rows, _, joins = runs[-1]
+    return df, rows, statistics.median(r[2] for r in runs), joins
 
 
 def strategy_report(
@@ -47,7 +50,8 @@ def strategy_report(
     warmup: bool = True,
     cache: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """DataFrame(strategy, join_node, rows, seconds) for ``build(strategy)``.
+    """DataFrame(strategy, join_node, rows, seconds) for ``build(strategy)``
+    (``build`` may return ``(df, joins_of_earlier_jobs)``).
 
     DataFrames in ``cache`` (the join inputs) are persisted and counted
     before timing, so every strategy starts from the same cached inputs, and
@@ -59,8 +63,8 @@ def strategy_report(
     try:
         out = []
         for strategy in strategies:
-            df, rows, seconds = _measure(lambda s=strategy: build(s), repeats, warmup)
-            nodes = executed_join_nodes(df)
+            df, rows, seconds, earlier = _measure(lambda s=strategy: build(s), repeats, warmup)
+            nodes = earlier + executed_join_nodes(df)
             out.append((strategy, ",".join(nodes) if nodes else None, rows, float(seconds)))
     finally:
         for df in cache:
@@ -78,7 +82,7 @@ def variant_report(
     """DataFrame(<label>, rows, seconds) for named query builders."""
     out = []
     for name, build in variants.items():
-        _, rows, seconds = _measure(build, repeats, warmup)
+        _, rows, seconds, _ = _measure(build, repeats, warmup)
         out.append((name, rows, float(seconds)))
     return spark.createDataFrame(out, f"{label} string, rows bigint, seconds double")
 
