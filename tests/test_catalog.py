@@ -29,6 +29,11 @@ def test_reports_run(spark, key):
     rows = QUERIES[key](spark, SF).collect()
     assert len(rows) >= (1 if key == "conversion_report" else 3)
     assert all(r.rows > 0 and r.seconds >= 0 for r in rows)
+    if key in ("strategy_report", "nearest_strategy_report"):
+        nodes = {r.strategy: r.join_node for r in rows}
+        assert nodes["broadcast"] == "BroadcastHashJoin"
+        assert nodes["merge"] == "SortMergeJoin"
+        assert nodes["shuffle_hash"] == "ShuffledHashJoin"
 
 
 def test_entry(spark):
