@@ -41,8 +41,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of this session.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir``. Only
-    when the session has none (local tests) is a private folder created.
-    A session without a SparkContext (Spark Connect) uses the conf value.
+    a local-mode session (tests) that has none gets a private folder; any
+    other master without one is an error, since executors on other machines
+    could not read a folder local to the driver. A session without a
+    SparkContext (Spark Connect) uses the conf value.
     """
     try:
         sc = spark.sparkContext
@@ -56,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="metrolens-checkpoints-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
