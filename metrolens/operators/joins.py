@@ -15,8 +15,10 @@ JOIN_STRATEGIES = ("DEFAULT", "broadcast", "merge", "shuffle_hash")
 # an equi-join, which does not survive large inputs.
 REJECTED_STRATEGIES = {"shuffle_replicate_nl": "plans a CartesianProduct of both sides"}
 
-# Upper bound on rows for a forced broadcast; above it the hint is dropped.
+# Upper bounds for a forced broadcast; above either the hint is dropped.
 MAX_BROADCAST_ROWS = 2_000_000
+# Rows rendered as JSON text: a measure of the data, not of Spark's binary rows.
+MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 
 
 def rows_at_most(df: DataFrame, limit: int) -> bool:
@@ -24,11 +26,28 @@ def rows_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def with_strategy(right: DataFrame, strategy: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows whose JSON text totals at
+    most ``max_bytes``. One job over at most max_rows + 1 rows."""
+    head = df.limit(max_rows + 1)
+    row = head.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.octet_length(F.to_json(F.struct(*[head[c] for c in head.columns])))).alias("bytes"),
+    ).first()
+    return row["rows"] <= max_rows and (row["bytes"] or 0) <= max_bytes
+
+
+def with_strategy(
+    right: DataFrame,
+    strategy: str,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """``right`` carrying the join hint for ``strategy``.
 
     A broadcast is applied only after checking that ``right`` has at most
-    ``max_broadcast_rows`` rows; beyond that the planner's default is used.
+    ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` of data; beyond
+    that the planner's default is used.
     """
     if strategy in REJECTED_STRATEGIES:
         raise ValueError(f"strategy {strategy!r} is not supported: {REJECTED_STRATEGIES[strategy]}")
@@ -36,7 +55,7 @@ def with_strategy(right: DataFrame, strategy: str, max_broadcast_rows: int = MAX
         raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
     if strategy == "DEFAULT":
         return right
-    if strategy == "broadcast" and not rows_at_most(right, max_broadcast_rows):
+    if strategy == "broadcast" and not fits_broadcast(right, max_broadcast_rows, max_broadcast_bytes):
         return right
     return right.hint(strategy)
 
@@ -48,9 +67,10 @@ def hinted_join(
     how: str = "inner",
     strategy: str = "DEFAULT",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join with the hint for ``strategy`` on the right side. NULL keys never match."""
-    return left.join(with_strategy(right, strategy, max_broadcast_rows), on=on, how=how)
+    return left.join(with_strategy(right, strategy, max_broadcast_rows, max_broadcast_bytes), on=on, how=how)
 
 
 def ratio_join(

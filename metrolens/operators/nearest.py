@@ -7,7 +7,7 @@ a window. Here points and sites meet through an equi-join on grid cells:
    (partial aggregation, so one hot coordinate costs one row per task).
 2. Each site is copied to the 3x3 block of cells around its own cell; a
    point joins the sites of its block on (cell_lat, cell_lon). When the site
-   table is small (row count checked) the copies are grouped into one
+   table is small (row count and bytes checked) the copies are grouped into one
    candidate list per cell and broadcast, so each point meets one list and
    ``array_min`` picks the best without any aggregation or sort; otherwise
    points join candidate rows on (cell, salt), so a crowded cell is spread
@@ -22,7 +22,7 @@ a window. Here points and sites meet through an equi-join on grid cells:
 
 Every level is written as a Parquet table under the shared checkpoint
 folder, which cuts lineage and makes a level survive executor loss. The site table is broadcast only
-after its row count is checked; above the bound the join shuffles.
+after its row count and size are checked; above the bound the join shuffles.
 """
 
 from __future__ import annotations
@@ -39,8 +39,10 @@ from metrolens.session import materialize_observed
 
 UNITS = ("location", "event")
 
-# Broadcast bound: 9 copies of each site are broadcast per level.
+# Broadcast bounds: 9 copies of each site are broadcast per level, each
+# copy its key plus two doubles.
 MAX_BROADCAST_SITES = 100_000
+MAX_BROADCAST_SITE_BYTES = 256 * 1024 * 1024
 
 # Salt values per cell when points and candidate rows meet through a shuffle
 # (site table above the broadcast bound).
@@ -78,18 +80,25 @@ def _site_stats(sites: DataFrame) -> dict:
     """Site count, largest |latitude|, and the fullest cell at every ladder size (one small job)."""
     sizes = F.array(*[F.lit(g) for g in _CELL_LADDER])
     per_cell = (
-        sites.select(F.posexplode(sizes).alias("k", "g"), "slat", "slon")
+        sites.select(F.posexplode(sizes).alias("k", "g"), "site", "slat", "slon")
         .groupBy("k", F.floor(F.col("slat") / F.col("g")).alias("ci"), F.floor(F.col("slon") / F.col("g")).alias("cj"))
-        .agg(F.count(F.lit(1)).alias("sites"), F.max(F.abs("slat")).alias("abslat"))
+        .agg(
+            F.count(F.lit(1)).alias("sites"),
+            F.max(F.abs("slat")).alias("abslat"),
+            F.sum(F.octet_length(F.col("site").cast("string")) + F.lit(16)).alias("bytes"),
+        )
     )
     # One row per ladder size: at most len(_CELL_LADDER) rows reach the driver.
     rows = per_cell.groupBy("k").agg(
-        F.max("sites").alias("peak"), F.sum("sites").alias("n"), F.max("abslat").alias("abslat")
+        F.max("sites").alias("peak"),
+        F.sum("sites").alias("n"),
+        F.max("abslat").alias("abslat"),
+        F.sum("bytes").alias("bytes"),
     ).collect()
     if not rows:
         return {"n": 0}
     peaks = {r.k: r.peak for r in rows}
-    return {"n": rows[0].n, "abslat": max(r.abslat for r in rows), "peaks": peaks}
+    return {"n": rows[0].n, "bytes": rows[0].bytes or 0, "abslat": max(r.abslat for r in rows), "peaks": peaks}
 
 
 def _base_cell(stats: dict, max_per_cell: int = MAX_SITES_PER_CELL) -> float:
@@ -215,6 +224,7 @@ def assign_nearest(
     growth: float = 4.0,
     strategy: str = "DEFAULT",
     max_broadcast_sites: int = MAX_BROADCAST_SITES,
+    max_broadcast_bytes: int = MAX_BROADCAST_SITE_BYTES,
     salt_buckets: int = SALT_BUCKETS,
     trace: list | None = None,
 ) -> DataFrame:
@@ -238,7 +248,7 @@ def assign_nearest(
         empty = pts.limit(0)
         return empty.select("lat", "lon", "n", F.lit(None).cast("string").alias("site"), F.lit(None).cast("double").alias("km"))
     cos_min = max(0.0, math.cos(math.radians(min(90.0, stats["abslat"]))))
-    small = stats["n"] <= max_broadcast_sites
+    small = stats["n"] <= max_broadcast_sites and 9 * stats["bytes"] <= max_broadcast_bytes
     cell = cell_deg or _base_cell(stats)
     pending = pts
     settled = []

@@ -169,3 +169,17 @@ def test_nearest_with_clustered_sites(spark):
     pdf = spark.createDataFrame(points, "lat double, lon double")
     got = {(r.lat, r.lon): r.site for r in assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon").collect()}
     assert got == {k: v[1] for k, v in _brute(points, sites).items()}
+
+
+def test_nearest_site_byte_bound_selects_shuffle_path(spark):
+    # A byte bound of 0 sends even a tiny site table down the shuffle path; results are the same.
+    rng = random.Random(5)
+    sites = [(f"S{i:02d}", round(rng.uniform(30, 40), 3), round(rng.uniform(-120, -110), 3)) for i in range(12)]
+    points = [(round(rng.uniform(29, 41), 3), round(rng.uniform(-121, -109), 3)) for _ in range(200)]
+    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+    pdf = spark.createDataFrame(points, "lat double, lon double")
+    trace = []
+    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_bytes=0, trace=trace)
+    got = {(r.lat, r.lon): r.site for r in out.collect()}
+    assert got == {k: v[1] for k, v in _brute(points, sites).items()}
+    assert all("BroadcastHashJoin" not in level["join"] for level in trace)

@@ -68,3 +68,18 @@ def test_partitioned_parquet_prunes_partitions(spark):
     df = QUERIES["parquet_roundtrip"](spark, SF).filter(F.col("o_orderstatus") == "F")
     plan = plan_text(df)
     assert "PartitionFilters: [isnotnull(o_orderstatus" in plan and "(o_orderstatus" in plan
+
+
+def test_forced_broadcast_is_size_checked(spark):
+    from pyspark.sql import functions as F
+
+    from metrolens.operators.joins import fits_broadcast, with_strategy
+
+    side = spark.range(100).select("id", F.repeat(F.lit("x"), 50).alias("pad"))
+    # {"id":N,"pad":"x..."}: at least 60 bytes a row.
+    assert fits_broadcast(side, max_rows=100, max_bytes=100 * 100)
+    assert not fits_broadcast(side, max_rows=99, max_bytes=100 * 100)
+    assert not fits_broadcast(side, max_rows=100, max_bytes=100 * 60)
+    # Over the byte bound the side comes back without the hint.
+    assert with_strategy(side, "broadcast", max_broadcast_rows=100, max_broadcast_bytes=100 * 60) is side
+    assert with_strategy(side, "broadcast", max_broadcast_rows=100, max_broadcast_bytes=100 * 100) is not side
