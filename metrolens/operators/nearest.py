@@ -68,6 +68,20 @@ def distinct_points(points: DataFrame, lat: str, lon: str, weight: str = "n") ->
     )
 
 
+def distinct_sites(sites: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
+    """One site per coordinate (neither NULL nor NaN): the least key, as
+    distance ties go to the least key, so the others can never be nearest.
+    Sites crowded onto one spot become one candidate (partial aggregation
+    folds a hot coordinate per task). Keys order as in ``array_min`` over
+    (km, site) structs, NULL first."""
+    return (
+        sites.select(F.col(key).alias("site"), F.col(lat).cast("double").alias("slat"), F.col(lon).cast("double").alias("slon"))
+        .filter(_usable("slat", "slon"))
+        .groupBy("slat", "slon")
+        .agg(F.min(F.struct("site"))["site"].alias("site"))
+    )
+
+
 # Candidate cell edges in degrees: 0.001 * 2^k, from about 100 m to beyond the globe.
 _CELL_LADDER = tuple(0.001 * 2**k for k in range(19))
 
@@ -239,9 +253,7 @@ def assign_nearest(
     """
     if strategy not in JOIN_STRATEGIES:
         raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
-    site_rows = sites.select(
-        F.col(site_key).alias("site"), F.col(site_lat).cast("double").alias("slat"), F.col(site_lon).cast("double").alias("slon")
-    ).filter(_usable("slat", "slon"))
+    site_rows = distinct_sites(sites, site_key, site_lat, site_lon)
     pts = distinct_points(points, point_lat, point_lon)
     stats = _site_stats(site_rows)
     if not stats["n"]:

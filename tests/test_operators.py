@@ -183,3 +183,23 @@ def test_nearest_site_byte_bound_selects_shuffle_path(spark):
     got = {(r.lat, r.lon): r.site for r in out.collect()}
     assert got == {k: v[1] for k, v in _brute(points, sites).items()}
     assert all("BroadcastHashJoin" not in level["join"] for level in trace)
+
+
+@pytest.mark.parametrize("max_sites", [100_000, 0])
+def test_nearest_sites_on_one_spot(spark, max_sites):
+    # A third of the sites share one coordinate: only the least key there can
+    # win, on both the broadcast and the shuffle path.
+    from metrolens.operators.nearest import distinct_sites
+
+    rng = random.Random(8)
+    spot = [(f"H{i:03d}", 34.05, -118.25) for i in range(60)]
+    spread = [(f"S{i:03d}", round(rng.uniform(33, 35), 3), round(rng.uniform(-119.5, -117), 3)) for i in range(120)]
+    sites = spot + spread
+    points = [(round(rng.uniform(33.5, 34.5), 3), round(rng.uniform(-119, -117.5), 3)) for _ in range(300)]
+    points += [(34.05, -118.25)] * 5
+    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+    assert distinct_sites(sdf, "site", "slat", "slon").filter("slat = 34.05 AND slon = -118.25").collect()[0].site == "H000"
+    pdf = spark.createDataFrame(points, "lat double, lon double")
+    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=max_sites)
+    got = {(r.lat, r.lon): r.site for r in out.collect()}
+    assert got == {k: v[1] for k, v in _brute(points, sites).items()}
