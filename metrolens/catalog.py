@@ -464,6 +464,11 @@ def q_geojson_document(spark, sf_dir):
     return read_geojson(spark, _write_blocks(spark, sf_dir, "pretty"), layout="document")
 
 
+def q_geojson_split(spark, sf_dir):
+    """A pretty-printed document read as text across tasks (large single documents)."""
+    return read_geojson(spark, _write_blocks(spark, sf_dir, "pretty"), layout="split")
+
+
 def q_geojson_profile(spark, sf_dir):
     return profile_geojson(spark, _write_blocks(spark, sf_dir, "lines"), layout="lines")
 
@@ -647,6 +652,7 @@ QUERIES: dict[str, Builder] = {
     "split_fields": q_split_fields,
     "geojson_features": q_geojson_features,
     "geojson_document": q_geojson_document,
+    "geojson_split": q_geojson_split,
     "geojson_profile": q_geojson_profile,
     "parquet_roundtrip": q_parquet_roundtrip,
     "share_by_bucket_csv": q_share_by_bucket_csv,
@@ -913,6 +919,7 @@ ORACLE_SQL: dict[str, str] = {
     "split_fields": _sql("SELECT zip_code, COALESCE(median_income_raw, '') AS median_income_raw FROM income"),
     "geojson_features": _sql(_BLOCK_POINTS),
     "geojson_document": _sql(_BLOCK_POINTS),
+    "geojson_split": _sql(_BLOCK_POINTS),
     "geojson_profile": _sql(
         "SELECT 'feature_type' AS kind, 'Feature' AS name, CAST(NULL AS VARCHAR) AS value_type, COUNT(*) AS features FROM blocks "
         "UNION ALL SELECT 'geometry_type', 'Polygon', NULL, COUNT(*) FROM blocks "

@@ -10,6 +10,8 @@ Two layouts are read:
   are read as text, trailing commas removed and parsed with ``from_json``; the
   files split freely across tasks. A line holding a whole single-line
   FeatureCollection is expanded too.
+* ``"split"``: a large FeatureCollection document of any line layout, read as
+  text across many tasks (see :func:`_features_from_split_text`).
 
 Nothing is collected to the driver.
 """
@@ -17,13 +19,14 @@ Nothing is collected to the driver.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LAYOUTS = ("document", "lines")
+LAYOUTS = ("document", "lines", "split")
 
 
 def _feature_type(properties_type: str) -> str:
@@ -68,9 +71,136 @@ def read_features(
     if layout == "document":
         docs = spark.read.schema(f"type string, features array<{feature_type}>").option("multiLine", True).json(paths)
         return docs.filter(F.col("type") == "FeatureCollection").selectExpr("inline(features)")
+    if layout == "split":
+        return _features_from_split_text(spark, paths, properties_type)
     return _features_from_lines(spark.read.text(paths), properties_type)
 
 
+# A JSON string literal, or one bracket. JSON strings hold no raw line breaks,
+# so every line tokenizes on its own.
+_STRING = r'"(?:[^"\\]|\\.)*"'
+_TOKENS = re.compile(_STRING + r"|[\[\]{}]")
+
+# Depth of a feature object's members: inside the root object (1), its
+# "features" array (2) and the feature itself (3).
+_FEATURE_DEPTH = 2
+
+
+def _bracket_delta(line: Column) -> Column:
+    """Opening minus closing brackets outside string literals."""
+    bare = F.regexp_replace(line, _STRING, "")
+    opens = F.length(bare) - F.length(F.regexp_replace(bare, r"[\[{]", ""))
+    closes = F.length(bare) - F.length(F.regexp_replace(bare, r"[\]}]", ""))
+    return (opens - closes).cast("bigint")
+
+
+def _cut_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Walk each file block's lines in order from the depth at its start and
+    cut out the objects that open at depth 2 (the features).
+
+    Emits ``whole`` for a feature inside the block, ``head`` for one that
+    opens here and runs past the block end, ``tail`` for the end of one that
+    opened in an earlier block, and ``body`` for a block lying wholly inside
+    one feature. Heads are keyed (mid, piece >= 0) by where they open; tails
+    and bodies take piece -1, so they sort before any head of their block."""
+    columns = ["file", "block", "mid", "piece", "kind", "text"]
+    block = None
+    depth = 0
+    inside = False  # within a feature object
+    opened_here = False
+    parts: list[str] = []
+    start_key = (0, 0)
+    last_mid = None
+    out: list[tuple] = []
+
+    def close_block():
+        if block is not None and inside and depth > _FEATURE_DEPTH:
+            mid, piece = start_key if opened_here else (last_mid, -1)
+            out.append((block[0], block[1], mid, piece, "head" if opened_here else "body", "\n".join(parts)))
+
+    for batch in batches:
+        for value, file, blk, mid, d0 in zip(batch["value"], batch["file"], batch["block"], batch["mid"], batch["d0"]):
+            if block != (file, blk):
+                close_block()
+                block, depth, parts, opened_here, last_mid = (file, blk), int(d0), [], False, None
+                inside = depth > _FEATURE_DEPTH
+            elif mid <= last_mid:
+                raise RuntimeError("lines of a file block arrived out of order")
+            last_mid = mid
+            value = value or ""
+            seg = 0
+            piece = 0
+            for m in _TOKENS.finditer(value):
+                ch = m.group()
+                if ch in "{[":
+                    if depth == _FEATURE_DEPTH:
+                        inside = ch == "{"
+                        if inside:
+                            seg, opened_here, start_key, parts = m.start(), True, (mid, piece), []
+                            piece += 1
+                    depth += 1
+                elif ch in "}]":
+                    depth -= 1
+                    if depth == _FEATURE_DEPTH and inside:
+                        parts.append(value[seg : m.end()])
+                        if opened_here:
+                            out.append((file, blk, start_key[0], start_key[1], "whole", "\n".join(parts)))
+                        else:
+                            out.append((file, blk, mid, -1, "tail", "\n".join(parts)))
+                        inside, opened_here, parts = False, False, []
+            if inside and depth > _FEATURE_DEPTH:
+                parts.append(value[seg:])
+        if out:
+            yield pd.DataFrame(out, columns=columns)
+            out = []
+    close_block()
+    if out:
+        yield pd.DataFrame(out, columns=columns)
+
+
+def _features_from_split_text(spark: SparkSession, paths: Sequence[str], properties_type: str) -> DataFrame:
+    """Features of FeatureCollection documents read as text, split across tasks.
+
+    1. Every line gets its bracket balance (JVM-side); one row per file block
+       sums it, and a running sum over a file's blocks (one row per block, a
+       bounded table that is broadcast) gives the depth at each block start.
+    2. An Arrow-batched pass walks each block's lines in scan order and cuts
+       out the features (objects opening at depth 2); a feature inside one
+       block needs nothing more, so no text is shuffled for it.
+    3. Only the pieces of features that cross a block boundary (at most a
+       head and a tail per block, or a body for a block inside one feature)
+       are keyed to the head they follow and joined in order.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("mid"),
+    )
+    per_block = lines.groupBy("file", "block").agg(F.sum(_bracket_delta(F.col("value"))).alias("delta"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_block.select("file", "block", F.coalesce(F.sum("delta").over(earlier), F.lit(0)).cast("bigint").alias("d0"))
+    # The scan side streams through the broadcast join, so each block's lines
+    # keep their order (the cutting pass checks it).
+    cut = lines.join(F.broadcast(starts), ["file", "block"]).select("value", "file", "block", "mid", "d0").mapInPandas(
+        _cut_features, "file string, block bigint, mid bigint, piece int, kind string, text string"
+    )
+    whole = cut.filter(F.col("kind") == "whole").select("text")
+    order = Window.partitionBy("file").orderBy("block", "mid", "piece")
+    head_key = F.when(F.col("kind") == "head", F.struct("block", "mid", "piece"))
+    pieces = cut.filter(F.col("kind") != "whole").withColumn(
+        "feature", F.last(head_key, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    stitched = pieces.groupBy("file", "feature").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("block", "mid", "piece", "text"))), lambda p: p["text"]), "\n"
+        ).alias("text")
+    )
+    texts = whole.unionByName(stitched.select("text"))
+    parsed = texts.select(F.from_json("text", _feature_type(properties_type)).alias("f"))
+    return parsed.filter(F.col("f.type") == "Feature").select("f.*")
+
+
 def parse_geojson(df: DataFrame, column: str, props: Sequence[str]) -> DataFrame:
     """Features from a string column holding FeatureCollection documents or single features."""
     return _features_from_lines(df.select(F.col(column).alias("value")), _properties_struct(props))

@@ -42,11 +42,56 @@ def test_geojson_layouts(spark):
     lines = '{"type": "FeatureCollection", "features": [\n' + ",\n".join(json.dumps(f) for f in FEATURES) + "\n]}\n"
     per_line = _write(base + "/lines", "a.geojson", lines)
     expected = [("90001", 5), ("90001", 12)]
-    for path, layout in [(pretty, "document"), (single, "document"), (per_line, "lines"), (single, "lines")]:
+    cases = [(pretty, "document"), (single, "document"), (per_line, "lines"), (single, "lines")]
+    cases += [(pretty, "split"), (single, "split"), (per_line, "split")]
+    for path, layout in cases:
         got = sorted(tuple(r) for r in read_geojson(spark, path, layout=layout).collect())
         assert got == expected, (path, layout)
 
 
+def _small_splits(spark, size):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    return old
+
+
+def test_geojson_split_layout_across_many_blocks(spark):
+    # Features cross block boundaries, strings hold brackets, quotes and
+    # escapes, several features share a line, one feature spans many blocks,
+    # and a root-level crs object and bbox sit beside the features.
+    from metrolens.sources import read_features
+
+    rng_props = [{"ZCTA20": f"9{i:04d}", "POP20": i, "note": ("}{][\\\"," * (i % 4)) + "x"} for i in range(120)]
+    feats = [{"type": "Feature", "geometry": {"type": "Point", "coordinates": [i, -i]}, "properties": p} for i, p in enumerate(rng_props)]
+    feats[7]["geometry"] = {"type": "Polygon", "coordinates": [[[j, j + 0.5] for j in range(300)]]}
+    head = '{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "x{"}},\n "bbox": [0, 1],\n "features": [\n'
+    body = []
+    for i, f in enumerate(feats):
+        text = json.dumps(f, indent=2) if i % 3 else json.dumps(f)
+        body.append(text)
+    # Features 0..2 on one line; the rest one after another.
+    text = head + ", ".join(body[:3]) + ",\n" + ",\n".join(body[3:]) + "\n]}\n"
+    base = _local(spark, "geojson-split")
+    path = _write(base, "big.geojson", text)
+    props = "struct<ZCTA20:string, POP20:string, note:string>"
+    want = sorted((f["properties"]["ZCTA20"], f["properties"]["note"], f["geometry"]["type"]) for f in feats)
+    old = _small_splits(spark, 512)
+    try:
+        df = read_features(spark, path, props, layout="split")
+        got = sorted((r.properties.ZCTA20, r.properties.note, r.geometry.type) for r in df.collect())
+        blocks = spark.read.text(path).select("_metadata.file_block_start").distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert blocks > 50
+    assert got == want
+    doc = sorted(
+        (r.properties.ZCTA20, r.properties.note, r.geometry.type) for r in read_features(spark, path, props, "document").collect()
+    )
+    assert doc == want
+
+
 def test_split_fields_rules(spark):
     base = _local(spark, "split-fixture")
     path = _write(base, "income.csv", "Zip;Name;Income\n\n 90001 ;A;$1,000\n90002;B\n90003;C;\n   \n90004;D;$5;extra\n")
