@@ -29,13 +29,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_km
 from metrolens.operators.joins import JOIN_STRATEGIES, rows_at_most
 from metrolens.plans.explain import executed_join_nodes
-from metrolens.session import materialize_observed
+from metrolens.session import materialize, materialize_observed
 
 UNITS = ("location", "event")
 
@@ -226,6 +226,116 @@ def _settle(best: DataFrame, cell: float | None, cos_min: float) -> DataFrame:
     )
 
 
+def _base_index(stats: dict, max_per_cell: int = MAX_SITES_PER_CELL) -> int:
+    return _CELL_LADDER.index(_base_cell(stats, max_per_cell))
+
+
+def _cell_pyramid(sites: DataFrame, base_k: int) -> DataFrame:
+    """One row per occupied cell at every ladder size from ``base_k`` up:
+    (k, ci, cj, pci, pcj, lat_lo, lat_hi, lon_lo, lon_hi, rep), where (pci,
+    pcj) is the cell one size up that holds its sites (the top size, over
+    180 degrees, has parent (0, 0) and at most four cells), the box bounds
+    the cell's sites and ``rep`` is one of them."""
+    top = len(_CELL_LADDER) - 1
+    sizes = F.array(
+        *[
+            F.struct(F.lit(k).alias("k"), F.lit(_CELL_LADDER[k]).alias("g"), F.lit(_CELL_LADDER[min(k + 1, top)]).alias("pg"))
+            for k in range(base_k, top + 1)
+        ]
+    )
+    at = sites.select(F.explode(sizes).alias("z"), "slat", "slon")
+    is_top = F.col("z.k") == top
+    return at.groupBy(
+        F.col("z.k").alias("k"),
+        F.floor(F.col("slat") / F.col("z.g")).alias("ci"),
+        F.floor(F.col("slon") / F.col("z.g")).alias("cj"),
+        F.when(is_top, F.lit(0)).otherwise(F.floor(F.col("slat") / F.col("z.pg"))).cast("bigint").alias("pci"),
+        F.when(is_top, F.lit(0)).otherwise(F.floor(F.col("slon") / F.col("z.pg"))).cast("bigint").alias("pcj"),
+    ).agg(
+        F.min("slat").alias("lat_lo"),
+        F.max("slat").alias("lat_hi"),
+        F.min("slon").alias("lon_lo"),
+        F.max("slon").alias("lon_hi"),
+        F.min(F.struct("slat", "slon")).alias("rep"),
+    )
+
+
+def _box_lower_bound_km(lat: Column, lon: Column) -> Column:
+    """Least possible distance from (lat, lon) to any point of the box
+    [lat_lo, lat_hi] x [lon_lo, lon_hi]: the largest of the latitude gap, the
+    longitude gap (wrap-aware, scaled by the cosines of both latitudes) and
+    the distance to the box centre less the box radius."""
+    d_lat = F.greatest(F.col("lat_lo") - lat, lat - F.col("lat_hi"), F.lit(0.0))
+
+    def around(x: Column) -> Column:
+        a = F.abs(x) % 360.0
+        return F.least(a, 360.0 - a)
+
+    inside = (lon >= F.col("lon_lo")) & (lon <= F.col("lon_hi"))
+    d_lon = F.when(inside, F.lit(0.0)).otherwise(F.least(around(lon - F.col("lon_lo")), around(lon - F.col("lon_hi"))))
+    cos_box = F.cos(F.radians(F.greatest(F.abs("lat_lo"), F.abs("lat_hi"))))
+    cos_pt = F.greatest(F.cos(F.radians(lat)), F.lit(0.0))
+    by_lat = F.lit(EARTH_RADIUS_KM) * F.radians(d_lat)
+    by_lon = F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(
+        F.least(F.lit(1.0), F.sqrt(cos_pt * F.greatest(cos_box, F.lit(0.0))) * F.sin(F.radians(F.least(d_lon, F.lit(180.0))) / 2.0))
+    )
+    # Triangle inequality: distance to the box centre less the box radius.
+    # Any point of the box is reached from the centre along a meridian (half
+    # the latitude span) and then a parallel (half the longitude span at most
+    # at the widest parallel), so their sum bounds the radius.
+    straddles = (F.col("lat_lo") <= 0.0) & (F.col("lat_hi") >= 0.0)
+    cos_wide = F.when(straddles, F.lit(1.0)).otherwise(F.cos(F.radians(F.least(F.abs("lat_lo"), F.abs("lat_hi")))))
+    radius = F.lit(EARTH_RADIUS_KM) * (
+        F.radians((F.col("lat_hi") - F.col("lat_lo")) / 2.0) + F.radians((F.col("lon_hi") - F.col("lon_lo")) / 2.0) * cos_wide
+    )
+    centre = haversine_km(lat, lon, (F.col("lat_lo") + F.col("lat_hi")) / 2.0, (F.col("lon_lo") + F.col("lon_hi")) / 2.0)
+    return F.greatest(by_lat, by_lon, centre - radius)
+
+
+def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], salt_buckets: int) -> DataFrame:
+    """Equi-join where ``left`` rows are distinct points: a hash of the point
+    spreads one hot key over ``salt_buckets`` tasks, and every ``right`` row
+    is repeated once per salt value."""
+    salted = left.withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), F.lit(salt_buckets)))
+    copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
+    return salted.join(copies, keys + ["salt"]).drop("salt")
+
+
+def _descend(pending: DataFrame, sites: DataFrame, base_k: int, salt_buckets: int) -> DataFrame:
+    """Exact nearest site for points no grid level settled, without meeting
+    every site: a descent through the cell pyramid from the (at most four)
+    top cells. At each size a point keeps only the cells whose box could hold
+    a site no farther than its nearest cell representative, and steps into
+    their children; at the base size it meets the sites of the cells kept.
+    Each size is written to the shared checkpoint folder."""
+    top = len(_CELL_LADDER) - 1
+    pyramid = materialize(_cell_pyramid(sites, base_k), "nearest-pyramid")
+    point = Window.partitionBy("lat", "lon")
+    frontier = pending.select("lat", "lon", "n", F.lit(0).cast("bigint").alias("ci"), F.lit(0).cast("bigint").alias("cj"))
+    for k in range(top, base_k - 1, -1):
+        cells = pyramid.filter(F.col("k") == k).drop("k")
+        parents = frontier.select("lat", "lon", "n", F.col("ci").alias("pci"), F.col("cj").alias("pcj"))
+        if k == top:
+            # At most four cells of over 180 degrees cover the globe.
+            pairs = parents.join(F.broadcast(cells), ["pci", "pcj"])
+        else:
+            pairs = _salted_join(parents, cells, ["pci", "pcj"], salt_buckets)
+        lower = _box_lower_bound_km(F.col("lat"), F.col("lon"))
+        upper = haversine_km("lat", "lon", F.col("rep.slat"), F.col("rep.slon"))
+        scored = pairs.select("lat", "lon", "n", "ci", "cj", lower.alias("lb"), upper.alias("ub"))
+        bound = F.min("ub").over(point)
+        kept = scored.withColumn("u", bound).filter(F.col("lb") <= F.col("u") * (1.0 + _MARGIN) + _MARGIN)
+        frontier = materialize(kept.select("lat", "lon", "n", "ci", "cj"), f"nearest-descent-{k}")
+    g = _CELL_LADDER[base_k]
+    base_sites = sites.select(
+        F.floor(F.col("slat") / g).alias("ci"), F.floor(F.col("slon") / g).alias("cj"), "site", "slat", "slon"
+    )
+    km = haversine_km("lat", "lon", "slat", "slon")
+    met = _salted_join(frontier, base_sites, ["ci", "cj"], salt_buckets)
+    best = met.groupBy("lat", "lon", "n").agg(F.min(F.struct(km.alias("km"), F.col("site").alias("site"))).alias("b"))
+    return best.select("lat", "lon", "n", F.col("b.site").alias("site"), F.col("b.km").alias("km"))
+
+
 def assign_nearest(
     points: DataFrame,
     sites: DataFrame,
@@ -287,6 +397,13 @@ def assign_nearest(
         pending = level.filter(~F.col("exact")).select("lat", "lon", "n")
         if level_cell is None or not seen["unsettled"]:
             break
+        if not small:
+            # Above the broadcast bound a coarser block could hold very many
+            # sites: the rest descend the cell pyramid instead (exact).
+            settled.append(_descend(pending, site_rows, _base_index(stats), salt_buckets))
+            if trace is not None:
+                trace.append({"cell_deg": "descent", "join": [], "unsettled": 0})
+            break
         cell *= growth
     out = settled[0]
     for part in settled[1:]:

@@ -203,3 +203,43 @@ def test_nearest_sites_on_one_spot(spark, max_sites):
     out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=max_sites)
     got = {(r.lat, r.lon): r.site for r in out.collect()}
     assert got == {k: v[1] for k, v in _brute(points, sites).items()}
+
+
+def test_nearest_far_points_descend_the_cell_pyramid(spark):
+    # Sites crowd into one city; points lie all over the globe. Above the
+    # broadcast bound (forced by max_broadcast_sites=0) the points no fine
+    # level settles take the pyramid descent, which must stay exact.
+    rng = random.Random(17)
+    sites = [(f"S{i:03d}", round(34.0 + rng.uniform(0, 0.3), 4), round(-118.4 + rng.uniform(0, 0.3), 4)) for i in range(200)]
+    sites += [("FAR1", -33.9, 151.2), ("FAR2", 51.5, -0.1)]
+    points = [(round(rng.uniform(-89.9, 89.9), 3), round(rng.uniform(-180, 179.99), 3)) for _ in range(150)]
+    points += [(34.1, -118.3), (34.15, -118.2), (89.99, 10.0), (-89.99, -170.0), (0.0, 179.999), (0.0, -179.999)]
+    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+    pdf = spark.createDataFrame(points, "lat double, lon double")
+    trace = []
+    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=0, trace=trace)
+    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
+    want = _brute(points, sites)
+    assert any(level["cell_deg"] == "descent" for level in trace)
+    assert set(got) == set(want)
+    for key, (km, site) in want.items():
+        assert got[key][1] == site, key
+        assert got[key][0] == pytest.approx(km, abs=1e-6)
+
+
+def test_nearest_descent_with_sites_at_antimeridian_and_poles(spark):
+    rng = random.Random(29)
+    sites = [(f"A{i:03d}", round(rng.uniform(-5, 5), 3), round(rng.choice([rng.uniform(179.5, 179.999), rng.uniform(-180, -179.5)]), 3)) for i in range(60)]
+    sites += [(f"N{i:03d}", round(rng.uniform(88, 90), 3), round(rng.uniform(-180, 179.99), 3)) for i in range(40)]
+    sites += [(f"P{i:03d}", round(rng.uniform(-90, -88), 3), round(rng.uniform(-180, 179.99), 3)) for i in range(40)]
+    points = [(round(rng.uniform(-90, 90), 3), round(rng.uniform(-180, 179.99), 3)) for _ in range(150)]
+    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+    pdf = spark.createDataFrame(points, "lat double, lon double")
+    trace = []
+    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=0, trace=trace)
+    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
+    want = _brute(points, sites)
+    assert set(got) == set(want)
+    for key, (km, site) in want.items():
+        assert got[key][1] == site, key
+        assert got[key][0] == pytest.approx(km, abs=1e-6)
