@@ -16,9 +16,12 @@ a window. Here points and sites meet through an equi-join on grid cells:
    kept, and a *lower bound* on the distance to any site outside the block is
    computed from the block edges. A point whose best candidate is strictly
    closer than that bound is exact.
-4. The remaining points move to a grid 4x coarser, and so on. Once a block
-   spans the globe every site is a candidate, so the loop always ends
-   exactly; in practice almost every point is settled at the first level.
+4. With a small site table the remaining points move to a grid 4x coarser,
+   and so on. Once a block spans the globe every site is a candidate, so the
+   loop always ends exactly; in practice almost every point is settled at
+   the first level. Above the broadcast bound the remaining points instead
+   descend a pyramid of occupied cells, pruned by box distance bounds
+   (:func:`_descend`), so a far point never meets every site of a block.
 
 Every level is written as a Parquet table under the shared checkpoint
 folder, which cuts lineage and makes a level survive executor loss. The site table is broadcast only
