@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from metrolens.session import materialize
+
 LAYOUTS = ("document", "lines", "split")
 
 
@@ -170,6 +172,9 @@ def _features_from_split_text(spark: SparkSession, paths: Sequence[str], propert
     3. Only the pieces of features that cross a block boundary (at most a
        head and a tail per block, or a body for a block inside one feature)
        are keyed to the head they follow and joined in order.
+
+    The cut features are written under the shared checkpoint folder, so this
+    layout runs one job when the DataFrame is built.
     """
     lines = spark.read.text(list(paths)).select(
         "value",
@@ -185,6 +190,10 @@ def _features_from_split_text(spark: SparkSession, paths: Sequence[str], propert
     cut = lines.join(F.broadcast(starts), ["file", "block"]).select("value", "file", "block", "mid", "d0").mapInPandas(
         _cut_features, "file string, block bigint, mid bigint, piece int, kind string, text string"
     )
+    # Written once (runs the cutting pass once, cuts lineage); both uses
+    # below read it, and row groups of whole features alone are skipped by
+    # the pieces' filter on their statistics.
+    cut = materialize(cut, "geojson-cut")
     whole = cut.filter(F.col("kind") == "whole").select("text")
     order = Window.partitionBy("file").orderBy("block", "mid", "piece")
     head_key = F.when(F.col("kind") == "head", F.struct("block", "mid", "piece"))
