@@ -193,7 +193,7 @@ def _best_from_lists(cells: DataFrame, lists: DataFrame) -> DataFrame:
     return cells.join(lists, ["ci", "cj"], "left").select("lat", "lon", "n", "ci", "cj", F.array_min(scored).alias("b"))
 
 
-def _best_from_rows(cells: DataFrame, blocks: DataFrame, salt_buckets: int) -> DataFrame:
+def _best_from_rows(cells: DataFrame, blocks: DataFrame, salt_buckets: int, hint: str = "merge") -> DataFrame:
     """Each point meets every candidate site as a row, joined on (cell, salt);
     the least (km, site) per point is an aggregate over rows already
     partitioned by that key (no further shuffle).
@@ -201,9 +201,13 @@ def _best_from_rows(cells: DataFrame, blocks: DataFrame, salt_buckets: int) -> D
     The salt (a hash of the coordinate) spreads a cell that holds a large
     share of all points over ``salt_buckets`` tasks; every site copy is
     repeated once per salt value so each point still sees all its candidates.
+    The join carries ``hint`` (a shuffle join by default): the planner's size
+    estimate of the copies does not count the explode, so it must not decide
+    to broadcast them.
     """
     salted_cells = cells.withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), F.lit(salt_buckets)))
     salted_blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
+    salted_blocks = salted_blocks.hint(hint)
     km = haversine_km("lat", "lon", "slat", "slon")
     return (
         salted_cells.join(salted_blocks, ["ci", "cj", "salt"], "left")
@@ -298,9 +302,11 @@ def _box_lower_bound_km(lat: Column, lon: Column) -> Column:
 def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], salt_buckets: int) -> DataFrame:
     """Equi-join where ``left`` rows are distinct points: a hash of the point
     spreads one hot key over ``salt_buckets`` tasks, and every ``right`` row
-    is repeated once per salt value."""
+    is repeated once per salt value. A sort-merge join: the planner's size
+    estimate of the copies does not count the explode."""
     salted = left.withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), F.lit(salt_buckets)))
     copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
+    copies = copies.hint("merge")
     return salted.join(copies, keys + ["salt"]).drop("salt")
 
 
@@ -374,6 +380,9 @@ def assign_nearest(
         return empty.select("lat", "lon", "n", F.lit(None).cast("string").alias("site"), F.lit(None).cast("double").alias("km"))
     cos_min = max(0.0, math.cos(math.radians(min(90.0, stats["abslat"]))))
     small = stats["n"] <= max_broadcast_sites and 9 * stats["bytes"] <= max_broadcast_bytes
+    if not small:
+        # Read by every level and by the descent: deduplicate once.
+        site_rows = materialize(site_rows, "nearest-sites")
     cell = cell_deg or _base_cell(stats)
     pending = pts
     settled = []
@@ -388,8 +397,9 @@ def assign_nearest(
             best = _best_from_lists(cells, lists)
         else:
             blocks = _site_blocks(site_rows, level_cell)
-            blocks = blocks if strategy in ("DEFAULT", "broadcast") else blocks.hint(strategy)
-            best = _best_from_rows(cells, blocks, salt_buckets)
+            # Above the bound a broadcast is never applied: a shuffle join.
+            hint = "merge" if strategy in ("DEFAULT", "broadcast") else strategy
+            best = _best_from_rows(cells, blocks, salt_buckets, hint)
         scored = _settle(best, level_cell, cos_min)
         level, seen = materialize_observed(scored, "nearest-level", {"unsettled": F.count_if(~F.col("exact"))})
         if trace is not None:
