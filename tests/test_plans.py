@@ -83,3 +83,17 @@ def test_forced_broadcast_is_size_checked(spark):
     # Over the byte bound the side comes back without the hint.
     assert with_strategy(side, "broadcast", max_broadcast_rows=100, max_broadcast_bytes=100 * 60) is side
     assert with_strategy(side, "broadcast", max_broadcast_rows=100, max_broadcast_bytes=100 * 100) is not side
+
+
+def test_salted_site_copies_never_broadcast(spark):
+    # The planner's size estimate of exploded copies ignores the explode: the
+    # salted joins of the nearest search must plan a shuffle join even when a
+    # small Parquet file feeds them.
+    from metrolens.operators.nearest import _salted_join
+    from metrolens.session import materialize
+
+    cells = materialize(spark.createDataFrame([(0, 0, 1.0, 2.0)], "pci long, pcj long, slat double, slon double"), "probe-cells")
+    points = spark.createDataFrame([(1.0, 2.0, 0, 0)], "lat double, lon double, pci long, pcj long")
+    joined = _salted_join(points, cells, ["pci", "pcj"], 4)
+    plan = plan_text(joined)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
