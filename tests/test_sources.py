@@ -152,3 +152,19 @@ def test_split_fields_skips_each_files_header(spark):
     b = _write(base, "b.csv", "\nZip;Name;Income\n90002;B;$2\n")
     got = sorted(tuple(r) for r in split_fields(spark, [a, b], ";", 3, keep=[0, 2]).collect())
     assert got == [("90001", "$1"), ("90002", "$2")]
+
+
+def test_geojson_profile_same_over_all_layouts(spark):
+    from metrolens.sources import profile_geojson
+
+    base = _local(spark, "profile-layouts")
+    doc = {"type": "FeatureCollection", "features": FEATURES}
+    pretty = _write(base + "/pretty", "a.geojson", json.dumps(doc, indent=2))
+    lines = _write(base + "/lines", "a.geojson", '{"type": "FeatureCollection", "features": [\n' + ",\n".join(json.dumps(f) for f in FEATURES) + "\n]}\n")
+
+    def prof(path, layout):
+        return sorted(tuple(r) for r in profile_geojson(spark, path, layout=layout).collect())
+
+    want = prof(lines, "lines")
+    assert prof(pretty, "document") == want
+    assert prof(pretty, "split") == want
