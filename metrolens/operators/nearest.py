@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_km
-from metrolens.operators.joins import JOIN_STRATEGIES, rows_at_most
+from metrolens.operators.joins import JOIN_STRATEGIES, fits_broadcast, rows_at_most
 from metrolens.plans.explain import executed_join_nodes
 from metrolens.session import materialize, materialize_observed
 
@@ -47,9 +47,15 @@ UNITS = ("location", "event")
 MAX_BROADCAST_SITES = 100_000
 MAX_BROADCAST_SITE_BYTES = 256 * 1024 * 1024
 
-# Salt values per cell when points and candidate rows meet through a shuffle
-# (site table above the broadcast bound).
-SALT_BUCKETS = 16
+# Above the broadcast bound points and candidate rows meet through a shuffle
+# keyed by cell. A key holding more than this many points is split into
+# ceil(points / HOT_KEY_POINTS) salt values (at most MAX_SALTS); other keys
+# are not salted, so their site copies are not repeated.
+HOT_KEY_POINTS = 1_000_000
+MAX_SALTS = 4096
+# Bounds for broadcasting the table of hot keys (one row per hot key).
+MAX_HOT_KEYS = 1_000_000
+MAX_HOT_KEY_BYTES = 64 * 1024 * 1024
 
 # Relative safety margin between a candidate distance and the bound.
 _MARGIN = 1e-9
@@ -193,24 +199,14 @@ def _best_from_lists(cells: DataFrame, lists: DataFrame) -> DataFrame:
     return cells.join(lists, ["ci", "cj"], "left").select("lat", "lon", "n", "ci", "cj", F.array_min(scored).alias("b"))
 
 
-def _best_from_rows(cells: DataFrame, blocks: DataFrame, salt_buckets: int, hint: str = "merge") -> DataFrame:
+def _best_from_rows(cells: DataFrame, blocks: DataFrame, per_task: int, hint: str = "merge") -> DataFrame:
     """Each point meets every candidate site as a row, joined on (cell, salt);
     the least (km, site) per point is an aggregate over rows already
-    partitioned by that key (no further shuffle).
-
-    The salt (a hash of the coordinate) spreads a cell that holds a large
-    share of all points over ``salt_buckets`` tasks; every site copy is
-    repeated once per salt value so each point still sees all its candidates.
-    The join carries ``hint`` (a shuffle join by default): the planner's size
-    estimate of the copies does not count the explode, so it must not decide
-    to broadcast them.
-    """
-    salted_cells = cells.withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), F.lit(salt_buckets)))
-    salted_blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
-    salted_blocks = salted_blocks.hint(hint)
+    partitioned by that key (no further shuffle). Hot cells are salted (see
+    :func:`_salted_join`)."""
     km = haversine_km("lat", "lon", "slat", "slon")
     return (
-        salted_cells.join(salted_blocks, ["ci", "cj", "salt"], "left")
+        _salted_join(cells, blocks, ["ci", "cj"], per_task, how="left", hint=hint)
         .groupBy("lat", "lon", "n", "ci", "cj", "salt")
         .agg(F.min(F.when(F.col("site").isNotNull(), F.struct(km.alias("km"), F.col("site").alias("site")))).alias("b"))
     )
@@ -299,18 +295,41 @@ def _box_lower_bound_km(lat: Column, lon: Column) -> Column:
     return F.greatest(by_lat, by_lon, centre - radius)
 
 
-def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], salt_buckets: int) -> DataFrame:
-    """Equi-join where ``left`` rows are distinct points: a hash of the point
-    spreads one hot key over ``salt_buckets`` tasks, and every ``right`` row
-    is repeated once per salt value. A sort-merge join: the planner's size
-    estimate of the copies does not count the explode."""
-    salted = left.withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), F.lit(salt_buckets)))
-    copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint"))))
-    copies = copies.hint("merge")
-    return salted.join(copies, keys + ["salt"]).drop("salt")
+def _hot_keys(left: DataFrame, keys: list[str], per_task: int) -> DataFrame:
+    """(keys, salts) for every key of ``left`` holding more than ``per_task``
+    rows, written once; a partial aggregate, so a hot key costs one row per
+    task before the shuffle."""
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    salts = F.least(F.ceil(F.col("rows") / F.lit(float(per_task))), F.lit(MAX_SALTS)).cast("bigint")
+    return materialize(counts.filter(F.col("rows") > per_task).select(*keys, salts.alias("salts")), "nearest-hot-keys")
+
+
+def _salted_join(
+    left: DataFrame, right: DataFrame, keys: list[str], per_task: int, how: str = "inner", hint: str = "merge"
+) -> DataFrame:
+    """Equi-join on ``keys`` plus a ``salt`` column, where ``left`` rows are
+    distinct points. Only hot keys (over ``per_task`` points) are salted: a
+    hash of the point picks one of the key's salt values, and ``right`` rows
+    of that key are repeated once per value; every other key has the single
+    salt 0. The hot-key table is broadcast after a size check, so finding a
+    row's salt moves no data. The join itself is a shuffle join (``hint``,
+    sort-merge by default): the planner's size estimate of exploded copies
+    does not count the explode."""
+    hot = _hot_keys(left, keys, per_task)
+    if fits_broadcast(hot, MAX_HOT_KEYS, MAX_HOT_KEY_BYTES):
+        hot = F.broadcast(hot)
+    salts = F.coalesce(F.col("salts"), F.lit(1).cast("bigint"))
+    salted = left.join(hot, keys, "left").withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), salts)).drop("salts")
+    copies = (
+        right.join(hot, keys, "left")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+        .drop("salts")
+        .hint(hint)
+    )
+    return salted.join(copies, keys + ["salt"], how)
 
 
-def _descend(pending: DataFrame, sites: DataFrame, base_k: int, salt_buckets: int) -> DataFrame:
+def _descend(pending: DataFrame, sites: DataFrame, base_k: int, per_task: int) -> DataFrame:
     """Exact nearest site for points no grid level settled, without meeting
     every site: a descent through the cell pyramid from the (at most four)
     top cells. At each size a point keeps only the cells whose box could hold
@@ -328,7 +347,7 @@ def _descend(pending: DataFrame, sites: DataFrame, base_k: int, salt_buckets: in
             # At most four cells of over 180 degrees cover the globe.
             pairs = parents.join(F.broadcast(cells), ["pci", "pcj"])
         else:
-            pairs = _salted_join(parents, cells, ["pci", "pcj"], salt_buckets)
+            pairs = _salted_join(parents, cells, ["pci", "pcj"], per_task).drop("salt")
         lower = _box_lower_bound_km(F.col("lat"), F.col("lon"))
         upper = haversine_km("lat", "lon", F.col("rep.slat"), F.col("rep.slon"))
         scored = pairs.select("lat", "lon", "n", "ci", "cj", lower.alias("lb"), upper.alias("ub"))
@@ -340,7 +359,7 @@ def _descend(pending: DataFrame, sites: DataFrame, base_k: int, salt_buckets: in
         F.floor(F.col("slat") / g).alias("ci"), F.floor(F.col("slon") / g).alias("cj"), "site", "slat", "slon"
     )
     km = haversine_km("lat", "lon", "slat", "slon")
-    met = _salted_join(frontier, base_sites, ["ci", "cj"], salt_buckets)
+    met = _salted_join(frontier, base_sites, ["ci", "cj"], per_task)
     best = met.groupBy("lat", "lon", "n").agg(F.min(F.struct(km.alias("km"), F.col("site").alias("site"))).alias("b"))
     return best.select("lat", "lon", "n", F.col("b.site").alias("site"), F.col("b.km").alias("km"))
 
@@ -358,7 +377,7 @@ def assign_nearest(
     strategy: str = "DEFAULT",
     max_broadcast_sites: int = MAX_BROADCAST_SITES,
     max_broadcast_bytes: int = MAX_BROADCAST_SITE_BYTES,
-    salt_buckets: int = SALT_BUCKETS,
+    hot_key_points: int = HOT_KEY_POINTS,
     trace: list | None = None,
 ) -> DataFrame:
     """Distinct point -> (lat, lon, n, site, km) with the exact nearest site.
@@ -381,8 +400,10 @@ def assign_nearest(
     cos_min = max(0.0, math.cos(math.radians(min(90.0, stats["abslat"]))))
     small = stats["n"] <= max_broadcast_sites and 9 * stats["bytes"] <= max_broadcast_bytes
     if not small:
-        # Read by every level and by the descent: deduplicate once.
+        # Read by every level and by the descent, and points also by the
+        # hot-key count of each join: deduplicate both once.
         site_rows = materialize(site_rows, "nearest-sites")
+        pts = materialize(pts, "nearest-points")
     cell = cell_deg or _base_cell(stats)
     pending = pts
     settled = []
@@ -399,7 +420,7 @@ def assign_nearest(
             blocks = _site_blocks(site_rows, level_cell)
             # Above the bound a broadcast is never applied: a shuffle join.
             hint = "merge" if strategy in ("DEFAULT", "broadcast") else strategy
-            best = _best_from_rows(cells, blocks, salt_buckets, hint)
+            best = _best_from_rows(cells, blocks, hot_key_points, hint)
         scored = _settle(best, level_cell, cos_min)
         level, seen = materialize_observed(scored, "nearest-level", {"unsettled": F.count_if(~F.col("exact"))})
         if trace is not None:
@@ -413,7 +434,7 @@ def assign_nearest(
         if not small:
             # Above the broadcast bound a coarser block could hold very many
             # sites: the rest descend the cell pyramid instead (exact).
-            settled.append(_descend(pending, site_rows, _base_index(stats), salt_buckets))
+            settled.append(_descend(pending, site_rows, _base_index(stats), hot_key_points))
             if trace is not None:
                 trace.append({"cell_deg": "descent", "join": [], "unsettled": 0})
             break

@@ -243,3 +243,27 @@ def test_nearest_descent_with_sites_at_antimeridian_and_poles(spark):
     for key, (km, site) in want.items():
         assert got[key][1] == site, key
         assert got[key][0] == pytest.approx(km, abs=1e-6)
+
+
+@pytest.mark.parametrize("per_task", [1, 7])
+def test_nearest_hot_cells_are_salted_exactly(spark, per_task):
+    # A tiny per-task budget makes most cells hot: points are salted and site
+    # copies repeated per salt value, on the level join and in the descent.
+    from metrolens.operators.nearest import _hot_keys
+
+    rng = random.Random(41)
+    sites = [(f"S{i:03d}", round(34.0 + rng.uniform(0, 0.3), 4), round(-118.4 + rng.uniform(0, 0.3), 4)) for i in range(80)]
+    points = [(round(34.0 + rng.uniform(-0.1, 0.4), 4), round(-118.4 + rng.uniform(-0.1, 0.4), 4)) for _ in range(200)]
+    points += [(round(rng.uniform(-80, 80), 3), round(rng.uniform(-180, 179.99), 3)) for _ in range(40)]
+    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+    pdf = spark.createDataFrame(points, "lat double, lon double")
+    hot = _hot_keys(pdf.withColumn("ci", F.floor(F.col("lat"))).withColumn("cj", F.floor(F.col("lon"))), ["ci", "cj"], per_task)
+    assert hot.filter(F.col("salts") > 1).count() > 0
+    trace = []
+    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=0, hot_key_points=per_task, trace=trace)
+    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
+    want = _brute(points, sites)
+    assert set(got) == set(want)
+    for key, (km, site) in want.items():
+        assert got[key][1] == site, key
+        assert got[key][0] == pytest.approx(km, abs=1e-6)
