@@ -267,3 +267,33 @@ def test_nearest_hot_cells_are_salted_exactly(spark, per_task):
     for key, (km, site) in want.items():
         assert got[key][1] == site, key
         assert got[key][0] == pytest.approx(km, abs=1e-6)
+
+
+def test_box_lower_bound_never_exceeds_a_distance_into_the_box(spark):
+    # The descent is exact only if the box bound is a true lower bound: check
+    # it against points sampled inside random boxes (small, wide, polar,
+    # straddling the equator) from points anywhere on the globe.
+    from metrolens.operators.nearest import _box_lower_bound_km
+
+    rng = random.Random(3)
+    rows, samples = [], {}
+    for i in range(400):
+        span_lat = rng.choice([0.01, 0.5, 5.0, 40.0, 120.0])
+        span_lon = rng.choice([0.01, 0.5, 5.0, 90.0, 300.0])
+        lat_lo = rng.uniform(-90, 90 - min(span_lat, 180))
+        lat_hi = min(90.0, lat_lo + span_lat)
+        lon_lo = rng.uniform(-180, 180 - min(span_lon, 360))
+        lon_hi = min(180.0, lon_lo + span_lon)
+        lat, lon = rng.uniform(-90, 90), rng.uniform(-180, 180)
+        rows.append((i, lat, lon, lat_lo, lat_hi, lon_lo, lon_hi))
+        inside = [(rng.uniform(lat_lo, lat_hi), rng.uniform(lon_lo, lon_hi)) for _ in range(60)]
+        inside += [(a, b) for a in (lat_lo, lat_hi) for b in (lon_lo, lon_hi)]
+        samples[i] = min(_brute([(lat, lon)], [("x", a, b)])[(lat, lon)][0] for a, b in inside)
+    df = spark.createDataFrame(rows, "i int, lat double, lon double, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
+    got = {r.i: r.lb for r in df.select("i", _box_lower_bound_km(F.col("lat"), F.col("lon")).alias("lb")).collect()}
+    for i, nearest_sample in samples.items():
+        assert got[i] <= nearest_sample + 1e-6, (rows[i], got[i], nearest_sample)
+    # ... and not a vacuous one: mostly positive, and within 5% for small far boxes.
+    assert sum(v > 0 for v in got.values()) > 200
+    tight = [got[i] / samples[i] for i, r in enumerate(rows) if r[4] - r[3] <= 0.5 and r[6] - r[5] <= 0.5 and samples[i] > 500]
+    assert tight and min(tight) > 0.95
