@@ -98,3 +98,9 @@ def test_salted_site_copies_never_broadcast(spark):
     plan = plan_text(joined)
     # The only broadcast is the size-checked lookup of hot keys (a left join).
     assert "SortMergeJoin Inner" in plan and "BroadcastHashJoin Inner" not in plan
+
+
+def test_empty_side_fits_broadcast(spark):
+    from metrolens.operators.joins import fits_broadcast
+
+    assert fits_broadcast(spark.range(10).filter("id < 0"), max_rows=0, max_bytes=0)
