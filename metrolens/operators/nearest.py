@@ -382,12 +382,17 @@ def assign_nearest(
 ) -> DataFrame:
     """Distinct point -> (lat, lon, n, site, km) with the exact nearest site.
 
-    ``trace``, when given, receives one dict per grid level: cell size, the
-    join operator of the level's plan and the number of unsettled points.
+    ``max_broadcast_sites`` and ``max_broadcast_bytes`` bound the site table
+    whose candidate lists are broadcast; above them points and sites meet in
+    shuffle joins, where a cell key with more than ``hot_key_points`` points
+    is salted, and points the first level leaves unsettled take the pyramid
+    descent. ``trace``, when given, receives one dict per grid level (and one
+    for the descent): cell size, the join operator of the level's plan and
+    the number of unsettled points.
 
     Ties in distance go to the smallest site key. Points or sites with a NULL
     or NaN coordinate take no part. Runs one small job on the sites and one
-    checkpointed job per grid level.
+    checkpointed job per grid level (per ladder size in the descent).
     """
     if strategy not in JOIN_STRATEGIES:
         raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
