@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.session import materialize, materialize_observed
+from metrolens.session import materialize, materialize_observed, staging_path
 
 __all__ = [
     "connected_components",
@@ -20,7 +22,9 @@ __all__ = [
     "materialize_observed",
     "order_totals",
     "sorted_runs",
+    "stage",
     "table",
+    "worker_cache",
     "with_fields",
 ]
 
@@ -30,6 +34,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """Write ``df`` under the shared folder with the given codec and read it back."""
+    path = staging_path(df.sparkSession, name)
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def worker_cache(name: str, make: Callable[[], object]) -> object:
+    """One object per Python worker process, kept between its tasks."""
+    held = sys.modules.setdefault("_pipeline_worker_cache", types.ModuleType("_pipeline_worker_cache"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names built from ``names`` that ``df`` does not use, in any letter case.
 
@@ -51,7 +70,7 @@ def with_fields(schema: T.StructType, fields: Sequence[tuple[str, T.DataType]])
     return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in fields])
 
 
-def order_totals(df: DataFrame, order: Sequence[str], value: str, rank: str, before: str) -> DataFrame:
+def order_totals(df: DataFrame, order: Sequence[Column], value: str, rank: str, before: str) -> DataFrame:
     """Add the 0-based rank of each row in ``order`` and the sum of ``value``
     over the rows before it.
 

@@ -1,11 +1,19 @@
 """The ``opN_<name>`` queries of this subpackage and the SQL of those that SQL can express."""
 
-from metrolens.llm import exact_dedup
+from metrolens.llm import exact_dedup, licenses, mixing, packing, sharding, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
+    "op2_licenses": licenses.op2_licenses,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op5_sharding": sharding.op5_sharding,
+    "op6_packing": packing.op6_packing,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE_SQL = {
+    "op2_licenses": licenses.oracle_sql(),
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op5_sharding": sharding.oracle_sql(),
+    "op10_mixing": mixing.oracle_sql(),
 }
