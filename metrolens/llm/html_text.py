@@ -67,6 +67,7 @@ OTHER_PARTS = frozenset(
     " navigation breadcrumb breadcrumbs toolbar footer share sharing social related recommended pagination pager login"
     " masthead skip".split()
 )
+STATES = frozenset("with without has no is".split())  # names that begin so tell of a page's state, as in has-sidebar
 OTHER_ROLES = frozenset(
     "navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split()
 )
@@ -113,8 +114,9 @@ def other_part(tag: str, given: dict[str, str], inside: bool) -> bool:
         return True
     if given.get("role", "").lower() in OTHER_ROLES:
         return True
-    names = f"{given.get('class', '')} {given.get('id', '')}".lower()
-    return not OTHER_PARTS.isdisjoint(re.split(r"[\s_-]+", names))
+    names = f"{given.get('class', '')} {given.get('id', '')}".lower().split()
+    words = (re.split("[_-]+", name) for name in names)
+    return any(w[0] not in STATES and not OTHER_PARTS.isdisjoint(w) for w in words)
 
 
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
@@ -224,35 +226,36 @@ def main_text(page: str | None, template: Iterable[int] = ()) -> str:
         for i in chain:
             size[i] = size.get(i, 0) + len(text)
 
-    def root_of() -> int:
-        for tag in ("article", "main"):
-            found = [i for i, e in enumerate(elements) if e.tag == tag and size.get(i) and not hides(i)]
-            if found:
-                return max(found, key=lambda i: (size[i], -i))
-        return 0
-
-    def hides(i: int) -> bool:
-        """An article inside another part, such as a comment, is not the page's."""
+    def hidden(i: int) -> bool:
+        """Whether it stands in another part, such as an article in the comments."""
         i = elements[i].parent
-        while i >= 0:
-            if elements[i].other and elements[i].inside:
-                return True
+        while i >= 0 and not elements[i].other:
             i = elements[i].parent
-        return False
-
-    root = root_of()
-    out = []
-    for (at, text), chain in zip(blocks, chains):
-        if root and root not in chain:
-            continue
-        below = chain[: chain.index(root)] if root else chain
-        if any(elements[i].other or i in deleted for i in below):
-            continue
-        own = elements[at]
-        if not root and own.tag == "li" and own.text and own.linked >= own.text:
-            continue  # a menu that no element names
-        out.append(text)
-    return "\n\n".join(out)
+        return i >= 0
+
+    def longest(tag: str, shown: bool) -> int:
+        found = [i for i, e in enumerate(elements) if e.tag == tag and size.get(i) and (not shown or not hidden(i))]
+        return max(found, key=lambda i: (size[i], -i), default=0)
+
+    def words(root: int) -> list[str]:
+        out = []
+        for (at, text), chain in zip(blocks, chains):
+            if root and root not in chain:
+                continue
+            below = chain[: chain.index(root)] if root else chain
+            if any(elements[i].other or i in deleted for i in below):
+                continue
+            own = elements[at]
+            if not root and own.tag == "li" and own.text and own.linked >= own.text:
+                continue  # a menu that no element names
+            out.append(text)
+        return out
+
+    # A page whose every article stands in a part named like a sidebar is still no empty page.
+    found = words(longest("article", True) or longest("main", True)) or words(
+        longest("article", False) or longest("main", False)
+    )
+    return "\n\n".join(found)
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
