@@ -8,17 +8,17 @@ from metrolens.operators.aggregates import (
     group_sum,
     share_by,
 )
-from metrolens.operators.joins import JOIN_STRATEGIES, hinted_join, ratio_join, with_strategy
+from metrolens.operators.joins import JOIN_STRATEGIES, BroadcastRefused, hinted_join, ratio_join, with_strategy
 from metrolens.operators.nearest import assign_nearest, distinct_points, nearest_join, nearest_summary
-from metrolens.operators.ranking import register_view, topk_counts_sql, topk_per_group
+from metrolens.operators.ranking import group_count_sql, register_view, topk_per_group, topk_sql
 from metrolens.operators.setops import diff_tables, except_distinct, same_rows, union_all
 from metrolens.operators.sorting import limit_n, with_position
 
 __all__ = [
     "conditional_count", "global_count", "group_avg", "group_count", "group_sum", "share_by",
-    "JOIN_STRATEGIES", "hinted_join", "ratio_join", "with_strategy",
+    "JOIN_STRATEGIES", "BroadcastRefused", "hinted_join", "ratio_join", "with_strategy",
     "assign_nearest", "distinct_points", "nearest_join", "nearest_summary",
-    "register_view", "topk_counts_sql", "topk_per_group",
+    "group_count_sql", "register_view", "topk_per_group", "topk_sql",
     "diff_tables", "except_distinct", "same_rows", "union_all",
     "limit_n", "with_position",
 ]

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+class BroadcastRefused(UserWarning):
+    """A requested broadcast was too large and the planner chose the join instead."""
+
+
 # Strategies a caller may ask for. "DEFAULT" leaves the choice to Catalyst/AQE
 # (which broadcasts only below spark.sql.autoBroadcastJoinThreshold).
 JOIN_STRATEGIES = ("DEFAULT", "broadcast", "merge", "shuffle_hash")
@@ -15,25 +20,38 @@ JOIN_STRATEGIES = ("DEFAULT", "broadcast", "merge", "shuffle_hash")
 # an equi-join, which does not survive large inputs.
 REJECTED_STRATEGIES = {"shuffle_replicate_nl": "plans a CartesianProduct of both sides"}
 
-# Upper bounds for a forced broadcast; above either the hint is dropped.
+# Upper bounds for a forced broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
-# Rows rendered as JSON text: a measure of the data, not of Spark's binary rows.
 MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 
 
-def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads at most limit + 1 rows."""
-    return df.limit(limit + 1).count() <= limit
+def check_strategy(strategy: str) -> None:
+    """Raise unless ``strategy`` is one that is offered."""
+    if strategy in REJECTED_STRATEGIES:
+        raise ValueError(f"strategy {strategy!r} is not supported: {REJECTED_STRATEGIES[strategy]}")
+    if strategy not in JOIN_STRATEGIES:
+        raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: strings and binaries by length, nested values as JSON, others 16."""
+    total = F.lit(0)
+    for name, kind in df.dtypes:
+        value = df[f"`{name}`"]
+        if kind in ("string", "binary"):
+            size = F.octet_length(value)
+        elif kind.startswith(("array", "map", "struct")):
+            size = F.octet_length(F.to_json(F.struct(value)))
+        else:
+            size = F.lit(16)
+        total = total + F.coalesce(size, F.lit(0))
+    return total.cast("bigint")
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows whose JSON text totals at
-    most ``max_bytes``. One job over at most max_rows + 1 rows."""
-    head = df.limit(max_rows + 1)
-    row = head.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.octet_length(F.to_json(F.struct(*[head[c] for c in head.columns])))).alias("bytes"),
-    ).first()
+    """True when ``df`` has at most ``max_rows`` rows of at most ``max_bytes``
+    in all: one aggregate over all its partitions."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
     return row["rows"] <= max_rows and (row["bytes"] or 0) <= max_bytes
 
 
@@ -46,16 +64,19 @@ def with_strategy(
     """``right`` carrying the join hint for ``strategy``.
 
     A broadcast is applied only after checking that ``right`` has at most
-    ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` of data; beyond
-    that the planner's default is used.
+    ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` of data. Beyond
+    that the hint is refused with a :class:`BroadcastRefused` warning and the
+    planner's default is used.
     """
-    if strategy in REJECTED_STRATEGIES:
-        raise ValueError(f"strategy {strategy!r} is not supported: {REJECTED_STRATEGIES[strategy]}")
-    if strategy not in JOIN_STRATEGIES:
-        raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
+    check_strategy(strategy)
     if strategy == "DEFAULT":
         return right
     if strategy == "broadcast" and not fits_broadcast(right, max_broadcast_rows, max_broadcast_bytes):
+        warnings.warn(
+            f"no broadcast: the side has more than {max_broadcast_rows} rows or {max_broadcast_bytes} bytes",
+            BroadcastRefused,
+            stacklevel=2,
+        )
         return right
     return right.hint(strategy)
 

@@ -1,367 +1,143 @@
 """Nearest site per point by great-circle distance, without a cross join.
 
-The reference pairs every point with every site and keeps the closest with
-a window. Here points and sites meet through an equi-join on grid cells:
-
-1. Points are reduced to distinct coordinates with their multiplicity
-   (partial aggregation, so one hot coordinate costs one row per task).
-2. Each site is copied to the 3x3 block of cells around its own cell; a
-   point joins the sites of its block on (cell_lat, cell_lon). When the site
-   table is small (row count and bytes checked) the copies are grouped into one
-   candidate list per cell and broadcast, so each point meets one list and
-   ``array_min`` picks the best without any aggregation or sort; otherwise
-   points join candidate rows on (cell, salt), so a crowded cell is spread
-   over many tasks, and a per-point aggregate picks it.
-3. For every point the best candidate (least km, then least site key) is
-   kept, and a *lower bound* on the distance to any site outside the block is
-   computed from the block edges. A point whose best candidate is strictly
-   closer than that bound is exact.
-4. With a small site table the remaining points move to a grid 4x coarser,
-   and so on. Once a block spans the globe every site is a candidate, so the
-   loop always ends exactly; in practice almost every point is settled at
-   the first level. Above the broadcast bound the remaining points instead
-   descend a pyramid of occupied cells, pruned by box distance bounds
-   (:func:`_descend`), so a far point never meets every site of a block.
-
-Every level is written as a Parquet table under the shared checkpoint
-folder, which cuts lineage and makes a level survive executor loss. The site table is broadcast only
-after its row count and size are checked; above the bound the join shuffles.
+The reference pairs every point with every site and keeps the closest with a
+window. Here the sites are indexed once and the points walk down the index:
+
+1. Points and sites are reduced to distinct coordinates (partial aggregation,
+   so a hot coordinate costs one row per task). Of sites on one coordinate only
+   the least key can be nearest.
+2. Coordinates become unit vectors. The straight-line distance of two of them
+   grows with the great-circle distance, and boxes in space bound it without
+   any case for poles, the antimeridian or longitudes beyond 180 degrees.
+3. The sites are sorted along a space-filling curve and every ``FAN`` neighbours
+   make a node, every ``FAN`` nodes a node above, up to one root. A node holds
+   its children as an array with their boxes. However crowded the sites are, no
+   node holds more than ``FAN`` of them.
+4. Each point first follows the nearest child from the root to a leaf, which
+   gives it the distance to a real site. With that bound it walks down again,
+   into every child whose box is no farther, and meets the sites of the leaves
+   it reaches. The least (km, key) of them is the exact answer.
+
+Every step of a walk is an equi-join of points with one level of the index on
+the node's number. A node is one row, so a node that many points pass is split
+by adaptive execution on the points' side alone. There is one algorithm for
+every size; the planner picks the join of each level. A point that met no site
+fails the query instead of being left out.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metrolens.functions.geo import EARTH_RADIUS_KM, haversine_km
-from metrolens.operators.joins import JOIN_STRATEGIES, fits_broadcast, rows_at_most
-from metrolens.plans.explain import executed_join_nodes
-from metrolens.session import materialize, materialize_observed
+from metrolens.functions.geo import haversine_km
+from metrolens.operators.joins import check_strategy, with_strategy
+from metrolens.operators.sorting import with_position
+from metrolens.session import materialize
 
 UNITS = ("location", "event")
 
-# Broadcast bounds: 9 copies of each site are broadcast per level, each
-# copy its key plus two doubles.
-MAX_BROADCAST_SITES = 100_000
-MAX_BROADCAST_SITE_BYTES = 256 * 1024 * 1024
-
-# Above the broadcast bound points and candidate rows meet through a shuffle
-# keyed by cell. A key holding more than this many points is split into
-# ceil(points / HOT_KEY_POINTS) salt values (at most MAX_SALTS); other keys
-# are not salted, so their site copies are not repeated.
-HOT_KEY_POINTS = 1_000_000
-MAX_SALTS = 4096
-# Bounds for broadcasting the table of hot keys (one row per hot key).
-MAX_HOT_KEYS = 1_000_000
-MAX_HOT_KEY_BYTES = 64 * 1024 * 1024
+FAN = 16  # children of a node, and sites of a leaf
 
-# Relative safety margin between a candidate distance and the bound.
-_MARGIN = 1e-9
+# Steps that spread 21 bits to every third bit (shift, mask).
+SPREAD = (
+    (32, 0x1F00000000FFFF),
+    (16, 0x1F0000FF0000FF),
+    (8, 0x100F00F00F00F00F),
+    (4, 0x10C30C30C30C30C3),
+    (2, 0x1249249249249249),
+)
 
-_NEIGHBOURS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
+# Squared straight-line distances below count as equal: rounding of unit vectors.
+MARGIN = 1e-13
 
 
-def _usable(lat: str, lon: str) -> Column:
-    return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
+def usable(lat: str, lon: str) -> Column:
+    """Coordinates on the globe: neither NULL, NaN nor infinite, and no latitude beyond a pole."""
+    infinite = F.abs(F.col(lon)) == float("inf")
+    return F.col(lat).between(-90.0, 90.0) & ~F.isnan(lat) & F.col(lon).isNotNull() & ~F.isnan(lon) & ~infinite
 
 
 def distinct_points(points: DataFrame, lat: str, lon: str, weight: str = "n") -> DataFrame:
-    """Distinct coordinates (neither NULL nor NaN) with their number of rows."""
+    """Distinct usable coordinates with their number of rows."""
     return (
         points.select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
-        .filter(_usable("lat", "lon"))
+        .filter(usable("lat", "lon"))
         .groupBy("lat", "lon")
         .agg(F.count(F.lit(1)).alias(weight))
     )
 
 
 def distinct_sites(sites: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
-    """One site per coordinate (neither NULL nor NaN): the least key, as
-    distance ties go to the least key, so the others can never be nearest.
-    Sites crowded onto one spot become one candidate (partial aggregation
-    folds a hot coordinate per task). Keys order as in ``array_min`` over
-    (km, site) structs, NULL first."""
-    return (
-        sites.select(F.col(key).alias("site"), F.col(lat).cast("double").alias("slat"), F.col(lon).cast("double").alias("slon"))
-        .filter(_usable("slat", "slon"))
-        .groupBy("slat", "slon")
-        .agg(F.min(F.struct("site"))["site"].alias("site"))
-    )
-
-
-# Candidate cell edges in degrees: 0.001 * 2^k, from about 100 m to beyond the globe.
-_CELL_LADDER = tuple(0.001 * 2**k for k in range(19))
-
-# Most sites a base cell may hold. A 3x3 block then offers at most 9x this
-# many candidates, even where a third of all sites crowd into one spot.
-MAX_SITES_PER_CELL = 16
-
-
-def _site_stats(sites: DataFrame) -> dict:
-    """Site count, largest |latitude|, and the fullest cell at every ladder size (one small job)."""
-    sizes = F.array(*[F.lit(g) for g in _CELL_LADDER])
-    per_cell = (
-        sites.select(F.posexplode(sizes).alias("k", "g"), "site", "slat", "slon")
-        .groupBy("k", F.floor(F.col("slat") / F.col("g")).alias("ci"), F.floor(F.col("slon") / F.col("g")).alias("cj"))
-        .agg(
-            F.count(F.lit(1)).alias("sites"),
-            F.max(F.abs("slat")).alias("abslat"),
-            F.sum(F.octet_length(F.col("site").cast("string")) + F.lit(16)).alias("bytes"),
-        )
-    )
-    # One row per ladder size: at most len(_CELL_LADDER) rows reach the driver.
-    rows = per_cell.groupBy("k").agg(
-        F.max("sites").alias("peak"),
-        F.sum("sites").alias("n"),
-        F.max("abslat").alias("abslat"),
-        F.sum("bytes").alias("bytes"),
-    ).collect()
-    if not rows:
-        return {"n": 0}
-    peaks = {r.k: r.peak for r in rows}
-    return {"n": rows[0].n, "bytes": rows[0].bytes or 0, "abslat": max(r.abslat for r in rows), "peaks": peaks}
-
-
-def _base_cell(stats: dict, max_per_cell: int = MAX_SITES_PER_CELL) -> float:
-    """The coarsest ladder size whose fullest cell holds at most ``max_per_cell`` sites."""
-    fitting = [_CELL_LADDER[k] for k, peak in stats["peaks"].items() if peak <= max_per_cell]
-    return max(fitting) if fitting else _CELL_LADDER[0]
-
-
-def _lower_bound_km(lat: Column, lon: Column, ci: Column, cj: Column, cell: float, cos_min: float) -> Column:
-    """Least possible distance from (lat, lon) to any site outside its 3x3 block."""
-    inf = F.lit(float("inf"))
-    g = F.lit(cell)
-    lat_lo, lat_hi = (ci - 1) * g, (ci + 2) * g
-    lon_lo, lon_hi = (cj - 1) * g, (cj + 2) * g
-    d_lat = F.least(
-        F.when(lat_lo > -90.0, lat - lat_lo).otherwise(inf),
-        F.when(lat_hi < 90.0, lat_hi - lat).otherwise(inf),
-    )
-    if 3 * cell >= 360.0:
-        d_lon = inf
-    else:
-        # Wrap-aware: the outside region starts at the block edge, or at the
-        # antimeridian when the block reaches it.
-        d_lon = F.least(lon - F.greatest(lon_lo, F.lit(-180.0)), F.least(lon_hi, F.lit(180.0)) - lon)
-    by_lat = F.lit(EARTH_RADIUS_KM) * F.radians(d_lat)
-    half = F.radians(F.least(d_lon, F.lit(180.0))) / 2.0
-    by_lon = F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(
-        F.least(F.lit(1.0), F.sqrt(F.cos(F.radians(lat)) * F.lit(cos_min)) * F.sin(half))
-    )
-    by_lon = F.when(F.isnan(by_lon) | (d_lon == inf), inf).otherwise(by_lon)
-    return F.least(F.when(F.isnull(d_lat), inf).otherwise(by_lat), by_lon)
-
-
-def _site_blocks(sites: DataFrame, cell: float | None) -> DataFrame:
-    """Each site copied to the 9 cells whose block contains it; with
-    ``cell=None`` (the last level) every site sits in the single cell (0, 0)."""
-    if cell is None:
-        return sites.select(F.lit(0).cast("bigint").alias("ci"), F.lit(0).cast("bigint").alias("cj"), "site", "slat", "slon")
-    offsets = F.array(*[F.struct(F.lit(di).alias("di"), F.lit(dj).alias("dj")) for di, dj in _NEIGHBOURS])
-    return (
-        sites.withColumn("o", F.explode(offsets))
-        .select(
-            (F.floor(F.col("slat") / cell) + F.col("o.di")).alias("ci"),
-            (F.floor(F.col("slon") / cell) + F.col("o.dj")).alias("cj"),
-            "site",
-            "slat",
-            "slon",
-        )
-    )
-
-
-def _site_lists(sites: DataFrame, cell: float | None) -> DataFrame:
-    """One row per cell: the sites of the 3x3 block around it, as an array.
-
-    Only for a site table whose row count was checked: a list holds at most
-    every site."""
-    return _site_blocks(sites, cell).groupBy("ci", "cj").agg(
-        F.collect_list(F.struct("site", "slat", "slon")).alias("cands")
-    )
-
-
-def _cells(pending: DataFrame, cell: float | None) -> DataFrame:
-    if cell is None:
-        return pending.withColumn("ci", F.lit(0).cast("bigint")).withColumn("cj", F.lit(0).cast("bigint"))
-    return pending.withColumn("ci", F.floor(F.col("lat") / cell)).withColumn("cj", F.floor(F.col("lon") / cell))
-
-
-def _best_from_lists(cells: DataFrame, lists: DataFrame) -> DataFrame:
-    """Each point meets its cell's candidate list (one row per point, no
-    aggregation): the best candidate is the least (km, site) struct."""
-    scored = F.transform(
-        "cands",
-        lambda s: F.struct(haversine_km("lat", "lon", s["slat"], s["slon"]).alias("km"), s["site"].alias("site")),
+    """One site per usable coordinate: the least key (NULL first), as distance ties go to it."""
+    named = sites.select(
+        F.col(key).alias("site"), F.col(lat).cast("double").alias("slat"), F.col(lon).cast("double").alias("slon")
     )
-    return cells.join(lists, ["ci", "cj"], "left").select("lat", "lon", "n", "ci", "cj", F.array_min(scored).alias("b"))
-
-
-def _best_from_rows(cells: DataFrame, blocks: DataFrame, per_task: int, hint: str = "merge") -> DataFrame:
-    """Each point meets every candidate site as a row, joined on (cell, salt);
-    the least (km, site) per point is an aggregate over rows already
-    partitioned by that key (no further shuffle). Hot cells are salted (see
-    :func:`_salted_join`)."""
-    km = haversine_km("lat", "lon", "slat", "slon")
     return (
-        _salted_join(cells, blocks, ["ci", "cj"], per_task, how="left", hint=hint)
-        .groupBy("lat", "lon", "n", "ci", "cj", "salt")
-        .agg(F.min(F.when(F.col("site").isNotNull(), F.struct(km.alias("km"), F.col("site").alias("site")))).alias("b"))
+        named.filter(usable("slat", "slon")).groupBy("slat", "slon").agg(F.min(F.struct("site"))["site"].alias("site"))
     )
 
 
-def _settle(best: DataFrame, cell: float | None, cos_min: float) -> DataFrame:
-    if cell is None:
-        # Every site was a candidate: the best one is exact.
-        exact = F.col("b").isNotNull()
-    else:
-        bound = _lower_bound_km(F.col("lat"), F.col("lon"), F.col("ci"), F.col("cj"), cell, cos_min)
-        exact = F.coalesce(F.col("b.km") < bound * (1.0 - _MARGIN), F.lit(False))
-    return best.select(
-        "lat",
-        "lon",
-        "n",
-        F.col("b.site").alias("site"),
-        F.col("b.km").alias("km"),
-        exact.alias("exact"),
-    )
-
+def unit_vector(lat: str, lon: str) -> list[Column]:
+    """``x``, ``y``, ``z`` of a coordinate on the unit sphere."""
+    phi, lam = F.radians(lat), F.radians(lon)
+    return [(F.cos(phi) * F.cos(lam)).alias("x"), (F.cos(phi) * F.sin(lam)).alias("y"), F.sin(phi).alias("z")]
 
-def _base_index(stats: dict, max_per_cell: int = MAX_SITES_PER_CELL) -> int:
-    return _CELL_LADDER.index(_base_cell(stats, max_per_cell))
 
+def curve(*axes: str) -> Column:
+    """Place on a Z-order curve: neighbours in space are mostly neighbours on it."""
+    out = F.lit(0).cast("long")
+    for i, axis in enumerate(axes):
+        bits = F.floor((F.col(axis) + 1.0) * float((1 << 20) - 1)).cast("long")
+        for shift, mask in SPREAD:
+            bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
+        out = out.bitwiseOR(F.shiftleft(bits, i))
+    return out
 
-def _cell_pyramid(sites: DataFrame, base_k: int) -> DataFrame:
-    """One row per occupied cell at every ladder size from ``base_k`` up:
-    (k, ci, cj, pci, pcj, lat_lo, lat_hi, lon_lo, lon_hi, rep), where (pci,
-    pcj) is the cell one size up that holds its sites (the top size, over
-    180 degrees, has parent (0, 0) and at most four cells), the box bounds
-    the cell's sites and ``rep`` is one of them."""
-    top = len(_CELL_LADDER) - 1
-    sizes = F.array(
-        *[
-            F.struct(F.lit(k).alias("k"), F.lit(_CELL_LADDER[k]).alias("g"), F.lit(_CELL_LADDER[min(k + 1, top)]).alias("pg"))
-            for k in range(base_k, top + 1)
-        ]
-    )
-    at = sites.select(F.explode(sizes).alias("z"), "slat", "slon")
-    is_top = F.col("z.k") == top
-    return at.groupBy(
-        F.col("z.k").alias("k"),
-        F.floor(F.col("slat") / F.col("z.g")).alias("ci"),
-        F.floor(F.col("slon") / F.col("z.g")).alias("cj"),
-        F.when(is_top, F.lit(0)).otherwise(F.floor(F.col("slat") / F.col("z.pg"))).cast("bigint").alias("pci"),
-        F.when(is_top, F.lit(0)).otherwise(F.floor(F.col("slon") / F.col("z.pg"))).cast("bigint").alias("pcj"),
-    ).agg(
-        F.min("slat").alias("lat_lo"),
-        F.max("slat").alias("lat_hi"),
-        F.min("slon").alias("lon_lo"),
-        F.max("slon").alias("lon_hi"),
-        F.min(F.struct("slat", "slon")).alias("rep"),
-    )
 
+def site_index(sites: DataFrame) -> list[DataFrame]:
+    """The levels of the index, leaves first, each ``(node, children)``.
 
-def _box_lower_bound_km(lat: Column, lon: Column) -> Column:
-    """Least possible distance from (lat, lon) to any point of the box
-    [lat_lo, lat_hi] x [lon_lo, lon_hi]: the largest of the latitude gap, the
-    longitude gap (wrap-aware, scaled by the cosines of both latitudes) and
-    the distance to the box centre less the box radius."""
-    d_lat = F.greatest(F.col("lat_lo") - lat, lat - F.col("lat_hi"), F.lit(0.0))
-
-    def around(x: Column) -> Column:
-        a = F.abs(x) % 360.0
-        return F.least(a, 360.0 - a)
-
-    inside = (lon >= F.col("lon_lo")) & (lon <= F.col("lon_hi"))
-    d_lon = F.when(inside, F.lit(0.0)).otherwise(F.least(around(lon - F.col("lon_lo")), around(lon - F.col("lon_hi"))))
-    cos_box = F.cos(F.radians(F.greatest(F.abs("lat_lo"), F.abs("lat_hi"))))
-    cos_pt = F.greatest(F.cos(F.radians(lat)), F.lit(0.0))
-    by_lat = F.lit(EARTH_RADIUS_KM) * F.radians(d_lat)
-    by_lon = F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(
-        F.least(F.lit(1.0), F.sqrt(cos_pt * F.greatest(cos_box, F.lit(0.0))) * F.sin(F.radians(F.least(d_lon, F.lit(180.0))) / 2.0))
-    )
-    # Triangle inequality: distance to the box centre less the box radius.
-    # Any point of the box is reached from the centre along a meridian (half
-    # the latitude span) and then a parallel (half the longitude span at most
-    # at the widest parallel), so their sum bounds the radius.
-    straddles = (F.col("lat_lo") <= 0.0) & (F.col("lat_hi") >= 0.0)
-    cos_wide = F.when(straddles, F.lit(1.0)).otherwise(F.cos(F.radians(F.least(F.abs("lat_lo"), F.abs("lat_hi")))))
-    radius = F.lit(EARTH_RADIUS_KM) * (
-        F.radians((F.col("lat_hi") - F.col("lat_lo")) / 2.0) + F.radians((F.col("lon_hi") - F.col("lon_lo")) / 2.0) * cos_wide
-    )
-    centre = haversine_km(lat, lon, (F.col("lat_lo") + F.col("lat_hi")) / 2.0, (F.col("lon_lo") + F.col("lon_hi")) / 2.0)
-    return F.greatest(by_lat, by_lon, centre - radius)
+    A leaf's children are (x, y, z, slat, slon, site); above, children are
+    (child, lo, hi) with the corners of the child's box. Every level is written,
+    a sixteenth of the one below; the last has one node, or none without sites.
+    """
+    placed = sites.select("site", "slat", "slon", *unit_vector("slat", "slon")).withColumn("z_order", curve("x", "y", "z"))
+    order = [F.col(c) for c in ("z_order", "x", "y", "z", "slat", "slon")]
+    ranked = with_position(placed, order, "pos").withColumn("node", F.floor((F.col("pos") - 1) / F.lit(FAN)).cast("long"))
+    corner = lambda f: F.array(*[f(c) for c in ("x", "y", "z")])
+    children = F.collect_list(F.struct("x", "y", "z", "slat", "slon", "site"))  # FAN at most
+    level = ranked.groupBy("node").agg(children.alias("children"), corner(F.min).alias("lo"), corner(F.max).alias("hi"))
+    levels = []
+    while True:
+        level = materialize(level, "nearest-index")
+        levels.append(level)
+        if level.limit(2).count() < 2:
+            return levels
+        corner_of = lambda f, side: F.array(*[f(F.col(side)[i]) for i in range(3)])
+        level = level.groupBy(F.floor(F.col("node") / F.lit(FAN)).cast("long").alias("up")).agg(
+            F.collect_list(F.struct(F.col("node").alias("child"), "lo", "hi")).alias("children"),
+            corner_of(F.min, "lo").alias("lo"),
+            corner_of(F.max, "hi").alias("hi"),
+        )
+        level = level.withColumnRenamed("up", "node")
 
 
-def _hot_keys(left: DataFrame, keys: list[str], per_task: int) -> DataFrame:
-    """(keys, salts) for every key of ``left`` holding more than ``per_task``
-    rows, written once; a partial aggregate, so a hot key costs one row per
-    task before the shuffle."""
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    salts = F.least(F.ceil(F.col("rows") / F.lit(float(per_task))), F.lit(MAX_SALTS)).cast("bigint")
-    return materialize(counts.filter(F.col("rows") > per_task).select(*keys, salts.alias("salts")), "nearest-hot-keys")
+def to_box(lo: Column, hi: Column) -> Column:
+    """Squared straight-line distance from the point (x, y, z) to a box; 0 inside."""
+    out = F.lit(0.0)
+    for i, axis in enumerate("xyz"):
+        gap = F.greatest(lo[i] - F.col(axis), F.col(axis) - hi[i], F.lit(0.0))
+        out = out + gap * gap
+    return out
 
 
-def _salted_join(
-    left: DataFrame, right: DataFrame, keys: list[str], per_task: int, how: str = "inner", hint: str = "merge"
-) -> DataFrame:
-    """Equi-join on ``keys`` plus a ``salt`` column, where ``left`` rows are
-    distinct points. Only hot keys (over ``per_task`` points) are salted: a
-    hash of the point picks one of the key's salt values, and ``right`` rows
-    of that key are repeated once per value; every other key has the single
-    salt 0. The hot-key table is broadcast after a size check, so finding a
-    row's salt moves no data. The join itself is a shuffle join (``hint``,
-    sort-merge by default): the planner's size estimate of exploded copies
-    does not count the explode."""
-    hot = _hot_keys(left, keys, per_task)
-    if fits_broadcast(hot, MAX_HOT_KEYS, MAX_HOT_KEY_BYTES):
-        hot = F.broadcast(hot)
-    salts = F.coalesce(F.col("salts"), F.lit(1).cast("bigint"))
-    salted = left.join(hot, keys, "left").withColumn("salt", F.pmod(F.xxhash64("lat", "lon"), salts)).drop("salts")
-    copies = (
-        right.join(hot, keys, "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
-        .drop("salts")
-        .hint(hint)
-    )
-    return salted.join(copies, keys + ["salt"], how)
-
-
-def _descend(pending: DataFrame, sites: DataFrame, base_k: int, per_task: int) -> DataFrame:
-    """Exact nearest site for points no grid level settled, without meeting
-    every site: a descent through the cell pyramid from the (at most four)
-    top cells. At each size a point keeps only the cells whose box could hold
-    a site no farther than its nearest cell representative, and steps into
-    their children; at the base size it meets the sites of the cells kept.
-    Each size is written to the shared checkpoint folder."""
-    top = len(_CELL_LADDER) - 1
-    pyramid = materialize(_cell_pyramid(sites, base_k), "nearest-pyramid")
-    point = Window.partitionBy("lat", "lon")
-    frontier = pending.select("lat", "lon", "n", F.lit(0).cast("bigint").alias("ci"), F.lit(0).cast("bigint").alias("cj"))
-    for k in range(top, base_k - 1, -1):
-        cells = pyramid.filter(F.col("k") == k).drop("k")
-        parents = frontier.select("lat", "lon", "n", F.col("ci").alias("pci"), F.col("cj").alias("pcj"))
-        if k == top:
-            # At most four cells of over 180 degrees cover the globe.
-            pairs = parents.join(F.broadcast(cells), ["pci", "pcj"])
-        else:
-            pairs = _salted_join(parents, cells, ["pci", "pcj"], per_task).drop("salt")
-        lower = _box_lower_bound_km(F.col("lat"), F.col("lon"))
-        upper = haversine_km("lat", "lon", F.col("rep.slat"), F.col("rep.slon"))
-        scored = pairs.select("lat", "lon", "n", "ci", "cj", lower.alias("lb"), upper.alias("ub"))
-        bound = F.min("ub").over(point)
-        kept = scored.withColumn("u", bound).filter(F.col("lb") <= F.col("u") * (1.0 + _MARGIN) + _MARGIN)
-        frontier = materialize(kept.select("lat", "lon", "n", "ci", "cj"), f"nearest-descent-{k}")
-    g = _CELL_LADDER[base_k]
-    base_sites = sites.select(
-        F.floor(F.col("slat") / g).alias("ci"), F.floor(F.col("slon") / g).alias("cj"), "site", "slat", "slon"
-    )
-    km = haversine_km("lat", "lon", "slat", "slon")
-    met = _salted_join(frontier, base_sites, ["ci", "cj"], per_task)
-    best = met.groupBy("lat", "lon", "n").agg(F.min(F.struct(km.alias("km"), F.col("site").alias("site"))).alias("b"))
-    return best.select("lat", "lon", "n", F.col("b.site").alias("site"), F.col("b.km").alias("km"))
+def to_site(site: Column) -> Column:
+    """Squared straight-line distance from the point (x, y, z) to a site."""
+    out = F.lit(0.0)
+    for axis in "xyz":
+        out = out + (F.col(axis) - site[axis]) * (F.col(axis) - site[axis])
+    return out
 
 
 def assign_nearest(
@@ -372,82 +148,53 @@ def assign_nearest(
     site_key: str,
     site_lat: str,
     site_lon: str,
-    cell_deg: float | None = None,
-    growth: float = 4.0,
     strategy: str = "DEFAULT",
-    max_broadcast_sites: int = MAX_BROADCAST_SITES,
-    max_broadcast_bytes: int = MAX_BROADCAST_SITE_BYTES,
-    hot_key_points: int = HOT_KEY_POINTS,
-    trace: list | None = None,
 ) -> DataFrame:
     """Distinct point -> (lat, lon, n, site, km) with the exact nearest site.
 
-    ``max_broadcast_sites`` and ``max_broadcast_bytes`` bound the site table
-    whose candidate lists are broadcast; above them points and sites meet in
-    shuffle joins, where a cell key with more than ``hot_key_points`` points
-    is salted, and points the first level leaves unsettled take the pyramid
-    descent. ``trace``, when given, receives one dict per grid level (and one
-    for the descent): cell size, the join operator of the level's plan and
-    the number of unsettled points.
-
-    Ties in distance go to the smallest site key. Points or sites with a NULL
-    or NaN coordinate take no part. Runs one small job on the sites and one
-    checkpointed job per grid level (per ladder size in the descent).
+    Ties in distance go to the smallest site key. Coordinates that are NULL,
+    NaN, infinite or beyond a pole take no part; without any site the result is
+    empty. ``strategy`` is a hint for the joins with the index levels. Building
+    the index runs a few jobs over the sites alone; the points' part is lazy.
     """
-    if strategy not in JOIN_STRATEGIES:
-        raise ValueError(f"strategy must be one of {JOIN_STRATEGIES}")
-    site_rows = distinct_sites(sites, site_key, site_lat, site_lon)
-    pts = distinct_points(points, point_lat, point_lon)
-    stats = _site_stats(site_rows)
-    if not stats["n"]:
-        empty = pts.limit(0)
-        return empty.select("lat", "lon", "n", F.lit(None).cast("string").alias("site"), F.lit(None).cast("double").alias("km"))
-    cos_min = max(0.0, math.cos(math.radians(min(90.0, stats["abslat"]))))
-    small = stats["n"] <= max_broadcast_sites and 9 * stats["bytes"] <= max_broadcast_bytes
-    if not small:
-        # Read by every level and by the descent, and points also by the
-        # hot-key count of each join: deduplicate both once.
-        site_rows = materialize(site_rows, "nearest-sites")
-        pts = materialize(pts, "nearest-points")
-    cell = cell_deg or _base_cell(stats)
-    pending = pts
-    settled = []
-    while True:
-        # A block three cells wide that would reach round the globe: finish
-        # with one global cell, where every site is a candidate.
-        level_cell = None if 3 * cell >= 360.0 else cell
-        cells = _cells(pending, level_cell)
-        if small:
-            lists = _site_lists(site_rows, level_cell)
-            lists = F.broadcast(lists) if strategy in ("DEFAULT", "broadcast") else lists.hint(strategy)
-            best = _best_from_lists(cells, lists)
-        else:
-            blocks = _site_blocks(site_rows, level_cell)
-            # Above the bound a broadcast is never applied: a shuffle join.
-            hint = "merge" if strategy in ("DEFAULT", "broadcast") else strategy
-            best = _best_from_rows(cells, blocks, hot_key_points, hint)
-        scored = _settle(best, level_cell, cos_min)
-        level, seen = materialize_observed(scored, "nearest-level", {"unsettled": F.count_if(~F.col("exact"))})
-        if trace is not None:
-            # The level's join carries an explicit broadcast or hint, so the
-            # operator in its plan is the one that ran.
-            trace.append({"cell_deg": level_cell, "join": executed_join_nodes(scored), "unsettled": seen["unsettled"]})
-        settled.append(level.filter("exact").drop("exact"))
-        pending = level.filter(~F.col("exact")).select("lat", "lon", "n")
-        if level_cell is None or not seen["unsettled"]:
-            break
-        if not small:
-            # Above the broadcast bound a coarser block could hold very many
-            # sites: the rest descend the cell pyramid instead (exact).
-            settled.append(_descend(pending, site_rows, _base_index(stats), hot_key_points))
-            if trace is not None:
-                trace.append({"cell_deg": "descent", "join": [], "unsettled": 0})
-            break
-        cell *= growth
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
+    check_strategy(strategy)
+    pts = distinct_points(points, point_lat, point_lon).select("lat", "lon", "n", *unit_vector("lat", "lon"))
+    levels = site_index(distinct_sites(sites, site_key, site_lat, site_lon))
+    leaves, upper = levels[0], levels[:0:-1]
+    if not upper and leaves.isEmpty():
+        key = sites.schema[site_key].dataType
+        nothing = [F.lit(None).cast(key).alias("site"), F.lit(None).cast("double").alias("km")]
+        return pts.limit(0).select("lat", "lon", "n", *nothing)
+
+    hinted = {level: with_strategy(level.select("node", "children"), strategy) for level in levels}
+
+    def step(walk: DataFrame, level: DataFrame) -> DataFrame:
+        return walk.join(hinted[level], "node", "left")
+
+    # The root's number as a value of the row: on a literal the planner would
+    # fold the join key away and compare every point with every node.
+    root = F.floor(F.abs("z") * 0.0).cast("long")
+
+    # Down to one leaf: the nearest child each time, then the nearest site in it.
+    walk = pts.withColumn("node", root)
+    for level in upper:
+        near = lambda c: F.struct(to_box(c["lo"], c["hi"]).alias("d"), c["child"].alias("child"))
+        walk = step(walk, level).withColumn("node", F.array_min(F.transform("children", near))["child"]).drop("children")
+    reach = F.array_min(F.transform("children", to_site))
+    walk = step(walk, leaves).withColumn("reach", reach + MARGIN).drop("children", "node")
+
+    # Down again, into every child that could hold a site as near.
+    walk = walk.withColumn("node", root)
+    for level in upper:
+        in_reach = F.filter("children", lambda c: to_box(c["lo"], c["hi"]) <= F.col("reach"))
+        found = F.explode_outer(F.transform(in_reach, lambda c: c["child"])).alias("node")
+        walk = step(walk, level).select("lat", "lon", "n", "x", "y", "z", "reach", found)
+    met = F.filter("children", lambda c: to_site(c) <= F.col("reach"))
+    km = lambda c: F.struct(haversine_km("lat", "lon", c["slat"], c["slon"]).alias("km"), c["site"].alias("site"))
+    scored = step(walk, leaves).select("lat", "lon", "n", F.array_min(F.transform(met, km)).alias("b"))
+    best = scored.groupBy("lat", "lon", "n").agg(F.min("b").alias("b"))
+    kept = F.coalesce("b", F.raise_error(F.lit("a point met no site")).cast(best.schema["b"].dataType))
+    return best.withColumn("b", kept).select("lat", "lon", "n", F.col("b.site").alias("site"), F.col("b.km").alias("km"))
 
 
 def nearest_summary(
@@ -489,8 +236,3 @@ def nearest_join(
     """Points -> nearest site -> per-site count and mean km (query C4)."""
     assigned = assign_nearest(points, sites, point_lat, point_lon, site_key, site_lat, site_lon, **kwargs)
     return nearest_summary(assigned, unit)
-
-
-def check_site_bound(sites: DataFrame, limit: int = MAX_BROADCAST_SITES) -> bool:
-    """Whether ``sites`` is small enough to broadcast (reads at most limit + 1 rows)."""
-    return rows_at_most(sites, limit)

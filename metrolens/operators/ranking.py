@@ -38,37 +38,44 @@ def topk_per_group(
     return ranked.filter(F.col(rank_name) <= k)
 
 
-def topk_counts_sql(
+def quoted(name: str) -> str:
+    """``name`` as a SQL identifier, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def group_count_sql(spark: SparkSession, source: DataFrame | str, keys: Sequence[str], count_name: str) -> DataFrame:
+    """Rows per combination of ``keys``, by SQL over a DataFrame or a view's name."""
+    src = spark.table(source) if isinstance(source, str) else source
+    listed = ", ".join(map(quoted, keys))
+    return spark.sql(f"SELECT {listed}, COUNT(*) AS {quoted(count_name)} FROM {{src}} GROUP BY {listed}", src=src)
+
+
+def topk_sql(
     spark: SparkSession,
-    df: DataFrame,
-    group_key: str,
-    item_key: str,
+    source: DataFrame | str,
+    keys: Sequence[str],
+    order: Sequence[tuple[str, str]],
     k: int,
-    count_name: str = "crime_total",
+    ties: str = "rank",
     rank_name: str = "ranking",
 ) -> DataFrame:
-    """Count rows per (group, item) and keep the top ``k`` items per group by
-    count, ties kept - written as SQL with chained CTEs over ``df``.
+    """:func:`topk_per_group` as a SQL statement over a DataFrame or a view's name.
 
-    ``df`` is bound as a query parameter instead of a global temp view.
+    ``order`` lists (column, ``ASC`` or ``DESC``); every name is quoted, so names
+    with spaces work.
     """
-    query = f"""
-    WITH counts AS (
-        SELECT {group_key}, {item_key}, COUNT(*) AS {count_name}
-        FROM {{src}}
-        GROUP BY {group_key}, {item_key}
-    ),
-    ranked AS (
-        SELECT {group_key}, {item_key}, {count_name},
-               RANK() OVER (PARTITION BY {group_key} ORDER BY {count_name} DESC) AS {rank_name}
-        FROM counts
+    if ties not in TIE_RULES:
+        raise ValueError(f"ties must be one of {tuple(TIE_RULES)}")
+    if k < 1 or any(way.upper() not in ("ASC", "DESC") for _, way in order):
+        raise ValueError("k is at least 1 and every order is ASC or DESC")
+    src = spark.table(source) if isinstance(source, str) else source
+    window = f"PARTITION BY {', '.join(map(quoted, keys))} ORDER BY " if keys else "ORDER BY "
+    window += ", ".join(f"{quoted(column)} {way.upper()}" for column, way in order)
+    statement = (
+        f"WITH numbered AS (SELECT *, {ties.upper()}() OVER ({window}) AS {quoted(rank_name)} FROM {{src}}) "
+        f"SELECT * FROM numbered WHERE {quoted(rank_name)} <= {int(k)}"
     )
-    SELECT {group_key}, {item_key}, {count_name}, {rank_name}
-    FROM ranked
-    WHERE {rank_name} <= {int(k)}
-    ORDER BY {group_key} ASC, {count_name} DESC, {rank_name} ASC
-    """
-    return spark.sql(query, src=df)
+    return spark.sql(statement, src=src)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -136,164 +136,109 @@ def test_nearest_matches_brute_force(spark, seed, n_sites, region):
         assert got[key][0] == pytest.approx(km, abs=1e-6)
 
 
-@pytest.mark.parametrize("strategy", ["DEFAULT", "merge", "shuffle_hash"])
-def test_nearest_large_site_path_matches_brute_force(spark, strategy):
-    # max_broadcast_sites=0 forces the path for site tables too large to broadcast.
-    rng = random.Random(11)
-    sites = [(f"S{i:02d}", round(rng.uniform(-60, 60), 3), round(rng.uniform(-180, 179.9), 3)) for i in range(30)]
-    points = [(round(rng.uniform(-70, 70), 3), round(rng.uniform(-180, 179.9), 3)) for _ in range(300)]
-    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
+def _nearest(spark, points, sites, key="string", **options):
+    sdf = spark.createDataFrame(sites, f"site {key}, slat double, slon double")
     pdf = spark.createDataFrame(points, "lat double, lon double")
-    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", strategy=strategy, max_broadcast_sites=0)
-    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
-    want = _brute(points, sites)
-    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+    return assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", **options)
 
 
-def test_nearest_with_clustered_sites(spark):
-    # A third of the sites crowd into one block: the base cell must shrink so
-    # no cell holds more than MAX_SITES_PER_CELL, and results stay exact.
-    from metrolens.operators.nearest import MAX_SITES_PER_CELL, _base_cell, _site_stats
+def _same_as_brute_force(spark, points, sites, **options):
+    got = {(r.lat, r.lon): (r.km, r.site) for r in _nearest(spark, points, sites, **options).collect()}
+    want = _brute(points, sites)
+    assert set(got) == set(want)
+    for place, (km, site) in want.items():
+        assert got[place][1] == site, place
+        assert got[place][0] == pytest.approx(km, abs=1e-6)
 
-    rng = random.Random(21)
-    crowd = [(f"C{i:03d}", round(34.05 + rng.uniform(0, 0.002), 5), round(-118.25 + rng.uniform(0, 0.002), 5)) for i in range(40)]
-    spread = [(f"S{i:03d}", round(rng.uniform(20, 50), 3), round(rng.uniform(-125, -70), 3)) for i in range(80)]
-    sites = crowd + spread
-    points = [(round(34.05 + rng.uniform(-0.01, 0.01), 5), round(-118.25 + rng.uniform(-0.01, 0.01), 5)) for _ in range(150)]
-    points += [(round(rng.uniform(20, 50), 3), round(rng.uniform(-125, -70), 3)) for _ in range(150)]
-    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
-    stats = _site_stats(sdf)
-    cell = _base_cell(stats)
-    assert stats["peaks"][[k for k in stats["peaks"]][0]] >= 1
-    assert max(p for k, p in stats["peaks"].items() if abs(0.001 * 2**k - cell) < 1e-12) <= MAX_SITES_PER_CELL
-    pdf = spark.createDataFrame(points, "lat double, lon double")
-    got = {(r.lat, r.lon): r.site for r in assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon").collect()}
-    assert got == {k: v[1] for k, v in _brute(points, sites).items()}
 
+@pytest.mark.parametrize("strategy", ["DEFAULT", "broadcast", "merge", "shuffle_hash"])
+def test_nearest_strategies_agree(spark, strategy):
+    rng = random.Random(11)
+    sites = [(f"S{i:03d}", round(rng.uniform(-60, 60), 3), round(rng.uniform(-180, 179.9), 3)) for i in range(300)]
+    points = [(round(rng.uniform(-70, 70), 3), round(rng.uniform(-180, 179.9), 3)) for _ in range(200)]
+    _same_as_brute_force(spark, points, sites, strategy=strategy)
 
-def test_nearest_site_byte_bound_selects_shuffle_path(spark):
-    # A byte bound of 0 sends even a tiny site table down the shuffle path; results are the same.
-    rng = random.Random(5)
-    sites = [(f"S{i:02d}", round(rng.uniform(30, 40), 3), round(rng.uniform(-120, -110), 3)) for i in range(12)]
-    points = [(round(rng.uniform(29, 41), 3), round(rng.uniform(-121, -109), 3)) for _ in range(200)]
-    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
-    pdf = spark.createDataFrame(points, "lat double, lon double")
-    trace = []
-    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_bytes=0, trace=trace)
-    got = {(r.lat, r.lon): r.site for r in out.collect()}
-    assert got == {k: v[1] for k, v in _brute(points, sites).items()}
-    assert all("BroadcastHashJoin" not in level["join"] for level in trace)
 
+def test_nearest_with_a_crowd_of_sites(spark):
+    # 300 sites within metres of each other, some closer than the curve can tell apart, and some far away.
+    rng = random.Random(21)
+    sites = [(f"C{i:03d}", 34.05 + rng.uniform(0, 0.0002), -118.25 + rng.uniform(0, 0.0002)) for i in range(250)]
+    sites += [(f"D{i:03d}", 34.05 + i * 1e-9, -118.25) for i in range(50)]
+    sites += [(f"S{i:03d}", round(rng.uniform(20, 50), 3), round(rng.uniform(-125, -70), 3)) for i in range(80)]
+    points = [(34.05 + rng.uniform(-0.01, 0.01), -118.25 + rng.uniform(-0.01, 0.01)) for _ in range(100)]
+    points += [(34.05 + rng.uniform(0, 0.0002), -118.25 + rng.uniform(0, 0.0002)) for _ in range(60)]
+    points += [(round(rng.uniform(20, 50), 3), round(rng.uniform(-125, -70), 3)) for _ in range(60)]
+    got = {(r.lat, r.lon): r.km for r in _nearest(spark, points, sites).collect()}
+    want = _brute(points, sites)
+    assert set(got) == set(want)
+    assert all(got[p] == pytest.approx(want[p][0], abs=1e-7) for p in want)
 
-@pytest.mark.parametrize("max_sites", [100_000, 0])
-def test_nearest_sites_on_one_spot(spark, max_sites):
-    # A third of the sites share one coordinate: only the least key there can
-    # win, on both the broadcast and the shuffle path.
+
+def test_nearest_sites_on_one_spot(spark):
+    # A third of the sites share one coordinate: only the least key there can win.
     from metrolens.operators.nearest import distinct_sites
 
     rng = random.Random(8)
-    spot = [(f"H{i:03d}", 34.05, -118.25) for i in range(60)]
-    spread = [(f"S{i:03d}", round(rng.uniform(33, 35), 3), round(rng.uniform(-119.5, -117), 3)) for i in range(120)]
-    sites = spot + spread
-    points = [(round(rng.uniform(33.5, 34.5), 3), round(rng.uniform(-119, -117.5), 3)) for _ in range(300)]
+    sites = [(f"H{i:03d}", 34.05, -118.25) for i in range(60)]
+    sites += [(f"S{i:03d}", round(rng.uniform(33, 35), 3), round(rng.uniform(-119.5, -117), 3)) for i in range(120)]
+    points = [(round(rng.uniform(33.5, 34.5), 3), round(rng.uniform(-119, -117.5), 3)) for _ in range(200)]
     points += [(34.05, -118.25)] * 5
     sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
-    assert distinct_sites(sdf, "site", "slat", "slon").filter("slat = 34.05 AND slon = -118.25").collect()[0].site == "H000"
-    pdf = spark.createDataFrame(points, "lat double, lon double")
-    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=max_sites)
-    got = {(r.lat, r.lon): r.site for r in out.collect()}
-    assert got == {k: v[1] for k, v in _brute(points, sites).items()}
+    spot = distinct_sites(sdf, "site", "slat", "slon").filter("slat = 34.05 AND slon = -118.25").collect()
+    assert [r.site for r in spot] == ["H000"]
+    _same_as_brute_force(spark, points, sites)
 
 
-def test_nearest_far_points_descend_the_cell_pyramid(spark):
-    # Sites crowd into one city; points lie all over the globe. Above the
-    # broadcast bound (forced by max_broadcast_sites=0) the points no fine
-    # level settles take the pyramid descent, which must stay exact.
+def test_nearest_far_points(spark):
+    # Sites crowd into one city; points lie all over the globe, poles and antimeridian included.
     rng = random.Random(17)
-    sites = [(f"S{i:03d}", round(34.0 + rng.uniform(0, 0.3), 4), round(-118.4 + rng.uniform(0, 0.3), 4)) for i in range(200)]
+    sites = [(f"S{i:03d}", round(34 + rng.uniform(0, 0.3), 4), round(-118.4 + rng.uniform(0, 0.3), 4)) for i in range(200)]
     sites += [("FAR1", -33.9, 151.2), ("FAR2", 51.5, -0.1)]
     points = [(round(rng.uniform(-89.9, 89.9), 3), round(rng.uniform(-180, 179.99), 3)) for _ in range(150)]
-    points += [(34.1, -118.3), (34.15, -118.2), (89.99, 10.0), (-89.99, -170.0), (0.0, 179.999), (0.0, -179.999)]
-    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
-    pdf = spark.createDataFrame(points, "lat double, lon double")
-    trace = []
-    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=0, trace=trace)
-    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
-    want = _brute(points, sites)
-    assert any(level["cell_deg"] == "descent" for level in trace)
-    assert set(got) == set(want)
-    for key, (km, site) in want.items():
-        assert got[key][1] == site, key
-        assert got[key][0] == pytest.approx(km, abs=1e-6)
-
-
-def test_nearest_descent_with_sites_at_antimeridian_and_poles(spark):
-    rng = random.Random(29)
-    sites = [(f"A{i:03d}", round(rng.uniform(-5, 5), 3), round(rng.choice([rng.uniform(179.5, 179.999), rng.uniform(-180, -179.5)]), 3)) for i in range(60)]
-    sites += [(f"N{i:03d}", round(rng.uniform(88, 90), 3), round(rng.uniform(-180, 179.99), 3)) for i in range(40)]
-    sites += [(f"P{i:03d}", round(rng.uniform(-90, -88), 3), round(rng.uniform(-180, 179.99), 3)) for i in range(40)]
-    points = [(round(rng.uniform(-90, 90), 3), round(rng.uniform(-180, 179.99), 3)) for _ in range(150)]
-    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
-    pdf = spark.createDataFrame(points, "lat double, lon double")
-    trace = []
-    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=0, trace=trace)
-    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
-    want = _brute(points, sites)
-    assert set(got) == set(want)
-    for key, (km, site) in want.items():
-        assert got[key][1] == site, key
-        assert got[key][0] == pytest.approx(km, abs=1e-6)
-
-
-@pytest.mark.parametrize("per_task", [1, 7])
-def test_nearest_hot_cells_are_salted_exactly(spark, per_task):
-    # A tiny per-task budget makes most cells hot: points are salted and site
-    # copies repeated per salt value, on the level join and in the descent.
-    from metrolens.operators.nearest import _hot_keys
-
-    rng = random.Random(41)
-    sites = [(f"S{i:03d}", round(34.0 + rng.uniform(0, 0.3), 4), round(-118.4 + rng.uniform(0, 0.3), 4)) for i in range(80)]
-    points = [(round(34.0 + rng.uniform(-0.1, 0.4), 4), round(-118.4 + rng.uniform(-0.1, 0.4), 4)) for _ in range(200)]
-    points += [(round(rng.uniform(-80, 80), 3), round(rng.uniform(-180, 179.99), 3)) for _ in range(40)]
-    sdf = spark.createDataFrame(sites, "site string, slat double, slon double")
-    pdf = spark.createDataFrame(points, "lat double, lon double")
-    hot = _hot_keys(pdf.withColumn("ci", F.floor(F.col("lat"))).withColumn("cj", F.floor(F.col("lon"))), ["ci", "cj"], per_task)
-    assert hot.filter(F.col("salts") > 1).count() > 0
-    trace = []
-    out = assign_nearest(pdf, sdf, "lat", "lon", "site", "slat", "slon", max_broadcast_sites=0, hot_key_points=per_task, trace=trace)
-    got = {(r.lat, r.lon): (r.km, r.site) for r in out.collect()}
-    want = _brute(points, sites)
-    assert set(got) == set(want)
-    for key, (km, site) in want.items():
-        assert got[key][1] == site, key
-        assert got[key][0] == pytest.approx(km, abs=1e-6)
-
-
-def test_box_lower_bound_never_exceeds_a_distance_into_the_box(spark):
-    # The descent is exact only if the box bound is a true lower bound: check
-    # it against points sampled inside random boxes (small, wide, polar,
-    # straddling the equator) from points anywhere on the globe.
-    from metrolens.operators.nearest import _box_lower_bound_km
-
-    rng = random.Random(3)
-    rows, samples = [], {}
-    for i in range(400):
-        span_lat = rng.choice([0.01, 0.5, 5.0, 40.0, 120.0])
-        span_lon = rng.choice([0.01, 0.5, 5.0, 90.0, 300.0])
-        lat_lo = rng.uniform(-90, 90 - min(span_lat, 180))
-        lat_hi = min(90.0, lat_lo + span_lat)
-        lon_lo = rng.uniform(-180, 180 - min(span_lon, 360))
-        lon_hi = min(180.0, lon_lo + span_lon)
-        lat, lon = rng.uniform(-90, 90), rng.uniform(-180, 180)
-        rows.append((i, lat, lon, lat_lo, lat_hi, lon_lo, lon_hi))
-        inside = [(rng.uniform(lat_lo, lat_hi), rng.uniform(lon_lo, lon_hi)) for _ in range(60)]
-        inside += [(a, b) for a in (lat_lo, lat_hi) for b in (lon_lo, lon_hi)]
-        samples[i] = min(_brute([(lat, lon)], [("x", a, b)])[(lat, lon)][0] for a, b in inside)
-    df = spark.createDataFrame(rows, "i int, lat double, lon double, lat_lo double, lat_hi double, lon_lo double, lon_hi double")
-    got = {r.i: r.lb for r in df.select("i", _box_lower_bound_km(F.col("lat"), F.col("lon")).alias("lb")).collect()}
-    for i, nearest_sample in samples.items():
-        assert got[i] <= nearest_sample + 1e-6, (rows[i], got[i], nearest_sample)
-    # ... and not a vacuous one: mostly positive, and within 5% for small far boxes.
-    assert sum(v > 0 for v in got.values()) > 200
-    tight = [got[i] / samples[i] for i, r in enumerate(rows) if r[4] - r[3] <= 0.5 and r[6] - r[5] <= 0.5 and samples[i] > 500]
-    assert tight and min(tight) > 0.95
+    points += [(34.1, -118.3), (34.15, -118.2), (90.0, 10.0), (-89.99, -170.0), (0.0, 179.999), (0.0, -179.999)]
+    _same_as_brute_force(spark, points, sites)
+
+
+def test_nearest_longitudes_beyond_180(spark):
+    # The same places written from 0 to 360, and beyond: nothing is lost and the distances are the same.
+    rng = random.Random(4)
+    sites = [(f"S{i:03d}", round(rng.uniform(-80, 80), 3), round(rng.uniform(0, 360), 3)) for i in range(200)]
+    points = [(round(rng.uniform(-80, 80), 3), round(rng.uniform(-180, 180), 3)) for _ in range(100)]
+    points += [(0.5, 359.9), (0.5, 719.9), (-85.746, -40.839)]
+    _same_as_brute_force(spark, points, sites)
+
+
+@pytest.mark.parametrize("key,value", [("long", 7), ("string", "x")])
+def test_nearest_unusable_coordinates_and_no_sites(spark, key, value):
+    nan, inf = float("nan"), float("inf")
+    odd = [(None, 1.0), (1.0, None), (nan, 1.0), (1.0, nan), (inf, 1.0), (1.0, -inf), (90.5, 1.0)]
+    got = _nearest(spark, odd + [(0.0, 0.0)], [(value, 1.0, 1.0), (value, inf, 0.0), (value, 0.0, nan)], key).collect()
+    assert [(r.lat, r.lon, r.site) for r in got] == [(0.0, 0.0, value)]
+    none = _nearest(spark, [(0.0, 0.0)], [], key)
+    assert dict(none.dtypes)["site"] == ("bigint" if key == "long" else key) and none.count() == 0
+    assert _nearest(spark, [], [(value, 1.0, 1.0)], key).count() == 0
+
+
+def test_nearest_ties_go_to_the_least_key(spark):
+    sites = [("B", 0.0, 1.0), ("A", 0.0, -1.0), ("C", 1.0, 0.0), ("D", -1.0, 0.0)] + [(f"Z{i}", 50.0, i * 1.0) for i in range(40)]
+    (got,) = _nearest(spark, [(0.0, 0.0)], sites).collect()
+    assert got.site == "A"
+
+
+def test_index_nodes_are_small_and_hold_every_site(spark):
+    from metrolens.operators.nearest import FAN, distinct_sites, site_index
+
+    rng = random.Random(2)
+    sites = [(i, 10 + rng.random() * 1e-7, 20.0) for i in range(700)] + [(1000 + i, -i / 10, i * 1.0) for i in range(100)]
+    sdf = spark.createDataFrame(sites, "site long, slat double, slon double")
+    levels = [level.collect() for level in site_index(distinct_sites(sdf, "site", "slat", "slon"))]
+    assert [len(level) for level in levels] == [50, 4, 1]
+    assert sorted(s.site for node in levels[0] for s in node.children) == sorted(s[0] for s in sites)
+    for level in levels:
+        assert all(1 <= len(node.children) <= FAN for node in level)
+    for below, above in zip(levels, levels[1:]):
+        boxes = {n.node: n for n in below}
+        for node in above:
+            for c in node.children:
+                assert (c.lo, c.hi) == (boxes[c.child].lo, boxes[c.child].hi)
+                assert all(a <= b for a, b in zip(node.lo, c.lo)) and all(a >= b for a, b in zip(node.hi, c.hi))

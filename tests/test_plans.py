@@ -48,10 +48,34 @@ def test_join_hint_takes_effect(spark, strategy, node):
     assert executed_join_nodes(df) == [node]
 
 
-def test_no_cross_product_in_nearest(spark):
-    df = QUERIES["nearest_per_event"](spark, SF)
-    plan = plan_text(df)
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+@pytest.mark.parametrize("strategy", ["DEFAULT", "broadcast", "merge", "shuffle_hash"])
+@pytest.mark.parametrize("n_sites", [1, 25, 2000])
+def test_no_cross_product_at_any_level_of_nearest(spark, strategy, n_sites):
+    # The walk over all levels of the index is one plan: every join that ran is in it.
+    from pyspark.sql import functions as F
+
+    from metrolens.operators import assign_nearest
+
+    sites = spark.range(n_sites).select("id", (F.col("id") % 83).cast("double").alias("la"), (F.col("id") / 7).alias("lo"))
+    points = spark.range(300).select((F.col("id") % 90).cast("double").alias("a"), (F.col("id") * 1.1).alias("o"))
+    df = assign_nearest(points, sites, "a", "o", "id", "la", "lo", strategy=strategy)
+    assert len(df.collect()) == 300
+    joins = executed_join_nodes(df)
+    levels = 1 if n_sites <= 16 else 2 if n_sites <= 256 else 3
+    assert len(joins) == 2 * levels
+    hinted = {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin", "shuffle_hash": "ShuffledHashJoin"}
+    assert set(joins) <= ({hinted[strategy]} if strategy in hinted else set(hinted.values()))
+
+
+def test_except_distinct_folds_before_its_only_exchange(spark):
+    from metrolens.operators import except_distinct
+
+    a = spark.range(100).selectExpr("id % 7 AS x", "cast(null as string) AS y")
+    df = except_distinct(a, a.filter("x < 3"))
+    assert sorted(r.x for r in df.collect()) == [3, 4, 5, 6]
+    plan = plan_text(df, "simple").split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert plan.index("Exchange") < plan.index("partial_max")
 
 
 def test_rejected_strategy(spark):
@@ -73,33 +97,19 @@ def test_partitioned_parquet_prunes_partitions(spark):
 def test_forced_broadcast_is_size_checked(spark):
     from pyspark.sql import functions as F
 
-    from metrolens.operators.joins import fits_broadcast, with_strategy
+    from metrolens.operators.joins import BroadcastRefused, fits_broadcast, with_strategy
 
     side = spark.range(100).select("id", F.repeat(F.lit("x"), 50).alias("pad"))
-    # {"id":N,"pad":"x..."}: at least 60 bytes a row.
-    assert fits_broadcast(side, max_rows=100, max_bytes=100 * 100)
-    assert not fits_broadcast(side, max_rows=99, max_bytes=100 * 100)
-    assert not fits_broadcast(side, max_rows=100, max_bytes=100 * 60)
-    # Over the byte bound the side comes back without the hint.
-    assert with_strategy(side, "broadcast", max_broadcast_rows=100, max_broadcast_bytes=100 * 60) is side
+    # 16 bytes for the number and 50 for the text.
+    assert fits_broadcast(side, max_rows=100, max_bytes=100 * 66)
+    assert not fits_broadcast(side, max_rows=99, max_bytes=100 * 66)
+    assert not fits_broadcast(side, max_rows=100, max_bytes=100 * 66 - 1)
+    # Over the byte bound the side comes back without the hint, and that is told.
+    with pytest.warns(BroadcastRefused):
+        assert with_strategy(side, "broadcast", max_broadcast_rows=100, max_broadcast_bytes=100 * 60) is side
     assert with_strategy(side, "broadcast", max_broadcast_rows=100, max_broadcast_bytes=100 * 100) is not side
 
 
-def test_salted_site_copies_never_broadcast(spark):
-    # The planner's size estimate of exploded copies ignores the explode: the
-    # salted joins of the nearest search must plan a shuffle join even when a
-    # small Parquet file feeds them.
-    from metrolens.operators.nearest import _salted_join
-    from metrolens.session import materialize
-
-    cells = materialize(spark.createDataFrame([(0, 0, 1.0, 2.0)], "pci long, pcj long, slat double, slon double"), "probe-cells")
-    points = spark.createDataFrame([(1.0, 2.0, 0, 0)], "lat double, lon double, pci long, pcj long")
-    joined = _salted_join(points, cells, ["pci", "pcj"], 1)
-    plan = plan_text(joined)
-    # The only broadcast is the size-checked lookup of hot keys (a left join).
-    assert "SortMergeJoin Inner" in plan and "BroadcastHashJoin Inner" not in plan
-
-
 def test_empty_side_fits_broadcast(spark):
     from metrolens.operators.joins import fits_broadcast
 
