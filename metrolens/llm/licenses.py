@@ -130,25 +130,23 @@ def scan(
         F.monotonically_increasing_id().alias("row"),
         F.col(f"`{id_col}`").alias("id"),
         words_of(F.col(f"`{text_col}`")).alias("__words"),
-    )
+    ).withColumn("n_words", F.size("__words"))
     first, second = F.get(words, pos), F.get(words, pos + 1)
-    places = F.sequence(F.lit(-1), F.greatest(F.size("__words") - 2, F.lit(-1)))
-    grams = tokens.select("row", "id", "__words", F.explode(places).alias("__pos")).withColumn("__gram", F.when(pos < 0, F.lit(0).cast("long")).otherwise(F.xxhash64(first, second)))
+    places = F.sequence(F.lit(-1), F.greatest(F.col("n_words") - 2, F.lit(-1)))
+    gram = F.when(pos < 0, F.lit(0).cast("long")).otherwise(F.xxhash64(first, second))
+    grams = tokens.select("*", F.explode(places).alias("__pos")).withColumn("__gram", gram)
     same = (F.col("__gram") == F.col("gram")) & (
         ((pos < 0) & (F.col("template") < 0)) | ((pos >= 0) & (first == F.col("first")) & (second == F.col("second")))
     )
+    kind = ("label", "exact", "grams", "words")  # of a template
     votes = (
         grams.join(F.broadcast(templates), same)
-        .groupBy("row", "id", "template", (pos - F.col("spot")).alias("diagonal"))
+        .select("row", "id", "n_words", "template", *kind, "spot", "__pos", (pos - F.col("spot")).alias("diagonal"))
+        .groupBy("row", "id", "n_words", "template", *kind, "diagonal")
         .agg(
-            F.any_value("label").alias("label"),
-            F.any_value("exact").alias("exact"),
-            F.any_value("grams").alias("grams"),
-            F.any_value("words").alias("words"),
             F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("spot"))).alias("found"),
             F.min("__pos").alias("low"),
             F.max("__pos").alias("high"),
-            F.max(F.size("__words")).alias("n_words"),
         )
     )
     # A phrase stands where one diagonal has all its bigrams; a notice's lone votes are chance meetings.
@@ -163,15 +161,11 @@ def scan(
     spans = (
         seeds.withColumn("new", new.cast("int"))
         .withColumn("span", F.sum("new").over(along))
-        .groupBy("row", "id", "template", "span")
+        .groupBy("row", "id", "n_words", "template", *kind, "span")
         .agg(
-            F.any_value("label").alias("label"),
-            F.any_value("exact").alias("exact"),
-            F.any_value("words").alias("words"),
-            (F.bit_count(F.bit_or("found")) / F.greatest(F.any_value("grams"), F.lit(1))).alias("cover"),
+            (F.bit_count(F.bit_or("found")) / F.greatest(F.col("grams"), F.lit(1))).alias("cover"),
             F.min("low").alias("start"),
             (F.max("high") + 2).alias("stop"),
-            F.max("n_words").alias("n_words"),
         )
     )
     verified = (
@@ -187,9 +181,9 @@ def scan(
     )
 
 
-def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: words, places of the base phrases and labels of every document."""
-    spans = scan(table(spark, sf_dir, "documents"))
+def label_documents(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: words, places of phrases, labels and the best cover (see :func:`scan`)."""
+    spans = scan(docs, **options)
     joined = lambda names: F.array_join(F.array_sort(names), ",")
     return (
         spans.groupBy("row", "id")
@@ -208,6 +202,11 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract query: words, places of the base phrases and labels of every document."""
+    return label_documents(table(spark, sf_dir, "documents"))
+
+
 def oracle_sql() -> str:
     """The same scan in DuckDB SQL, joined on the words themselves."""
     return rf"""
