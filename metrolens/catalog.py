@@ -449,7 +449,12 @@ def q_split_fields(spark, sf_dir):
 
 
 def _write_blocks(spark, sf_dir, layout: str) -> str:
-    return write_geojson(blocks(spark, sf_dir), staging_path(spark, f"blocks-{layout}"), "zcta", "pop", layout)
+    b = blocks(spark, sf_dir)
+    # Some ZIPs as JSON numbers, as in the source: a VARIANT keeps each value's own type.
+    number = (F.col("pop") % 2 == 1) & F.col("zcta").isNotNull()
+    zcta = F.when(number, F.col("zcta").cast("bigint").cast("variant")).otherwise(F.col("zcta").cast("variant"))
+    properties = b.select(zcta.alias("ZCTA20"), F.col("pop").alias("POP20"))
+    return write_geojson(properties, staging_path(spark, f"blocks-{layout}"), layout)
 
 
 def q_geojson_features(spark, sf_dir):

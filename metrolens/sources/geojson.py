@@ -1,62 +1,113 @@
 """GeoJSON FeatureCollections as distributed DataFrames.
 
-Two layouts are read:
+Three layouts are read:
 
 * ``"document"``: each file is one FeatureCollection (pretty or single-line).
   The JSON reader parses it with ``multiLine`` and ``inline(features)`` turns
   the array into rows. A multi-line document cannot be split, so one file is
   one task: write many files (see :func:`write_geojson`) rather than one.
-* ``"lines"``: one feature per line (header and footer lines allowed). Lines
+* ``"lines"``: one feature per line, between a header and a footer line. Lines
   are read as text, trailing commas removed and parsed with ``from_json``; the
   files split freely across tasks. A line holding a whole single-line
   FeatureCollection is expanded too.
 * ``"split"``: a large FeatureCollection document of any line layout, read as
   text across many tasks (see :func:`_features_from_split_text`).
 
-Nothing is collected to the driver.
+A file that is cut off, or is not in the stated layout, fails the query: no
+layout returns part of a document. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from metrolens.session import materialize
 
 LAYOUTS = ("document", "lines", "split")
 
+# Offsets of file blocks (one row per block) are broadcast up to this many, else joined by shuffle.
+MAX_BROADCAST_BLOCKS = 200_000
+
 
 def _feature_type(properties_type: str) -> str:
     return f"struct<type:string, geometry:struct<type:string>, properties:{properties_type}>"
 
 
-def _properties_struct(props: Sequence[str]) -> str:
-    # Declared as STRING: the JSON reader keeps numbers as their text, so
-    # 90001 and "90001" both arrive as '90001'; cast afterwards with try_cast.
-    return "struct<" + ", ".join(f"`{p}`:string" for p in props) + ">"
+def _fail(message: str, kind: DataType | str = "boolean") -> Column:
+    # The UUID makes it non-deterministic: the optimizer then neither moves later
+    # filters below the check nor the check below filters that it relies on.
+    return F.raise_error(F.concat(F.lit(message + ", check "), F.uuid())).cast(kind)
+
+
+def _holds(condition: Column, message: str) -> Column:
+    """True where ``condition`` holds; anywhere else the query fails."""
+    return F.when(condition, F.lit(True)).otherwise(_fail(message))
+
+
+def _features_from_document(spark: SparkSession, paths: Sequence[str], properties_type: str) -> DataFrame:
+    schema = f"type string, features array<{_feature_type(properties_type)}>"
+    docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(list(paths))
+    whole = (F.col("type") == "FeatureCollection") & F.col("features").isNotNull()
+    return docs.filter(_holds(F.coalesce(whole, F.lit(False)), "not a FeatureCollection document")).selectExpr(
+        "inline(features)"
+    )
+
+
+# First and last line of the "lines" layout.
+_HEADER = r'^\{(?=.*"type"\s*:\s*"FeatureCollection").*"features"\s*:\s*\[$'
+_FOOTER = r"^\](?:\s*,.*)?\}$"
 
 
-def _features_from_lines(lines: DataFrame, properties_type: str) -> DataFrame:
+def _features_from_lines(lines: DataFrame, properties_type: str, file: Column | None = None) -> DataFrame:
+    """Features of lines of text; ``file`` names the file of each, whose header
+    and footer must then match."""
     value = F.regexp_replace(F.trim(F.col("value")), r"^,+|,+$", "")
     schema = (
         f"struct<type:string, geometry:struct<type:string>, properties:{properties_type}, "
-        f"features:array<{_feature_type(properties_type)}>>"
+        f"features:array<{_feature_type(properties_type)}>, broken:string>"
+    )
+    named = lines.select(value.alias("v"), (F.lit("") if file is None else file).alias("file"))
+    told = named.filter(F.col("v") != "").select(
+        "v",
+        "file",
+        F.col("v").rlike(_HEADER).alias("header"),
+        F.col("v").rlike(_FOOTER).alias("footer"),
+    )
+    parsed = told.filter(~F.col("header") & ~F.col("footer")).select(
+        F.from_json("v", schema, {"columnNameOfCorruptRecord": "broken"}).alias("j")
     )
-    parsed = lines.select(F.from_json(value, schema).alias("j")).filter(F.col("j").isNotNull())
     one = F.struct(
         F.col("j.type").alias("type"), F.col("j.geometry").alias("geometry"), F.col("j.properties").alias("properties")
     )
-    return parsed.select(
-        F.explode(
-            F.when(F.col("j.type") == "Feature", F.array(one))
-            .when(F.col("j.type") == "FeatureCollection", F.col("j.features"))
-        ).alias("f")
-    ).select("f.*")
+    whole = F.col("j.broken").isNull()
+    features = (
+        F.when(whole & (F.col("j.type") == "Feature"), F.array(one))
+        .when(whole & (F.col("j.type") == "FeatureCollection") & F.col("j.features").isNotNull(), F.col("j.features"))
+        .otherwise(_fail("a line is neither a feature nor a collection", f"array<{_feature_type(properties_type)}>"))
+    )
+    found = parsed.select(F.explode(features).alias("f")).select("f.*")
+    if file is None:
+        return found
+    # A cut-off file misses its footer. This branch yields no rows; it fails or is empty.
+    ends = (
+        told.filter("header OR footer")
+        .groupBy("file")
+        .agg(F.count_if("header").alias("opened"), F.count_if("footer").alias("closed"))
+        .filter(~_holds(F.col("opened") == F.col("closed"), "a collection is not closed"))
+    )
+    # Not a constant null: filters over that would remove the branch with its check.
+    null = F.when(F.col("opened") < 0, F.col("file"))
+    nothing = [
+        (null if f.dataType.typeName() == "string" else F.from_json(null, f.dataType)).alias(f.name)
+        for f in found.schema.fields
+    ]
+    return found.unionByName(ends.select(*nothing))
 
 
 def read_features(
@@ -69,62 +120,72 @@ def read_features(
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    feature_type = _feature_type(properties_type)
     if layout == "document":
-        docs = spark.read.schema(f"type string, features array<{feature_type}>").option("multiLine", True).json(paths)
-        return docs.filter(F.col("type") == "FeatureCollection").selectExpr("inline(features)")
+        return _features_from_document(spark, paths, properties_type)
     if layout == "split":
         return _features_from_split_text(spark, paths, properties_type)
-    return _features_from_lines(spark.read.text(paths), properties_type)
+    return _features_from_lines(spark.read.text(paths), properties_type, F.col("_metadata.file_path"))
 
 
-# A JSON string literal, or one bracket. JSON strings hold no raw line breaks,
-# so every line tokenizes on its own.
-_STRING = r'"(?:[^"\\]|\\.)*"'
-_TOKENS = re.compile(_STRING + r"|[\[\]{}]")
+# A JSON string literal or one bracket, for the cutting pass. JSON strings hold
+# no raw line breaks, so every line tokenizes on its own.
+_TOKENS = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}]')
 
-# Depth of a feature object's members: inside the root object (1), its
-# "features" array (2) and the feature itself (3).
+# Depth at which features open: inside the root object (1) and its "features" array (2).
 _FEATURE_DEPTH = 2
 
 
 def _bracket_delta(line: Column) -> Column:
-    """Opening minus closing brackets outside string literals."""
-    bare = F.regexp_replace(line, _STRING, "")
+    """Opening minus closing brackets outside string literals.
+
+    Two passes without a repeated group, so that the length of a string does
+    not matter: first the escapes go, then the strings."""
+    bare = F.regexp_replace(F.regexp_replace(line, r"\\.", ""), r'"[^"]*"', "")
     opens = F.length(bare) - F.length(F.regexp_replace(bare, r"[\[{]", ""))
     closes = F.length(bare) - F.length(F.regexp_replace(bare, r"[\]}]", ""))
     return (opens - closes).cast("bigint")
 
 
+_CUT = "file string, block bigint, mid bigint, piece int, kind string, member string, text string"
+
+
 def _cut_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Walk each file block's lines in order from the depth at its start and
-    cut out the objects that open at depth 2 (the features).
-
-    Emits ``whole`` for a feature inside the block, ``head`` for one that
-    opens here and runs past the block end, ``tail`` for the end of one that
-    opened in an earlier block, and ``body`` for a block lying wholly inside
-    one feature. Heads are keyed (mid, piece >= 0) by where they open; tails
-    and bodies take piece -1, so they sort before any head of their block."""
-    columns = ["file", "block", "mid", "piece", "kind", "text"]
+    cut out the objects that open at depth 2.
+
+    Emits ``whole`` for an object inside the block, ``head`` for one that opens
+    here and runs past the block end, ``tail`` for the end of one that opened in
+    an earlier block, ``body`` for a block lying wholly inside one, and
+    ``member`` (with the name) for every array or object that opens inside the
+    root. ``member`` of an object is the name of the array that holds it, or
+    None when that array opened in an earlier block. Heads are keyed (mid,
+    piece >= 0) by where they open; tails and bodies take piece -1, so they sort
+    before any head of their block."""
+    columns = ["file", "block", "mid", "piece", "kind", "member", "text"]
     block = None
     depth = 0
-    inside = False  # within a feature object
+    inside = False  # within an object that opened at depth 2
     opened_here = False
     parts: list[str] = []
     start_key = (0, 0)
     last_mid = None
+    name = None  # last string seen inside the root
+    member = None  # array or object of the root that is open, as far as this block knows
+    own = None  # member that held the object now open
     out: list[tuple] = []
 
     def close_block():
         if block is not None and inside and depth > _FEATURE_DEPTH:
             mid, piece = start_key if opened_here else (last_mid, -1)
-            out.append((block[0], block[1], mid, piece, "head" if opened_here else "body", "\n".join(parts)))
+            kind = "head" if opened_here else "body"
+            out.append((block[0], block[1], mid, piece, kind, own, "\n".join(parts)))
 
     for batch in batches:
         for value, file, blk, mid, d0 in zip(batch["value"], batch["file"], batch["block"], batch["mid"], batch["d0"]):
             if block != (file, blk):
                 close_block()
                 block, depth, parts, opened_here, last_mid = (file, blk), int(d0), [], False, None
+                name = member = own = None
                 inside = depth > _FEATURE_DEPTH
             elif mid <= last_mid:
                 raise RuntimeError("lines of a file block arrived out of order")
@@ -135,10 +196,14 @@ def _cut_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for m in _TOKENS.finditer(value):
                 ch = m.group()
                 if ch in "{[":
-                    if depth == _FEATURE_DEPTH:
+                    if depth == 1:
+                        member = name or ""
+                        out.append((file, blk, mid, piece, "member", member, None))
+                        piece += 1
+                    elif depth == _FEATURE_DEPTH:
                         inside = ch == "{"
                         if inside:
-                            seg, opened_here, start_key, parts = m.start(), True, (mid, piece), []
+                            seg, opened_here, start_key, parts, own = m.start(), True, (mid, piece), [], member
                             piece += 1
                     depth += 1
                 elif ch in "}]":
@@ -146,10 +211,12 @@ def _cut_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if depth == _FEATURE_DEPTH and inside:
                         parts.append(value[seg : m.end()])
                         if opened_here:
-                            out.append((file, blk, start_key[0], start_key[1], "whole", "\n".join(parts)))
+                            out.append((file, blk, start_key[0], start_key[1], "whole", own, "\n".join(parts)))
                         else:
-                            out.append((file, blk, mid, -1, "tail", "\n".join(parts)))
+                            out.append((file, blk, mid, -1, "tail", None, "\n".join(parts)))
                         inside, opened_here, parts = False, False, []
+                elif depth == 1:
+                    name = ch[1:-1]
             if inside and depth > _FEATURE_DEPTH:
                 parts.append(value[seg:])
         if out:
@@ -164,17 +231,18 @@ def _features_from_split_text(spark: SparkSession, paths: Sequence[str], propert
     """Features of FeatureCollection documents read as text, split across tasks.
 
     1. Every line gets its bracket balance (JVM-side); one row per file block
-       sums it, and a running sum over a file's blocks (one row per block, a
-       bounded table that is broadcast) gives the depth at each block start.
+       sums it, and a running sum over a file's blocks (rows without text) gives
+       the depth at each block start. A file that does not end at depth 0 fails.
     2. An Arrow-batched pass walks each block's lines in scan order and cuts
-       out the features (objects opening at depth 2); a feature inside one
-       block needs nothing more, so no text is shuffled for it.
-    3. Only the pieces of features that cross a block boundary (at most a
-       head and a tail per block, or a body for a block inside one feature)
-       are keyed to the head they follow and joined in order.
-
-    The cut features are written under the shared checkpoint folder, so this
-    layout runs one job when the DataFrame is built.
+       out the objects that open at depth 2, with the root member that holds
+       them; one inside a block needs nothing more, so no text is shuffled for it.
+    3. Pieces of objects that cross a block boundary (at most a head and a tail
+       per block, or a body for a block inside one) are numbered over rows
+       without text, and their texts joined and put together by that number.
+
+    Only objects of the root's ``features`` array are returned. The block
+    offsets and the cut objects are written under the shared checkpoint folder,
+    so this layout runs jobs when the DataFrame is built.
     """
     lines = spark.read.text(list(paths)).select(
         "value",
@@ -183,40 +251,84 @@ def _features_from_split_text(spark: SparkSession, paths: Sequence[str], propert
         F.monotonically_increasing_id().alias("mid"),
     )
     per_block = lines.groupBy("file", "block").agg(F.sum(_bracket_delta(F.col("value"))).alias("delta"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_block.select("file", "block", F.coalesce(F.sum("delta").over(earlier), F.lit(0)).cast("bigint").alias("d0"))
-    # The scan side streams through the broadcast join, so each block's lines
-    # keep their order (the cutting pass checks it).
-    cut = lines.join(F.broadcast(starts), ["file", "block"]).select("value", "file", "block", "mid", "d0").mapInPandas(
-        _cut_features, "file string, block bigint, mid bigint, piece int, kind string, text string"
+    in_order = Window.partitionBy("file").orderBy("block")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    starts = per_block.select(
+        "file",
+        "block",
+        (F.sum("delta").over(upto) - F.col("delta")).alias("d0"),
+        F.sum("delta").over(upto).alias("d1"),
+        F.lead("block").over(in_order).isNull().alias("last"),
+    )
+    balanced = F.when(F.col("last"), F.col("d1") == 0).otherwise(F.col("d1") >= 0)
+    starts = materialize(
+        starts.filter(_holds(balanced, "a document is cut off")).select("file", "block", "d0"), "geojson-blocks"
     )
-    # Written once (runs the cutting pass once, cuts lineage); both uses
-    # below read it, and row groups of whole features alone are skipped by
-    # the pieces' filter on their statistics.
+    if starts.count() <= MAX_BROADCAST_BLOCKS:
+        # The scan streams through a broadcast join, so a block's lines keep their order (the cutting pass checks it).
+        placed = lines.join(F.broadcast(starts), ["file", "block"])
+    else:
+        placed = lines.join(starts, ["file", "block"]).sortWithinPartitions("file", "block", "mid")
+    cut = placed.select("value", "file", "block", "mid", "d0").mapInPandas(_cut_features, _CUT)
+    # Written once (runs the cutting pass once, cuts lineage); the uses below read it without the text.
     cut = materialize(cut, "geojson-cut")
-    whole = cut.filter(F.col("kind") == "whole").select("text")
-    order = Window.partitionBy("file").orderBy("block", "mid", "piece")
-    head_key = F.when(F.col("kind") == "head", F.struct("block", "mid", "piece"))
-    pieces = cut.filter(F.col("kind") != "whole").withColumn(
-        "feature", F.last(head_key, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+
+    place = Window.partitionBy("file").orderBy("block", "mid", "piece").rowsBetween(Window.unboundedPreceding, 0)
+    is_head = F.col("kind") == "head"
+    # Per block: pieces and members, a few rows without text. Each takes the head and the member it follows.
+    told = cut.filter("kind <> 'whole'").select(
+        "file",
+        "block",
+        "mid",
+        "piece",
+        "kind",
+        F.last(F.when(is_head, F.struct("block", "mid", "piece")), ignorenulls=True).over(place).alias("feature"),
+        F.last("member", ignorenulls=True).over(place).alias("within"),
     )
-    stitched = pieces.groupBy("file", "feature").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("block", "mid", "piece", "text"))), lambda p: p["text"]), "\n"
-        ).alias("text")
+    # What a block starts in: the member that was open at the end of the last block that names one.
+    ends = told.groupBy("file", "block").agg(F.max_by("within", F.struct("mid", "piece")).alias("within"))
+    known = per_block_members(starts, ends)
+    whole = (
+        cut.filter("kind = 'whole'")
+        .select("file", "block", "member", "text")
+        .join(known, ["file", "block"])
+        .filter(F.coalesce("member", "within") == "features")
+        .select("text")
+    )
+    pieces = told.filter("kind IN ('head', 'tail', 'body')").drop("kind")
+    texts = cut.filter("kind IN ('head', 'tail', 'body')").select("file", "block", "mid", "piece", "text")
+    headed = pieces.withColumnRenamed("within", "of").join(texts, ["file", "block", "mid", "piece"])
+    parts = F.array_sort(F.collect_list(F.struct("block", "mid", "piece", "text", "of")))
+    stitched = (
+        headed.groupBy("file", "feature")
+        .agg(parts.alias("parts"))
+        .filter(F.col("parts")[0]["of"] == "features")
+        .select(F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
+    )
+    schema = f"struct<type:string, geometry:struct<type:string>, properties:{properties_type}, broken:string>"
+    parsed = whole.unionByName(stitched).select(
+        F.from_json("text", schema, {"columnNameOfCorruptRecord": "broken"}).alias("f")
+    )
+    sound = F.coalesce(F.col("f.broken").isNull() & (F.col("f.type") == "Feature"), F.lit(False))
+    checked = F.when(sound, F.col("f")).otherwise(_fail("a member of features is no feature", parsed.schema["f"].dataType))
+    return parsed.select(checked.alias("f")).select("f.type", "f.geometry", "f.properties")
+
+
+def per_block_members(starts: DataFrame, ends: DataFrame) -> DataFrame:
+    """``(file, block, within)``: the root member that is open where each block starts."""
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        starts.select("file", "block")
+        .join(ends, ["file", "block"], "left")
+        .select("file", "block", F.last("within", ignorenulls=True).over(before).alias("within"))
     )
-    texts = whole.unionByName(stitched.select("text"))
-    parsed = texts.select(F.from_json("text", _feature_type(properties_type)).alias("f"))
-    return parsed.filter(F.col("f.type") == "Feature").select("f.*")
 
 
 def parse_geojson(df: DataFrame, column: str, props: Sequence[str]) -> DataFrame:
-    """Features from a string column holding FeatureCollection documents or single features."""
-    return _features_from_lines(df.select(F.col(column).alias("value")), _properties_struct(props))
-
-
-def _truthy_text(c: Column) -> Column:
-    return c.isNotNull() & (c != "")
+    """Features from a string column holding FeatureCollection documents or single features;
+    the properties come as text."""
+    fields = ", ".join(f"`{p}`:string" for p in props)
+    return _features_from_lines(df.select(F.col(column).alias("value")), f"struct<{fields}>")
 
 
 def to_int(c: Column) -> Column:
@@ -224,6 +336,20 @@ def to_int(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
 
 
+def truthy(value: Column) -> Column:
+    """Whether a VARIANT value counts as given: not missing, null, false, a zero or empty."""
+    kind = F.schema_of_variant(value)
+    text = value.try_cast("string")
+    empty = (
+        F.when(kind == "VOID", F.lit(True))
+        .when(kind == "STRING", text == "")
+        .when(kind == "BOOLEAN", text == "false")
+        .when(kind.rlike("^(ARRAY|OBJECT)<"), F.to_json(value).isin("[]", "{}"))
+        .otherwise(text.try_cast("double") == 0.0)
+    )
+    return value.isNotNull() & ~F.coalesce(empty, F.lit(False))
+
+
 def feature_points(
     features: DataFrame,
     key_prop: str,
@@ -231,14 +357,26 @@ def feature_points(
     key_name: str = "zipcode",
     value_name: str = "population",
 ) -> DataFrame:
-    """(key, value) per feature, dropping falsy keys (NULL, '') and falsy values (NULL, 0)."""
-    key = F.col(f"properties.`{key_prop}`")
-    value = to_int(F.col(f"properties.`{value_prop}`"))
-    return features.select(key.alias(key_name), value.alias(value_name)).filter(
-        _truthy_text(F.col(key_name)) & F.col(value_name).isNotNull() & (F.col(value_name) != 0)
+    """(key, value) per feature whose key and value are both truthy as JSON values.
+
+    ``features`` has the properties as raw JSON text: a number 0 is dropped, the
+    text "0" is not, and 0.5 is kept as 0, like any number truncated."""
+    given = features.select(F.try_parse_json("properties").alias("p"))
+    key = F.try_variant_get("p", f"$[{_quoted(key_prop)}]", "variant")
+    value = F.try_variant_get("p", f"$[{_quoted(value_prop)}]", "variant")
+    both = given.select(key.alias("k"), value.alias("v")).filter(truthy(F.col("k")) & truthy(F.col("v")))
+    number = F.when(F.col("v").try_cast("string") == "true", F.lit(1)).otherwise(to_int(F.col("v").try_cast("string")))
+    return both.select(F.col("k").try_cast("string").alias(key_name), number.alias(value_name)).filter(
+        F.col(key_name).isNotNull() & F.col(value_name).isNotNull()
     )
 
 
+def _quoted(name: str) -> str:
+    if "'" in name or "\\" in name:
+        raise ValueError(f"a property name without quotes and backslashes is expected, not {name!r}")
+    return f"'{name}'"
+
+
 def read_geojson(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -249,7 +387,8 @@ def read_geojson(
     value_name: str = "population",
 ) -> DataFrame:
     """(zipcode, population) rows of a census-block FeatureCollection."""
-    features = read_features(spark, paths, _properties_struct([key_prop, value_prop]), layout)
+    # A STRING field receives the raw JSON text of the properties object.
+    features = read_features(spark, paths, "string", layout)
     return feature_points(features, key_prop, value_prop, key_name, value_name)
 
 
@@ -280,50 +419,35 @@ def profile_geojson(spark: SparkSession, paths: str | Sequence[str], layout: str
     return kinds.unionByName(props)
 
 
-def _feature_json(zip_value, pop_value) -> dict:
-    if zip_value is None:
-        zcta = None
-    elif pop_value is not None and pop_value % 2 == 1 and str(zip_value).isdigit():
-        zcta = int(zip_value)  # odd populations render the ZIP as a JSON number
-    else:
-        zcta = str(zip_value)
-    return {
-        "type": "Feature",
-        "geometry": {"type": "Polygon", "coordinates": []},
-        "properties": {"ZCTA20": zcta, "POP20": None if pop_value is None else int(pop_value)},
-    }
-
+def write_geojson(df: DataFrame, path: str, layout: str = "lines") -> str:
+    """Write rows as GeoJSON polygons without coordinates whose properties are
+    the columns of ``df`` (NULL properties are written as null).
 
-def write_geojson(df: DataFrame, path: str, key_col: str, value_col: str, layout: str = "lines") -> str:
-    """Write ``(key, value)`` rows as GeoJSON: one FeatureCollection per output
-    file (one per partition), so readers of either layout split the work by file.
-
-    ``layout="lines"`` writes one feature per line; ``"pretty"`` indents.
-    Per-partition work is a generator over Arrow batches (bounded memory).
+    Every output file (one per partition) is one FeatureCollection, so readers
+    of either layout split the work by file. ``layout="lines"`` writes one
+    feature per line; ``"pretty"`` indents. The features are rendered by
+    ``to_json``; a small streaming pass only adds header, commas and footer.
     """
     if layout not in ("lines", "pretty"):
         raise ValueError("layout must be 'lines' or 'pretty'")
-    indent = 2 if layout == "pretty" else None
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.array().cast("array<string>").alias("coordinates"))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        geometry.alias("geometry"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("properties"),
+    )
+    options = {"ignoreNullFields": "false", "pretty": str(layout == "pretty").lower()}
+    rendered = df.select(F.to_json(feature, options).alias("value"))
 
-    def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lines = ['{"type": "FeatureCollection", "features": [']
-        previous = None
+    def frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": ['{"type": "FeatureCollection", "features": [']})
+        held = None
         for batch in batches:
-            out = []
-            for k, v in zip(batch[key_col], batch[value_col]):
-                k = None if pd.isna(k) else k
-                v = None if pd.isna(v) else int(v)
-                text = json.dumps(_feature_json(k, v), indent=indent)
-                if previous is not None:
-                    out.append(previous + ",")
-                previous = text
-            if lines:
-                out = lines + out
-                lines = []
-            if out:
-                yield pd.DataFrame({"value": out})
-        tail = ([previous] if previous is not None else []) + ["]}"]
-        yield pd.DataFrame({"value": (lines + tail) if lines else tail})
-
-    df.select(key_col, value_col).mapInPandas(render, "value string").write.mode("overwrite").text(path)
+            texts = ([held] if held is not None else []) + batch["value"].tolist()
+            held = texts.pop() if texts else None
+            if texts:
+                yield pd.DataFrame({"value": [t + "," for t in texts]})
+        yield pd.DataFrame({"value": ([held] if held is not None else []) + ["]}"]})
+
+    rendered.mapInPandas(frame, "value string").write.mode("overwrite").text(path)
     return path

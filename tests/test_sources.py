@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from metrolens.session import staging_path
@@ -31,6 +32,12 @@ FEATURES = [
     {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"POP20": 7}},
     {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": "90003", "POP20": None}},
     {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": "90003"}},
+    {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": 0, "POP20": 3}},
+    {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": "90004", "POP20": "0"}},
+    {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": "90005", "POP20": 0.5}},
+    {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": "90006", "POP20": 0.0}},
+    {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": False, "POP20": 4}},
+    {"type": "Feature", "geometry": {"type": "Polygon"}, "properties": {"ZCTA20": "90007", "POP20": []}},
 ]
 
 
@@ -41,7 +48,7 @@ def test_geojson_layouts(spark):
     single = _write(base + "/single", "a.geojson", json.dumps(doc))
     lines = '{"type": "FeatureCollection", "features": [\n' + ",\n".join(json.dumps(f) for f in FEATURES) + "\n]}\n"
     per_line = _write(base + "/lines", "a.geojson", lines)
-    expected = [("90001", 5), ("90001", 12)]
+    expected = [("90001", 5), ("90001", 12), ("90004", 0), ("90005", 0)]
     cases = [(pretty, "document"), (single, "document"), (per_line, "lines"), (single, "lines")]
     cases += [(pretty, "split"), (single, "split"), (per_line, "split")]
     for path, layout in cases:
@@ -134,15 +141,16 @@ def test_geojson_profile_mixed_types(spark):
     lines = '{"type": "FeatureCollection", "features": [\n' + ",\n".join(json.dumps(f) for f in FEATURES) + "\n]}\n"
     path = _write(base, "a.geojson", lines)
     got = {(r.kind, r.name, r.value_type): r.features for r in profile_geojson(spark, path, layout="lines").collect()}
-    assert got[("feature_type", "Feature", None)] == 8
-    assert got[("geometry_type", "Polygon", None)] == 8
-    # ZCTA20: strings in features 1, 3, 4, 7, 8; a number in 2; null in 5; absent in 6.
-    assert got[("property", "ZCTA20", "STRING")] == 5
-    assert got[("property", "ZCTA20", "BIGINT")] == 1
+    assert got[("feature_type", "Feature", None)] == 14
+    assert got[("geometry_type", "Polygon", None)] == 14
+    # ZCTA20: strings in features 1, 3, 4, 7, 8, 10, 11, 12, 14; numbers in 2 and 9; null in 5; absent in 6.
+    assert got[("property", "ZCTA20", "STRING")] == 9
+    assert got[("property", "ZCTA20", "BIGINT")] == 2
     assert got[("property", "ZCTA20", "VOID")] == 1
-    # POP20: numbers in 1, 3, 4, 5, 6; a string in 2; null in 7; absent in 8.
-    assert got[("property", "POP20", "BIGINT")] == 5
-    assert got[("property", "POP20", "STRING")] == 1
+    assert got[("property", "ZCTA20", "BOOLEAN")] == 1
+    # POP20: whole numbers in 1, 3, 4, 5, 6, 9, 13; strings in 2 and 10; null in 7; absent in 8.
+    assert got[("property", "POP20", "BIGINT")] == 7
+    assert got[("property", "POP20", "STRING")] == 2
     assert got[("property", "POP20", "VOID")] == 1
 
 
@@ -168,3 +176,80 @@ def test_geojson_profile_same_over_all_layouts(spark):
     want = prof(lines, "lines")
     assert prof(pretty, "document") == want
     assert prof(pretty, "split") == want
+
+
+def _feature(i):
+    return {"type": "Feature", "geometry": {"type": "Point"}, "properties": {"ZCTA20": str(90000 + i), "POP20": i + 1}}
+
+
+@pytest.mark.parametrize("layout", ["document", "lines", "split"])
+@pytest.mark.parametrize("cut", [0.5, 0.98, "footer"])
+def test_cut_off_geojson_fails(spark, layout, cut):
+    base = _local(spark, "geojson-cut-off")
+    doc = {"type": "FeatureCollection", "features": [_feature(i) for i in range(50)]}
+    lines = '{"type": "FeatureCollection", "features": [\n' + ",\n".join(map(json.dumps, doc["features"])) + "\n]}\n"
+    text = lines if layout == "lines" else json.dumps(doc, indent=1)
+    assert read_geojson(spark, _write(base + "/whole", "a.geojson", text), layout=layout).count() == 50
+    end = text.rindex("]") if cut == "footer" else int(len(text) * cut)
+    path = _write(base + "/part", "a.geojson", text[:end])
+    with pytest.raises(Exception, match="cut off|not closed|neither|JSON|malformed|Malformed"):
+        read_geojson(spark, path, layout=layout).collect()
+
+
+def test_geojson_in_another_layout_fails(spark):
+    base = _local(spark, "geojson-layout")
+    pretty = _write(base, "a.geojson", json.dumps({"type": "FeatureCollection", "features": [_feature(1)]}, indent=1))
+    other = _write(base + "/other", "b.geojson", json.dumps({"type": "Topology", "features": [_feature(1)]}))
+    with pytest.raises(Exception, match="neither a feature"):
+        read_geojson(spark, pretty, layout="lines").collect()
+    for layout in ("document", "lines"):
+        with pytest.raises(Exception, match="FeatureCollection|neither a feature"):
+            read_geojson(spark, other, layout=layout).collect()
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, '\\"{' * 300_000])
+def test_geojson_split_takes_long_strings(spark, text):
+    base = _local(spark, "geojson-long")
+    features = [_feature(1), _feature(2)]
+    features[0]["properties"]["note"] = text
+    path = _write(base, "a.geojson", json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    got = sorted(tuple(r) for r in read_geojson(spark, path, layout="split").collect())
+    assert got == [("90001", 2), ("90002", 3)]
+
+
+def test_geojson_split_reads_the_features_member_only(spark):
+    base = _local(spark, "geojson-members")
+    doc = {
+        "type": "FeatureCollection",
+        "meta": {"sample": _feature(90), "list": [_feature(91)]},
+        "old": [_feature(92)],
+        "features": [_feature(i) for i in range(40)],
+        "after": [_feature(93)],
+    }
+    path = _write(base, "a.geojson", json.dumps(doc, indent=1))
+    want = sorted((str(90000 + i), i + 1) for i in range(40))
+    for size in (1 << 20, 300):
+        old = _small_splits(spark, size)
+        try:
+            got = sorted(tuple(r) for r in read_geojson(spark, path, layout="split").collect())
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert got == want
+    assert sorted(tuple(r) for r in read_geojson(spark, path, layout="document").collect()) == want
+
+
+def test_geojson_split_by_shuffle_above_the_broadcast_bound(spark, monkeypatch):
+    from metrolens.sources import geojson
+
+    monkeypatch.setattr(geojson, "MAX_BROADCAST_BLOCKS", 0)
+    base = _local(spark, "geojson-shuffled")
+    doc = {"type": "FeatureCollection", "features": [_feature(i) for i in range(60)]}
+    path = _write(base, "a.geojson", json.dumps(doc, indent=1))
+    old = _small_splits(spark, 500)
+    try:
+        got = sorted(tuple(r) for r in read_geojson(spark, path, layout="split").collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted((str(90000 + i), i + 1) for i in range(60))
