@@ -28,25 +28,20 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--out", default=None, help="write the result as Parquet here")
     run.add_argument("--show", type=int, default=0, help="print this many rows")
     run.add_argument("--explain", action="store_true")
+    run.add_argument("--shuffle-gb", type=float, default=None, help="expected size of the largest shuffle, to size partitions")
+    run.add_argument("--cores", type=int, default=8, help="cores of the cluster (with --shuffle-gb)")
+    run.add_argument("--keep-staged", action="store_true", help="do not delete staged data after the run")
     args = parser.parse_args(argv)
 
     if args.command == "list":
         print("\n".join(sorted(QUERIES)))
         return 0
 
-    from pyspark.sql import SparkSession
-
     from metrolens.plans import plan_text
-    from metrolens.session import DEFAULT_CONF, build_session, checkpoint_dir
+    from metrolens.session import build_session, clear_staging, cluster_conf
 
-    if args.master:
-        spark = build_session(args.master)
-    else:
-        builder = SparkSession.builder.appName(f"metrolens-{args.key}")
-        for key, value in DEFAULT_CONF.items():
-            builder = builder.config(key, value)
-        spark = builder.getOrCreate()
-        checkpoint_dir(spark)
+    sized = cluster_conf(args.shuffle_gb * 1e9, args.cores) if args.shuffle_gb else None
+    spark = build_session(args.master, f"metrolens-{args.key}", extra_conf=sized)
     start = time.perf_counter()
     df = QUERIES[args.key](spark, args.sf_dir)
     if args.out:
@@ -58,6 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     print(f"{args.key}: {time.perf_counter() - start:.2f}s", file=sys.stderr)
     if args.explain:
         print(plan_text(df))
+    if not args.keep_staged:
+        clear_staging(spark)
     spark.stop()
     return 0
 

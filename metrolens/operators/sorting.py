@@ -12,7 +12,7 @@ from metrolens.session import materialize
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos", checkpoint: bool = True) -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") -> DataFrame:
     """Add the 1-based position of each row in the total order ``order``.
 
     No single-partition window: the data is range-partitioned and sorted by
@@ -23,9 +23,7 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos", che
     folder first, so both uses read the same row tags. ``order`` should
     be total (end with a unique key) for positions to be deterministic.
     """
-    tagged = df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id())
-    if checkpoint:
-        tagged = materialize(tagged, "position")
+    tagged = materialize(df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()), "position")
     tagged = tagged.withColumn("__part", F.shiftright(F.col("__mid"), _ROW_BITS))
     counts = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

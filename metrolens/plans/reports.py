@@ -1,9 +1,12 @@
-"""Measured comparisons: join strategies, file formats, API forms.
-
-Each report runs real jobs, so it is eager. Every variant gets one warm-up
-run and then ``repeats`` timed runs; the median is reported with the row
-count and, for strategies, the join operator that actually ran (read from
-AQE's final plan, not from the hint asked for).
+"""Measured comparisons: join strategies, file formats, API forms, conversions.
+
+Each report runs real jobs, so it is eager. A run is one aggregate over the
+query's result (row count and a checksum over all columns), so any result size
+works and nothing but that row reaches the driver. Every variant has a warm-up
+run and then at least three timed runs, in rotated order so that none always
+goes first; the median counts. The join operators are those of the plan that
+ran (AQE's final plan). Reports give the fastest variant and how many times its
+seconds each took, and whether each returned the same rows as the first.
 """
 
 from __future__ import annotations
@@ -11,90 +14,129 @@ from __future__ import annotations
 import statistics
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metrolens.plans.explain import executed_join_nodes
 
+REPEATS = 3
 
-def time_action(build: Callable[[], DataFrame | tuple[DataFrame, list[str]]]) -> tuple[DataFrame, int, float, list[str]]:
-    """Build the query and run it to completion; returns (df, rows, seconds, joins).
+REPORT_SCHEMA = (
+    "{label} string, join_node string, rows bigint, same boolean, seconds double, relative double, fastest boolean"
+)
 
-    ``build`` may return ``(df, joins)`` where ``joins`` names join operators
-    that ran in earlier jobs of the query (e.g. materialised levels). The
-    action is ``collect`` on the query's own plan, so the plan can be read
-    afterwards; reports are meant for bounded result tables (one row per ZIP,
-    per division, per time band).
-    """
-    start = time.perf_counter()
-    built = build()
-    df, joins = built if isinstance(built, tuple) else (built, [])
-    rows = len(df.collect())
-    return df, rows, time.perf_counter() - start, list(joins)
 
+@dataclass
+class Measured:
+    """What the runs of one variant gave."""
 
-def _measure(build: Callable, repeats: int, warmup: bool) -> tuple[DataFrame, int, float, list[str]]:
+    rows: int = 0
+    checksum: int = 0
+    joins: list[str] = field(default_factory=list)
+    seconds: list[float] = field(default_factory=list)
+
+
+def run_once(build: Callable[[], DataFrame]) -> tuple[int, int, list[str], float]:
+    """Build and run a query: rows, order-free checksum, join operators, seconds."""
+    start = time.perf_counter()
+    df = build()
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    # Two halves of the hash, so that the sums stay within a long at any size that ever runs.
+    low, high = digest.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftrightunsigned(digest, 33)
+    summed = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(low).alias("low"), F.sum(high).alias("high"))
+    (row,) = summed.collect()  # of this very plan, so that it can be read afterwards
+    seconds = time.perf_counter() - start
+    return row["rows"], hash((row["low"], row["high"])), executed_join_nodes(summed), seconds
+
+
+def measure(variants: dict[str, Callable[[], DataFrame]], repeats: int = REPEATS, warmup: bool = True) -> dict[str, Measured]:
+    """Run every variant ``repeats`` times, in an order that rotates each round."""
+    out = {name: Measured() for name in variants}
+    names = list(variants)
     if warmup:
-        time_action(build)
-    runs = [time_action(build) for _ in range(max(1, repeats))]
-    df, rows, _, joins = runs[-1]
-    return df, rows, statistics.median(r[2] for r in runs), joins
+        for name in names:
+            run_once(variants[name])
+    for turn in range(max(1, repeats)):
+        shift = turn % len(names)
+        for name in names[shift:] + names[:shift]:
+            rows, checksum, joins, seconds = run_once(variants[name])
+            held = out[name]
+            held.rows, held.checksum, held.joins = rows, checksum, list(dict.fromkeys(joins))
+            held.seconds.append(seconds)
+    return out
+
+
+def variant_report(
+    spark: SparkSession,
+    label: str,
+    variants: dict[str, Callable[[], DataFrame]],
+    repeats: int = REPEATS,
+    warmup: bool = True,
+) -> DataFrame:
+    """DataFrame(<label>, join_node, rows, same, seconds, relative, fastest) for named query builders."""
+    found = measure(variants, repeats, warmup)
+    medians = {name: statistics.median(m.seconds) for name, m in found.items()}
+    best = min(medians, key=medians.get)
+    first = next(iter(found.values()))
+    out = [
+        (
+            name,
+            ",".join(m.joins) or None,
+            m.rows,
+            (m.rows, m.checksum) == (first.rows, first.checksum),
+            medians[name],
+            medians[name] / medians[best],
+            name == best,
+        )
+        for name, m in found.items()
+    ]
+    return spark.createDataFrame(out, REPORT_SCHEMA.format(label=label))
 
 
 def strategy_report(
     spark: SparkSession,
     build: Callable[[str], DataFrame],
     strategies: Sequence[str],
-    repeats: int = 1,
+    repeats: int = REPEATS,
     warmup: bool = True,
     cache: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """DataFrame(strategy, join_node, rows, seconds) for ``build(strategy)``
-    (``build`` may return ``(df, joins_of_earlier_jobs)``).
+    """The same query under each join strategy.
 
-    DataFrames in ``cache`` (the join inputs) are persisted and counted
-    before timing, so every strategy starts from the same cached inputs, and
+    DataFrames in ``cache`` (the join inputs) are persisted and counted before
+    timing, so every strategy starts from the same cached inputs, and
     unpersisted afterwards.
     """
     for df in cache:
         df.persist(StorageLevel.MEMORY_AND_DISK)
         df.count()
     try:
-        out = []
-        for strategy in strategies:
-            df, rows, seconds, earlier = _measure(lambda s=strategy: build(s), repeats, warmup)
-            nodes = earlier + executed_join_nodes(df)
-            out.append((strategy, ",".join(nodes) if nodes else None, rows, float(seconds)))
+        return variant_report(spark, "strategy", {s: lambda s=s: build(s) for s in strategies}, repeats, warmup)
     finally:
         for df in cache:
             df.unpersist()
-    return spark.createDataFrame(out, "strategy string, join_node string, rows bigint, seconds double")
 
 
-def variant_report(
-    spark: SparkSession,
-    label: str,
-    variants: dict[str, Callable[[], DataFrame]],
-    repeats: int = 1,
-    warmup: bool = True,
-) -> DataFrame:
-    """DataFrame(<label>, rows, seconds) for named query builders."""
-    out = []
-    for name, build in variants.items():
-        _, rows, seconds, _ = _measure(build, repeats, warmup)
-        out.append((name, rows, float(seconds)))
-    return spark.createDataFrame(out, f"{label} string, rows bigint, seconds double")
-
-
-def format_report(spark: SparkSession, variants: dict[str, Callable[[], DataFrame]], repeats: int = 1) -> DataFrame:
+def format_report(spark: SparkSession, variants: dict[str, Callable[[], DataFrame]], repeats: int = REPEATS) -> DataFrame:
     """The same query over different source formats (each builder includes its read)."""
     return variant_report(spark, "format", variants, repeats)
 
 
-def api_report(spark: SparkSession, variants: dict[str, Callable[[], DataFrame]], repeats: int = 1) -> DataFrame:
-    """The same query written in different API forms (expression, UDF, SQL)."""
-    return variant_report(spark, "api", variants, repeats)
+def api_report(
+    spark: SparkSession, queries: dict[str, dict[str, Callable[[], DataFrame]]], repeats: int = REPEATS
+) -> DataFrame:
+    """Each query in its API forms: the columns of :func:`variant_report` after ``query``."""
+    reports = [
+        variant_report(spark, "api", forms, repeats).select(F.lit(query).alias("query"), "*")
+        for query, forms in queries.items()
+    ]
+    out = reports[0]
+    for report in reports[1:]:
+        out = out.unionByName(report)
+    return out
 
 
 def conversion_report(spark: SparkSession, convert: Callable[[], DataFrame], repeats: int = 1) -> DataFrame:

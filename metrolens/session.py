@@ -19,15 +19,25 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[8]",
+    master: str | None = "local[8]",
     app_name: str = "metrolens",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with AQE on and the UI off."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Create (or reuse) a session with AQE on and the UI off.
+
+    ``master=None`` takes what spark-submit provides. Without
+    ``shuffle_partitions`` a local master gets 8 and a cluster keeps its own
+    setting; size it with :func:`cluster_conf` (passed as ``extra_conf``).
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is None and master is not None and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -70,6 +80,16 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
 
 
+def clear_staging(spark: SparkSession) -> bool:
+    """Delete everything that this session staged under its checkpoint folder.
+
+    Call it when no DataFrame built on staged data is needed any more. Returns
+    whether there was anything to delete.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/staging")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and return
     the lazy read of it.
@@ -90,8 +110,9 @@ def materialize_observed(df: DataFrame, name: str, metrics: dict[str, Column]) -
     if metrics:
         observation = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
         df = df.observe(observation, *[expr.alias(key) for key, expr in metrics.items()])
+    schema = df.schema
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), (observation.get if observation else {})
+    return spark.read.schema(schema).parquet(path), (observation.get if observation else {})
 
 
 def cluster_conf(

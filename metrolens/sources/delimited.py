@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
-# A separator no text line contains: makes the CSV reader return whole lines.
-_NO_SEP = "\u0001"
+# What the CSV reader splits at when whole lines are wanted; a line that holds it comes back whole all the same.
+_RARE = "\u0001"
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -39,11 +39,16 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
     infer_schema: bool = False,
+    check_header: bool = True,
     **options: str,
 ) -> DataFrame:
-    """CSV scan. With ``schema`` (the default use) no inference pass runs and
-    the columns are bound by position; ``infer_schema=True`` is kept for profiling."""
+    """CSV scan. With ``schema`` (the default use) no inference pass runs. The
+    columns are bound by position, so a file whose header names others, or the
+    same in another order, fails the query unless ``check_header`` is off.
+    ``infer_schema=True`` is kept for profiling."""
     reader = spark.read.option("header", header).option("sep", sep)
+    if schema is not None and header and check_header:
+        reader = reader.option("enforceSchema", False)
     for key, value in options.items():
         reader = reader.option(key, value)
     if schema is not None:
@@ -66,7 +71,7 @@ def read_delimited(
     """
     names = list(names) if names else [f"_c{i}" for i in range(n_columns)]
     schema = StructType([StructField(n, StringType()) for n in names])
-    return read_csv(spark, paths, schema=schema, sep=sep)
+    return read_csv(spark, paths, schema=schema, sep=sep, check_header=False)
 
 
 def column_at(df: DataFrame, index: int) -> str:
@@ -78,6 +83,17 @@ def read_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(_paths(paths))
 
 
+def sample_lines(spark: SparkSession, paths: str | Sequence[str], n: int = 5, width: int = 200) -> DataFrame:
+    """The first ``width`` characters of ``n`` lines, for a look at an unknown
+    file: no order is asked for, so only as much is read as the lines need."""
+    return read_text(spark, paths).limit(n).select(F.substring("value", 1, width).alias("value"))
+
+
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows, unsorted (see ``limit_n`` for the first rows of an order)."""
+    return df.limit(n)
+
+
 def split_fields(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -99,15 +115,18 @@ def split_fields(
     if max(keep) >= min_fields:
         raise ValueError("keep positions must be below min_fields")
     names = list(names) if names else [f"f{i}" for i in keep]
-    # The CSV reader only skips blank lines and each file's header line; with a
-    # separator that never occurs and quoting off, every line is one raw field.
-    lines = (
-        spark.read.schema("line string")
+    # The CSV reader skips blank lines and each file's header line; with quoting
+    # off every line is one raw field. A line that does hold the separator has too
+    # many fields for the schema, and then the reader gives its text as it stands.
+    read = (
+        spark.read.schema("field string, whole string")
+        .option("columnNameOfCorruptRecord", "whole")
         .option("header", True)
-        .option("sep", _NO_SEP)
+        .option("sep", _RARE)
         .option("quote", "")
         .csv(_paths(paths))
     )
+    lines = read.select(F.coalesce("whole", "field").alias("line"))
     parts = F.split(F.col("line"), re.escape(sep), -1)
     return lines.filter(F.size(parts) >= min_fields).select(
         *[F.regexp_replace(F.element_at(parts, i + 1), r"^\s+|\s+$", "").alias(n) for i, n in zip(keep, names)]

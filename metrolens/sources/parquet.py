@@ -17,7 +17,13 @@ def to_parquet(
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
 ) -> str:
-    """Write ``df`` as Parquet; ``partition_by`` enables partition pruning on later reads."""
+    """Write ``df`` as Parquet; ``partition_by`` enables partition pruning on later reads.
+
+    Partitioned rows are first gathered by their value, so a task writes few
+    folders; adaptive execution splits a value that holds too much for one task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -25,13 +31,6 @@ def to_parquet(
     return path
 
 
-def read_parquet(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str | None = None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(*([paths] if isinstance(paths, str) else list(paths)))
-
-
 def convert_csv_to_parquet(
     spark: SparkSession,
     csv_paths: Sequence[str],

@@ -7,6 +7,6 @@ directory of Parquet files and a sink, with the streaming checkpoint kept
 under the shared checkpoint folder.
 """
 
-from metrolens.streaming.incremental import read_parquet_stream, run_available, street_share_stream
+from metrolens.streaming.incremental import read_latest, read_parquet_stream, run_available, street_share_stream
 
-__all__ = ["read_parquet_stream", "run_available", "street_share_stream"]
+__all__ = ["read_latest", "read_parquet_stream", "run_available", "street_share_stream"]

@@ -32,20 +32,21 @@ def street_share_stream(stream: DataFrame, null_policy: str = "default") -> Data
 def run_available(aggregate: DataFrame, output_path: str, checkpoint_location: str | None = None) -> StreamingQuery:
     """Process every file available now, then stop.
 
-    Each micro-batch's complete result replaces the Parquet table at
-    ``output_path``; progress and state live in ``checkpoint_location``
-    (default: a fresh folder under the shared checkpoint folder), so a restart
-    resumes where it stopped.
+    Each micro-batch's complete result is a folder ``batch=<id>`` of its own
+    under ``output_path`` (:func:`read_latest` reads the last), so a failure
+    never loses the result before it; progress and state live in
+    ``checkpoint_location`` (default: a fresh folder under the shared checkpoint
+    folder), so a restart resumes where it stopped.
     """
     spark = aggregate.sparkSession
     location = checkpoint_location or staging_path(spark, "stream-checkpoint")
 
-    def replace(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
+    def keep(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output_path}/batch={epoch}")
 
     query = (
         aggregate.writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        .foreachBatch(keep)
         .option("checkpointLocation", location)
         .trigger(availableNow=True)
         .start()
@@ -54,4 +55,11 @@ def run_available(aggregate: DataFrame, output_path: str, checkpoint_location: s
     return query
 
 
-__all__ = ["read_parquet_stream", "run_available", "street_share_stream"]
+def read_latest(spark: SparkSession, output_path: str) -> DataFrame:
+    """The result after the last finished micro-batch."""
+    batches = spark.read.parquet(output_path)
+    last = batches.agg(F.max("batch").alias("batch"))
+    return batches.join(F.broadcast(last), "batch", "left_semi").drop("batch")
+
+
+__all__ = ["read_latest", "read_parquet_stream", "run_available", "street_share_stream"]

@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from metrolens.catalog import ORACLE_SQL, QUERIES, REPORTS
+from metrolens.catalog import ORACLE_SQL, QUERIES, TIMED
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle import compare, duck  # noqa: E402
@@ -24,16 +24,19 @@ def test_query_matches_oracle(spark, con, key):
     assert not problems, problems
 
 
-@pytest.mark.parametrize("key", REPORTS)
-def test_reports_run(spark, key):
-    rows = QUERIES[key](spark, SF).collect()
-    assert len(rows) >= (1 if key == "conversion_report" else 3)
-    assert all(r.rows > 0 and r.seconds >= 0 for r in rows)
-    if key in ("strategy_report", "nearest_strategy_report"):
-        nodes = {r.strategy: r.join_node for r in rows}
-        assert nodes["broadcast"] == "BroadcastHashJoin"
-        assert nodes["merge"] == "SortMergeJoin"
-        assert nodes["shuffle_hash"] == "ShuffledHashJoin"
+@pytest.mark.parametrize("key", sorted(TIMED))
+def test_timed_reports(spark, key):
+    rows = TIMED[key](spark, SF).collect()
+    assert rows and all(r.rows > 0 and r.seconds >= 0 for r in rows)
+    if key == "conversion_report":
+        return
+    assert all(r.same for r in rows)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.query if key == "api_report" else "", []).append(r)
+    for group in groups.values():
+        assert [r.relative for r in group if r.fastest] == [1.0]
+        assert all(r.relative >= 1.0 for r in group)
 
 
 def test_entry(spark):

@@ -48,3 +48,52 @@ def test_local_mode_gets_a_private_folder():
     sc = _Context("local[2]")
     path = checkpoint_dir(_Session(sc))
     assert path and sc.current == path
+
+
+def test_shuffle_partitions_of_a_cluster_stay(monkeypatch):
+    """A local master gets 8 partitions; any other keeps what the cluster set."""
+    from metrolens import session
+
+    seen = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def master(self, master):
+            seen["master"] = master
+            return self
+
+        def config(self, key, value):
+            seen[key] = value
+            return self
+
+        def getOrCreate(self):
+            raise InterruptedError
+
+    class Entry:
+        builder = Builder()
+
+    monkeypatch.setattr(session, "SparkSession", Entry)
+    for master, expected in (("local[4]", "8"), ("yarn", None), (None, None)):
+        seen.clear()
+        with pytest.raises(InterruptedError):
+            session.build_session(master)
+        assert seen.get("spark.sql.shuffle.partitions") == expected
+        assert seen.get("master") == master
+    with pytest.raises(InterruptedError):
+        session.build_session("yarn", extra_conf=session.cluster_conf(20e12, 4000))
+    assert int(seen["spark.sql.shuffle.partitions"]) > 50_000
+
+
+def test_staged_data_can_be_deleted(spark):
+    import os
+
+    from metrolens.session import clear_staging, materialize, staging_path
+
+    df = materialize(spark.range(5).withColumnRenamed("id", "k"), "probe")
+    assert df.schema == spark.range(5).withColumnRenamed("id", "k").schema and df.count() == 5
+    folder = os.path.dirname(staging_path(spark, "x")).removeprefix("file:")
+    assert os.path.isdir(folder)
+    assert clear_staging(spark) and not os.path.exists(folder)
+    assert materialize(spark.range(3), "probe").count() == 3

@@ -253,3 +253,31 @@ def test_geojson_split_by_shuffle_above_the_broadcast_bound(spark, monkeypatch):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert got == sorted((str(90000 + i), i + 1) for i in range(60))
+
+
+def test_split_fields_keeps_lines_with_any_character(spark):
+    base = _local(spark, "split-odd")
+    odd = "".join(map(chr, [1, 0, 2, 0x85, 0x2028]))
+    path = _write(base, "a.csv", f"Zip;Name;Income\n1;a\u0001b;$5;x\n2;{odd};$6\n\u00013;c;$7\n4;\"d;$8\n")
+    got = sorted(tuple(r) for r in split_fields(spark, path, ";", 3, keep=[0, 2]).collect())
+    assert got == [("\u00013", "$7"), ("1", "$5"), ("2", "$6"), ("4", "$8")]
+
+
+def test_csv_header_must_name_the_schema(spark):
+    base = _local(spark, "csv-header")
+    _write(base, "a.csv", "x,y\n1,2\n")
+    _write(base, "b.csv", "y,x\n3,4\n")
+    with pytest.raises(Exception, match="header|Header"):
+        read_csv(spark, base, schema="x int, y int").collect()
+    assert read_csv(spark, base + "/a.csv", schema="x int, y int").collect() == [(1, 2)]
+    assert read_csv(spark, base, schema="x int, y int", check_header=False).count() == 2
+
+
+def test_samples(spark):
+    from metrolens.sources import sample_lines, sample_rows
+
+    base = _local(spark, "samples")
+    path = _write(base, "a.txt", "\n".join("z" * (i % 300) for i in range(400)))
+    got = sample_lines(spark, path, n=250, width=200).collect()
+    assert len(got) == 250 and max(len(r.value) for r in got) == 200
+    assert sample_rows(spark.range(50), 7).count() == 7
