@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from metrolens.functions.geo import haversine_km
 from metrolens.operators.joins import check_strategy, with_strategy
 from metrolens.operators.sorting import with_position
-from metrolens.session import materialize
+from metrolens.session import materialize_observed
 
 UNITS = ("location", "event")
 
@@ -110,9 +110,9 @@ def site_index(sites: DataFrame) -> list[DataFrame]:
     level = ranked.groupBy("node").agg(children.alias("children"), corner(F.min).alias("lo"), corner(F.max).alias("hi"))
     levels = []
     while True:
-        level = materialize(level, "nearest-index")
+        level, seen = materialize_observed(level, "nearest-index", {"nodes": F.count(F.lit(1))})
         levels.append(level)
-        if level.limit(2).count() < 2:
+        if seen["nodes"] < 2:
             return levels
         corner_of = lambda f, side: F.array(*[f(F.col(side)[i]) for i in range(3)])
         level = level.groupBy(F.floor(F.col("node") / F.lit(FAN)).cast("long").alias("up")).agg(
