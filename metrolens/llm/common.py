@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
 import uuid
@@ -18,9 +20,11 @@ from metrolens.session import materialize, materialize_observed, staging_path
 __all__ = [
     "connected_components",
     "fresh",
+    "lean",
     "materialize",
     "materialize_observed",
     "order_totals",
+    "slices",
     "sorted_runs",
     "stage",
     "table",
@@ -49,6 +53,32 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, without copying them: only
+    as many texts become Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` over batches that hands its freed memory back when a task ends.
+
+    Python workers outlive their tasks, and idle ones still count against an
+    executor's memory.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names built from ``names`` that ``df`` does not use, in any letter case.
 
@@ -103,7 +133,7 @@ def order_totals(df: DataFrame, order: Sequence[Column], value: str, rank: str,
             rows += len(values)
             total += int(sums[-1]) if len(values) else 0
 
-    done = materialize(df.orderBy(*order).mapInArrow(number, schema), "ordered")
+    done = materialize(df.orderBy(*order).mapInArrow(lean(number), schema), "ordered")
     totals = done.groupBy(part).agg(F.count(F.lit(1)).alias(n_col), F.sum(value).alias(s_col))
     # One row per task of the sort: its size is the partition count.
     offsets = spark.createDataFrame(

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import fresh, materialize, materialize_observed, table
+from metrolens.llm.common import fresh, lean, materialize, materialize_observed, slices, table
 
-SCAN_TRIE_BYTES = 48 << 20  # a scan task hands its representatives on beyond this
+SCAN_TRIE_BYTES = 32 << 20  # a scan task hands its representatives on beyond this
 OWNER_TRIE_BYTES = 128 << 20  # an owner task spills subtrees beyond this
 NODE_BYTES = 320  # what a node costs besides the bytes of its edge
 
@@ -168,7 +168,7 @@ def _scan(schema: T.StructType, n_members: int, id_at: int, largest: bool, budge
             for text, (copy, sha, n, own) in held.items():
                 rows.append((copy, text, sha, len(text), n, own[0], own[1]))
                 size += len(text)
-                if size > 8 << 20 or len(rows) >= 5000:
+                if size > 2 << 20 or len(rows) >= 1000:
                     yield batch_of(rows)
                     rows, size = [], 0
             if rows:
@@ -188,7 +188,7 @@ def _scan(schema: T.StructType, n_members: int, id_at: int, largest: bool, budge
                 names=names,
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(n_members).to_pylist()
             ids = batch.column(id_at).to_pylist()
             groups = []
@@ -257,7 +257,7 @@ def _owners(schema: T.StructType, largest: bool, budget: int):
         def given_up(text: bytes, entry: list) -> None:
             out.extend((copy, text, entry[1], len(text), n, *own) for copy, n, own in entry[0])
 
-        for b in batches:
+        for b in slices(batches):
             for copy, text, sha, _, n, own_id, own_tag in zip(*(c.to_pylist() for c in b.columns)):
                 own = (own_id, own_tag)
                 node = trie.find(text)
@@ -273,7 +273,7 @@ def _owners(schema: T.StructType, largest: bool, budget: int):
                     break
                 for text, entry in spilled:
                     given_up(text, entry)
-                    if sum(len(r[1]) for r in out) > 8 << 20:
+                    if len(out) >= 256:
                         yield batch()
                         out.clear()
             if len(out) >= 5000:
@@ -319,7 +319,7 @@ def _find(
     schema = _scan_schema(members_in, id_type)
     n = len(columns) + 1
     scanned = materialize(
-        renamed.mapInArrow(_scan(schema, n, n - 1, keep == "largest", scan_bytes), schema), "copies-scan"
+        renamed.mapInArrow(lean(_scan(schema, n, n - 1, keep == "largest", scan_bytes)), schema), "copies-scan"
     )
 
     owner = _owner_schema(id_type)
@@ -330,7 +330,7 @@ def _find(
             todo.repartition(partitions, "__bytes", "__sha") if partitions else todo.repartition("__bytes", "__sha")
         )
         done, seen = materialize_observed(
-            dealt.mapInArrow(_owners(owner, keep == "largest", owner_bytes), owner),
+            dealt.mapInArrow(lean(_owners(owner, keep == "largest", owner_bytes)), owner),
             "copies-owners",
             {"left": F.count("__text")},
         )

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import order_totals, stage, table, worker_cache
+from metrolens.llm.common import lean, order_totals, slices, stage, table, worker_cache
 
 WINDOW = 4096
 CLOSING_ID = 2
@@ -34,8 +34,8 @@ VOCABULARY = "word_bpe_49k.json"
 BROADCAST_BYTES = 32 << 20  # the list of cut pieces is broadcast up to this size, else joined by shuffle
 
 # Words and sub-words a Python worker remembers; words beyond are encoded each time.
-CACHED_WORDS = 500_000
-CACHED_PIECES = 300_000
+CACHED_WORDS = 300_000
+CACHED_PIECES = 200_000
 
 # Fixed value: the vocabulary file's own pattern of sub-words.
 SUBWORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -141,7 +141,7 @@ def tokenize_pieces(
         closing = np.array([closing_id], "<u4").tobytes()
         small = words.encoder.get_vocab_size() <= 1 << 16
         piece = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             rows, size = [], 0
             for doc, text in zip(batch.column(0), batch.column(1)):
                 packed = words.text(text.as_py() or "") + closing
@@ -166,7 +166,7 @@ def tokenize_pieces(
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], names=arrow.names)
 
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return stage(narrow.mapInArrow(run, schema), "pieces", codec="zstd")
+    return stage(narrow.mapInArrow(lean(run), schema), "pieces", codec="zstd")
 
 
 def fill_combinations(histogram: np.ndarray, window: int) -> list[tuple[int, ...]]:
@@ -327,7 +327,7 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
                 names=schema.names,
             )
 
-    placed = stage(ranked.mapInArrow(run, schema), "placed")
+    placed = stage(ranked.mapInArrow(lean(run), schema), "placed")
     cut = placed.filter("ids_crc32 IS NULL")
     sliced = part_ids(pieces, cut, broadcast=cut.count() * 8 * len(schema.names) <= BROADCAST_BYTES)
     whole = placed.filter("ids_crc32 IS NOT NULL").select(*schema.names[:-1])
@@ -348,7 +348,7 @@ def part_ids(pieces: DataFrame, placed: DataFrame, broadcast: bool = False) -> D
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             get = lambda n: batch.column(batch.schema.get_field_index(n))
             sums, parts = [], []
             for ids, whole, skip, n in zip(*(get(c).to_pylist() for c in ("ids", "whole", "__skip", "__length"))):
@@ -359,7 +359,7 @@ def part_ids(pieces: DataFrame, placed: DataFrame, broadcast: bool = False) -> D
             columns = [get("piece"), *[get(f"__{c}") for c in names], pa.array(sums, pa.int64()), pa.array(parts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(lean(run), schema)
 
 
 def pack_documents(

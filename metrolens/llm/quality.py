@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import fresh, table, with_fields
+from metrolens.llm.common import fresh, lean, slices, table, with_fields
 from metrolens.llm.language import remainder
 
 SAMPLE = 4000  # labelled documents that the model may be fitted on
@@ -185,7 +185,7 @@ def train(
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 64):
             texts, marks = (c.to_pylist() for c in batch.columns)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([passages(t).tobytes() for t in texts], pa.binary()), pa.array(marks, pa.int32())],
@@ -194,7 +194,7 @@ def train(
 
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").select("text", "label").limit(SAMPLE)
-    got = sample.mapInArrow(run, "x binary, label int").toArrow()
+    got = sample.mapInArrow(lean(run), "x binary, label int").toArrow()
     bags = got.column("x").to_pylist()
     marks = got.column("label").to_pylist()
     order = sorted(range(len(bags)), key=lambda i: (bags[i], marks[i]))  # tasks end in any order
@@ -209,12 +209,11 @@ def train(
 def score_texts(model: dict, texts: list[bytes | None]) -> np.ndarray:
     if "constant" in model:
         return np.full(len(texts), model["constant"])
-    out = []
-    for at in range(0, len(texts), 256):
-        bags = [passages(t) for t in texts[at : at + 256]]
-        own = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-        out.append(forward(model, np.concatenate(bags), own, len(bags))["score"])
-    return np.concatenate(out) if out else np.zeros(0)
+    if not texts:
+        return np.zeros(0)
+    bags = [passages(t) for t in texts]
+    own = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    return forward(model, np.concatenate(bags), own, len(bags))["score"]
 
 
 def with_quality(docs: DataFrame, model: dict, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -224,13 +223,13 @@ def with_quality(docs: DataFrame, model: dict, text_col: str = "text", name: str
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 64):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(score_texts(model, texts), pa.float64())], names=schema.names
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def accepted(docs: DataFrame, model: dict, text_col: str = "text", cut: float = CUT) -> DataFrame:

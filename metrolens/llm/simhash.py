@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import connected_components, fresh, materialize, sorted_runs, table, with_fields
+from metrolens.llm.common import connected_components, fresh, lean, materialize, slices, sorted_runs, table, with_fields
 
 SHINGLE = 3
 DISTANCE = 3
@@ -68,12 +68,12 @@ def with_fingerprint(
     schema = with_fields(docs.select(*[F.col(f"`{c}`") for c in rest]).schema, [(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints = [fingerprint(t.as_py(), shingle, seed) for t in batch.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints, pa.int64())], names=schema.names)
 
     text = F.col(f"`{text_col}`").cast("binary").alias("__text")
-    return docs.select(*[F.col(f"`{c}`") for c in rest], text).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in rest], text).mapInArrow(lean(run), schema)
 
 
 def segment_widths(distance: int) -> list[int]:
@@ -175,7 +175,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Da
         if edges:
             yield _edge_batch(edges)
 
-    found = members.repartition("task").sortWithinPartitions("task").mapInArrow(run, "u long, v long")
+    found = members.repartition("task").sortWithinPartitions("task").mapInArrow(lean(run), "u long, v long")
     return pairs.unionByName(found)
 
 
