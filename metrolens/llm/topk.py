@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from metrolens.llm.common import materialize, materialize_observed, table
+from metrolens.llm.common import lean, materialize, materialize_observed, table
 
 SCALE = 256
 K = 5
@@ -48,23 +48,28 @@ def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out, norms = [], [], []
-            for row, vector in zip(batch.column(0), batch.column(1)):
-                values = vector.as_py()
-                if row.as_py() is None or values is None or any(x is None for x in values):
-                    continue
-                x = np.floor(scale * np.array(values, np.float64)) + 0.0  # no negative zero
-                if np.isfinite(x).all():
-                    ids.append(row.as_py())
-                    out.append(x.tobytes())
-                    norms.append(float(x @ x))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(out, pa.binary()), pa.array(norms, pa.float64())],
-                names=["id", "v", "norm"],
-            )
+            ids, vectors = batch.columns
+            usable = ids.is_valid().to_numpy(zero_copy_only=False) & vectors.is_valid().to_numpy(zero_copy_only=False)
+            size = vectors.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+            for dim in np.unique(size[usable]):  # one length in all but odd tables
+                at = np.flatnonzero(usable & (size == dim))
+                given = vectors.take(pa.array(at))
+                values = given.flatten().cast(pa.float64())
+                missing = values.is_null().to_numpy(zero_copy_only=False).reshape(len(at), dim)
+                x = np.floor(scale * values.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(len(at), dim)) + 0.0
+                sound = np.flatnonzero(np.isfinite(x).all(axis=1) & ~missing.any(axis=1))
+                x = np.ascontiguousarray(x[sound])  # adding 0.0 above leaves no negative zero
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(at[sound])),
+                        pa.array([row.tobytes() for row in x], pa.binary()),
+                        pa.array(np.einsum("ij,ij->i", x, x)),
+                    ],
+                    names=["id", "v", "norm"],
+                )
 
     narrow = rows.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{vector_col}`"))
-    return narrow.mapInArrow(run, "id long, v binary, norm double")
+    return narrow.mapInArrow(lean(run), "id long, v binary, norm double")
 
 
 def unpack(packed: list[bytes]) -> np.ndarray:
@@ -77,14 +82,17 @@ def lifted(x: np.ndarray, top: float) -> np.ndarray:
     return np.hstack([x, rest[:, None]])
 
 
-def scores(points: np.ndarray, query: np.ndarray) -> list | np.ndarray:
-    """Exact inner products of integer-valued doubles."""
-    if not points.size:
-        return np.zeros(len(points))
-    if np.abs(points).max() * np.abs(query).max() * len(query) < 2.0**53:
-        return points @ query
-    exact = [sum(int(a) * int(b) for a, b in zip(p, query)) for p in points]
-    return np.array([min(max(s, -(2**63)), 2**63 - 1) for s in exact], object)
+def scores(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Exact inner products (queries by points) of integer-valued doubles."""
+    if not queries.size or not points.size:
+        return np.zeros((len(queries), len(points)))
+    most = float(np.abs(points).max()) * float(np.abs(queries).max()) * queries.shape[1]
+    if most < 2.0**53:
+        return queries @ points.T
+    if most < 2.0**63:
+        return queries.astype(np.int64) @ points.astype(np.int64).T
+    exact = [[sum(int(a) * int(b) for a, b in zip(q, p)) for p in points] for q in queries]
+    return np.array([[min(max(s, -(2**63)), 2**63 - 1) for s in row] for row in exact], np.int64)
 
 
 def distances(score: np.ndarray | float, norm: float, top: float) -> np.ndarray:
@@ -145,46 +153,85 @@ def build_pages(x: np.ndarray, ids: list[list[int]], top: float, page: int = PAG
     return pages, radius
 
 
+NOTHING = -(2**63)  # below every score that counts
+
+
+class Best:
+    """The ``k`` best (score, id) of every query, best first; ids of free places are the largest."""
+
+    def __init__(self, queries: int, k: int, known: np.ndarray):
+        self.score = np.full((queries, k), NOTHING, np.int64)
+        self.id = np.full((queries, k), np.iinfo(np.int64).max, np.int64)
+        self.known = known  # a score that the caller's k-th already has, or NOTHING
+
+    def least(self) -> np.ndarray:
+        """What a candidate must reach to count."""
+        return np.maximum(self.score[:, -1], self.known)
+
+    def offer(self, rows: np.ndarray, found: np.ndarray, ids: np.ndarray) -> None:
+        """Merge candidates (rows by points, ``NOTHING`` where ruled out), ties to smaller ids."""
+        every = np.hstack([self.score[rows], found])
+        named = np.hstack([self.id[rows], np.broadcast_to(ids, found.shape)])
+        named[every == NOTHING] = np.iinfo(np.int64).max
+        order = np.lexsort((named, -np.maximum(every, NOTHING + 1)), axis=1)[:, : self.score.shape[1]]
+        self.score[rows] = np.take_along_axis(every, order, axis=1)
+        self.id[rows] = np.take_along_axis(named, order, axis=1)
+
+
 def search(
-    pages: list[Page], radius: float, root: np.ndarray, query: np.ndarray, k: int, top: float, best: float | None
-) -> list[tuple]:
-    """The ``k`` best ``(score, id)`` of one tree, ties to smaller ids. ``best``
-    is a score that the caller's k-th already has."""
-    norm = float(query @ query)
+    pages: list[Page], radius: float, root: np.ndarray, queries: np.ndarray, k: int, top: float, known: np.ndarray
+) -> Best:
+    """Best-first search of one tree for a block of queries.
+
+    The page whose nearest waiting query has the least lower bound comes next,
+    for the queries it can still improve. An entry's distance is computed only
+    if its stored distance to the page's routing vector does not rule it out.
+    """
+    norm = np.einsum("ij,ij->i", queries, queries)[:, None]
     slack = slack_of(norm, top)
-    reach = lambda s: distances(s, norm, top)
-    found: list[tuple] = []  # (score, -id) as a heap: the worst first
-    limit = np.inf if best is None else float(reach(best))
-    least = -np.inf if best is None else best
-    start = float(reach(scores(root[None, :], query))[0])
-    heap = [(max(0.0, start - radius), 0, start)]
+    best = Best(len(queries), k, known)
+
+    def reach(rows: np.ndarray) -> np.ndarray:
+        least = best.least()[rows][:, None]
+        return np.where(least == NOTHING, np.inf, distances(least, norm[rows], top) + slack[rows])
+
+    rows = np.arange(len(queries))
+    dist = distances(scores(queries, root[None, :]), norm, top)
+    low = np.maximum(0.0, dist - radius)
+    heap = [(float(low.min(initial=np.inf)), 0, 0, rows, low[:, 0], dist[:, 0])]
+    pushed = 0
     while heap:
-        bound, at, dist = heapq.heappop(heap)
-        if bound > limit + slack:
-            break
+        _, _, at, rows, low, dist = heapq.heappop(heap)
         page = pages[at]
-        gap = np.abs(dist - page.away)
-        keep = np.flatnonzero((gap if page.leaf else gap - page.radius) <= limit + slack)
+        limit = reach(rows)
+        gap = np.abs(dist[:, None] - page.away[None, :])
+        wanted = ((gap if page.leaf else gap - page.radius[None, :]) <= limit) & (low[:, None] <= limit)
+        keep, cols = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
         if not keep.size:
             continue
-        s = scores(page.x[keep], query)
+        rows, low, wanted, limit = rows[keep], low[keep], wanted[np.ix_(keep, cols)], limit[keep]
+        s = scores(queries[rows], page.x[cols])
         if page.leaf:
-            for i in np.flatnonzero(np.asarray(s >= least, bool)):
-                for one in page.ids[keep[i]]:
-                    item = (int(s[i]), -one)
-                    if len(found) < k:
-                        heapq.heappush(found, item)
-                    elif item > found[0]:
-                        heapq.heapreplace(found, item)
-            if len(found) == k and found[0][0] > least:
-                least = found[0][0]
-                limit = float(reach(least))
-        else:
-            d = reach(s)
-            low = np.maximum(bound, d - page.radius[keep])
-            for i in np.flatnonzero(low <= limit + slack):
-                heapq.heappush(heap, (float(low[i]), int(page.child[keep[i]]), float(d[i])))
-    return [(s, -i) for s, i in found]
+            s = s.astype(np.int64)
+            hit = wanted & (s >= best.least()[rows][:, None])
+            some = np.flatnonzero(hit.any(axis=1))
+            if some.size:
+                held = [page.ids[c] for c in cols]
+                ids = np.array([i for named in held for i in named], np.int64)
+                times = [len(named) for named in held]
+                offered = np.where(hit, s, NOTHING)[some]
+                best.offer(rows[some], np.repeat(offered, times, axis=1), ids)
+            continue
+        d = distances(s, norm[rows], top)
+        bound = np.maximum(low[:, None], d - page.radius[cols][None, :])
+        wanted &= bound <= limit
+        for c in np.flatnonzero(wanted.any(axis=0)):
+            to = np.flatnonzero(wanted[:, c])
+            pushed += 1
+            heapq.heappush(
+                heap, (float(bound[to, c].min()), pushed, int(page.child[cols[c]]), rows[to], bound[to, c], d[to, c])
+            )
+    return best
 
 
 PAGES = (
@@ -258,7 +305,7 @@ def _trees(points: DataFrame, n: int, top: float) -> DataFrame:
                 [*batch.columns, pa.array(pivot, pa.int64())], names=[*batch.schema.names, "pivot"]
             )
 
-    dealt = materialize(points.select("v", "ids").mapInArrow(run, "v binary, ids array<long>, pivot long"), "topk-pivots")
+    dealt = materialize(points.select("v", "ids").mapInArrow(lean(run), "v binary, ids array<long>, pivot long"), "topk-pivots")
     parts = dealt.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(TREE_ROWS)).alias("parts"))
     tree = F.shiftleft(F.col("pivot"), 32).bitwiseOR(F.pmod(F.xxhash64("v", F.lit(1)), F.col("parts")))
     return materialize(dealt.join(parts, "pivot").select("v", "ids", tree.alias("tree")), "topk-points")
@@ -281,6 +328,7 @@ def _build(top: float):
 
 
 FOUND = "v binary, id long, score long"
+FOUND_NAMES = ["v", "id", "score"]
 
 
 def _search_trees(queries: DataFrame, pages: DataFrame, k: int, top: float) -> DataFrame:
@@ -293,18 +341,16 @@ def _search_trees(queries: DataFrame, pages: DataFrame, k: int, top: float) -> D
     right = right.select(*[F.col(c).alias(c) for c in (*PAGES_ARROW.names, "block")])
 
     def run(wanted: pa.Table, tree: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if wanted.num_rows and tree.num_rows:
-            held = _load(tree)
-            first = tree.column("page").to_pylist().index(0)
-            root = np.frombuffer(tree.column("root")[first].as_py(), np.float64)
-            cover = tree.column("cover")[first].as_py()
-            for v, best in zip(wanted.column("v").to_pylist(), wanted.column("best").to_pylist()):
-                query = np.frombuffer(v, np.float64)
-                out += [(v, i, s) for s, i in search(held, cover, root, query, k, top, best)]
-        v, ids, found = zip(*out) if out else ((), (), ())
-        columns = [pa.array(v, pa.binary()), pa.array(ids, pa.int64()), pa.array(found, pa.int64())]
-        return pa.Table.from_arrays(columns, names=["v", "id", "score"])
+        if not wanted.num_rows or not tree.num_rows:
+            return pa.Table.from_arrays([pa.array([], t) for t in (pa.binary(), pa.int64(), pa.int64())], names=FOUND_NAMES)
+        first = tree.column("page").to_pylist().index(0)
+        root = np.frombuffer(tree.column("root")[first].as_py(), np.float64)
+        asked = wanted.column("v").to_pylist()
+        known = wanted.column("best").fill_null(NOTHING).to_numpy()
+        best = search(_load(tree), tree.column("cover")[first].as_py(), root, unpack(asked), k, top, known)
+        row, place = np.nonzero(best.score > NOTHING)
+        columns = [pa.array(asked, pa.binary()).take(pa.array(row)), best.id[row, place], best.score[row, place]]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=FOUND_NAMES)
 
     return left.groupBy("of_tree", "of_block").cogroup(right.groupBy("tree", "block")).applyInArrow(run, FOUND)
 
@@ -327,20 +373,22 @@ def _other_trees(queries: DataFrame, roots: DataFrame, n_roots: int, n_queries:
         held = {d: (np.array(at), unpack([roots[i] for i in at])) for d, at in by_dim.items()}
         cover = trees.column("cover").to_numpy()
         tree = trees.column("tree").to_numpy()
-        for v, home, best in zip(*(wanted.column(c).to_pylist() for c in ("v", "tree", "best"))):
-            query = np.frombuffer(v, np.float64)
-            if len(query) not in held:
+        homes, asked = wanted.column("tree").to_numpy(), wanted.column("v").to_pylist()
+        known = wanted.column("best").fill_null(NOTHING).to_numpy()
+        size = np.array([len(v) // 8 for v in asked])
+        for dim, (at, x) in held.items():
+            rows = np.flatnonzero(size == dim)
+            if not rows.size:
                 continue
-            at, x = held[len(query)]
-            keep = tree[at] != home
-            if best is not None:
-                norm = float(query @ query)
-                away = distances(scores(x, query), norm, top)
-                keep &= away - cover[at] <= distances(best, norm, top) + slack_of(norm, top)
-            for i in at[keep]:
-                vs.append(v)
-                names.append(int(tree[i]))
-                bests.append(best)
+            queries = unpack([asked[i] for i in rows])
+            norm = np.einsum("ij,ij->i", queries, queries)[:, None]
+            best = known[rows][:, None]
+            limit = np.where(best == NOTHING, np.inf, distances(best, norm, top) + slack_of(norm, top))
+            near = distances(scores(queries, x), norm, top) - cover[at][None, :] <= limit
+            row, col = np.nonzero(near & (tree[at][None, :] != homes[rows][:, None]))
+            vs += [asked[rows[i]] for i in row]
+            names += tree[at][col].tolist()
+            bests += [None if known[rows[i]] == NOTHING else int(known[rows[i]]) for i in row]
         return pa.table(
             {"v": pa.array(vs, pa.binary()), "tree": pa.array(names, pa.int64()), "best": pa.array(bests, pa.int64())}
         )
