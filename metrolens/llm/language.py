@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from metrolens.llm.common import fresh, table, with_fields
+from metrolens.llm.common import fresh, lean, slices, table, with_fields
 
 SAMPLE = 4000  # texts that the model may be fitted on
 PER_LANG = 600  # of them in one language
@@ -143,28 +143,36 @@ def predict(texts: list[str | None], model: dict | None) -> tuple[list[str], lis
     return names, scores
 
 
-def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict | None:
+def train(
+    docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> dict | None:
     """Fit on a bounded sample of the rows where ``learn`` holds and the language
     is known; None if there are none. Only the sample's bucket counts reach the driver."""
     known = docs.filter(learn & F.col(f"`{lang_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
     )
     known = known.withColumn("deal", F.xxhash64("id", "lang"))
-    # Each task hands on its first few of a language, without the texts.
+    # The hash deals a few times what is wanted of each language, so the ranking below is of few rows.
+    # No more languages than texts can be learned: the commonest, at most SAMPLE rows.
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("of_lang"))
+    counts = F.broadcast(counts.orderBy(F.desc("of_lang"), "lang").limit(SAMPLE))
+    share = F.pmod(F.xxhash64("deal"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    dealt = known.select("id", "lang", "deal").join(counts, "lang").filter(share * F.col("of_lang") < 4 * PER_LANG)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("deal", "id"))
-    chosen = known.select("id", "lang", "deal").withColumn("nth", nth).filter(F.col("nth") <= PER_LANG)
+    chosen = dealt.withColumn("nth", nth).filter(F.col("nth") <= PER_LANG)
     chosen = chosen.orderBy("nth", "lang").limit(SAMPLE).select("id", "lang").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(subword_counts(t), v) for t, v in zip(*(c.to_pylist() for c in batch.columns)) if t and has_letter(t)]
+        for batch in slices(batches):
+            pairs = zip(*(c.to_pylist() for c in batch.columns))
+            rows = [(subword_counts(t), v) for t, v in pairs if t and has_letter(t)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c.tobytes() for c, _ in rows], pa.binary()), pa.array([v for _, v in rows], pa.string())],
                 names=["counts", "lang"],
             )
 
     texts = known.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
-    sample = texts.limit(SAMPLE).mapInArrow(run, "counts binary, lang string").toArrow()
+    sample = texts.limit(SAMPLE).mapInArrow(lean(run), "counts binary, lang string").toArrow()
     if not sample.num_rows:
         return None
     packed = sample.column("counts").combine_chunks().to_pylist()
@@ -185,7 +193,7 @@ def with_language(docs: DataFrame, model: dict | None, text_col: str = "text", d
     limit = model["reject"] if model else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, scores = predict(batch.column(at).to_pylist(), model)
             flags = [s < limit for s in scores]
             yield pa.RecordBatch.from_arrays(
@@ -194,7 +202,7 @@ def with_language(docs: DataFrame, model: dict | None, text_col: str = "text", d
             )
 
     text = F.col(f"`{text_col}`").alias("__text")
-    return docs.select(*[F.col(f"`{c}`") for c in kept], text).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in kept], text).mapInArrow(lean(run), schema)
 
 
 def remainder(doc_id: Column, parts: int) -> Column:
