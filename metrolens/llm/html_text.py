@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import fresh, materialize, table, with_fields
+from metrolens.llm.common import fresh, lean, materialize, slices, table, with_fields
 
 MOST_PAGES = 0.3  # a template's subtree stands on at least this share of a host's pages
 LEAST_PAGES = 8  # and on at least so many
@@ -206,8 +206,15 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
 
 
 def deletable(elements: list[Element]) -> list[int]:
-    """Elements that may be deleted as template: no roots, and no plain text of an article."""
-    return [i for i, e in enumerate(elements) if e.tag not in ROOTS and not (e.inside and e.tag in TEXT_BLOCKS)]
+    """Elements that may be deleted as template: no roots, no plain text of an
+    article, and nothing in another part, which goes by its name."""
+    gone: list[bool] = []  # parents come before their children
+    out = []
+    for i, e in enumerate(elements):
+        gone.append(e.other or (e.parent >= 0 and gone[e.parent]))
+        if not gone[i] and e.tag not in ROOTS and not (e.inside and e.tag in TEXT_BLOCKS):
+            out.append(i)
+    return out
 
 
 def main_text(page: str | None, template: Iterable[int] = ()) -> str:
@@ -263,7 +270,7 @@ def subtrees(pages: DataFrame) -> DataFrame:
     ``html``); subtree null stands for the page itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             hosts, names, hashes, may = [], [], [], []
             for host, page, text in zip(*(c.to_pylist() for c in batch.columns)):
                 elements, _ = parse(text or "")
@@ -284,7 +291,7 @@ def subtrees(pages: DataFrame) -> DataFrame:
             )
 
     schema = "host string, page long, subtree long, deletable boolean"
-    return pages.select("host", "page", "html").mapInArrow(run, schema)
+    return pages.select("host", "page", "html").mapInArrow(lean(run), schema)
 
 
 def templates(pages: DataFrame, share: float = MOST_PAGES, least: int = LEAST_PAGES) -> DataFrame:
@@ -329,14 +336,14 @@ def extract_text(
     schema = with_fields(named.select(*kept).schema, [("t", T.StringType()), ("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(p, t or ()) for p, t in zip(*(c.to_pylist() for c in batch.columns[-2:]))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=schema.names,
             )
 
-    done = marked.select(*kept, "html", "template").mapInArrow(run, schema)
+    done = marked.select(*kept, "html", "template").mapInArrow(lean(run), schema)
     named_back = [F.col(k).alias(c) for k, c in zip(kept, keep)]
     return done.select(*named_back, F.col("t").alias(text), F.col("n").alias(n_chars))
 
