@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import fresh, lean, materialize, materialize_observed, slices, table
+from metrolens.llm.common import fresh, lean, materialize_observed, slices, stage, table
 
 SCAN_TRIE_BYTES = 32 << 20  # a scan task hands its representatives on beyond this
 OWNER_TRIE_BYTES = 128 << 20  # an owner task spills subtrees beyond this
@@ -318,9 +318,8 @@ def _find(
     members_in = T.StructType(renamed.schema.fields[:-1])
     schema = _scan_schema(members_in, id_type)
     n = len(columns) + 1
-    scanned = materialize(
-        renamed.mapInArrow(lean(_scan(schema, n, n - 1, keep == "largest", scan_bytes)), schema), "copies-scan"
-    )
+    scan = lean(_scan(schema, n, n - 1, keep == "largest", scan_bytes))
+    scanned = stage(renamed.mapInArrow(scan, schema), "copies-scan", codec="zstd")
 
     owner = _owner_schema(id_type)
     todo = scanned.filter("__text IS NOT NULL").select(*owner.names)

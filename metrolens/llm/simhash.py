@@ -29,7 +29,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import connected_components, fresh, lean, materialize, slices, sorted_runs, table, with_fields
+from metrolens.llm.common import (
+    connected_components,
+    fresh,
+    lean,
+    materialize,
+    slices,
+    sorted_runs,
+    stage,
+    table,
+    with_fields,
+)
 
 SHINGLE = 3
 DISTANCE = 3
@@ -233,7 +243,7 @@ def keep_one(
     """``docs`` with one row of each component, the one of the smallest id
     (of rows that share it, the first in scan order), columns unchanged."""
     (row,) = fresh(docs, "__row")
-    held = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    held = stage(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs", codec="zstd")
     rows = _fingerprinted(held, F.col(row), id_col, text_col, shingle, seed)
     kept = components(rows, distance, block).groupBy("first.row").count().select("row")
     dropped = rows.select("row").join(kept, "row", "left_anti").select(F.col("row").alias(row))
