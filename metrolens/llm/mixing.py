@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import fresh, materialize, order_totals, stage, table
+from metrolens.llm.common import fresh, materialize, order_totals, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -134,8 +134,10 @@ def mix(
 ) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, columns unchanged."""
     key, size = fresh(docs, "__key", "__words")
-    numbered = docs.withColumn(key, F.monotonically_increasing_id())
-    held = stage(numbered.withColumn(size, word_count(F.col(f"`{text_col}`"))), "mix-rows", codec="zstd")
+    held = materialize(
+        docs.withColumn(key, F.monotonically_increasing_id()).withColumn(size, word_count(F.col(f"`{text_col}`"))),
+        "mix-rows",
+    )
     counts = mix_counts(held, key, id_col, source_col, size, weights, share, epochs, seed)
     (copies,) = fresh(held, "__copies")
     taken = counts.filter("__copies > 0").select(F.col("__key").alias(key), F.col("__copies").alias(copies))
