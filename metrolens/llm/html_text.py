@@ -9,8 +9,9 @@ the text that is left inside the article is returned.
 
 Some parts are no article on any page: navigation, headers, footers, asides,
 forms, scripts, styles, and elements whose class, id or role says so. A page's
-article is its longest ``article`` element, else its ``main`` element, else its
-body. Plain text blocks of an ``article`` or ``main`` are its own words and are
+article is its ``main`` element if that holds the longest ``article``, else that
+``article`` with its siblings, else its longest ``main``; where more of the page's own text lies
+outside, it is the body. Own text is in no other part and no template. Plain text blocks of an ``article`` or ``main`` are its own words and are
 never taken for a template, however often other pages quote them.
 
 A null html is an empty page and gives an empty text. Unclosed elements end
@@ -217,12 +218,21 @@ def deletable(elements: list[Element]) -> list[int]:
     return out
 
 
+def menu(e: Element) -> bool:
+    """Whether it is an entry of a menu that no element names."""
+    return e.tag == "li" and e.text > 0 and e.linked >= e.text
+
+
 def main_text(page: str | None, template: Iterable[int] = ()) -> str:
     """The article's blocks without other parts and the given ``template`` subtrees."""
     elements, blocks = parse(page or "")
     template = set(template)
     deleted = {i for i in deletable(elements) if elements[i].hash in template} if template else set()
-    size: dict[int, int] = {}
+    own: dict[int, int] = {}  # characters below an element that are in no other part of it
+    hidden: list[bool] = []  # in another part, such as an article in the comments; parents come first
+    for e in elements:
+        up = e.parent
+        hidden.append(up >= 0 and (hidden[up] or elements[up].other or up in deleted))
     chains = []
     for at, text in blocks:
         chain, up = [], at
@@ -231,37 +241,49 @@ def main_text(page: str | None, template: Iterable[int] = ()) -> str:
             up = elements[up].parent
         chains.append(chain)
         for i in chain:
-            size[i] = size.get(i, 0) + len(text)
-
-    def hidden(i: int) -> bool:
-        """Whether it stands in another part, such as an article in the comments."""
-        i = elements[i].parent
-        while i >= 0 and not elements[i].other:
-            i = elements[i].parent
-        return i >= 0
+            if i or not menu(elements[at]):
+                own[i] = own.get(i, 0) + len(text)
+            if elements[i].other or i in deleted:
+                break
 
     def longest(tag: str, shown: bool) -> int:
-        found = [i for i, e in enumerate(elements) if e.tag == tag and size.get(i) and (not shown or not hidden(i))]
-        return max(found, key=lambda i: (size[i], -i), default=0)
+        found = [i for i, e in enumerate(elements) if e.tag == tag and own.get(i) and not (shown and hidden[i])]
+        return max(found, key=lambda i: (own[i], -i), default=0)
 
-    def words(root: int) -> list[str]:
+    def roots(shown: bool) -> set[int]:
+        article, body = longest("article", shown), longest("main", shown)
+        up = article
+        while up > 0 and elements[up].tag != "main":
+            up = elements[up].parent
+        if up > 0:
+            found = {up}  # a page's main part holds it
+        elif article:
+            beside = elements[article].parent
+            found = {
+                i
+                for i, e in enumerate(elements)
+                if e.tag == "article" and e.parent == beside and own.get(i) and not (shown and hidden[i])
+            }
+            if body and own[body] > sum(own[i] for i in found):
+                found = {body}
+        else:
+            found = {body}
+        # Where most of the page's own text lies outside, no element marks its article.
+        return {0} if shown and own.get(0, 0) > 2 * sum(own.get(i, 0) for i in found) else found
+
+    def words(roots: set[int]) -> list[str]:
         out = []
         for (at, text), chain in zip(blocks, chains):
-            if root and root not in chain:
+            root = next((k for k, i in enumerate(chain) if i in roots), None)
+            if root is None or any(elements[i].other or i in deleted for i in chain[:root]):
                 continue
-            below = chain[: chain.index(root)] if root else chain
-            if any(elements[i].other or i in deleted for i in below):
+            if 0 in roots and menu(elements[at]):
                 continue
-            own = elements[at]
-            if not root and own.tag == "li" and own.text and own.linked >= own.text:
-                continue  # a menu that no element names
             out.append(text)
         return out
 
     # A page whose every article stands in a part named like a sidebar is still no empty page.
-    found = words(longest("article", True) or longest("main", True)) or words(
-        longest("article", False) or longest("main", False)
-    )
+    found = words(roots(True)) or words(roots(False))
     return "\n\n".join(found)
 
 

@@ -33,6 +33,25 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+LONG = " ".join(f"w{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<main><p>{LONG}</p><div><article><p>teaser</article></div></main>", f"{LONG}\n\nteaser"),
+        (f"<body><p>{LONG}</p><div><article><p>teaser</article></div></body>", f"{LONG}\n\nteaser"),
+        (f"<main><p>{LONG}</p></main><article><p>teaser</article>", LONG),
+        ("<article><p>part one</article><article><p>part two, longer</article><p>x", "part one\n\npart two, longer"),
+        ("<main><h1>Title</h1><article><p>story</article></main><p>x", "Title\n\nstory"),
+        (f"<article><p>story</article><nav>{LONG}</nav><div class='ad'>{LONG}</div>", "story"),
+        (f"<article><p>story</article><ul><li><a href=/>{LONG}</a></li></ul>", "story"),
+    ],
+)
+def test_root_holds_the_text(page, text):
+    assert main_text(page) == text
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, text string, host string")
 
