@@ -15,7 +15,9 @@ outside, it is the body. Own text is in no other part and no template. Plain tex
 never taken for a template, however often other pages quote them.
 
 A null html is an empty page and gives an empty text. Unclosed elements end
-where their parent does; a tag or comment cut off at the end is dropped.
+where their parent does; a tag or comment cut off at the end is dropped. An
+unclosed script, style or textarea reaches to the end; of other raw elements
+that are never closed (an svg, say) only the tag is dropped.
 Repeated rows are pages of their own with the same text.
 """
 
@@ -41,6 +43,8 @@ NEVER_TEXT = frozenset(
     " canvas audio video".split()
 )
 RAW = "script|style|noscript|template|textarea|title|iframe|svg"
+ENDLESS = frozenset("script style textarea".split())  # unclosed, they reach to the page's end; of others only the tag goes
+NESTED = frozenset("svg template".split())  # raw elements that may hold their own kind
 BLOCKS = frozenset(
     "html body main article section div header h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table caption thead tbody tfoot tr"
     " td th blockquote pre figure figcaption address details summary fieldset center hr hgroup search".split()
@@ -75,12 +79,21 @@ OTHER_ROLES = frozenset(
 
 TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
-    rf"|<(?P<raw>{RAW})\b(?P<rawattr>[^>]*)>(?:.*?</(?P=raw)\s*>|.*\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])(?P<rawattr>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*|[^>]*)>"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?/][^>]*>"
     r"|<[a-z!?/][^>]*\Z",
     re.S | re.I,
 )
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW.split("|")}
+NESTED_TAG = {
+    t: re.compile(
+        r"<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?</\1(?=[\s/>])[^>]*>"
+        rf"|<(?P<end>/?){t}(?=[\s/>])(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*|[^>]*)>",
+        re.S | re.I,
+    )
+    for t in NESTED
+}
 ATTRIBUTE = re.compile(r"([a-z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"  # of a URL, for Spark
 
@@ -120,6 +133,41 @@ def other_part(tag: str, given: dict[str, str], inside: bool) -> bool:
     return any(w[0] not in STATES and not OTHER_PARTS.isdisjoint(w) for w in words)
 
 
+class RawEnds:
+    """Where the raw elements of a page end; each kind is looked for in one pass."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.none_after: dict[str, int] = {}  # no end tag of the kind from there on
+        self.nested: dict[str, dict[int, int]] = {}
+
+    def of(self, tag: str, start: int, inner: int, attr: str) -> int:
+        """End of the element whose tag is from ``start`` to ``inner``."""
+        if tag == "svg" and attr.endswith("/"):
+            return inner
+        if tag in NESTED:
+            if tag not in self.nested:
+                self.nested[tag] = self.pairs(tag)
+            return self.nested[tag].get(start, inner)
+        if inner < self.none_after.get(tag, len(self.page)):
+            found = RAW_END[tag].search(self.page, inner)
+            if found:
+                return found.end()
+            self.none_after[tag] = inner
+        return len(self.page) if tag in ENDLESS else inner
+
+    def pairs(self, tag: str) -> dict[int, int]:
+        ends, open_at = {}, []
+        for found in NESTED_TAG[tag].finditer(self.page):
+            if found["end"] is None or (tag == "svg" and not found["end"] and found["attr"].endswith("/")):
+                continue
+            if not found["end"]:
+                open_at.append(found.start())
+            elif open_at:
+                ends[open_at.pop()] = found.end()
+        return ends
+
+
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     """Elements (block elements and other parts; inline ones are transparent)
     in page order and the page's text blocks with the element each is in."""
@@ -163,7 +211,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
         open_at.append(len(elements) - 1)
 
     at = 0
-    for found in TAG.finditer(page):
+    ends = RawEnds(page)
+    while found := TAG.search(page, at):
         if found.start() > at:
             piece = page[at : found.start()]
             held.append(piece)
@@ -171,8 +220,10 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
                 linked += len(piece.strip())
         at = found.end()
         tag = found["tag"]
-        if tag is None:
-            continue  # comments, raw elements and declarations hold no text
+        if tag is None:  # comments, raw elements and declarations hold no text
+            if found["raw"]:
+                at = ends.of(found["raw"].lower(), found.start(), at, found["rawattr"])
+            continue
         tag = tag.lower()
         if found["end"]:
             if tag == "a":

@@ -52,6 +52,28 @@ def test_root_holds_the_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article><p>one</p><svg-icon></svg-icon><p>two</p>", "one\n\ntwo"),
+        ("<article><p>one</p><title-bar>t</title-bar><template-x></template-x><p>two</p>", "one\n\nt\n\ntwo"),
+        ("<article><p>one</p><svg viewBox='0 0'/><p>two</p>", "one\n\ntwo"),
+        ("<article><p>one <svg/>more<p>two</p><svg><path/></svg>", "one more\n\ntwo"),
+        ("<article><p>one</p><svg><p>two</p>", "one\n\ntwo"),
+        ("<article><p>one</p><noscript><p>two</p>", "one\n\ntwo"),
+        ("<article><p>one</p><iframe src='a>b'><p>two</p>", "one\n\ntwo"),
+        ("<article><p>one</p><template><p>two</p>", "one\n\ntwo"),
+        ("<article><p>one</p><svg><svg>a</svg>b</svg><template><p>c<template>d</template>e</template><p>two", "one\n\ntwo"),
+        ("<article><p>one</p><svg><!-- <svg> --><text>a</text></svg ><script>'<svg>'</script><p>two", "one\n\ntwo"),
+        ("<article><p>one</p><script>var a = 1;<p>two</p>", "one"),
+        ("<article><p>one</p><style>p{}<p>two</p>", "one"),
+        ("<article><p>one</p>" + "<svg><noscript>" * 9999 + "<p>two", "one\n\ntwo"),
+    ],
+)
+def test_raw_elements_end(page, text):
+    assert main_text(page) == text
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, text string, host string")
 
