@@ -8,7 +8,8 @@ tasks, so a host of any size is spread, and copies of one page count once. Only
 the text that is left inside the article is returned.
 
 Some parts are no article on any page: navigation, headers, footers, asides,
-forms, scripts, styles, and elements whose class, id or role says so. A page's
+forms, scripts, styles, and elements whose class, id or role says so, by whole names or known compounds; in an
+article, everyday words as ids or on text blocks are left to the counts. A page's
 article is its ``main`` element if that holds the longest ``article``, else that
 ``article`` with its siblings, else its longest ``main``; where more of the page's own text lies
 outside, it is the body. Own text is in no other part and no template. Plain text blocks of an ``article`` or ``main`` are its own words and are
@@ -65,14 +66,27 @@ ENDED_BY = {
     "th": frozenset(["td", "th", "tr"]),
     "tr": frozenset(["tr"]),
 }
-# Words of class and id names of parts that are no article.
+# Class and id names of parts that are no article, alone or in compounds with each other and the words below.
 OTHER_PARTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo banner cookie cookies consent gdpr"
     " notice alert popup modal newsletter subscribe signup paywall comment comments disqus sidebar menu nav navbar"
     " navigation breadcrumb breadcrumbs toolbar footer share sharing social related recommended pagination pager login"
     " masthead skip".split()
 )
-STATES = frozenset("with without has no is".split())  # names that begin so tell of a page's state, as in has-sidebar
+BEFORE = frozenset(
+    "main site page top bottom left right primary secondary global mobile sticky post article entry blog google dfp gpt"
+    " inline header content text".split()
+)
+AFTER = frozenset(
+    "bar box block container wrapper wrap list item items section area widget panel form link links button buttons btn"
+    " icon icons slot unit left right top bottom inner outer posts post articles stories reads overlay to content".split()
+)
+# Everyday words: inside an article, as an id or on a text block, they are a part's name only if the host's counts say so.
+DOUBTFUL = frozenset(
+    "notice alert related recommended social share sharing menu login banner promo comment comments cookie cookies"
+    " consent subscribe signup sponsor sponsored popup modal navigation footer pager skip".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OTHER_ROLES = frozenset(
     "navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split()
 )
@@ -99,13 +113,14 @@ HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"  # of a URL, for Spa
 
 
 class Element:
-    __slots__ = ("tag", "parent", "other", "parts", "hash", "inside", "text", "linked")
+    __slots__ = ("tag", "parent", "other", "parts", "hash", "inside", "doubt", "text", "linked")
 
     def __init__(self, tag: str, parent: int, other: bool, head: bytes, inside: bool):
         self.tag, self.parent, self.other = tag, parent, other
         self.parts = [head]
         self.hash = 0
         self.inside = inside  # of an article or main element
+        self.doubt = False  # its name may be another part's
         self.text = 0
         self.linked = 0
 
@@ -128,9 +143,23 @@ def other_part(tag: str, given: dict[str, str], inside: bool) -> bool:
         return True
     if given.get("role", "").lower() in OTHER_ROLES:
         return True
-    names = f"{given.get('class', '')} {given.get('id', '')}".lower().split()
-    words = (re.split("[_-]+", name) for name in names)
-    return any(w[0] not in STATES and not OTHER_PARTS.isdisjoint(w) for w in words)
+    return any(named and not unsure for named, unsure in part_names(tag, given, inside))
+
+
+def part_names(tag: str, given: dict[str, str], inside: bool) -> Iterator[tuple[bool, bool]]:
+    """For each class and id: whether it is the name of another part, and whether that is in doubt."""
+    names = [(name, False) for name in given.get("class", "").lower().split()]
+    if tag not in HEADINGS and not (inside and tag in TEXT_BLOCKS):  # ids of texts are made of their words
+        names += [(name, True) for name in given.get("id", "").lower().split()]
+    for name, is_id in names:
+        words = [w for w in re.split("[_-]+", name) if w]
+        first = next((i for i, w in enumerate(words) if w in OTHER_PARTS), None)
+        if first is None:
+            continue
+        named = all(
+            w in OTHER_PARTS or w.isdigit() or w in (BEFORE if i < first else AFTER) for i, w in enumerate(words)
+        )
+        yield named, inside and (is_id or tag in TEXT_BLOCKS) and len(words) == 1 and name in DOUBTFUL
 
 
 class RawEnds:
@@ -208,6 +237,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
         name = "main" if given.get("role") == "main" and tag not in ROOTS else tag
         head = f"{tag} {given.get('class', '')}".encode("utf-8", "surrogatepass")
         elements.append(Element(name, parent, other_part(tag, given, inside), head, inside))
+        elements[-1].doubt = any(unsure for _, unsure in part_names(tag, given, inside))
         open_at.append(len(elements) - 1)
 
     at = 0
@@ -259,12 +289,12 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
 
 def deletable(elements: list[Element]) -> list[int]:
     """Elements that may be deleted as template: no roots, no plain text of an
-    article, and nothing in another part, which goes by its name."""
+    article unless their name is in doubt, and nothing in another part, which goes by its name."""
     gone: list[bool] = []  # parents come before their children
     out = []
     for i, e in enumerate(elements):
         gone.append(e.other or (e.parent >= 0 and gone[e.parent]))
-        if not gone[i] and e.tag not in ROOTS and not (e.inside and e.tag in TEXT_BLOCKS):
+        if not gone[i] and e.tag not in ROOTS and (e.doubt or not (e.inside and e.tag in TEXT_BLOCKS)):
             out.append(i)
     return out
 

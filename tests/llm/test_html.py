@@ -74,6 +74,31 @@ def test_raw_elements_end(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "inner,text",
+    [
+        ("<h2 id='related-work'>a</h2><h2 id='social-impact'>b</h2><h2 id=related>c</h2>", "a\n\nb\n\nc"),
+        ("<p class='share-price'>a</p><section id='notice-of-claim'><p>b</section>", "a\n\nb"),
+        ("<section id='alert'><p>a</section><p class='notice'>b</p><p id='ad'>c</p>", "a\n\nb\n\nc"),
+        ("<div class='cookie-recipe'>a</div><div class='no-sidebar'>b</div>", "a\n\nb"),
+        ("<div class='share'>x</div><p class='ad'>x</p><div class='related-posts'>x</div><p>a", "a"),
+        ("<div id='sidebar'>x</div><ul class='social-share-buttons'><li>x</ul><div id='google_ads_2'>x</div><p>a", "a"),
+    ],
+)
+def test_names_of_parts(inner, text):
+    assert main_text(f"<article>{inner}</article>") == text
+
+
+def test_counts_decide_names_in_doubt():
+    from metrolens.llm.html_text import deletable, parse
+
+    page = "<article><p class='notice'>b</p><p>c</p><h2 id='related'>d</h2></article>"
+    elements, _ = parse(page)
+    notice = next(e for e in elements if e.doubt)
+    assert [elements[i] for i in deletable(elements)] == [notice]
+    assert main_text(page) == "b\n\nc\n\nd" and main_text(page, [notice.hash]) == "c\n\nd"
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, text string, host string")
 
