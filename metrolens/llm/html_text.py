@@ -35,8 +35,9 @@ from pyspark.sql import types as T
 
 from metrolens.llm.common import fresh, lean, materialize, slices, table, with_fields
 
-MOST_PAGES = 0.3  # a template's subtree stands on at least this share of a host's pages
-LEAST_PAGES = 8  # and on at least so many
+LEAST_PAGES = 8  # a template's subtree stands on at least so many different pages of a host
+MOST_PAGES = 0.3  # or, on a small host or if it is a lone piece of text, on at least this share of them
+FEWEST_PAGES = 3  # and on at least so many
 
 # Elements by their part in a page.
 NEVER_TEXT = frozenset(
@@ -52,6 +53,8 @@ BLOCKS = frozenset(
 )
 TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th blockquote pre figcaption caption".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
+# Pieces that pages may share by chance, as a heading or a table row of one word: they need the share.
+LONE = TEXT_BLOCKS | frozenset("tr thead tbody tfoot address summary hgroup center".split())
 ROOTS = frozenset("html body main article".split())
 # An open element of the key ends where one of these begins.
 ENDED_BY = {
@@ -288,15 +291,13 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
 
 
 def deletable(elements: list[Element]) -> list[int]:
-    """Elements that may be deleted as template: no roots, no plain text of an
-    article unless their name is in doubt, and nothing in another part, which goes by its name."""
-    gone: list[bool] = []  # parents come before their children
-    out = []
-    for i, e in enumerate(elements):
-        gone.append(e.other or (e.parent >= 0 and gone[e.parent]))
-        if not gone[i] and e.tag not in ROOTS and (e.doubt or not (e.inside and e.tag in TEXT_BLOCKS)):
-            out.append(i)
-    return out
+    """Elements that may be deleted as template: no roots, and no plain text of
+    an article unless its name is in doubt."""
+    return [
+        i
+        for i, e in enumerate(elements)
+        if e.tag not in ROOTS and (e.doubt or not (e.inside and e.tag in TEXT_BLOCKS))
+    ]
 
 
 def menu(e: Element) -> bool:
@@ -369,49 +370,62 @@ def main_text(page: str | None, template: Iterable[int] = ()) -> str:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``(host, page, subtree, deletable)`` of ``pages`` (``host``, ``page``,
-    ``html``); subtree null stands for the page itself."""
+    """``(host, page, whole, free, subtrees)`` of ``pages`` (``host``, ``page``,
+    ``html``): the different subtrees of a page, the deletable ones first (up to
+    ``free``), and of these the lone pieces last (from ``whole`` on)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hosts, names, hashes, may = [], [], [], []
-            for host, page, text in zip(*(c.to_pylist() for c in batch.columns)):
+            whole, free, ends, hashes = [], [], [0], []
+            for text in batch.column(2).to_pylist():
                 elements, _ = parse(text or "")
-                free = {elements[i].hash for i in deletable(elements)}
-                every = {e.hash for e in elements}
-                hosts += [host] * (len(every) + 1)
-                names += [page] * (len(every) + 1)
-                hashes += [None, *every]
-                may += [False, *(h in free for h in every)]
+                may = [elements[i] for i in deletable(elements)]
+                found = dict.fromkeys(e.hash for e in may if e.tag not in LONE)
+                whole.append(len(found))
+                found.update(dict.fromkeys(e.hash for e in may))
+                free.append(len(found))
+                found.update(dict.fromkeys(e.hash for e in elements))
+                hashes.extend(found)
+                ends.append(len(hashes))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hosts, pa.string()),
-                    pa.array(names, pa.int64()),
-                    pa.array(hashes, pa.int64()),
-                    pa.array(may, pa.bool_()),
+                    *batch.columns[:2],
+                    pa.array(whole, pa.int32()),
+                    pa.array(free, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes, pa.int64())),
                 ],
-                names=["host", "page", "subtree", "deletable"],
+                names=["host", "page", "whole", "free", "subtrees"],
             )
 
-    schema = "host string, page long, subtree long, deletable boolean"
+    schema = "host long, page long, whole int, free int, subtrees array<long>"
     return pages.select("host", "page", "html").mapInArrow(lean(run), schema)
 
 
 def templates(pages: DataFrame, share: float = MOST_PAGES, least: int = LEAST_PAGES) -> DataFrame:
     """``(host, page, template)``: for each page that has any, its deletable
-    subtrees that stand on many different pages of its host."""
-    seen = materialize(subtrees(pages).distinct(), "html-subtrees")
-    counted = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.filter("subtree IS NULL").select("host", F.col("n").alias("pages"))
+    subtrees that stand on many different pages of its host.
+
+    ``least`` pages are many on a host of any size; fewer are if they are the
+    ``share`` of a small one. Lone pieces of text, and pages without a host,
+    always need the share.
+    """
+    few = min(FEWEST_PAGES, least)
+    seen = materialize(subtrees(pages).dropDuplicates(["host", "page"]), "html-subtrees")
+    counted = seen.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree")
+    totals = seen.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    shared = F.col("n") >= F.col("pages") * share
     recurring = (
-        counted.filter((F.col("n") >= least) & F.col("subtree").isNotNull())
+        counted.agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= few)
         .join(totals, "host")
-        .filter(F.col("n") >= F.col("pages") * share)
-        .select("host", "subtree")
+        .filter(shared | ((F.col("n") >= least) & (F.col("host") != F.xxhash64(F.lit("")))))
+        .select("host", "subtree", shared.alias("shared"))
     )
+    listed = seen.select("host", "page", "whole", F.posexplode(F.slice("subtrees", F.lit(1), F.col("free"))))
     return (
-        seen.filter("deletable")
+        listed.select("host", "page", F.col("col").alias("subtree"), (F.col("pos") >= F.col("whole")).alias("lone"))
         .join(recurring, ["host", "subtree"])
+        .filter(F.col("shared") | ~F.col("lone"))
         .groupBy("host", "page")
         .agg(F.collect_set("subtree").alias("template"))  # at most a page's own elements
     )
@@ -430,7 +444,9 @@ def extract_text(
     text, n_chars = fresh(pages.select(*[F.col(f"`{c}`") for c in keep]), "text", "n_chars")
     named = pages.select(
         *[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)],
-        F.lower(F.regexp_extract(F.trim(F.coalesce(F.col(f"`{url_col}`"), F.lit(""))), HOST, 1)).alias("host"),
+        F.xxhash64(
+            F.lower(F.regexp_extract(F.trim(F.coalesce(F.col(f"`{url_col}`"), F.lit(""))), HOST, 1))
+        ).alias("host"),
         F.xxhash64(F.coalesce(F.col(f"`{html_col}`"), F.lit(""))).alias("page"),
         F.col(f"`{html_col}`").alias("html"),
     )

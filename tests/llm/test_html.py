@@ -118,6 +118,30 @@ def test_site_templates_go(spark):
     assert all(got[50 + i] == "copy\n\nFollow us\n\nSince 1999" for i in range(30))  # one page, copied
 
 
+def test_templates_of_large_and_small_hosts(spark):
+    """A fifth of a host's pages are many, and so are all four of a small host; a heading on a fifth is none."""
+    box = "<div class='x'><p>Our fair</p></div>"
+    rows = [
+        (i, "http://a/", f"<p>own {i}</p>{box}<h2>Notes</h2>" if i < 20 else f"<p>own {i}</p>", "t", "h") for i in range(100)
+    ]
+    rows += [(200 + i, "http://b/", f"<p>own {i}</p>{box}", "t", "h") for i in range(4)]
+    rows += [(300 + i, None, f"<p>own {i}</p>{box if i < 9 else ''}", "t", "h") for i in range(40)]
+    aside = "<aside><article><p>own {}</p><div>same</div></article></aside>"
+    rows += [(400 + i, "http://c/", aside.format(i), "t", "h") for i in range(30)]
+    got = {r.page_id: r.text for r in extract_text(pages_of(spark, rows), keep=["page_id"]).collect()}
+    assert all(got[i] == f"own {i}" + ("\n\nNotes" if i < 20 else "") for i in range(100))
+    assert all(got[200 + i] == f"own {i}" for i in range(4))
+    assert all(got[300 + i] == f"own {i}\n\nOur fair" for i in range(9))  # pages without a host are no site
+    assert all(got[400 + i] == f"own {i}" for i in range(30))
+
+
+def test_named_parts_count_as_templates():
+    from metrolens.llm.html_text import deletable, parse
+
+    elements, _ = parse("<nav><ul><li>m</ul></nav><article><p>x</article>")
+    assert [elements[i].tag for i in deletable(elements)] == ["nav", "ul", "li"]
+
+
 def test_awkward_rows(spark):
     rows = [
         (None, None, None, None, None),
