@@ -1,16 +1,18 @@
 """Quality classification by attention-based multiple-instance learning.
 
-A document is a bag of passages: stretches of its bytes that together cover the
-whole text, each at least ``PASSAGE`` bytes and at most ``PASSAGES`` of them,
-longer ones in longer documents. A passage is described by shares of byte
+A document is a bag of passages: stretches of ``PASSAGE`` bytes that together
+cover the whole text, whatever its length (the last takes what is left over).
+A passage is described by shares of byte
 classes, hashed byte pairs, how varied it is and how often it repeats itself.
 A small encoder maps every description to a hidden vector; gated attention
 
     a_k ~ exp(w . (tanh(V h_k) * sigmoid(U h_k)))
 
-weighs the passages, and a linear layer scores the weighted sum. All of it is
-learned from document labels alone, by Adam in numpy, on a bounded sample: the
-first ``SAMPLE`` labelled documents in hash order.
+weighs the passages, and a linear layer scores the weighted sum. Every passage
+is encoded; those of long documents stream through a running maximum, weight and
+weighted sum. All of it is learned from document labels alone, by Adam in numpy,
+on a bounded sample: the first ``SAMPLE`` labelled documents in hash order, with
+at most ``PASSAGES`` passages of each, spread evenly over its text.
 
 A null or empty text is one passage without bytes and gets a score like any
 other. Without labels of both kinds the score is the known label, or 1/2.
@@ -19,7 +21,7 @@ Documents labelled more than once take their smallest label.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,9 @@ from metrolens.llm.language import remainder
 
 SAMPLE = 4000  # labelled documents that the model may be fitted on
 PASSAGE = 512  # bytes
-PASSAGES = 64  # of a document
+PASSAGES = 64  # of a document that the model is fitted on
+AT_ONCE = 256  # passages of a long document that are held at a time
+BYTES_AT_ONCE = 1 << 16  # for words, which may be longer than a passage
 PAIRS = 128  # buckets of byte pairs
 HIDDEN = 32
 ATTENTION = 16
@@ -61,50 +65,109 @@ BYTE_CLASS = np.array(
 FEATURES = CLASSES + PAIRS + 5
 
 
-def passages(text: bytes | None) -> np.ndarray:
-    """One row of features per passage of the whole text."""
+def passage_count(n: int) -> int:
+    return max(1, n // PASSAGE)  # the last passage takes what is left over
+
+
+def _words(data: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per passage: words, and words equal to the one before, where they begin."""
+    n = len(data)
+    words, again = np.ones(count), np.zeros(count)
+    last, last_width = np.zeros(1, np.uint32), -1  # the word before
+    held, held_width, held_place = np.zeros(1, np.uint32), 0, -1  # the word that is still open
+    for a in range(0, n, BYTES_AT_ONCE):
+        piece = data[a : a + BYTES_AT_ONCE].astype(np.uint32)
+        space = np.flatnonzero((piece == 0x20) | (piece == 0x0A))
+        edges = np.concatenate([[-1], space, [len(piece)]])
+        sums = np.concatenate([np.zeros(1, np.uint32), np.cumsum(piece * piece, dtype=np.uint32)])
+        word = sums[edges[1:]] - sums[edges[:-1] + 1]
+        width = np.diff(edges) - 1
+        word[:1] += held
+        width[0] += held_width
+        begun = np.minimum(np.minimum(space + a + 1, n - 1) // PASSAGE, count - 1)
+        words += np.bincount(begun, minlength=count)
+        place = np.concatenate([[held_place], begun])
+        before, before_width = np.concatenate([last, word[:-1]]), np.concatenate([[last_width], width[:-1]])
+        same = (word == before) & (width == before_width) & (width > 0)
+        again += np.bincount(place[:-1][same[:-1]], minlength=count)
+        if len(space):
+            last, last_width = word[-2:-1], width[-2]
+        held, held_width, held_place = word[-1:], width[-1], place[-1]
+    if held_place >= 0 and held_width > 0 and held_width == last_width and held[0] == last[0]:
+        again[held_place] += 1
+    return words, again
+
+
+def every_passage(text: bytes | None, at_once: int = AT_ONCE) -> Iterator[np.ndarray]:
+    """One row of features per passage of the whole text, ``at_once`` rows at a time."""
     data = np.frombuffer(text or b"", np.uint8)
     n = len(data)
     if not n:
-        return np.zeros((1, FEATURES), np.float32)
-    length = max(PASSAGE, -(-n // PASSAGES))
-    count = max(1, n // length)  # the last passage takes what is left over
-    owner = np.minimum(np.arange(n) // length, count - 1)
-    size = np.bincount(owner, minlength=count).astype(np.float64)
-    kinds = np.bincount(owner * CLASSES + BYTE_CLASS[data], minlength=count * CLASSES).reshape(count, CLASSES)
-    pair = (data[:-1].astype(np.int64) * 31 + data[1:] * 17) % PAIRS
-    pairs = np.bincount(owner[1:] * PAIRS + pair, minlength=count * PAIRS).reshape(count, PAIRS)
-    # Variety: different four-byte hashes against bytes; repetition: words equal to the one before.
-    wide = data.astype(np.uint32)
-    slots = 1024
-    seen = np.zeros(count * slots, bool)
-    if n > 3:
-        four = wide[:-3] + wide[1:-2] * np.uint32(31) + wide[2:-1] * np.uint32(1009) + wide[3:] * np.uint32(40503)
-        seen[owner[3:] * slots + (four * np.uint32(2246822519) >> np.uint32(22))] = True
-    variety = seen.reshape(count, slots).sum(axis=1) / np.minimum(size, slots)
-    space = np.flatnonzero((data == 0x20) | (data == 0x0A))
-    edges = np.concatenate([[-1], space, [n]])
-    sums = np.concatenate([[0], np.cumsum(wide * wide, dtype=np.uint32)])
-    word = sums[edges[1:]] - sums[edges[:-1] + 1]
-    width = np.diff(edges) - 1
-    again = (word[1:] == word[:-1]) & (width[1:] == width[:-1]) & (width[1:] > 0)
-    place = owner[np.minimum(edges[1:-1] + 1, n - 1)]
-    words = np.bincount(place, minlength=count) + 1.0
-    repeats = np.bincount(place, weights=again, minlength=count) / words
-    rest = np.stack([variety, repeats, np.log1p(size) / 8, size / words / 16, np.full(count, np.log1p(n) / 12)], axis=1)
-    shares = np.hstack([np.sqrt(kinds / size[:, None]), np.sqrt(pairs / size[:, None])])
-    return np.hstack([shares, rest]).astype(np.float32)
+        yield np.zeros((1, FEATURES), np.float32)
+        return
+    total = passage_count(n)
+    all_words, all_again = _words(data, total)
+    for first in range(0, total, at_once):
+        count = min(at_once, total - first)
+        a, b = first * PASSAGE, n if first + count == total else (first + count) * PASSAGE
+        back = min(a, 3)  # pairs and fours belong to the passage of their last byte
+        here, near = data[a:b], data[a - back : b]
+        owner = np.minimum(np.arange(b - a) // PASSAGE, count - 1)
+        size = np.bincount(owner, minlength=count).astype(np.float64)
+        kinds = np.bincount(owner * CLASSES + BYTE_CLASS[here], minlength=count * CLASSES).reshape(count, CLASSES)
+        pair = ((near[:-1].astype(np.int64) * 31 + near[1:] * 17) % PAIRS)[max(back - 1, 0) :]
+        pairs = np.bincount(owner[b - a - len(pair) :] * PAIRS + pair, minlength=count * PAIRS).reshape(count, PAIRS)
+        # Variety: different four-byte hashes against bytes; repetition: words equal to the one before.
+        slots = 1024
+        seen = np.zeros(count * slots, bool)
+        if len(near) > 3:
+            wide = near.astype(np.uint32)
+            four = wide[:-3] + wide[1:-2] * np.uint32(31) + wide[2:-1] * np.uint32(1009) + wide[3:] * np.uint32(40503)
+            seen[owner[3 - back :] * slots + (four * np.uint32(2246822519) >> np.uint32(22))] = True
+        variety = seen.reshape(count, slots).sum(axis=1) / np.minimum(size, slots)
+        words, again = all_words[first : first + count], all_again[first : first + count]
+        whole = np.full(count, np.log1p(n) / 12)
+        rest = np.stack([variety, again / words, np.log1p(size) / 8, size / words / 16, whole], axis=1)
+        shares = np.hstack([np.sqrt(kinds / size[:, None]), np.sqrt(pairs / size[:, None])])
+        yield np.hstack([shares, rest]).astype(np.float32)
+
+
+def passages(text: bytes | None) -> np.ndarray:
+    """Features of a document to learn from: at most ``PASSAGES`` passages, spread evenly from first to last."""
+    count = passage_count(len(text or b""))
+    chosen = np.unique(np.linspace(0, count - 1, min(count, PASSAGES)).round().astype(np.int64))
+    rows, first = [], 0
+    for x in every_passage(text):
+        rows.append(x[chosen[(chosen >= first) & (chosen < first + len(x))] - first])
+        first += len(x)
+    return np.concatenate(rows)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
-def forward(model: dict, x: np.ndarray, bag: np.ndarray, bags: int) -> dict:
-    """All layers for passages ``x`` of the documents ``bag`` (sorted, 0 to ``bags`` - 1)."""
+def encode(model: dict, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hidden vectors of passages, both sides of their gates and the logarithms of their weights."""
     h = np.tanh((x - model["mean"]) / model["scale"] @ model["W"] + model["b"])
     t, g = np.tanh(h @ model["V"]), _sigmoid(h @ model["U"])
-    z = (t * g) @ model["w"]
+    return h, t, g, (t * g) @ model["w"]
+
+
+def score_stream(model: dict, chunks: Iterable[np.ndarray]) -> float:
+    """As :func:`forward` for one document, whose passages come in chunks."""
+    top, weight, pooled = -np.inf, 0.0, np.zeros(HIDDEN)
+    for x in chunks:
+        h, _, _, z = encode(model, x)
+        new = max(top, z.max())
+        e, kept = np.exp(z - new), np.exp(top - new)
+        top, weight, pooled = new, weight * kept + e.sum(), pooled * kept + e @ h
+    return float(_sigmoid(pooled / weight @ model["c"] + model["d"]))
+
+
+def forward(model: dict, x: np.ndarray, bag: np.ndarray, bags: int) -> dict:
+    """All layers for passages ``x`` of the documents ``bag`` (sorted, 0 to ``bags`` - 1)."""
+    h, t, g, z = encode(model, x)
     first = np.searchsorted(bag, np.arange(bags))
     e = np.exp(z - np.maximum.reduceat(z, first)[bag])
     a = e / np.add.reduceat(e, first)[bag]
@@ -211,9 +274,15 @@ def score_texts(model: dict, texts: list[bytes | None]) -> np.ndarray:
         return np.full(len(texts), model["constant"])
     if not texts:
         return np.zeros(0)
-    bags = [passages(t) for t in texts]
-    own = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    return forward(model, np.concatenate(bags), own, len(bags))["score"]
+    scores = np.zeros(len(texts))
+    short = [i for i, t in enumerate(texts) if passage_count(len(t or b"")) <= PASSAGES]
+    if short:
+        bags = [next(every_passage(texts[i])) for i in short]
+        own = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+        scores[short] = forward(model, np.concatenate(bags), own, len(bags))["score"]
+    for i in sorted(set(range(len(texts))).difference(short)):
+        scores[i] = score_stream(model, every_passage(texts[i]))
+    return scores
 
 
 def with_quality(docs: DataFrame, model: dict, text_col: str = "text", name: str = "score") -> DataFrame:

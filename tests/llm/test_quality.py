@@ -48,6 +48,31 @@ def test_passages_cover_the_whole_text():
     assert (quality.passages(start)[-1] != quality.passages(end)[-1]).any()
 
 
+def test_long_texts_keep_short_passages():
+    """Every 512 bytes of a text of any length are a passage, and each counts in the score."""
+    rng = np.random.default_rng(3)
+    text = bytes(rng.choice(np.frombuffer(b"abcd  \n", np.uint8), 300_001)) + b"x" * 70_000 + b" xy xy xy"
+    whole = next(quality.every_passage(text, 10**6))
+    parts = list(quality.every_passage(text))
+    assert len(whole) == len(text) // 512 and all(len(x) <= quality.AT_ONCE for x in parts)
+    np.testing.assert_array_equal(np.concatenate(parts), whole)
+    np.testing.assert_array_equal(quality.passages(text)[[0, -1]], whole[[0, -1]])
+    # the features of a passage do not depend on the length of the document, but for the document's own size
+    np.testing.assert_array_equal(next(quality.every_passage(text[:20_480]))[:39, :-1], whole[:39, :-1])
+
+    y = np.array([1.0, 0.0, 1.0, 0.0])
+    bags = [quality.passages(t) for t in (text[:5000], b"!?" * 4000, text[:9000], b"!?" * 900)]
+    model = quality.fit(np.concatenate(bags), np.repeat(np.arange(4), [len(b) for b in bags]), y)
+    expected = quality.forward(model, whole, np.zeros(len(whole), np.int64), 1)["score"][0]
+    got = quality.score_texts(model, [b"", text, text[:100]])
+    assert abs(got[1] - expected) < 1e-9
+    # A strange stretch of a passage's size in a text beyond 32 KiB is seen as such.
+    long = text[:200_000]
+    marked = long[:102_400] + b"!" * 512 + long[102_912:]
+    x = np.concatenate(list(quality.every_passage(marked)))
+    assert (x[:, 7 + quality.SIGNS.index(ord("!"))] == 1).sum() == 1
+
+
 def labels_of(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
