@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -327,36 +328,42 @@ def _build(top: float):
     return build
 
 
-FOUND = "v binary, id long, score long"
-FOUND_NAMES = ["v", "id", "score"]
+FOUND = "v binary, id long, score long, want long"
+FOUND_NAMES = ["v", "id", "score", "want"]
 
 
-def _search_trees(queries: DataFrame, pages: DataFrame, k: int, top: float) -> DataFrame:
-    """The ``k`` best of every ``(v, tree, best)`` within that tree. A tree with
+def _search_trees(queries: DataFrame, pages: DataFrame, top: float) -> DataFrame:
+    """The ``want`` best of every ``(v, tree, best, want)`` within that tree. A tree with
     many queries is sent to several tasks, with a block of them each."""
     blocks = queries.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_BLOCK)).cast("int").alias("blocks"))
     left = queries.join(blocks, "tree").withColumn("block", F.pmod(F.xxhash64("v", F.lit(2)), "blocks").cast("int"))
-    left = left.select("v", "best", F.col("tree").alias("of_tree"), F.col("block").alias("of_block"))
+    left = left.select("v", "best", "want", F.col("tree").alias("of_tree"), F.col("block").alias("of_block"))
     right = pages.join(blocks, "tree").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     right = right.select(*[F.col(c).alias(c) for c in (*PAGES_ARROW.names, "block")])
 
     def run(wanted: pa.Table, tree: pa.Table) -> pa.Table:
         if not wanted.num_rows or not tree.num_rows:
-            return pa.Table.from_arrays([pa.array([], t) for t in (pa.binary(), pa.int64(), pa.int64())], names=FOUND_NAMES)
+            return pa.Table.from_arrays([pa.array([], t) for t in (pa.binary(), *[pa.int64()] * 3)], names=FOUND_NAMES)
         first = tree.column("page").to_pylist().index(0)
         root = np.frombuffer(tree.column("root")[first].as_py(), np.float64)
-        asked = wanted.column("v").to_pylist()
-        known = wanted.column("best").fill_null(NOTHING).to_numpy()
-        best = search(_load(tree), tree.column("cover")[first].as_py(), root, unpack(asked), k, top, known)
-        row, place = np.nonzero(best.score > NOTHING)
-        columns = [pa.array(asked, pa.binary()).take(pa.array(row)), best.id[row, place], best.score[row, place]]
-        return pa.Table.from_arrays([pa.array(c) for c in columns], names=FOUND_NAMES)
+        loaded, cover = _load(tree), tree.column("cover")[first].as_py()
+        parts = []
+        for want in np.unique(wanted.column("want").to_numpy()).tolist():  # one number in all but odd tables
+            part = wanted.filter(pc.equal(wanted.column("want"), want))
+            asked = part.column("v").to_pylist()
+            known = part.column("best").fill_null(NOTHING).to_numpy()
+            best = search(loaded, cover, root, unpack(asked), want, top, known)
+            row, place = np.nonzero(best.score > NOTHING)
+            vs = pa.array(asked, pa.binary()).take(pa.array(row))
+            columns = [vs, best.id[row, place], best.score[row, place], np.full(len(row), want, np.int64)]
+            parts.append(pa.Table.from_arrays([pa.array(c) for c in columns], names=FOUND_NAMES))
+        return pa.concat_tables(parts)
 
     return left.groupBy("of_tree", "of_block").cogroup(right.groupBy("tree", "block")).applyInArrow(run, FOUND)
 
 
 def _other_trees(queries: DataFrame, roots: DataFrame, n_roots: int, n_queries: int, top: float) -> DataFrame:
-    """``(v, tree, best)`` for the trees, beside a query's own, that may hold one
+    """``(v, tree, best, want)`` for the trees, beside a query's own, that may hold one
     of its best. Blocks of queries meet blocks of roots."""
     root_blocks, query_blocks = max(1, -(-n_roots // ROOT_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -365,7 +372,7 @@ def _other_trees(queries: DataFrame, roots: DataFrame, n_roots: int, n_queries:
     right = roots.withColumn("of_rb", part(root_blocks, "tree")).withColumn("for_qb", every(query_blocks))
 
     def run(wanted: pa.Table, trees: pa.Table) -> pa.Table:
-        vs, names, bests = [], [], []
+        vs, names, bests, wants = [], [], [], []
         by_dim: dict[int, list[int]] = {}
         for i, dim in enumerate(trees.column("dim").to_pylist()):
             by_dim.setdefault(dim, []).append(i)
@@ -375,6 +382,7 @@ def _other_trees(queries: DataFrame, roots: DataFrame, n_roots: int, n_queries:
         tree = trees.column("tree").to_numpy()
         homes, asked = wanted.column("tree").to_numpy(), wanted.column("v").to_pylist()
         known = wanted.column("best").fill_null(NOTHING).to_numpy()
+        want = wanted.column("want").to_numpy()
         size = np.array([len(v) // 8 for v in asked])
         for dim, (at, x) in held.items():
             rows = np.flatnonzero(size == dim)
@@ -389,12 +397,18 @@ def _other_trees(queries: DataFrame, roots: DataFrame, n_roots: int, n_queries:
             vs += [asked[rows[i]] for i in row]
             names += tree[at][col].tolist()
             bests += [None if known[rows[i]] == NOTHING else int(known[rows[i]]) for i in row]
+            wants += want[rows[row]].tolist()
         return pa.table(
-            {"v": pa.array(vs, pa.binary()), "tree": pa.array(names, pa.int64()), "best": pa.array(bests, pa.int64())}
+            {
+                "v": pa.array(vs, pa.binary()),
+                "tree": pa.array(names, pa.int64()),
+                "best": pa.array(bests, pa.int64()),
+                "want": pa.array(wants, pa.int64()),
+            }
         )
 
     met = left.groupBy("qb", "rb").cogroup(right.groupBy("for_qb", "of_rb"))
-    return met.applyInArrow(run, "v binary, tree long, best long")
+    return met.applyInArrow(run, "v binary, tree long, best long, want long")
 
 
 def top_k(
@@ -422,21 +436,22 @@ def top_k(
     pages = materialize(points.groupBy("tree").applyInArrow(_build(top), PAGES), "topk-pages")
     roots = pages.filter("page = 0").select("tree", "dim", "root", "cover")
 
-    asked = vectors.filter(is_query)
+    # An id may stand on several vectors: so many of a query's best may be its own rows, which go afterwards.
+    asked = vectors.filter(is_query).select("id", "v")
+    own = vectors.filter(is_query).groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    wanted = asked.join(own, "id").groupBy("v").agg((F.max("own") + k).alias("want"))
     home, counted = materialize_observed(
-        asked.select("v").distinct().join(points.select("v", "tree"), "v"), "topk-home", {"n": F.count(F.lit(1))}
-    )
-    near = materialize(
-        _search_trees(home.withColumn("best", F.lit(None).cast("long")), pages, k + 1, top), "topk-near"
+        wanted.join(points.select("v", "tree"), "v"), "topk-home", {"n": F.count(F.lit(1))}
     )
-    bounds = near.groupBy("v").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("best"))
+    near = materialize(_search_trees(home.withColumn("best", F.lit(None).cast("long")), pages, top), "topk-near")
+    bounds = near.groupBy("v").agg(F.when(F.count(F.lit(1)) >= F.max("want"), F.min("score")).alias("best"))
     known = home.join(bounds, "v", "left")
     others = materialize(_other_trees(known, roots, roots.count(), counted["n"], top), "topk-trees")
-    found = near.unionByName(_search_trees(others, pages, k + 1, top))
+    found = near.unionByName(_search_trees(others, pages, top))
 
     order = [F.col("score").desc(), F.col("id")]
     best = found.withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy(*order)))
-    best = best.filter(F.col("nth") <= k + 1).drop("nth")
+    best = best.filter("nth <= want").drop("nth", "want")
     answers = asked.withColumnRenamed("id", "query_id").join(best, "v").filter("id <> query_id")
     place = F.row_number().over(Window.partitionBy("query_id", "v").orderBy(*order))
     return answers.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")

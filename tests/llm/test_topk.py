@@ -70,6 +70,15 @@ def test_awkward_rows(spark):
     assert found(spark, data) == slow(data, 5, 3)
 
 
+def test_ids_on_several_vectors(spark, monkeypatch):
+    """A query's own other vectors do not take the places of its k best."""
+    monkeypatch.setattr(topk, "TREE_ROWS", 20)
+    data = vectors(4, 80, 4) + [(3, [9.0 + i, 9.0, 9.0, 9.0]) for i in range(7)] + [(6, [9.0, 9.0, 9.0, 9.0])]
+    got = found(spark, data)
+    assert got == slow(data, 5, 3)
+    assert sum(r[0] == 3 for r in got) == 5 * 8
+
+
 def test_fewer_rows_than_asked_and_none(spark):
     assert found(spark, [(0, [1.0]), (3, [2.0])]) == [(0, 1, 3, 512 * 256), (3, 1, 0, 512 * 256)]
     assert found(spark, []) == []
