@@ -286,10 +286,11 @@ def place(length: np.ndarray, rank: np.ndarray, plan: dict) -> tuple[np.ndarray,
     return tuple(np.concatenate(c).astype(np.int64) for c in zip(*out))
 
 
-def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
+def pack(pieces: DataFrame, window: int = WINDOW, ids: bool = True) -> DataFrame:
     """Places of the pieces of :func:`tokenize_pieces`: ``id``, ``piece``,
     ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and
-    ``offset``. A sequence holds at most ``window`` ids, without gaps."""
+    ``offset``, and the ``ids`` themselves as in ``pieces`` unless ``ids`` is
+    false. A sequence holds at most ``window`` ids, without gaps."""
     spark = pieces.sparkSession
     narrow = pieces.drop("ids")
     histogram = np.zeros(window + 1, np.int64)
@@ -328,6 +329,8 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     placed = stage(ranked.mapInArrow(lean(run), schema), "placed")
+    if ids:
+        return part_ids(pieces, placed).select(*schema.names[:-1], "ids")
     cut = placed.filter("ids_crc32 IS NULL")
     sliced = part_ids(pieces, cut, broadcast=cut.count() * 8 * len(schema.names) <= BROADCAST_BYTES)
     whole = placed.filter("ids_crc32 IS NOT NULL").select(*schema.names[:-1])
@@ -363,15 +366,18 @@ def part_ids(pieces: DataFrame, placed: DataFrame, broadcast: bool = False) -> D
 
 
 def pack_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **options
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, ids: bool = True, **options
 ) -> DataFrame:
-    """Tokenize and pack ``docs``: one row per piece with its place."""
-    placed = pack(tokenize_pieces(docs, id_col, text_col, window, **options), window)
+    """Tokenize and pack ``docs``: one row per piece with its place and, unless
+    ``ids`` is false, its ids (little-endian, ``length`` of them). The ids of a
+    ``sequence_id`` in the order of ``offset`` are a training sequence."""
+    placed = pack(tokenize_pieces(docs, id_col, text_col, window, **options), window, ids)
+    held = ["ids"] if ids else []
     return placed.select(
-        F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+        F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *held
     )
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: all documents packed into sequences of at most 4096 tokens."""
-    return pack_documents(table(spark, sf_dir, "documents"))
+    """Contract query: all documents packed into sequences of at most 4096 tokens, by digest."""
+    return pack_documents(table(spark, sf_dir, "documents"), ids=False)

@@ -60,6 +60,24 @@ def test_documents_of_the_smallest_table(spark):
     check(pack_documents(docs), rows, 4096)
 
 
+@pytest.mark.parametrize("window", [16, 4096])
+def test_sequences_hold_their_ids(documents, window):
+    """The ids come with their places, cut pieces included; the digest is that of the call without ids."""
+    rows = [(i, " ".join(f"word{i} number {j}" for j in range(3 * i))) for i in range(12)]
+    docs = documents(rows)
+    got = pack_documents(docs, window=window).collect()
+    again: dict[int, list[int]] = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.start)):
+        part = np.frombuffer(r.ids, f"<u{len(r.ids) // r.length}")
+        assert len(part) == r.length and zlib.crc32(part.astype("<u4").tobytes()) == r.ids_crc32
+        again.setdefault(r.doc_id, []).extend(part.tolist())
+    assert again == {i: ids_of(text) for i, text in rows}
+    bare = pack_documents(docs, window=window, ids=False)
+    assert "ids" not in bare.columns
+    key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens)
+    assert sorted(map(key, bare.collect())) == sorted(map(key, got))
+
+
 def test_empty_table(documents):
     assert pack_documents(documents([])).count() == 0
 
