@@ -1,6 +1,7 @@
 """The ``opN_<name>`` queries of this subpackage and the SQL of those that SQL can express."""
 
 from metrolens.llm import (
+    collocations,
     exact_dedup,
     html_text,
     language,
@@ -10,6 +11,8 @@ from metrolens.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
+    token_files,
     topk,
 )
 
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_topk": topk.op9_topk,
     "op10_mixing": mixing.op10_mixing,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_token_files": token_files.op13_token_files,
 }
 
 ORACLE_SQL = {
@@ -32,4 +38,6 @@ ORACLE_SQL = {
     "op5_sharding": sharding.oracle_sql(),
     "op9_topk": topk.ORACLE_SQL,
     "op10_mixing": mixing.oracle_sql(),
+    "op11_spelling": spelling.oracle_sql(),
+    "op12_collocations": collocations.ORACLE_SQL,
 }

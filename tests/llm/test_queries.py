@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, key):
 def test_registered():
     found = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(found)
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
     assert set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
 
 
@@ -39,6 +39,9 @@ def test_registered():
         ("op8_quality", "doc_id held_out score predicted"),
         ("op9_topk", "query_id rank vec_id score"),
         ("op10_mixing", "doc_id size source_size target taken"),
+        ("op11_spelling", "word form root n n_near form_n"),
+        ("op12_collocations", "lang rank phrase a l r n score"),
+        ("op13_token_files", "doc_id start n_tokens ids_crc32"),
     ],
 )
 def test_columns(spark, key, columns):
@@ -46,6 +49,7 @@ def test_columns(spark, key, columns):
     assert found.columns[: len(columns.split())] == columns.split()
     longs = {"n_words", "n_base", "first_word", "last_word", "group_size", "n_chars", "start", "length", "ids_crc32"}
     longs |= {"doc_tokens", "sequence_id", "offset", "query_id", "vec_id", "size", "source_size", "taken"}
-    longs |= {"score"} if key == "op9_topk" else set()
+    longs |= {"score"} if key in ("op9_topk", "op12_collocations") else set()
+    longs |= {"n", "n_near", "form_n", "n_tokens", "a", "l", "r"} | ({"rank"} if key == "op12_collocations" else set())
     kinds = dict(found.dtypes)
     assert {c: kinds[c] for c in longs & set(kinds)} == {c: "bigint" for c in longs & set(kinds)}
