@@ -34,9 +34,10 @@ from metrolens.llm.common import lean, materialize, slices, table, worker_cache
 SUPPORT = 100
 LONGEST = 5
 TOP = 2000
-SHARDS = 8
+SHARDS = 4
 FILTER_BITS = 1 << 26  # of the filter a level passes on: 8 MiB whatever the corpus
-HELD = 1 << 20  # hashes or phrases that a task counts before it hands them on
+HELD = 1 << 22  # hashes that a task counts before it hands them on, or eight times the phrases
+JOINED = 1 << 22  # bytes of texts that are cut into words together, more only where one text has more
 
 # The characters that end a piece, and the blanks between words.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -158,6 +159,40 @@ def _seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
 
 
+def _joined(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, bytes]]:
+    """Texts of one key (the first ``keys`` columns; the text is the last one) put
+    together, a line feed between them: it ends a piece, so no phrase runs on."""
+    held: dict[tuple, list[bytes]] = {}
+    total = 0
+    for batch in slices(batches):
+        columns = [batch.column(i).to_pylist() for i in range(keys)]
+        for key, text in zip(zip(*columns), batch.column(batch.num_columns - 1)):
+            text = text.as_py()
+            held.setdefault(key, []).append(text)
+            total += len(text)
+        if total > JOINED:
+            for key, texts in held.items():
+                yield key, b"\n".join(texts)
+            held, total = {}, 0
+    for key, texts in held.items():
+        yield key, b"\n".join(texts)
+
+
+def _places(words: Words, filters: list[Filter], sizes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(size, hashes, places)`` of the phrases of each size whose parts, one word shorter, all pass their filters."""
+    hashes, good = words.hashes, np.ones(len(words.hashes), bool)
+    for size in range(1, sizes[-1] + 1):
+        if size > 1:
+            hashes = words.longer(hashes, size)
+            good = good[: len(hashes)] & good[1 : len(hashes) + 1] & words.fits(size)
+        if size in sizes:
+            yield size, hashes, np.flatnonzero(good)
+        if size <= len(filters):
+            good = good & filters[size - 1].holds(hashes)
+        if not good.any():
+            return
+
+
 def local_counts(texts: DataFrame, filters: list[Filter], sizes: range) -> DataFrame:
     """``(shard, size, hash, n)``: how often phrases of the given ``sizes`` stand in
     each shard, where all their parts pass the ``filters`` of one word, two words, ..."""
@@ -180,24 +215,11 @@ def local_counts(texts: DataFrame, filters: list[Filter], sizes: range) -> DataF
                     names=["shard", "size", "hash", "n"],
                 )
 
-        for batch in slices(batches):
-            for shard, lang, text in zip(*(batch.column(i) for i in range(3))):
-                words = Words(text.as_py(), _seed(lang.as_py()))
-                hashes, good = words.hashes, np.ones(len(words.hashes), bool)
-                for size in range(1, sizes[-1] + 1):
-                    if size > 1:
-                        hashes = words.longer(hashes, size)
-                        # both phrases that are one word shorter must have been found
-                        good = good[: len(hashes)] & good[1 : len(hashes) + 1] & words.fits(size)
-                    if size in sizes:
-                        taken = hashes[good]
-                        if len(taken):
-                            held.setdefault((shard.as_py(), size), []).append(taken)
-                            n += len(taken)
-                    if size <= len(filters):
-                        good = good & filters[size - 1].holds(hashes)
-                    if not good.any():
-                        break
+        for (shard, lang), text in _joined(batches, 2):
+            for size, hashes, at in _places(Words(text, _seed(lang)), filters, sizes):
+                if len(at):
+                    held.setdefault((shard, size), []).append(hashes[at])
+                    n += len(at)
             if n > HELD:
                 yield from written()
                 held, n = {}, 0
@@ -234,6 +256,43 @@ def mine(
     return filters[:longest], own
 
 
+def word_numbers(words: Words) -> np.ndarray:
+    """A number for each word, the same for equal words alone: words of one hash are compared byte by byte."""
+    _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
+    size = words.ends - words.starts
+    like = first[number]
+    raw = np.frombuffer(words.text, np.uint8)
+    offset = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    same = (size == size[like]).all()
+    if not same or (raw[offset + np.repeat(words.starts, size)] != raw[offset + np.repeat(words.starts[like], size)]).any():
+        spans = zip(words.starts.tolist(), words.ends.tolist())  # two words share a hash
+        _, number = np.unique(np.array([words.text[a:b] for a, b in spans], object), return_inverse=True)
+    return number
+
+
+def phrase_counts(words: Words, filters: list[Filter]) -> Iterator[tuple[int, list[bytes], list[int]]]:
+    """``(size, phrases, counts)`` of the phrases that pass the filter of their size."""
+    if not len(words.starts):
+        return
+    own = word_numbers(words)
+    numbers = own
+    for size, hashes, at in _places(words, filters, range(1, len(filters) + 1)):
+        if size > 1:
+            # pairs of (number of the phrase one word shorter, number of the last word) are numbered anew
+            pairs = numbers[: len(hashes)] * np.int64(len(own)) + own[size - 1 :]
+            _, numbers = np.unique(pairs, return_inverse=True)
+        taken = at[filters[size - 1].holds(hashes[at])]
+        if not len(taken):
+            continue
+        _, first, n = np.unique(numbers[taken], return_index=True, return_counts=True)
+        first = taken[first]
+        spans = zip(words.starts[first].tolist(), words.ends[first + size - 1].tolist())
+        phrases = [words.text[a:b] for a, b in spans]
+        if size > 1:
+            phrases = [b" ".join(p.split()) if b"  " in p else p for p in phrases]
+        yield size, phrases, n.tolist()
+
+
 def count_phrases(texts: DataFrame, filters: list[Filter]) -> DataFrame:
     """``(lang, words, phrase, n)``: exact counts over all documents of the phrases that pass
     the filter of their size, and all words of a language with ``words`` 0."""
@@ -253,32 +312,19 @@ def count_phrases(texts: DataFrame, filters: list[Filter]) -> DataFrame:
                     names=["lang", "words", "phrase", "n"],
                 )
 
-        for batch in slices(batches):
-            for lang, text in zip(batch.column(1).to_pylist(), batch.column(2)):
-                words = Words(text.as_py(), _seed(lang))
-                hashes = words.hashes
-                held.setdefault((lang, 0), Counter())[b""] += len(hashes)
-                good = np.ones(len(hashes), bool)
-                for size in range(1, len(filters) + 1):
-                    if size > 1:
-                        hashes = words.longer(hashes, size)
-                        good = good[: len(hashes)] & good[1 : len(hashes) + 1] & words.fits(size)
-                    good = good & filters[size - 1].holds(hashes)
-                    at = np.flatnonzero(good)
-                    if not len(at):
-                        break
-                    raw = words.text
-                    spans = zip(words.starts[at].tolist(), words.ends[at + size - 1].tolist())
-                    phrases = [raw[a:b] for a, b in spans]
-                    if size > 1 and b"  " in raw:
-                        phrases = [b" ".join(p.split()) for p in phrases]
-                    held.setdefault((lang, size), Counter()).update(phrases)
-            if sum(map(len, held.values())) > HELD // 4:
+        for (lang,), text in _joined(batches, 1):
+            words = Words(text, _seed(lang))
+            held.setdefault((lang, 0), Counter())[b""] += len(words.starts)
+            for size, phrases, counts in phrase_counts(words, filters):
+                counter = held.setdefault((lang, size), Counter())
+                for phrase, n in zip(phrases, counts):
+                    counter[phrase] += n
+            if sum(map(len, held.values())) > HELD // 8:
                 yield from written()
                 held = {}
         yield from written()
 
-    counted = texts.mapInArrow(lean(run), "lang string, words int, phrase string, n long")
+    counted = texts.select("lang", "text").mapInArrow(lean(run), "lang string, words int, phrase string, n long")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
