@@ -11,33 +11,42 @@ window. Here the sites are indexed once and the points walk down the index:
    any case for poles, the antimeridian or longitudes beyond 180 degrees.
 3. The sites are sorted along a space-filling curve and every ``FAN`` neighbours
    make a node, every ``FAN`` nodes a node above, up to one root. A node holds
-   its children as an array with their boxes. However crowded the sites are, no
+   its children as arrays with their boxes. However crowded the sites are, no
    node holds more than ``FAN`` of them.
-4. Each point first follows the nearest child from the root to a leaf, which
-   gives it the distance to a real site. With that bound it walks down again,
-   into every child whose box is no farther, and meets the sites of the leaves
-   it reaches. The least (km, key) of them is the exact answer.
-
-Every step of a walk is an equi-join of points with one level of the index on
-the node's number. A node is one row, so a node that many points pass is split
-by adaptive execution on the points' side alone. There is one algorithm for
-every size; the planner picks the join of each level. A point that met no site
-fails the query instead of being left out.
+4. The points are sorted along the same curve, dealt to tasks by ranges of it
+   and walked in blocks of neighbours: one row holds a block's points as arrays.
+   A block first follows the child nearest to its middle to one leaf, which gives
+   each of its points the distance to a real site. With those bounds it walks
+   down again into every child whose box some of its points may need, taking
+   those points along, and meets the sites of the leaves they reach. The least
+   (km, key) a point has met is the exact answer.
+
+Every step of a walk is an equi-join of blocks with one level of the index on
+the node's number, and one comparison of all points of a block with all
+children of a node in arrays. There is one algorithm for every size; the planner
+picks the join of each level. A point that met no site fails the query instead
+of being left out.
 """
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metrolens.functions.geo import haversine_km
-from metrolens.operators.joins import check_strategy, with_strategy
-from metrolens.operators.sorting import with_position
+from metrolens.operators.joins import MAX_BROADCAST_ROWS, BroadcastRefused, check_strategy
 from metrolens.session import materialize_observed
 
 UNITS = ("location", "event")
 
-FAN = 16  # children of a node, and sites of a leaf
+FAN = 64  # children of a node, and sites of a leaf
+BLOCK = 256  # points that walk together
 
 # Steps that spread 21 bits to every third bit (shift, mask).
 SPREAD = (
@@ -95,49 +104,203 @@ def curve(*axes: str) -> Column:
     return out
 
 
-def site_index(sites: DataFrame) -> list[DataFrame]:
-    """The levels of the index, leaves first, each ``(node, children)``.
-
-    A leaf's children are (x, y, z, slat, slon, site); above, children are
-    (child, lo, hi) with the corners of the child's box. Every level is written,
-    a sixteenth of the one below; the last has one node, or none without sites.
+AXES = ("x", "y", "z")
+BOX = tuple(f"{side}_{axis}" for side in ("lo", "hi") for axis in AXES)
+BLOCK_COLUMNS = ("lat", "lon", "n", *AXES, "reach")
+BLOCK_SCHEMA = "lat array<double>, lon array<double>, n array<bigint>, " + ", ".join(
+    f"{c} array<double>" for c in (*AXES, "reach")
+) + ", " + ", ".join(f"m_{axis} double" for axis in AXES) + ", node bigint"
+
+
+def _lists(values: pa.Array, edges: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
+
+
+def pack_nodes(rows: DataFrame, order: list[Column], columns: list[str], level: str) -> tuple[DataFrame, int, int | None]:
+    """Every ``FAN`` rows in ``order`` as one node with the ``columns`` as
+    arrays, written: ``node`` rises with the order. Rows have a box (``BOX``);
+    the node's own box bounds them. Also the number of nodes and the least."""
+    kinds = [T.StructField(c, T.ArrayType(rows.schema[c].dataType)) for c in columns]
+    box = [T.StructField(f"own_{c}", T.DoubleType()) for c in BOX]
+    schema = T.StructType([T.StructField("node", T.LongType()), *kinds, *box])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        node = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            edges = np.append(np.arange(0, batch.num_rows, FAN), batch.num_rows)
+            get = lambda c: batch.column(batch.schema.get_field_index(c))
+            bounds = []
+            for c in BOX:
+                pick = np.minimum if c.startswith("lo") else np.maximum
+                bounds.append(pa.array(pick.reduceat(get(c).to_numpy(), edges[:-1])))
+            numbers = pa.array(node + np.arange(len(edges) - 1), pa.int64())
+            node += len(edges) - 1
+            yield pa.RecordBatch.from_arrays(
+                [numbers, *[_lists(get(c), edges) for c in columns], *bounds], names=schema.names
+            )
+
+    packed = rows.orderBy(*order).mapInArrow(run, schema)
+    done, seen = materialize_observed(packed, level, {"nodes": F.count(F.lit(1)), "first": F.min("node")})
+    return done, seen["nodes"], seen["first"]
+
+
+def site_index(sites: DataFrame) -> list[tuple[DataFrame, int, int | None]]:
+    """The levels of the index, leaves first, each ``(nodes, their number, the least)``.
+
+    A leaf's arrays are the coordinates and keys of its sites; above, they are
+    the children's numbers and boxes. Every level is written, a small part of
+    the one below; the last has one node, or none without sites.
     """
-    placed = sites.select("site", "slat", "slon", *unit_vector("slat", "slon")).withColumn("z_order", curve("x", "y", "z"))
-    order = [F.col(c) for c in ("z_order", "x", "y", "z", "slat", "slon")]
-    ranked = with_position(placed, order, "pos").withColumn("node", F.floor((F.col("pos") - 1) / F.lit(FAN)).cast("long"))
-    corner = lambda f: F.array(*[f(c) for c in ("x", "y", "z")])
-    children = F.collect_list(F.struct("x", "y", "z", "slat", "slon", "site"))  # FAN at most
-    level = ranked.groupBy("node").agg(children.alias("children"), corner(F.min).alias("lo"), corner(F.max).alias("hi"))
-    levels = []
-    while True:
-        level, seen = materialize_observed(level, "nearest-index", {"nodes": F.count(F.lit(1))})
-        levels.append(level)
-        if seen["nodes"] < 2:
-            return levels
-        corner_of = lambda f, side: F.array(*[f(F.col(side)[i]) for i in range(3)])
-        level = level.groupBy(F.floor(F.col("node") / F.lit(FAN)).cast("long").alias("up")).agg(
-            F.collect_list(F.struct(F.col("node").alias("child"), "lo", "hi")).alias("children"),
-            corner_of(F.min, "lo").alias("lo"),
-            corner_of(F.max, "hi").alias("hi"),
-        )
-        level = level.withColumnRenamed("up", "node")
+    placed = sites.select("site", "slat", "slon", *unit_vector("slat", "slon"))
+    boxed = placed.select("*", *[F.col(c[3:]).alias(c) for c in BOX], curve(*AXES).alias("along"))
+    order = [F.col(c) for c in ("along", *AXES, "slat", "slon")]
+    levels = [pack_nodes(boxed, order, ["slat", "slon", "site", *AXES], "nearest-leaves")]
+    while levels[-1][1] > 1:
+        below = levels[-1][0].select(F.col("node").alias("child"), *[F.col(f"own_{c}").alias(c) for c in BOX])
+        levels.append(pack_nodes(below, [F.col("child")], ["child", *BOX], "nearest-nodes"))
+    return levels
 
 
-def to_box(lo: Column, hi: Column) -> Column:
-    """Squared straight-line distance from the point (x, y, z) to a box; 0 inside."""
-    out = F.lit(0.0)
-    for i, axis in enumerate("xyz"):
-        gap = F.greatest(lo[i] - F.col(axis), F.col(axis) - hi[i], F.lit(0.0))
-        out = out + gap * gap
-    return out
+def _get(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
 
 
-def to_site(site: Column) -> Column:
-    """Squared straight-line distance from the point (x, y, z) to a site."""
-    out = F.lit(0.0)
-    for axis in "xyz":
-        out = out + (F.col(axis) - site[axis]) * (F.col(axis) - site[axis])
-    return out
+def _flat(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return _get(batch, name).values.to_numpy(zero_copy_only=False)
+
+
+def _block_rows(batch: pa.RecordBatch, taken: list[np.ndarray], nodes: list[int | None]) -> pa.RecordBatch:
+    """Rows of the given points (as places in the batch's flat arrays) at the given nodes."""
+    edges = np.cumsum([0, *map(len, taken)])
+    at = pa.array(np.concatenate(taken) if taken else np.zeros(0, np.int64))
+    lists = [_lists(_get(batch, c).values.take(at), edges) for c in BLOCK_COLUMNS]
+    middle = [pa.nulls(len(nodes), pa.float64())] * 3
+    return pa.RecordBatch.from_arrays(
+        [*lists, *middle, pa.array(nodes, pa.int64())], names=[*BLOCK_COLUMNS, *[f"m_{a}" for a in AXES], "node"]
+    )
+
+
+def make_blocks(points: DataFrame, root: int) -> DataFrame:
+    """Every ``BLOCK`` neighbouring rows as one, at the root, without a bound yet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            edges = np.append(np.arange(0, batch.num_rows, BLOCK), batch.num_rows)
+            size = np.diff(edges)
+            lists = [_lists(_get(batch, c), edges) for c in BLOCK_COLUMNS[:-1]]
+            reach = _lists(pa.array(np.full(batch.num_rows, np.inf)), edges)
+            middle = [pa.array(np.add.reduceat(_get(batch, a).to_numpy(), edges[:-1]) / size) for a in AXES]
+            yield pa.RecordBatch.from_arrays(
+                [*lists, reach, *middle, pa.array(np.full(len(size), root))],
+                names=[*BLOCK_COLUMNS, *[f"m_{a}" for a in AXES], "node"],
+            )
+
+    return points.select(*BLOCK_COLUMNS[:-1]).mapInArrow(run, BLOCK_SCHEMA)
+
+
+def _edges(batch: pa.RecordBatch, name: str) -> list[int]:
+    return _get(batch, name).offsets.to_numpy().tolist()
+
+
+def _to_sites(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, np.ndarray | None]]:
+    """Per row, the ranges of its points and sites and their squared distances (None without sites)."""
+    points, sites = _edges(batch, "lat"), _edges(batch, "slat")
+    own, theirs = [_flat(batch, a) for a in AXES], [_flat(batch, f"s_{a}") for a in AXES]
+    for i in range(batch.num_rows):
+        a, b, c, d = points[i], points[i + 1], sites[i], sites[i + 1]
+        if c == d:
+            yield a, b, c, d, None
+            continue
+        far = np.zeros((b - a, d - c))
+        for p, q in zip(own, theirs):
+            gap = p[a:b, None] - q[None, c:d]
+            far += gap * gap
+        yield a, b, c, d, far
+
+
+def bound(met: DataFrame, root: int) -> DataFrame:
+    """Blocks at the leaf of their first walk: back to the root with a bound for each point."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reach = _flat(batch, "reach").copy()
+            for a, b, _, _, far in _to_sites(batch):
+                if far is not None:
+                    reach[a:b] = far.min(axis=1) + MARGIN
+            columns = [_get(batch, c) for c in BLOCK_COLUMNS[:-1]]
+            columns.append(_lists(pa.array(reach), _get(batch, "reach").offsets.to_numpy()))
+            columns += [_get(batch, f"m_{a}") for a in AXES] + [pa.array(np.full(batch.num_rows, root))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*BLOCK_COLUMNS, *[f"m_{a}" for a in AXES], "node"])
+
+    return met.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def descend(met: DataFrame, marked: bool) -> DataFrame:
+    """Blocks met with a node's children: one row per child that some of the
+    points need, with those points. With ``marked`` also a row of all points
+    without a node, which no later join matches: it stands for them at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points, children = _edges(batch, "lat"), _edges(batch, "child")
+            own, reach, child = [_flat(batch, a) for a in AXES], _flat(batch, "reach"), _flat(batch, "child")
+            boxes = [(_flat(batch, f"lo_{a}"), _flat(batch, f"hi_{a}")) for a in AXES]
+            taken: list[np.ndarray] = []
+            nodes: list[int | None] = []
+            for i in range(batch.num_rows):
+                a, b, c, d = points[i], points[i + 1], children[i], children[i + 1]
+                if marked or c == d:
+                    taken.append(np.arange(a, b))
+                    nodes.append(None)
+                gaps = np.zeros((b - a, d - c))
+                for p, (lo, hi) in zip(own, boxes):
+                    gap = np.maximum(lo[None, c:d] - p[a:b, None], p[a:b, None] - hi[None, c:d])
+                    np.maximum(gap, 0.0, out=gap)
+                    gaps += gap * gap
+                need = gaps <= reach[a:b, None]
+                for j in np.flatnonzero(need.any(axis=0)).tolist():
+                    taken.append(a + np.flatnonzero(need[:, j]))
+                    nodes.append(int(child[c + j]))
+            yield _block_rows(batch, taken, nodes)
+
+    return met.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def meet_sites(met: DataFrame, site: T.DataType) -> DataFrame:
+    """``(lat, lon, n, slat, slon, site)``: each point with the sites of its leaf
+    that may be its nearest, or with nulls for a row without sites."""
+    names = ["lat", "lon", "n", "slat", "slon", "site"]
+    kinds = [T.DoubleType(), T.DoubleType(), T.LongType(), T.DoubleType(), T.DoubleType(), site]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reach = _flat(batch, "reach")
+            points, sites = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for a, b, c, _, far in _to_sites(batch):
+                if far is None:
+                    points.append(np.arange(a, b))
+                    sites.append(np.full(b - a, -1))
+                    continue
+                least = np.minimum(far.min(axis=1) + MARGIN, reach[a:b])
+                p, q = np.nonzero(far <= least[:, None])
+                points.append(a + p)
+                sites.append(c + q)
+            at, of = np.concatenate(points), np.concatenate(sites)
+            of = pa.array(of, mask=of < 0)
+            yield pa.RecordBatch.from_arrays(
+                [_get(batch, c).values.take(pa.array(at)) for c in names[:3]]
+                + [_get(batch, c).values.take(of) for c in names[3:]],
+                names=names,
+            )
+
+    return met.mapInArrow(run, schema)
 
 
 def assign_nearest(
@@ -159,44 +322,56 @@ def assign_nearest(
     """
     check_strategy(strategy)
     pts = distinct_points(points, point_lat, point_lon).select("lat", "lon", "n", *unit_vector("lat", "lon"))
+    key = sites.schema[site_key].dataType
     levels = site_index(distinct_sites(sites, site_key, site_lat, site_lon))
-    leaves, upper = levels[0], levels[:0:-1]
-    if not upper and leaves.isEmpty():
-        key = sites.schema[site_key].dataType
+    *_, (_, nodes, root) = levels
+    if not nodes:
         nothing = [F.lit(None).cast(key).alias("site"), F.lit(None).cast("double").alias("km")]
         return pts.limit(0).select("lat", "lon", "n", *nothing)
-
-    hinted = {level: with_strategy(level.select("node", "children"), strategy) for level in levels}
-
-    def step(walk: DataFrame, level: DataFrame) -> DataFrame:
-        return walk.join(hinted[level], "node", "left")
-
-    # The root's number as a value of the row: on a literal the planner would
-    # fold the join key away and compare every point with every node.
-    root = F.floor(F.abs("z") * 0.0).cast("long")
-
-    # Down to one leaf: the nearest child each time, then the nearest site in it.
-    walk = pts.withColumn("node", root)
-    for level in upper:
-        near = lambda c: F.struct(to_box(c["lo"], c["hi"]).alias("d"), c["child"].alias("child"))
-        walk = step(walk, level).withColumn("node", F.array_min(F.transform("children", near))["child"]).drop("children")
-    reach = F.array_min(F.transform("children", to_site))
-    walk = step(walk, leaves).withColumn("reach", reach + MARGIN).drop("children", "node")
-
-    # Down again, into every child that could hold a site as near.
-    walk = walk.withColumn("node", root)
-    for level in upper:
-        in_reach = F.filter("children", lambda c: to_box(c["lo"], c["hi"]) <= F.col("reach"))
-        found = F.explode_outer(F.transform(in_reach, lambda c: c["child"])).alias("node")
-        walk = step(walk, level).select("lat", "lon", "n", "x", "y", "z", "reach", found)
-    met = F.filter("children", lambda c: to_site(c) <= F.col("reach"))
-    km = lambda c: F.struct(haversine_km("lat", "lon", c["slat"], c["slon"]).alias("km"), c["site"].alias("site"))
-    scored = step(walk, leaves).select("lat", "lon", "n", F.array_min(F.transform(met, km)).alias("b"))
-    best = scored.groupBy("lat", "lon", "n").agg(F.min("b").alias("b"))
+    leaves, *upper = [_hinted(level, count, strategy) for level, count, _ in levels]
+    leaves = leaves.select("node", "slat", "slon", "site", *[F.col(a).alias(f"s_{a}") for a in AXES])
+    upper = [level.select("node", "child", *BOX) for level in reversed(upper)]
+
+    if upper:
+        # A stated number of ranges: adaptive execution does not fold them into one task.
+        spark = pts.sparkSession
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        pts = pts.withColumn("along", curve(*AXES)).repartitionByRange(tasks, "along").sortWithinPartitions("along")
+        walk = make_blocks(pts, root)
+        # Down to one leaf: the child nearest to the block's middle each time.
+        away = lambda c: sum(
+            (F.greatest(c[f"lo_{a}"] - F.col(f"m_{a}"), F.col(f"m_{a}") - c[f"hi_{a}"], F.lit(0.0)) ** 2 for a in AXES),
+            F.lit(0.0),
+        )
+        for level in upper:
+            near = F.array_min(
+                F.transform(F.arrays_zip("child", *BOX), lambda c: F.struct(away(c).alias("d"), c["child"].alias("child")))
+            )
+            walk = walk.join(level, "node", "left").withColumn("node", near["child"]).drop("child", *BOX)
+        walk = bound(walk.join(leaves, "node", "left"), root)
+        # Down again, into every child that could hold a site as near for any point.
+        for i, level in enumerate(upper):
+            walk = descend(walk.join(level, "node", "left"), marked=i == 0)
+    else:
+        walk = make_blocks(pts, root)
+    scored = meet_sites(walk.join(leaves, "node", "left"), key)
+    km = haversine_km("lat", "lon", "slat", "slon").alias("km")
+    met = F.when(F.col("slat").isNotNull(), F.struct(km, F.col("site")))
+    best = scored.groupBy("lat", "lon", "n").agg(F.min(met).alias("b"))
     kept = F.coalesce("b", F.raise_error(F.lit("a point met no site")).cast(best.schema["b"].dataType))
     return best.withColumn("b", kept).select("lat", "lon", "n", F.col("b.site").alias("site"), F.col("b.km").alias("km"))
 
 
+def _hinted(level: DataFrame, nodes: int, strategy: str) -> DataFrame:
+    """An index level with the strategy's hint; a broadcast is checked by the nodes counted while writing."""
+    if strategy == "DEFAULT":
+        return level
+    if strategy == "broadcast" and nodes * FAN > MAX_BROADCAST_ROWS:
+        warnings.warn(f"no broadcast: a level has {nodes} nodes", BroadcastRefused, stacklevel=3)
+        return level
+    return level.hint(strategy)
+
+
 def nearest_summary(
     assigned: DataFrame,
     unit: str = "location",

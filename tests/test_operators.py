@@ -225,20 +225,47 @@ def test_nearest_ties_go_to_the_least_key(spark):
     assert got.site == "A"
 
 
-def test_index_nodes_are_small_and_hold_every_site(spark):
-    from metrolens.operators.nearest import FAN, distinct_sites, site_index
+def test_index_nodes_are_small_and_hold_every_site(spark, monkeypatch):
+    from metrolens.operators import nearest
+    from metrolens.operators.nearest import BOX, distinct_sites, site_index
 
+    monkeypatch.setattr(nearest, "FAN", 16)
     rng = random.Random(2)
     sites = [(i, 10 + rng.random() * 1e-7, 20.0) for i in range(700)] + [(1000 + i, -i / 10, i * 1.0) for i in range(100)]
     sdf = spark.createDataFrame(sites, "site long, slat double, slon double")
-    levels = [level.collect() for level in site_index(distinct_sites(sdf, "site", "slat", "slon"))]
+    levels = [level.collect() for level, _, _ in site_index(distinct_sites(sdf, "site", "slat", "slon"))]
     assert [len(level) for level in levels] == [50, 4, 1]
-    assert sorted(s.site for node in levels[0] for s in node.children) == sorted(s[0] for s in sites)
-    for level in levels:
-        assert all(1 <= len(node.children) <= FAN for node in level)
+    assert sorted(s for node in levels[0] for s in node.site) == sorted(s[0] for s in sites)
+    assert all(1 <= len(node.site) <= 16 for node in levels[0])
     for below, above in zip(levels, levels[1:]):
         boxes = {n.node: n for n in below}
         for node in above:
-            for c in node.children:
-                assert (c.lo, c.hi) == (boxes[c.child].lo, boxes[c.child].hi)
-                assert all(a <= b for a, b in zip(node.lo, c.lo)) and all(a >= b for a, b in zip(node.hi, c.hi))
+            assert 1 <= len(node.child) <= 16
+            for i, child in enumerate(node.child):
+                for c in BOX:
+                    own, theirs = node[f"own_{c}"], node[c][i]
+                    assert theirs == boxes[child][f"own_{c}"]
+                    assert own <= theirs if c.startswith("lo") else own >= theirs
+
+
+def test_nearest_over_many_levels_and_blocks(spark, monkeypatch):
+    from metrolens.operators import nearest
+
+    monkeypatch.setattr(nearest, "FAN", 3)
+    monkeypatch.setattr(nearest, "BLOCK", 5)
+    rng = random.Random(11)
+    sites = [(f"s{i:03d}", rng.uniform(-80, 80), rng.uniform(-170, 170)) for i in range(150)]
+    sites += [(f"t{i:03d}", 10.0 + i * 1e-9, 20.0) for i in range(30)]
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(300)] + [(10.0, 20.0), (-10.0, -160.0)]
+    got = {(r.lat, r.lon): r.km for r in _nearest(spark, points, sites).collect()}
+    assert len(got) == 302
+    for p in points:
+        want = min(_brute_km(p, s) for s in sites)
+        assert got[p] == pytest.approx(want, rel=1e-9, abs=1e-6)
+
+
+def _brute_km(point, site):
+    (a, b), (_, c, d) = point, site
+    p, q = math.radians(a), math.radians(c)
+    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(d - b) / 2) ** 2
+    return 2 * 6371.0 * math.atan2(math.sqrt(min(1.0, h)), math.sqrt(max(0.0, 1 - h)))
