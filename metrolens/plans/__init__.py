@@ -1,6 +1,7 @@
 """Plan inspection and measured comparisons of strategies, formats and API forms."""
 
 from metrolens.plans.explain import executed_join_nodes, plan_text
+from metrolens.plans.metrics import Moved, NodeRun, moved, node_runs
 from metrolens.plans.reports import (
     api_report,
     conversion_report,
@@ -12,6 +13,6 @@ from metrolens.plans.reports import (
 )
 
 __all__ = [
-    "executed_join_nodes", "plan_text", "api_report", "conversion_report", "format_report", "measure", "run_once",
+    "executed_join_nodes", "plan_text", "Moved", "NodeRun", "moved", "node_runs", "api_report", "conversion_report", "format_report", "measure", "run_once",
     "strategy_report", "variant_report",
 ]

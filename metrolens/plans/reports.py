@@ -6,7 +6,8 @@ works and nothing but that row reaches the driver. Every variant has a warm-up
 run and then at least three timed runs, in rotated order so that none always
 goes first; the median counts. The join operators are those of the plan that
 ran (AQE's final plan). Reports give the fastest variant and how many times its
-seconds each took, and whether each returned the same rows as the first.
+seconds each took, whether each returned the same rows as the first, and what
+its last run moved: rows read, rows out of its joins, bytes shuffled and spilled.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolens.plans.explain import executed_join_nodes
+from metrolens.plans.metrics import Moved, moved
 
 REPEATS = 3
 
 REPORT_SCHEMA = (
-    "{label} string, join_node string, rows bigint, same boolean, seconds double, relative double, fastest boolean"
+    "{label} string, join_node string, rows bigint, same boolean, seconds double, relative double, fastest boolean, "
+    "read_rows bigint, join_rows bigint, shuffle_bytes bigint, spilled_bytes bigint"
 )
 
 
@@ -37,10 +40,11 @@ class Measured:
     checksum: int = 0
     joins: list[str] = field(default_factory=list)
     seconds: list[float] = field(default_factory=list)
+    moved: Moved | None = None
 
 
-def run_once(build: Callable[[], DataFrame]) -> tuple[int, int, list[str], float]:
-    """Build and run a query: rows, order-free checksum, join operators, seconds."""
+def run_once(build: Callable[[], DataFrame]) -> tuple[int, int, list[str], float, Moved]:
+    """Build and run a query: rows, order-free checksum, join operators, seconds, what it moved."""
     start = time.perf_counter()
     df = build()
     digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
@@ -49,7 +53,7 @@ def run_once(build: Callable[[], DataFrame]) -> tuple[int, int, list[str], float
     summed = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(low).alias("low"), F.sum(high).alias("high"))
     (row,) = summed.collect()  # of this very plan, so that it can be read afterwards
     seconds = time.perf_counter() - start
-    return row["rows"], hash((row["low"], row["high"])), executed_join_nodes(summed), seconds
+    return row["rows"], hash((row["low"], row["high"])), executed_join_nodes(summed), seconds, moved(summed)
 
 
 def measure(variants: dict[str, Callable[[], DataFrame]], repeats: int = REPEATS, warmup: bool = True) -> dict[str, Measured]:
@@ -62,9 +66,9 @@ def measure(variants: dict[str, Callable[[], DataFrame]], repeats: int = REPEATS
     for turn in range(max(1, repeats)):
         shift = turn % len(names)
         for name in names[shift:] + names[:shift]:
-            rows, checksum, joins, seconds = run_once(variants[name])
+            rows, checksum, joins, seconds, what = run_once(variants[name])
             held = out[name]
-            held.rows, held.checksum, held.joins = rows, checksum, list(dict.fromkeys(joins))
+            held.rows, held.checksum, held.joins, held.moved = rows, checksum, list(dict.fromkeys(joins)), what
             held.seconds.append(seconds)
     return out
 
@@ -76,7 +80,7 @@ def variant_report(
     repeats: int = REPEATS,
     warmup: bool = True,
 ) -> DataFrame:
-    """DataFrame(<label>, join_node, rows, same, seconds, relative, fastest) for named query builders."""
+    """A row per named query builder: see :data:`REPORT_SCHEMA` for the columns."""
     found = measure(variants, repeats, warmup)
     medians = {name: statistics.median(m.seconds) for name, m in found.items()}
     best = min(medians, key=medians.get)
@@ -90,6 +94,10 @@ def variant_report(
             medians[name],
             medians[name] / medians[best],
             name == best,
+            m.moved.read_rows,
+            sum(m.moved.join_rows) if m.joins else None,
+            m.moved.shuffle_bytes,
+            m.moved.spilled_bytes,
         )
         for name, m in found.items()
     ]
