@@ -28,8 +28,10 @@ from metrolens.functions import (
 )
 from metrolens.operators import (
     assign_nearest,
+    bucket_diff,
     conditional_count,
     diff_tables,
+    exact_stats,
     except_distinct,
     global_count,
     group_avg,
@@ -39,9 +41,11 @@ from metrolens.operators import (
     hinted_join,
     limit_n,
     nearest_join,
+    rank_all,
     register_view,
     ratio_join,
     share_by,
+    skew_join,
     topk_per_group,
     topk_sql,
     union_all,
@@ -54,6 +58,7 @@ from metrolens.sources import (
     column_at,
     incidents,
     income,
+    number_lines,
     orders_text,
     profile,
     profile_geojson,
@@ -362,6 +367,57 @@ def q_diff_tables(spark, sf_dir):
     return diff_tables(early, late)
 
 
+def q_bucket_diff(spark, sf_dir):
+    """Orders against a later state of them: some changed, some gone, some twice."""
+    now = _orders(spark, sf_dir)
+    key = F.col("o_orderkey")
+    later = now.filter(key % 101 != 0).withColumn(
+        "o_totalprice", F.when(key % 97 == 0, F.col("o_totalprice") + 1.0).otherwise(F.col("o_totalprice"))
+    )
+    return bucket_diff(now, later.unionAll(now.filter(key % 89 == 0)))
+
+
+def q_skewed_join(spark, sf_dir):
+    """Orders and suppliers by a key that a third of both share: pairs per key."""
+    key = lambda c, of: F.when(F.col(c) % 3 == 0, F.lit(0)).otherwise(F.col(of) % 50 + 1).alias("key")
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    suppliers = read_table(spark, sf_dir, "supplier", ["s_suppkey"])
+    pairs = skew_join(
+        orders.select("o_orderkey", key("o_orderkey", "o_custkey")),
+        suppliers.select("s_suppkey", key("s_suppkey", "s_suppkey")),
+        ["key"],
+    )
+    return pairs.groupBy("key").agg(
+        F.count(F.lit(1)).alias("pairs"),
+        F.sum("o_orderkey").alias("orders"),
+        F.sum(F.col("o_orderkey") % 7 * F.col("s_suppkey")).alias("mixed"),
+    )
+
+
+def q_rank_all(spark, sf_dir):
+    """All orders ranked by date within groups of which one holds a third of them."""
+    grp = F.when(F.col("o_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.col("o_orderpriority")).alias("grp")
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"])
+    dated = orders.select("o_orderkey", grp, F.to_date("o_orderdate").alias("day"))
+    ranked = rank_all(dated, ["grp"], [("day", "DESC")])
+    return ranked.select("o_orderkey", "grp", "rank", "dense_rank")
+
+
+def q_line_numbers(spark, sf_dir):
+    """Lines of several files with their place in all of them, less the first ten."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"]).orderBy("o_orderkey")
+    path = write_text(orders.select(F.concat_ws(";", "o_orderkey", "o_custkey")), staging_path(spark, "numbered"))
+    return number_lines(spark, path, skip=10)
+
+
+def q_exact_avg(spark, sf_dir):
+    """Sums and means of doubles that are the same for every partitioning."""
+    items = read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_extendedprice", "l_discount"])
+    net = items.select("l_returnflag", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
+    found = exact_stats(net, ["l_returnflag"], "net")
+    return found.select("l_returnflag", "n", F.round("sum", 2).alias("sum_net"), F.round("avg", 4).alias("avg_net"))
+
+
 def q_currency_lenient(spark, sf_dir):
     inc = income(spark, sf_dir)
     return inc.select("zip_code", parse_currency("median_income_raw").alias("median_income"))
@@ -565,6 +621,11 @@ def q_geojson_split(spark, sf_dir):
     return read_geojson(spark, _write_blocks(spark, sf_dir, "pretty"), layout="split")
 
 
+def q_geojson_oneline(spark, sf_dir):
+    """The usual export form, a whole document on one line, cut at bytes across tasks."""
+    return read_geojson(spark, _write_blocks(spark, sf_dir, "oneline"), layout="split")
+
+
 def q_geojson_profile(spark, sf_dir):
     return profile_geojson(spark, _write_blocks(spark, sf_dir, "lines"), layout="lines")
 
@@ -715,14 +776,14 @@ def timed_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _strategies_shown(report: DataFrame) -> DataFrame:
+def _strategies_shown(report: DataFrame, *more: str) -> DataFrame:
     """What does not vary between runs; DEFAULT's join is the planner's choice."""
     node = F.when(F.col("strategy") != "DEFAULT", F.col("join_node"))
-    return report.select("strategy", node.alias("join_node"), "rows", "same")
+    return report.select("strategy", node.alias("join_node"), "rows", "same", *more)
 
 
 def q_strategy_report(spark, sf_dir):
-    return _strategies_shown(timed_strategies(spark, sf_dir))
+    return _strategies_shown(timed_strategies(spark, sf_dir), "join_rows")
 
 
 def q_nearest_strategy_report(spark, sf_dir):
@@ -767,6 +828,11 @@ QUERIES: dict[str, Builder] = {
     "union_all": q_union_all,
     "except_distinct": q_except_distinct,
     "diff_tables": q_diff_tables,
+    "bucket_diff": q_bucket_diff,
+    "skewed_join": q_skewed_join,
+    "rank_all": q_rank_all,
+    "line_numbers": q_line_numbers,
+    "exact_avg": q_exact_avg,
     "currency_lenient": q_currency_lenient,
     "currency_strict": q_currency_strict,
     "inner_join": _join_with("DEFAULT"),
@@ -786,6 +852,7 @@ QUERIES: dict[str, Builder] = {
     "geojson_features": q_geojson_features,
     "geojson_document": q_geojson_document,
     "geojson_split": q_geojson_split,
+    "geojson_oneline": q_geojson_oneline,
     "geojson_profile": q_geojson_profile,
     "parquet_roundtrip": q_parquet_roundtrip,
     "share_by_bucket_csv": q_share_by_bucket_csv,
@@ -1024,6 +1091,35 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT 'right_only' AS side, o_custkey, o_orderpriority, COUNT(*) AS copies "
         "FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY o_custkey, o_orderpriority"
     ),
+    "bucket_diff": (
+        "WITH now AS (SELECT * FROM orders), "
+        "later AS (SELECT * REPLACE (CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice) "
+        "FROM now WHERE o_orderkey % 101 <> 0 UNION ALL SELECT * FROM now WHERE o_orderkey % 89 = 0), "
+        "a AS (SELECT {cols} FROM now), b AS (SELECT {cols} FROM later) "
+        "SELECT 'left_only' AS side, {cols}, COUNT(*) AS copies FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL "
+        "UNION ALL "
+        "SELECT 'right_only' AS side, {cols}, COUNT(*) AS copies FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL"
+    ).replace("{cols}", ", ".join(ORDER_COLUMNS)),
+    "skewed_join": (
+        "WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey % 50 + 1 END AS key FROM orders), "
+        "s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey % 50 + 1 END AS key FROM supplier) "
+        "SELECT key, COUNT(*) AS pairs, CAST(SUM(o_orderkey) AS BIGINT) AS orders, "
+        "CAST(SUM(o_orderkey % 7 * s_suppkey) AS BIGINT) AS mixed FROM o JOIN s USING (key) GROUP BY key"
+    ),
+    "rank_all": (
+        "WITH dated AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE o_orderpriority END AS grp, "
+        "CAST(o_orderdate AS DATE) AS day FROM orders) "
+        "SELECT o_orderkey, grp, RANK() OVER w AS rank, DENSE_RANK() OVER w AS dense_rank "
+        "FROM dated WINDOW w AS (PARTITION BY grp ORDER BY day DESC NULLS LAST)"
+    ),
+    "line_numbers": (
+        "SELECT * FROM (SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS line_no, "
+        "o_orderkey || ';' || o_custkey AS value FROM orders) WHERE line_no >= 10"
+    ),
+    "exact_avg": (
+        "SELECT l_returnflag, COUNT(net) AS n, ROUND(fsum(net), 2) AS sum_net, ROUND(favg(net), 4) AS avg_net "
+        "FROM (SELECT l_returnflag, l_extendedprice * (1 - l_discount) AS net FROM lineitem) GROUP BY l_returnflag"
+    ),
     "currency_lenient": _sql(
         "SELECT zip_code, TRY_CAST(regexp_replace(median_income_raw, '[$,]', '', 'g') AS DOUBLE) AS median_income FROM income"
     ),
@@ -1061,6 +1157,7 @@ ORACLE_SQL: dict[str, str] = {
     "geojson_features": _sql(_BLOCK_POINTS),
     "geojson_document": _sql(_BLOCK_POINTS),
     "geojson_split": _sql(_BLOCK_POINTS),
+    "geojson_oneline": _sql(_BLOCK_POINTS),
     "geojson_profile": _sql(
         "SELECT 'feature_type' AS kind, 'Feature' AS name, CAST(NULL AS VARCHAR) AS value_type, COUNT(*) AS features FROM blocks "
         "UNION ALL SELECT 'geometry_type', 'Polygon', NULL, COUNT(*) FROM blocks "
@@ -1158,7 +1255,11 @@ _STRATEGY_ROWS = {
 _C1_ROWS = f"SELECT DISTINCT {_TOD} AS time_of_day FROM incidents"
 _C2_ROWS = f"SELECT * FROM ranked WHERE ranking <= {TOP_K}"
 _C3_ROWS = "SELECT c.zipcode FROM census c JOIN inc i ON c.zipcode = i.zipcode"
-ORACLE_SQL["strategy_report"] = _variants_sql("strategy", _STRATEGY_ROWS, _C3_ROWS, _CENSUS, _INCOME_LENIENT)
+ORACLE_SQL["strategy_report"] = (
+    "SELECT *, rows AS join_rows FROM ("  # the one join's rows are the result's
+    + _variants_sql("strategy", _STRATEGY_ROWS, _C3_ROWS, _CENSUS, _INCOME_LENIENT)
+    + ")"
+)
 ORACLE_SQL["nearest_strategy_report"] = _variants_sql(
     "strategy", _STRATEGY_ROWS, f"SELECT 1 FROM ({ORACLE_SQL['nearest_per_location']})"
 )

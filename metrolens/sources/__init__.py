@@ -3,6 +3,7 @@
 from metrolens.sources.delimited import (
     column_at,
     normalize_column_names,
+    number_lines,
     read_csv,
     read_delimited,
     read_text,
@@ -25,7 +26,7 @@ from metrolens.sources.profile import profile
 from metrolens.sources.tables import TABLES, blocks, incidents, income, orders_text, read_table, sites
 
 __all__ = [
-    "column_at", "normalize_column_names", "read_csv", "read_delimited", "read_text", "sample_lines", "sample_rows", "split_fields", "trim_header_names",
+    "column_at", "normalize_column_names", "number_lines", "read_csv", "read_delimited", "read_text", "sample_lines", "sample_rows", "split_fields", "trim_header_names",
     "write_csv", "write_text",
     "feature_points", "parse_geojson", "profile_geojson", "read_features", "read_geojson", "write_geojson",
     "profile",

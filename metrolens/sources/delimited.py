@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from metrolens.session import materialize
 
 # What the CSV reader splits at when whole lines are wanted; a line that holds it comes back whole all the same.
 _RARE = "\u0001"
@@ -144,3 +147,45 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
         raise ValueError("write_text needs exactly one string column")
     df.write.mode(mode).text(path)
     return path
+
+
+def number_lines(spark: SparkSession, paths: str | Sequence[str], name: str = "line_no", skip: int = 0) -> DataFrame:
+    """``(line_no, value)``: every line with its 0-based place in the files taken
+    one after another in the order of their names, less the first ``skip``.
+
+    No sort: lines are counted per file split (one row each), a running sum over
+    those rows gives every split its first number, and the second read counts on
+    from there as it streams. The counting job runs when this is called.
+    """
+    lines = spark.read.text(_paths(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
+    counts = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts, "line-counts")
+    files = counts.groupBy("file").agg(F.sum("n").alias("lines"))
+    # One row per file, then one per split of a file: no window holds all splits of all files.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum("n").over(inside), F.lit(0))
+    starts = counts.select("file", "block", own.alias("own")).join(files, "file")
+    starts = starts.select("file", "block", (F.col("own") + F.col("before")).alias("first"))
+
+    def count_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], int] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            files, blocks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            cuts = np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+            edges = [0, *cuts.tolist(), batch.num_rows]
+            place = np.empty(batch.num_rows, np.int64)
+            for a, b in zip(edges, edges[1:]):
+                key = (files[a], int(blocks[a]))
+                place[a:b] = np.arange(b - a) + held.get(key, 0)
+                held[key] = held.get(key, 0) + b - a
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], names=["value", "file", "block", "place"])
+
+    placed = lines.mapInArrow(count_on, "value string, file string, block long, place long")
+    numbered = placed.join(starts, ["file", "block"]).select((F.col("first") + F.col("place")).alias(name), "value")
+    return numbered.filter(F.col(name) >= skip) if skip else numbered

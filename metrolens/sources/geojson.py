@@ -10,8 +10,8 @@ Three layouts are read:
   are read as text, trailing commas removed and parsed with ``from_json``; the
   files split freely across tasks. A line holding a whole single-line
   FeatureCollection is expanded too.
-* ``"split"``: a large FeatureCollection document of any line layout, read as
-  text across many tasks (see :func:`_features_from_split_text`).
+* ``"split"``: a large FeatureCollection document of any line layout, also all on
+  one line, cut at bytes across many tasks (see :mod:`metrolens.sources.json_split`).
 
 A file that is cut off, or is not in the stated layout, fails the query: no
 layout returns part of a document. Nothing is collected to the driver.
@@ -19,21 +19,17 @@ layout returns part of a document. Nothing is collected to the driver.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from metrolens.session import materialize
+from metrolens.sources.json_split import member_elements
 
 LAYOUTS = ("document", "lines", "split")
 
-# Offsets of file blocks (one row per block) are broadcast up to this many, else joined by shuffle.
-MAX_BROADCAST_BLOCKS = 200_000
-
 
 def _feature_type(properties_type: str) -> str:
     return f"struct<type:string, geometry:struct<type:string>, properties:{properties_type}>"
@@ -67,18 +63,16 @@ _FOOTER = r"^\](?:\s*,.*)?\}$"
 def _features_from_lines(lines: DataFrame, properties_type: str, file: Column | None = None) -> DataFrame:
     """Features of lines of text; ``file`` names the file of each, whose header
     and footer must then match."""
-    value = F.regexp_replace(F.trim(F.col("value")), r"^,+|,+$", "")
+    value = F.expr("trim(BOTH ',' FROM trim(value))")
     schema = (
         f"struct<type:string, geometry:struct<type:string>, properties:{properties_type}, "
         f"features:array<{_feature_type(properties_type)}>, broken:string>"
     )
     named = lines.select(value.alias("v"), (F.lit("") if file is None else file).alias("file"))
-    told = named.filter(F.col("v") != "").select(
-        "v",
-        "file",
-        F.col("v").rlike(_HEADER).alias("header"),
-        F.col("v").rlike(_FOOTER).alias("footer"),
-    )
+    # Only a line with the right first and last character is held against a pattern.
+    header = F.col("v").startswith("{") & F.col("v").endswith("[") & F.col("v").rlike(_HEADER)
+    footer = F.col("v").startswith("]") & F.col("v").rlike(_FOOTER)
+    told = named.filter(F.col("v") != "").select("v", "file", header.alias("header"), footer.alias("footer"))
     parsed = told.filter(~F.col("header") & ~F.col("footer")).select(
         F.from_json("v", schema, {"columnNameOfCorruptRecord": "broken"}).alias("j")
     )
@@ -127,203 +121,16 @@ def read_features(
     return _features_from_lines(spark.read.text(paths), properties_type, F.col("_metadata.file_path"))
 
 
-# A JSON string literal or one bracket, for the cutting pass. JSON strings hold
-# no raw line breaks, so every line tokenizes on its own.
-_TOKENS = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}]')
-
-# Depth at which features open: inside the root object (1) and its "features" array (2).
-_FEATURE_DEPTH = 2
-
-
-def _bracket_delta(line: Column) -> Column:
-    """Opening minus closing brackets outside string literals.
-
-    Two passes without a repeated group, so that the length of a string does
-    not matter: first the escapes go, then the strings."""
-    bare = F.regexp_replace(F.regexp_replace(line, r"\\.", ""), r'"[^"]*"', "")
-    opens = F.length(bare) - F.length(F.regexp_replace(bare, r"[\[{]", ""))
-    closes = F.length(bare) - F.length(F.regexp_replace(bare, r"[\]}]", ""))
-    return (opens - closes).cast("bigint")
-
-
-_CUT = "file string, block bigint, mid bigint, piece int, kind string, member string, text string"
-
-
-def _cut_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walk each file block's lines in order from the depth at its start and
-    cut out the objects that open at depth 2.
-
-    Emits ``whole`` for an object inside the block, ``head`` for one that opens
-    here and runs past the block end, ``tail`` for the end of one that opened in
-    an earlier block, ``body`` for a block lying wholly inside one, and
-    ``member`` (with the name) for every array or object that opens inside the
-    root. ``member`` of an object is the name of the array that holds it, or
-    None when that array opened in an earlier block. Heads are keyed (mid,
-    piece >= 0) by where they open; tails and bodies take piece -1, so they sort
-    before any head of their block."""
-    columns = ["file", "block", "mid", "piece", "kind", "member", "text"]
-    block = None
-    depth = 0
-    inside = False  # within an object that opened at depth 2
-    opened_here = False
-    parts: list[str] = []
-    start_key = (0, 0)
-    last_mid = None
-    name = None  # last string seen inside the root
-    member = None  # array or object of the root that is open, as far as this block knows
-    own = None  # member that held the object now open
-    out: list[tuple] = []
-
-    def close_block():
-        if block is not None and inside and depth > _FEATURE_DEPTH:
-            mid, piece = start_key if opened_here else (last_mid, -1)
-            kind = "head" if opened_here else "body"
-            out.append((block[0], block[1], mid, piece, kind, own, "\n".join(parts)))
-
-    for batch in batches:
-        for value, file, blk, mid, d0 in zip(batch["value"], batch["file"], batch["block"], batch["mid"], batch["d0"]):
-            if block != (file, blk):
-                close_block()
-                block, depth, parts, opened_here, last_mid = (file, blk), int(d0), [], False, None
-                name = member = own = None
-                inside = depth > _FEATURE_DEPTH
-            elif mid <= last_mid:
-                raise RuntimeError("lines of a file block arrived out of order")
-            last_mid = mid
-            value = value or ""
-            seg = 0
-            piece = 0
-            for m in _TOKENS.finditer(value):
-                ch = m.group()
-                if ch in "{[":
-                    if depth == 1:
-                        member = name or ""
-                        out.append((file, blk, mid, piece, "member", member, None))
-                        piece += 1
-                    elif depth == _FEATURE_DEPTH:
-                        inside = ch == "{"
-                        if inside:
-                            seg, opened_here, start_key, parts, own = m.start(), True, (mid, piece), [], member
-                            piece += 1
-                    depth += 1
-                elif ch in "}]":
-                    depth -= 1
-                    if depth == _FEATURE_DEPTH and inside:
-                        parts.append(value[seg : m.end()])
-                        if opened_here:
-                            out.append((file, blk, start_key[0], start_key[1], "whole", own, "\n".join(parts)))
-                        else:
-                            out.append((file, blk, mid, -1, "tail", None, "\n".join(parts)))
-                        inside, opened_here, parts = False, False, []
-                elif depth == 1:
-                    name = ch[1:-1]
-            if inside and depth > _FEATURE_DEPTH:
-                parts.append(value[seg:])
-        if out:
-            yield pd.DataFrame(out, columns=columns)
-            out = []
-    close_block()
-    if out:
-        yield pd.DataFrame(out, columns=columns)
-
-
 def _features_from_split_text(spark: SparkSession, paths: Sequence[str], properties_type: str) -> DataFrame:
-    """Features of FeatureCollection documents read as text, split across tasks.
-
-    1. Every line gets its bracket balance (JVM-side); one row per file block
-       sums it, and a running sum over a file's blocks (rows without text) gives
-       the depth at each block start. A file that does not end at depth 0 fails.
-    2. An Arrow-batched pass walks each block's lines in scan order and cuts
-       out the objects that open at depth 2, with the root member that holds
-       them; one inside a block needs nothing more, so no text is shuffled for it.
-    3. Pieces of objects that cross a block boundary (at most a head and a tail
-       per block, or a body for a block inside one) are numbered over rows
-       without text, and their texts joined and put together by that number.
-
-    Only objects of the root's ``features`` array are returned. The block
-    offsets and the cut objects are written under the shared checkpoint folder,
-    so this layout runs jobs when the DataFrame is built.
-    """
-    lines = spark.read.text(list(paths)).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("mid"),
-    )
-    per_block = lines.groupBy("file", "block").agg(F.sum(_bracket_delta(F.col("value"))).alias("delta"))
-    in_order = Window.partitionBy("file").orderBy("block")
-    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    starts = per_block.select(
-        "file",
-        "block",
-        (F.sum("delta").over(upto) - F.col("delta")).alias("d0"),
-        F.sum("delta").over(upto).alias("d1"),
-        F.lead("block").over(in_order).isNull().alias("last"),
-    )
-    balanced = F.when(F.col("last"), F.col("d1") == 0).otherwise(F.col("d1") >= 0)
-    starts = materialize(
-        starts.filter(_holds(balanced, "a document is cut off")).select("file", "block", "d0"), "geojson-blocks"
-    )
-    if starts.count() <= MAX_BROADCAST_BLOCKS:
-        # The scan streams through a broadcast join, so a block's lines keep their order (the cutting pass checks it).
-        placed = lines.join(F.broadcast(starts), ["file", "block"])
-    else:
-        placed = lines.join(starts, ["file", "block"]).sortWithinPartitions("file", "block", "mid")
-    cut = placed.select("value", "file", "block", "mid", "d0").mapInPandas(_cut_features, _CUT)
-    # Written once (runs the cutting pass once, cuts lineage); the uses below read it without the text.
-    cut = materialize(cut, "geojson-cut")
-
-    place = Window.partitionBy("file").orderBy("block", "mid", "piece").rowsBetween(Window.unboundedPreceding, 0)
-    is_head = F.col("kind") == "head"
-    # Per block: pieces and members, a few rows without text. Each takes the head and the member it follows.
-    told = cut.filter("kind <> 'whole'").select(
-        "file",
-        "block",
-        "mid",
-        "piece",
-        "kind",
-        F.last(F.when(is_head, F.struct("block", "mid", "piece")), ignorenulls=True).over(place).alias("feature"),
-        F.last("member", ignorenulls=True).over(place).alias("within"),
-    )
-    # What a block starts in: the member that was open at the end of the last block that names one.
-    ends = told.groupBy("file", "block").agg(F.max_by("within", F.struct("mid", "piece")).alias("within"))
-    known = per_block_members(starts, ends)
-    whole = (
-        cut.filter("kind = 'whole'")
-        .select("file", "block", "member", "text")
-        .join(known, ["file", "block"])
-        .filter(F.coalesce("member", "within") == "features")
-        .select("text")
-    )
-    pieces = told.filter("kind IN ('head', 'tail', 'body')").drop("kind")
-    texts = cut.filter("kind IN ('head', 'tail', 'body')").select("file", "block", "mid", "piece", "text")
-    headed = pieces.withColumnRenamed("within", "of").join(texts, ["file", "block", "mid", "piece"])
-    parts = F.array_sort(F.collect_list(F.struct("block", "mid", "piece", "text", "of")))
-    stitched = (
-        headed.groupBy("file", "feature")
-        .agg(parts.alias("parts"))
-        .filter(F.col("parts")[0]["of"] == "features")
-        .select(F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
-    )
+    """Features of FeatureCollection documents of any line layout, split across tasks."""
+    texts = member_elements(spark, paths, "features", _holds)
     schema = f"struct<type:string, geometry:struct<type:string>, properties:{properties_type}, broken:string>"
-    parsed = whole.unionByName(stitched).select(
-        F.from_json("text", schema, {"columnNameOfCorruptRecord": "broken"}).alias("f")
-    )
+    parsed = texts.select(F.from_json("text", schema, {"columnNameOfCorruptRecord": "broken"}).alias("f"))
     sound = F.coalesce(F.col("f.broken").isNull() & (F.col("f.type") == "Feature"), F.lit(False))
     checked = F.when(sound, F.col("f")).otherwise(_fail("a member of features is no feature", parsed.schema["f"].dataType))
     return parsed.select(checked.alias("f")).select("f.type", "f.geometry", "f.properties")
 
 
-def per_block_members(starts: DataFrame, ends: DataFrame) -> DataFrame:
-    """``(file, block, within)``: the root member that is open where each block starts."""
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        starts.select("file", "block")
-        .join(ends, ["file", "block"], "left")
-        .select("file", "block", F.last("within", ignorenulls=True).over(before).alias("within"))
-    )
-
-
 def parse_geojson(df: DataFrame, column: str, props: Sequence[str]) -> DataFrame:
     """Features from a string column holding FeatureCollection documents or single features;
     the properties come as text."""
@@ -425,11 +232,11 @@ def write_geojson(df: DataFrame, path: str, layout: str = "lines") -> str:
 
     Every output file (one per partition) is one FeatureCollection, so readers
     of either layout split the work by file. ``layout="lines"`` writes one
-    feature per line; ``"pretty"`` indents. The features are rendered by
+    feature per line, ``"pretty"`` indents, ``"oneline"`` puts the whole file on one line. The features are rendered by
     ``to_json``; a small streaming pass only adds header, commas and footer.
     """
-    if layout not in ("lines", "pretty"):
-        raise ValueError("layout must be 'lines' or 'pretty'")
+    if layout not in ("lines", "pretty", "oneline"):
+        raise ValueError("layout must be 'lines', 'pretty' or 'oneline'")
     geometry = F.struct(F.lit("Polygon").alias("type"), F.array().cast("array<string>").alias("coordinates"))
     feature = F.struct(
         F.lit("Feature").alias("type"),
@@ -449,5 +256,6 @@ def write_geojson(df: DataFrame, path: str, layout: str = "lines") -> str:
                 yield pd.DataFrame({"value": [t + "," for t in texts]})
         yield pd.DataFrame({"value": ([held] if held is not None else []) + ["]}"]})
 
-    rendered.mapInPandas(frame, "value string").write.mode("overwrite").text(path)
+    separator = " " if layout == "oneline" else "\n"
+    rendered.mapInPandas(frame, "value string").write.mode("overwrite").option("lineSep", separator).text(path)
     return path

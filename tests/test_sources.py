@@ -240,9 +240,9 @@ def test_geojson_split_reads_the_features_member_only(spark):
 
 
 def test_geojson_split_by_shuffle_above_the_broadcast_bound(spark, monkeypatch):
-    from metrolens.sources import geojson
+    from metrolens.sources import json_split
 
-    monkeypatch.setattr(geojson, "MAX_BROADCAST_BLOCKS", 0)
+    monkeypatch.setattr(json_split, "MAX_BROADCAST_BLOCKS", 0)
     base = _local(spark, "geojson-shuffled")
     doc = {"type": "FeatureCollection", "features": [_feature(i) for i in range(60)]}
     path = _write(base, "a.geojson", json.dumps(doc, indent=1))
@@ -281,3 +281,61 @@ def test_samples(spark):
     got = sample_lines(spark, path, n=250, width=200).collect()
     assert len(got) == 250 and max(len(r.value) for r in got) == 200
     assert sample_rows(spark.range(50), 7).count() == 7
+
+
+ODD_KEYS = {"fea}tures": [{"a": 1}], "b[": {"x": {"y": [1, {"z": "}"}]}}, "c\\": [[1, [2]], {"k": "\\"}], 'q"': 3}
+
+
+def _odd_document():
+    """Strings with brackets, quotes and escapes, keys that hold braces, a feature over many
+    blocks, and other members with nested arrays before and after the features."""
+    features = [_feature(i) for i in range(150)]
+    for i, f in enumerate(features):
+        f["properties"]["note"] = ('}{][\\",\n' * (i % 5)) + "x" * (i % 7) + "\\" * (i % 3) + "é"
+    features[9]["geometry"] = {"type": "Polygon", "coordinates": [[[j, j + 0.5] for j in range(400)]]}
+    features[20]["properties"]["note"] = "no brace " * 300
+    doc = {"type": "FeatureCollection", **ODD_KEYS, "crs": {"name": "x{", "old": [[_feature(900)]]}}
+    doc |= {"features": features, "after": [[list(range(300)), [_feature(901)]], _feature(902)], "end": {}}
+    return doc
+
+
+@pytest.mark.parametrize("size", [64, 300, 1 << 20])
+@pytest.mark.parametrize("text", ["one", "indented", "followed"])
+def test_geojson_on_one_line_splits(spark, size, text):
+    from metrolens.sources import read_features
+    from metrolens.sources.json_split import read_records
+
+    doc = _odd_document()
+    rendered = json.dumps(doc, indent=1) if text == "indented" else json.dumps(doc)
+    path = _write(_local(spark, "geojson-one"), "a.geojson", rendered + (" \r\n\t" if text == "followed" else ""))
+    want = sorted((f["properties"]["ZCTA20"], f["properties"]["note"]) for f in doc["features"])
+    old = _small_splits(spark, size)
+    try:
+        df = read_features(spark, path, "struct<ZCTA20:string, note:string>", "split")
+        got = sorted((r.properties.ZCTA20, r.properties.note) for r in df.collect())
+        tasks = read_records(spark, [path]).rdd.getNumPartitions()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want
+    assert tasks > (20 if size < 1000 else 0)
+
+
+@pytest.mark.parametrize("size", [200, 1 << 20])
+def test_geojson_on_one_line_cut_anywhere_fails(spark, size):
+    base = _local(spark, "geojson-one-cut")
+    doc = json.dumps({"type": "FeatureCollection", "features": [_feature(i) for i in range(12)], "z": {"a": "b}"}})
+    cuts = [len(doc) - 1, len(doc) - 2, len(doc) - 4, len(doc) // 2, doc.index("}") + 1, doc.index("}"), 40]
+    old = _small_splits(spark, size)
+    try:
+        for i, cut in enumerate(cuts):
+            path = _write(f"{base}/{i}", "a.geojson", doc[:cut])
+            with pytest.raises(Exception, match="cut off"):
+                read_geojson(spark, path, layout="split").collect()
+        for i, text in enumerate([doc + doc, doc + " x", doc + "}", "[" + doc + "]", doc + " {}"]):
+            path = _write(f"{base}/more{i}", "a.geojson", text)
+            with pytest.raises(Exception, match="cut off|text behind|does not begin"):
+                read_geojson(spark, path, layout="split").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
