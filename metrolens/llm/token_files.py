@@ -23,10 +23,12 @@ without files, which reads as no rows.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,8 @@ CLOSING_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK_IDS = 2 << 20  # ids of a file, more only where one document has more
 
-# Pieces a Python worker remembers; others are encoded each time they come.
-CACHED = 600_000
+# Parts a Python worker remembers; others are encoded in each batch they come in.
+HELD_PARTS = 500_000
 
 # Latin letters, white space and the pattern of pieces of the vocabulary file's pre-tokenizer.
 LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
@@ -50,12 +52,12 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class ChunkIds(dict):
-    """Little-endian ids of parts of a text, encoded when they first come.
+class PartIds(dict):
+    """Little-endian ids of parts of texts, kept from one batch to the next.
 
     A part ends where the pattern of pieces always cuts: before a space that
     follows a word and behind a run of Latin letters. So equal parts have equal
-    ids wherever they stand.
+    ids wherever they stand, and each is encoded once.
     """
 
     def __init__(self, path: str):
@@ -63,8 +65,10 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.encoder = Tokenizer.from_file(path)
-        self.width = "<u2" if self.encoder.get_vocab_size() <= 1 << 16 else "<u4"
+        self.merges = Tokenizer(self.encoder.model)  # takes pieces that are cut out already
+        self.width, self.code = ("<u2", "H") if self.encoder.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.letters = self.byte_letters()
         self.pieces = regex.compile(PIECE).findall
         word = f" ?[{LATIN}]++(?![^\x00-\x7f\xa0-\u024f])"  # no letter of another script may follow
@@ -82,24 +86,41 @@ class ChunkIds(dict):
         return {b: chr(b if b in plain else next(spare)) for b in range(256)}
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.width).tobytes()
-
-    def __missing__(self, part: str) -> bytes:
-        pieces = (part,) if self.word(part) else self.pieces(part)
-        if len(pieces) == 1:
-            shown = part.encode().decode("latin-1").translate(self.letters)
-            found = self.packed([t.id for t in self.encoder.model.tokenize(shown)])
-        else:
-            found = b"".join(map(self.__getitem__, pieces))
-        if len(self) < CACHED and len(part) <= 48:
-            self[part] = found
-        return found
-
-    def text(self, text: str) -> bytes:
-        """Ids of a whole text."""
-        if self.unusual(text):
-            return self.packed(self.encoder.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.__getitem__, self.parts(text)))
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def shown(self, piece: str) -> str:
+        """The piece in the vocabulary's letters."""
+        if piece.isascii() and piece.isprintable():  # of these, only the space has another letter
+            return piece.replace(" ", self.letters[32])
+        return piece.encode().decode("latin-1").translate(self.letters)
+
+    def learned(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids of parts that are not held yet."""
+        plain = list(filter(self.word, parts))
+        cut = {p: self.pieces(p) for p in parts.difference(plain)}
+        pieces = list({one for found in cut.values() for one in found}.difference(plain) - self.keys()) + plain
+        coded = self.merges.encode_batch_fast(list(map(self.shown, pieces)), add_special_tokens=False)
+        ids = {p: self.packed(c.ids) for p, c in zip(pieces, coded)}
+        for part, found in cut.items():
+            if part not in ids:
+                ids[part] = b"".join(ids[p] if p in ids else self[p] for p in found)
+        return ids
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts."""
+        cut = [None if self.unusual(t) else self.parts(t) for t in texts]
+        given = chain.from_iterable(c for c in cut if c is not None)
+        new = self.learned(set(filterfalse(self.__contains__, given)))
+        self.update(new)
+        find = self.__getitem__
+        out = [
+            self.packed(self.encoder.encode(t, add_special_tokens=False).ids) if c is None else b"".join(map(find, c))
+            for t, c in zip(texts, cut)
+        ]
+        if len(self) > HELD_PARTS:
+            for part in new:
+                del self[part]
+        return out
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -147,7 +168,7 @@ def encode_sorted(
         from pyspark import TaskContext
 
         path = tokenizer_path or vocabulary_path()
-        words = worker_cache(f"chunk-ids:{path}", lambda: ChunkIds(path))
+        words = worker_cache(f"part-ids:{path}", lambda: PartIds(path))
         closing = words.packed([closing_id])
         size = len(closing)
         part, chunk, before = TaskContext.get().partitionId(), 0, 0
@@ -157,7 +178,8 @@ def encode_sorted(
 
         def written() -> pa.RecordBatch:
             ids = b"".join(held)
-            token, n = np.unique(np.frombuffer(ids, words.width), return_counts=True)
+            n = np.bincount(np.frombuffer(ids, words.width))
+            token = np.flatnonzero(n)
             lengths = np.array([len(h) // size for h in held], "<u8")
             unnamed = np.packbits([n is None for n in names], bitorder="little")
             row = (
@@ -170,13 +192,14 @@ def encode_sorted(
                 unnamed.tobytes(),
                 lengths.tobytes(),
                 ids,
-                [{"id": int(t), "n": int(c)} for t, c in zip(token, n)],
+                [{"id": int(t), "n": int(c)} for t, c in zip(token, n[token])],
             )
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], names=arrow.names)
 
-        for batch in slices(batches):
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = words.text(text.as_py() or "") + closing
+        for batch in slices(batches, 128):
+            texts = words.texts([t or "" for t in batch.column(1).to_pylist()])
+            for name, ids in zip(batch.column(0).to_pylist(), texts):
+                ids += closing
                 if total and total + len(ids) // size > chunk_ids:
                     yield written()
                     chunk, before = chunk + 1, before + total
@@ -197,39 +220,41 @@ def encode_sorted(
 def put_numbers(values: np.ndarray) -> tuple[bytes, bytes]:
     """``(control, data)`` of numbers below 2**32."""
     values = np.ascontiguousarray(values, "<u4")
-    size = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    most = int(values.max()) if len(values) else 0
+    width = max(1, -(-most.bit_length() // 8))
+    size = np.ones(len(values), np.uint8)
+    for byte in range(1, width):
+        size += values >> (8 * byte) > 0
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[: len(values)] = size - 1
     quads = codes.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    kept = np.arange(4) < size[:, None]
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    kept = np.arange(width, dtype=np.uint8) < size[:, None]
+    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[:, :width][kept].tobytes()
 
 
-def lookup_tables() -> tuple[np.ndarray, np.ndarray]:
-    """For every control byte: the bytes its four numbers take, and where each
-    of their 16 bytes stands behind the first (16: an absent byte, zero)."""
+def lookup_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every control byte: the bytes its four numbers take, where each of
+    them begins behind the first, and the mask that leaves its own bytes of the
+    four that stand there."""
     size = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
-    first = np.cumsum(size, axis=1) - size
-    byte = np.arange(4)
-    places = np.where(byte < size[:, :, None], first[:, :, None] + byte, 16)
-    return size.sum(axis=1), places.reshape(256, 16)
+    mask = ((1 << 8 * size.astype(np.uint64)) - 1).astype("<u4")
+    return size.sum(axis=1), np.cumsum(size, axis=1) - size, mask
 
 
 def get_numbers(control: bytes, data: bytes, n: int, block: int = 1 << 15) -> np.ndarray:
     """The ``n`` numbers of :func:`put_numbers`, ``block`` control bytes at a time."""
-    widths, places = lookup_tables()
+    widths, firsts, masks = lookup_tables()
     control = np.frombuffer(control, np.uint8)
-    data = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(17, np.uint8)])
+    held = data + bytes(16)  # the last control byte may stand for fewer than four numbers
+    four = np.ndarray(len(held) - 3, "<u4", held, strides=(1,))  # the four bytes from every place on
     out = np.empty(len(control) * 4, "<u4")
     start = 0
     for at in range(0, len(control), block):
         codes = control[at : at + block]
-        width = widths[codes]
-        ends = start + np.cumsum(width)
-        place = places[codes]
-        four = np.where(place < 16, data[np.minimum((ends - width)[:, None] + place, len(data) - 1)], 0)
-        out[4 * at : 4 * (at + len(codes))] = four.astype(np.uint8).view("<u4").reshape(-1)
+        ends = start + np.cumsum(widths[codes])
+        places = (ends - widths[codes])[:, None] + firsts[codes]
+        out[4 * at : 4 * (at + len(codes))] = (four[places] & masks[codes]).reshape(-1)
         start = int(ends[-1])
     return out[:n]
 

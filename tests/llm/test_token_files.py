@@ -11,7 +11,7 @@ from metrolens.llm import token_files as tf
 
 @pytest.fixture(scope="module")
 def words():
-    return tf.ChunkIds(tf.vocabulary_path())
+    return tf.PartIds(tf.vocabulary_path())
 
 
 def check(spark, docs, words, path, **options):
@@ -73,9 +73,19 @@ def test_parts_are_encoded_as_the_whole(words):
     rnd = random.Random(2)
     parts = [" ", "  ", "\n", "\t", "a", "Bc", "é", "é", "'s", "'ll", "'", "1", "23", "!", "?!", "\xa0", "　", "中", "и"]
     parts += ["\U0001f600", "\x1c", "\x85", "\x00", "’", "<|endoftext|>", "_", "ß", "ŉ", "​", "\r\n", "ʼ", "ª", "×"]
-    for _ in range(20_000):
-        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 10)))
-        assert words.text(text) == words.packed(words.encoder.encode(text, add_special_tokens=False).ids), repr(text)
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 10))) for _ in range(20_000)]
+    for at in range(0, len(texts), 500):
+        for text, ids in zip(texts[at : at + 500], words.texts(texts[at : at + 500])):
+            assert ids == words.packed(words.encoder.encode(text, add_special_tokens=False).ids), repr(text)
+
+
+def test_parts_beyond_those_held(words, monkeypatch):
+    monkeypatch.setattr(tf, "HELD_PARTS", 50)
+    few = tf.PartIds(tf.vocabulary_path())
+    texts = [f"some word{i} other{i % 7} thing, and word{i}s!" for i in range(300)]
+    for at in range(0, 300, 20):
+        assert few.texts(texts[at : at + 20]) == words.texts(texts[at : at + 20])
+    assert len(few) < 200
 
 
 def test_numbers():
