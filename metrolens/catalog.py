@@ -65,11 +65,13 @@ from metrolens.sources import (
     read_csv,
     read_delimited,
     read_geojson,
+    read_range,
     read_table,
     read_text,
     sample_lines,
     sites,
     split_fields,
+    write_clustered,
     write_csv,
     write_geojson,
     write_text,
@@ -410,6 +412,14 @@ def q_line_numbers(spark, sf_dir):
     return number_lines(spark, path, skip=10)
 
 
+def q_clustered_scan(spark, sf_dir):
+    """Orders clustered on customer and price, read back by a range of both."""
+    path = write_clustered(
+        _orders(spark, sf_dir), staging_path(spark, "clustered"), ["o_custkey", "o_totalprice"], file_bytes=64 << 10
+    )
+    return read_range(spark, path, {"o_custkey": (100, 400), "o_totalprice": (50_000.0, 250_000.0)})
+
+
 def q_exact_avg(spark, sf_dir):
     """Sums and means of doubles that are the same for every partitioning."""
     items = read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_extendedprice", "l_discount"])
@@ -832,6 +842,7 @@ QUERIES: dict[str, Builder] = {
     "skewed_join": q_skewed_join,
     "rank_all": q_rank_all,
     "line_numbers": q_line_numbers,
+    "clustered_scan": q_clustered_scan,
     "exact_avg": q_exact_avg,
     "currency_lenient": q_currency_lenient,
     "currency_strict": q_currency_strict,
@@ -1116,6 +1127,10 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * FROM (SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS line_no, "
         "o_orderkey || ';' || o_custkey AS value FROM orders) WHERE line_no >= 10"
     ),
+    "clustered_scan": (
+        f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders "
+        "WHERE o_custkey BETWEEN 100 AND 400 AND o_totalprice BETWEEN 50000 AND 250000"
+    ),
     "exact_avg": (
         "SELECT l_returnflag, COUNT(net) AS n, ROUND(fsum(net), 2) AS sum_net, ROUND(favg(net), 4) AS avg_net "
         "FROM (SELECT l_returnflag, l_extendedprice * (1 - l_discount) AS net FROM lineitem) GROUP BY l_returnflag"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -18,6 +19,10 @@ DEFAULT_CONF = {
 }
 
 
+# The scope that staged tables belong to, if one is open (see metrolens.staging).
+CURRENT_SCOPE: ContextVar = ContextVar("metrolens_staging_scope", default=None)
+
+
 def build_session(
     master: str | None = "local[8]",
     app_name: str = "metrolens",
@@ -76,8 +81,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared checkpoint folder, in the open scope's folder if there is one."""
+    scope = CURRENT_SCOPE.get()
+    root = scope.root if scope is not None else f"{checkpoint_dir(spark).rstrip('/')}/staging"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def clear_staging(spark: SparkSession) -> bool:

@@ -33,7 +33,7 @@ def summarise(plan: str) -> dict:
         "joins": ",".join(joins) or "-",
         "partial_agg": "yes" if re.search(r"partial_", plan) else "-",
         "topk_limit": "yes" if ("WindowGroupLimit" in plan or "TakeOrderedAndProject" in plan) else "-",
-        "python": ",".join(sorted(set(re.findall(r"\b(ArrowEvalPython|BatchEvalPython|MapInPandas)\b", plan)))) or "-",
+        "python": ",".join(sorted(set(re.findall(r"\b(ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow)\b", plan)))) or "-",
         "scan_pushed": "yes" if re.search(r"PushedFilters: \[[^\]]+\]", plan) else "-",
     }
 
