@@ -46,7 +46,8 @@ def curve_key(df: DataFrame, columns: Sequence[str]) -> Column:
     key = F.lit(0).cast("long")
     for i, c in enumerate(columns):
         steps = F.array(*[F.lit(e) for e in sorted(set(edges[i] or []))]).cast("array<double>")
-        rank = F.size(F.filter(steps, lambda e, c=c: e < _number(df, c))).cast("long")
+        own = _number(df, c)
+        rank = F.size(F.filter(steps, lambda e: e < own)).cast("long")  # noqa: B023
         for bit in range(RANK_BITS):
             one = F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long"))
             key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
