@@ -29,7 +29,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import lean, materialize, slices, table, worker_cache
+from metrolens.llm.common import (
+    STEP,
+    lean,
+    materialize,
+    scrambled,
+    slices,
+    span_hashes,
+    span_numbers,
+    table,
+    worker_cache,
+)
 
 SUPPORT = 100
 LONGEST = 5
@@ -44,32 +54,15 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
 
-def byte_classes() -> tuple[bytes, np.ndarray]:
-    """A table that lower-cases A-Z and writes every end as a line feed and every
-    blank as a space, and a random odd 64-bit number for each byte."""
+def byte_classes() -> bytes:
+    """A table that lower-cases A-Z, writes every end as a line feed and every blank as a space."""
     letters = bytearray(range(256))
     letters[ord("A") : ord("Z") + 1] = range(ord("a"), ord("z") + 1)
     for b in ENDS:
         letters[b] = 10
     for b in BLANKS:
         letters[b] = 32
-    numbers = np.random.default_rng(12).integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
-    return bytes(letters), numbers
-
-
-STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-
-
-def step_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of STEP and of its inverse; those of common lengths are kept by the worker."""
-
-    def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.cumprod(np.full(n, base, np.uint64)) for base in (STEP, pow(STEP, -1, 1 << 64)))
-
-    if n > 1 << 16:
-        return powers(n)
-    up, back = worker_cache("step-powers", lambda: powers(1 << 16))
-    return up[:n], back[:n]
+    return bytes(letters)
 
 
 class Words:
@@ -78,10 +71,9 @@ class Words:
     ``last[i]`` is the number of words from word i to the end of its piece.
     """
 
-    def __init__(self, text: bytes, seed: np.uint64 = np.uint64(0), block: int = 1 << 20):
-        letters, numbers = worker_cache("byte-classes", byte_classes)
-        self.text = text.translate(letters)
-        raw = np.frombuffer(self.text, np.uint8)
+    def __init__(self, text: bytes, seed: int = 0, block: int = 1 << 20):
+        self.text = text.translate(worker_cache("byte-classes", byte_classes))
+        self.raw = raw = np.frombuffer(self.text, np.uint8)
         inside = raw != 32
         inside &= raw != 10
         edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
@@ -89,18 +81,7 @@ class Words:
         piece = np.cumsum(raw == 10)[self.starts] if len(self.starts) else self.starts
         edge = np.flatnonzero(np.diff(piece, append=-1))
         self.last = np.repeat(edge, np.diff(edge, prepend=-1)) - np.arange(len(piece)) + 1
-        self.hashes = np.empty(len(self.starts), np.uint64)
-        at = 0
-        while at < len(self.starts):  # a block of words at a time, so that the sums take bounded memory
-            low = self.starts[at]
-            upto = max(at + 1, int(np.searchsorted(self.ends, low + block, side="right")))
-            high = self.ends[upto - 1]
-            up, back = step_powers(int(high - low))
-            sums = np.zeros(high - low + 1, np.uint64)
-            np.cumsum(numbers[raw[low:high]] * up, out=sums[1:])
-            first, end = self.starts[at:upto] - low, self.ends[at:upto] - low
-            self.hashes[at:upto] = scrambled((sums[end] - sums[first]) * back[first] + seed)
-            at = upto
+        self.hashes = span_hashes(raw, self.starts, self.ends, seed, block)
 
     def longer(self, hashes: np.ndarray, size: int) -> np.ndarray:
         """Hashes of the phrases of ``size`` words from those of the phrases one word shorter."""
@@ -112,12 +93,6 @@ class Words:
         return self.last[: max(0, len(self.starts) - size + 1)] >= size
 
 
-def scrambled(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Filter:
     """A set of hashes as bits, a power of two of them."""
 
@@ -153,10 +128,10 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, shards: i
     )
 
 
-def _seed(lang: str) -> np.uint64:
+def _seed(lang: str) -> int:
     import xxhash
 
-    return np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
+    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
 
 
 def _joined(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, bytes]]:
@@ -256,25 +231,11 @@ def mine(
     return filters[:longest], own
 
 
-def word_numbers(words: Words) -> np.ndarray:
-    """A number for each word, the same for equal words alone: words of one hash are compared byte by byte."""
-    _, first, number = np.unique(words.hashes, return_index=True, return_inverse=True)
-    size = words.ends - words.starts
-    like = first[number]
-    raw = np.frombuffer(words.text, np.uint8)
-    offset = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    same = (size == size[like]).all()
-    if not same or (raw[offset + np.repeat(words.starts, size)] != raw[offset + np.repeat(words.starts[like], size)]).any():
-        spans = zip(words.starts.tolist(), words.ends.tolist())  # two words share a hash
-        _, number = np.unique(np.array([words.text[a:b] for a, b in spans], object), return_inverse=True)
-    return number
-
-
 def phrase_counts(words: Words, filters: list[Filter]) -> Iterator[tuple[int, list[bytes], list[int]]]:
     """``(size, phrases, counts)`` of the phrases that pass the filter of their size."""
     if not len(words.starts):
         return
-    own = word_numbers(words)
+    _, own = span_numbers(words.raw, words.starts, words.ends, words.hashes)
     numbers = own
     for size, hashes, at in _places(words, filters, range(1, len(filters) + 1)):
         if size > 1:

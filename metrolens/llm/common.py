@@ -24,10 +24,15 @@ __all__ = [
     "materialize",
     "materialize_observed",
     "order_totals",
+    "STEP",
+    "scrambled",
     "slices",
     "sorted_runs",
+    "span_hashes",
+    "span_numbers",
     "stage",
     "table",
+    "tasks_for",
     "worker_cache",
     "with_fields",
 ]
@@ -155,6 +160,66 @@ def _running(rows: list) -> list[tuple]:
     return out
 
 
+STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+
+
+def byte_numbers() -> np.ndarray:
+    """A random odd 64-bit number for each byte."""
+    return np.random.default_rng(12).integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
+
+
+def step_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of STEP and of its inverse; those of common lengths are kept by the worker."""
+
+    def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.cumprod(np.full(n, base, np.uint64)) for base in (STEP, pow(STEP, -1, 1 << 64)))
+
+    if n > 1 << 20:
+        return powers(n)
+    up, back = worker_cache("step-powers", lambda: powers(1 << 20))
+    return up[:n], back[:n]
+
+
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with all bits mixed."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0, block: int = 1 << 20) -> np.ndarray:
+    """64-bit hashes of byte spans in order (``ends[i] <= starts[i + 1]``), ``block`` bytes at a time."""
+    numbers = worker_cache("byte-numbers", byte_numbers)
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = starts[at]
+        upto = max(at + 1, int(np.searchsorted(ends, low + block, side="right")))
+        high = ends[upto - 1]
+        up, back = step_powers(int(high - low))
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(numbers[raw[low:high]] * up, out=sums[1:])
+        first, end = starts[at:upto] - low, ends[at:upto] - low
+        out[at:upto] = scrambled((sums[end] - sums[first]) * back[np.minimum(first, len(back) - 1)] + np.uint64(seed))
+        at = upto
+    return out
+
+
+def span_numbers(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(first, number)``: the first of each kind of span, and every span's kind.
+    Spans of one kind are equal: spans of one hash are compared byte by byte."""
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    size, like = ends - starts, first[number]
+    if (size == size[like]).all():
+        offset = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        if (raw[offset + np.repeat(starts, size)] == raw[offset + np.repeat(starts[like], size)]).all():
+            return first, number
+    spans = np.empty(len(starts), object)  # two spans share a hash
+    spans[:] = [raw[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
+    _, first, number = np.unique(spans, return_index=True, return_inverse=True)
+    return first, number
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, np.ndarray]]:
     """Groups of equal ``key`` out of batches sorted by it, as column arrays.
 
@@ -181,6 +246,11 @@ def _joined(pieces: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     return pieces[0] if len(pieces) == 1 else {n: np.concatenate([p[n] for p in pieces]) for n in pieces[0]}
 
 
+def tasks_for(rows: int, each: int = 500_000) -> int:
+    """Tasks for so many narrow rows; no more than a job has anyway (``coalesce`` never adds any)."""
+    return max(1, -(-rows // each))
+
+
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """``(node, root)`` for every node of ``edges``; root is its component's smallest node.
 
@@ -193,21 +263,23 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     pairs, state = _star_state(pairs)
     while True:
+        # A round's tables are about as large as the last one's edges.
+        sized = lambda df, n=state[0]: df.coalesce(tasks_for(n))
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        lowest = sized(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         # pairs hold u > v, so the larger neighbours of a node are the u of the pairs where it is v
-        large = pairs.select(F.col("v").alias("u"), F.col("u").alias("w")).join(lowest, "u").select("w", "m").distinct()
+        large = sized(pairs.select(F.col("v").alias("u"), F.col("u").alias("w")).join(lowest, "u").select("w", "m")).distinct()
         large = large.select(F.col("w").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        large = materialize(large, "large-star")
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(sized(large), "large-star")
+        lowest = sized(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (
-            large.join(lowest, "u")
+            sized(large.join(lowest, "u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u <> v")
             .unionByName(lowest.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        pairs, now = _star_state(small)
+        pairs, now = _star_state(sized(small))
         if now == state:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

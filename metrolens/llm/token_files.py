@@ -28,7 +28,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import lean, slices, stage, table, worker_cache
+from metrolens.llm.common import lean, slices, span_hashes, span_numbers, stage, table, worker_cache
 from metrolens.session import staging_path
 
 CLOSING_ID = 2
@@ -46,18 +45,20 @@ CHUNK_IDS = 2 << 20  # ids of a file, more only where one document has more
 # Parts a Python worker remembers; others are encoded in each batch they come in.
 HELD_PARTS = 500_000
 
-# Latin letters, white space and the pattern of pieces of the vocabulary file's pre-tokenizer.
+# Latin letters, white space but the space and the line feed, and the pattern of pieces of the vocabulary file's pre-tokenizer.
 LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
-SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+UNUSUAL = "\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class PartIds(dict):
-    """Little-endian ids of parts of texts, kept from one batch to the next.
+    """Little-endian ids of parts of texts (as UTF-8), kept from one batch to the next.
 
-    A part ends where the pattern of pieces always cuts: before a space that
-    follows a word and behind a run of Latin letters. So equal parts have equal
-    ids wherever they stand, and each is encoded once.
+    A part ends where the pattern of pieces always cuts: around a lone line
+    feed, before a lone space, and between a Latin letter and ASCII
+    punctuation. So equal parts have equal ids wherever they stand. The parts
+    of a batch are found and told apart as arrays of bytes; only the different
+    ones are looked up, and the new ones encoded.
     """
 
     def __init__(self, path: str):
@@ -71,12 +72,16 @@ class PartIds(dict):
         self.width, self.code = ("<u2", "H") if self.encoder.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.letters = self.byte_letters()
         self.pieces = regex.compile(PIECE).findall
-        word = f" ?[{LATIN}]++(?![^\x00-\x7f\xa0-\u024f])"  # no letter of another script may follow
-        self.parts = re.compile(f"{word}| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]").findall
         self.word = re.compile(f" ?[{LATIN}]+").fullmatch
-        # special strings, and controls that Python and the pre-tokenizer class differently
+        # special strings, white space that is neither a lone space nor a lone line feed, and
+        # controls that Python and the pre-tokenizer class differently
         special = [re.escape(t.content) for t in self.encoder.get_added_tokens_decoder().values()]
-        self.unusual = re.compile("|".join(["[\x1c-\x1f\x85]", *special])).search
+        self.unusual = re.compile("|".join([f"[{UNUSUAL}]", "[ \n][ \n]", *special])).search
+        letter = np.zeros(256, bool)
+        letter[[*range(65, 91), *range(97, 123)]] = True
+        mark = np.zeros(256, bool)
+        mark[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+        self.letter, self.mark = letter, mark
 
     @staticmethod
     def byte_letters() -> dict[int, str]:
@@ -94,33 +99,60 @@ class PartIds(dict):
             return piece.replace(" ", self.letters[32])
         return piece.encode().decode("latin-1").translate(self.letters)
 
-    def learned(self, parts: set[str]) -> dict[str, bytes]:
+    def learned(self, parts: list[bytes]) -> dict[bytes, bytes]:
         """Ids of parts that are not held yet."""
-        plain = list(filter(self.word, parts))
-        cut = {p: self.pieces(p) for p in parts.difference(plain)}
-        pieces = list({one for found in cut.values() for one in found}.difference(plain) - self.keys()) + plain
+        cut = {}
+        for part in parts:
+            text = part.decode()
+            cut[part] = (text,) if self.word(text) else self.pieces(text)
+        pieces = list({one for found in cut.values() for one in found})
         coded = self.merges.encode_batch_fast(list(map(self.shown, pieces)), add_special_tokens=False)
         ids = {p: self.packed(c.ids) for p, c in zip(pieces, coded)}
-        for part, found in cut.items():
-            if part not in ids:
-                ids[part] = b"".join(ids[p] if p in ids else self[p] for p in found)
-        return ids
+        return {part: b"".join(map(ids.__getitem__, found)) for part, found in cut.items()}
+
+    def starts(self, raw: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Where the parts of the texts between ``edges`` begin."""
+        cut = raw == 32
+        feed = raw == 10
+        cut |= feed
+        cut[1:] |= feed[:-1]
+        letter = self.letter[raw]
+        # two bytes of a Latin-1 letter: all but the signs for multiplication and division
+        letter[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        cut[1:] |= letter[:-1] & self.mark[raw[1:]]
+        cut[edges[:-1][np.diff(edges) > 0]] = True
+        return np.flatnonzero(cut)
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
-        cut = [None if self.unusual(t) else self.parts(t) for t in texts]
-        given = chain.from_iterable(c for c in cut if c is not None)
-        new = self.learned(set(filterfalse(self.__contains__, given)))
+        odd = [bool(self.unusual(t)) for t in texts]
+        plain = [t.encode() for t, o in zip(texts, odd) if not o]
+        edges = np.cumsum([0, *map(len, plain)])
+        whole = b"".join(plain)
+        raw = np.frombuffer(whole, np.uint8)
+        begins = self.starts(raw, edges) if len(raw) else np.zeros(0, np.int64)
+        ends = np.append(begins[1:], len(raw)) if len(begins) else begins
+        first, number = span_numbers(raw, begins, ends, span_hashes(raw, begins, ends))
+        parts = [whole[a:b] for a, b in zip(begins[first].tolist(), ends[first].tolist())]
+        new = self.learned([p for p in parts if p not in self])
         self.update(new)
-        find = self.__getitem__
-        out = [
-            self.packed(self.encoder.encode(t, add_special_tokens=False).ids) if c is None else b"".join(map(find, c))
-            for t, c in zip(texts, cut)
-        ]
+        ids = [self[p] for p in parts]
         if len(self) > HELD_PARTS:
             for part in new:
                 del self[part]
-        return out
+        # the ids of all parts one after another, then those of each text
+        unit = np.dtype(self.width).itemsize
+        size = np.array([len(i) // unit for i in ids], np.int64)
+        held = np.frombuffer(b"".join(ids), self.width)
+        base, many = (np.cumsum(size) - size)[number], size[number]
+        after = np.cumsum(many)
+        flat = held[np.arange(int(many.sum())) + np.repeat(base - (after - many), many)].tobytes()
+        at = unit * np.concatenate([[0], after])[np.searchsorted(begins, edges)]
+        spans = iter(zip(at[:-1].tolist(), at[1:].tolist()))
+        return [
+            self.packed(self.encoder.encode(t, add_special_tokens=False).ids) if o else flat[slice(*next(spans))]
+            for t, o in zip(texts, odd)
+        ]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -196,7 +228,7 @@ def encode_sorted(
             )
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], names=arrow.names)
 
-        for batch in slices(batches, 128):
+        for batch in slices(batches, 512):
             texts = words.texts([t or "" for t in batch.column(1).to_pylist()])
             for name, ids in zip(batch.column(0).to_pylist(), texts):
                 ids += closing
