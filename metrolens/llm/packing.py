@@ -15,10 +15,13 @@ are documents of their own. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import combinations_with_replacement
+from itertools import chain, combinations_with_replacement, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ CLOSING_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 BROADCAST_BYTES = 32 << 20  # the list of cut pieces is broadcast up to this size, else joined by shuffle
 
-# Words and sub-words a Python worker remembers; words beyond are encoded each time.
+# Words and sub-words a Python worker remembers; others are encoded in each batch they come in.
 CACHED_WORDS = 300_000
 CACHED_PIECES = 200_000
 
@@ -50,7 +53,8 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordIds(dict):
-    """Packed ids (little-endian 32-bit) of words free of white space.
+    """Packed ids (little-endian 32-bit) of words free of white space, kept from
+    one batch to the next.
 
     Equal to encoding the whole text, since no sub-word of this vocabulary
     spans white space. Words of plain Latin letters are split here and their
@@ -63,43 +67,54 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.encoder = Tokenizer.from_file(path)
-        self.model = self.encoder.model
+        self.merges = Tokenizer(self.encoder.model)  # takes sub-words that are cut out already
         self.subwords = regex.compile(SUBWORD).findall
         self.plain = re.compile("[\x21-\x7e\xa1-ɏ]+").fullmatch
         self.letters = byte_letters()
         self.pieces: dict[str, bytes] = {}
-        self.special = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
-
-    def __missing__(self, word: str) -> bytes:
-        if self.plain(word):
-            low = word.lower()
-            packed = b"".join(map(self.piece, (low,) if low.isalpha() else self.subwords(low)))
-        else:
-            packed = self.pack(self.encoder.encode(word, add_special_tokens=False).ids)
-        if len(self) < CACHED_WORDS and len(word) <= 48:
-            self[word] = packed
-        return packed
-
-    def piece(self, piece: str) -> bytes:
-        packed = self.pieces.get(piece)
-        if packed is None:
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            packed = self.pack([t.id for t in self.model.tokenize(shown)])
-            if len(self.pieces) < CACHED_PIECES and len(piece) <= 48:
-                self.pieces[piece] = packed
-        return packed
+        # special strings, and the controls that only Python takes for white space
+        special = [re.escape(t.content) for t in self.encoder.get_added_tokens_decoder().values()]
+        self.unusual = re.compile("|".join(["[\x1c-\x1f]", *special])).search
 
     @staticmethod
     def pack(ids: Sequence[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def text(self, text: str) -> bytes:
-        """Packed ids of a whole text."""
-        whole = any(s in text for s in self.special) or any(c in text for c in "\x1c\x1d\x1e\x1f")
-        if whole:  # special strings, and the controls that only Python takes for white space
-            return self.pack(self.encoder.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.__getitem__, text.split()))
+    def learned(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not held yet: their new sub-words are encoded together."""
+        cut = {}
+        for word in filter(self.plain, words):
+            low = word.lower()
+            cut[word] = (low,) if low.isalpha() else self.subwords(low)
+        new = list({one for found in cut.values() for one in found} - self.pieces.keys())
+        shown = [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in new]
+        coded = self.merges.encode_batch_fast(shown, add_special_tokens=False)
+        self.pieces.update((p, self.pack(c.ids)) for p, c in zip(new, coded))
+        find = self.pieces.__getitem__
+        ids = {word: b"".join(map(find, found)) for word, found in cut.items()}
+        for word in words.difference(cut):
+            ids[word] = self.pack(self.encoder.encode(word, add_special_tokens=False).ids)
+        if len(self.pieces) > CACHED_PIECES:
+            for piece in new:
+                del self.pieces[piece]
+        return ids
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of whole texts."""
+        split = [None if self.unusual(t) else t.split() for t in texts]
+        new = self.learned(set(filterfalse(self.__contains__, chain.from_iterable(s for s in split if s is not None))))
+        self.update(new)
+        find = self.__getitem__
+        out = [
+            self.pack(self.encoder.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(find, s))
+            for t, s in zip(texts, split)
+        ]
+        if len(self) > CACHED_WORDS:
+            for word in new:
+                del self[word]
+        return out
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -141,10 +156,11 @@ def tokenize_pieces(
         closing = np.array([closing_id], "<u4").tobytes()
         small = words.encoder.get_vocab_size() <= 1 << 16
         piece = TaskContext.get().partitionId() << 33
-        for batch in slices(batches):
+        for batch in slices(batches, 128):
             rows, size = [], 0
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                packed = words.text(text.as_py() or "") + closing
+            texts = words.texts([t or "" for t in batch.column(1).to_pylist()])
+            for doc, packed in zip(batch.column(0), texts):
+                packed += closing
                 n = len(packed) // 4
                 for start in range(0, n, window):
                     ids = packed[4 * start : 4 * (start + window)]
@@ -169,36 +185,58 @@ def tokenize_pieces(
     return stage(narrow.mapInArrow(lean(run), schema), "pieces", codec="zstd")
 
 
-def fill_combinations(histogram: np.ndarray, window: int) -> list[tuple[int, ...]]:
-    """Multisets of up to four present lengths that sum to ``window``: all
-    singles and pairs, triples and quadruples over the commonest lengths with
-    the one length that completes them."""
-    present = histogram > 0
-    common = np.argsort(-histogram, kind="stable")
-    found = {(window,)} if present[window] else set()
+Recipe = tuple[tuple[int, int], ...]  # (length, how often) of every length in a window
+
+
+def fill_combinations(histogram: np.ndarray, window: int) -> list[Recipe]:
+    """Recipes over present lengths that sum to ``window``: all singles and
+    pairs; triples and quadruples of the lengths that hold most, with the one
+    length that completes them; and one length as often as nearly fits, with one
+    or two others. A recipe has four different lengths at most."""
+    lengths = np.arange(len(histogram))
+    most = [int(v) for v in np.argsort(-(histogram * lengths), kind="stable")[:window] if histogram[v] and v]
+    present = set(most)
+    found: set[Recipe] = set()
+
+    def add(head: Sequence[int]) -> None:
+        last = window - sum(head)
+        if last in present or last == 0:
+            counts = Counter(head)
+            counts[last] += 1
+            recipe = tuple(sorted(((n, k) for n, k in counts.items() if n), reverse=True))
+            if all(histogram[n] >= k for n, k in recipe):
+                found.add(recipe)
+
+    add(())
     for depth, width in ((1, window), (2, 96), (3, 24)):
-        lengths = sorted(int(v) for v in common[:width] if present[v])
-        for head in combinations_with_replacement(lengths, depth):
-            last = window - sum(head)
-            if last > 0 and present[last]:
-                found.add(tuple(sorted((*head, last), reverse=True)))
+        for head in combinations_with_replacement(most[:width], depth):
+            if sum(head) < window:
+                add(head)
+    for one in most[:96]:
+        fit = min(window // one, int(histogram[one]))
+        for times in range(fit, max(0, fit - 8), -1):
+            add((one,) * times)
+            for other in most[:24]:
+                if times * one + other <= window:
+                    add((one,) * times + (other,))
     return sorted(found, reverse=True)
 
 
-def solve_counts(combos: list[tuple[int, ...]], histogram: np.ndarray, rounds: int = 400) -> np.ndarray:
+def solve_counts(recipes: list[Recipe], histogram: np.ndarray, rounds: int = 200) -> np.ndarray:
     """Non-negative least squares for the repeat counts: accelerated projected
-    gradient on the sparse matrix of (length, combination) multiplicities."""
-    rows = np.array([length for combo in combos for length in combo])
-    cols = np.repeat(np.arange(len(combos)), [len(c) for c in combos])
-    forward = lambda x: np.bincount(rows, x[cols], len(histogram))
-    back = lambda r: np.bincount(cols, r[rows], len(combos))
-    probe = np.ones(len(combos))
+    gradient on the sparse matrix of (length, recipe) multiplicities."""
+    rows = np.array([length for recipe in recipes for length, _ in recipe])
+    many = np.array([k for recipe in recipes for _, k in recipe], float)
+    cols = np.repeat(np.arange(len(recipes)), [len(r) for r in recipes])
+    forward = lambda x: np.bincount(rows, many * x[cols], len(histogram))
+    back = lambda r: np.bincount(cols, many * r[rows], len(recipes))
+    probe = np.ones(len(recipes))
     for _ in range(30):  # largest eigenvalue of A'A
         probe = back(forward(probe))
         norm = np.linalg.norm(probe)
         probe /= norm
     step = 1.0 / (1.05 * norm)
-    x = y = np.zeros(len(combos))
+    x = y = np.zeros(len(recipes))
     t = 1.0
     for _ in range(rounds):
         nxt = np.maximum(0.0, y - step * back(forward(y) - histogram))
@@ -211,31 +249,41 @@ def solve_counts(combos: list[tuple[int, ...]], histogram: np.ndarray, rounds: i
 def plan_windows(histogram: np.ndarray, window: int = WINDOW) -> dict:
     """Which ranks of each length go to which window and offset.
 
-    ``slots[length]`` holds (first rank, first window, offset) by rank; ranks
-    from ``used[length]`` on belong to the greedy stream, where the pieces of a
-    length stand from ``base[length]`` on. ``ends`` closes the stream's last,
-    partial window in powers of two.
+    The counts of all recipes are solved for, rounded down (the largest up, if
+    all are below one) and taken, and the rest is solved for again, until no
+    recipe fits. ``slots[length]`` holds (first rank, first window, offset) by
+    rank; ranks from ``used[length]`` on belong to the greedy stream, where the
+    pieces of a length stand from ``base[length]`` on. ``ends`` closes the
+    stream's last, partial window in powers of two.
     """
     left = histogram.astype(np.int64).copy()
     slots: dict[int, list[tuple[int, int, int]]] = {}
     used = np.zeros_like(left)
     windows = 0
-    combos = fill_combinations(histogram, window)
-    if combos:
-        counts = solve_counts(combos, histogram.astype(float))
-        for at in np.argsort(-counts, kind="stable"):
-            combo = combos[at]
-            lengths, many = np.unique(combo, return_counts=True)
-            times = int(min(np.rint(counts[at]) if combo != (window,) else left[window], (left[lengths] // many).min()))
-            if times <= 0:
-                continue
-            offset = 0
-            for length in combo:
+
+    def take(recipe: Recipe, times: int) -> None:
+        nonlocal windows
+        offset = 0
+        for length, many in recipe:
+            for _ in range(many):
                 slots.setdefault(length, []).append((int(used[length]), windows, offset))
                 used[length] += times
-                left[length] -= times
                 offset += length
-            windows += times
+            left[length] -= times * many
+        windows += times
+
+    if len(left) > window and left[window]:
+        take(((window, 1),), int(left[window]))
+    while recipes := fill_combinations(left, window):
+        counts = solve_counts(recipes, left.astype(float))
+        least = min(1.0, counts.max())
+        for at in np.argsort(-counts, kind="stable"):
+            if counts[at] < least * 0.5:
+                break
+            fit = min(int(left[length]) // many for length, many in recipes[at])
+            times = min(fit, max(1, int(counts[at])))
+            if times > 0:
+                take(recipes[at], times)
     base = np.zeros_like(left)
     total = 0
     for length in range(len(left) - 1, 0, -1):

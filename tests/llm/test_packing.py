@@ -85,7 +85,7 @@ def test_empty_table(documents):
 @given(st.text(max_size=40))
 @settings(max_examples=400, deadline=None)
 def test_words_give_the_ids_of_the_whole_text(text):
-    assert np.frombuffer(WORDS.text(text), "<u4").tolist() == ENCODER.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(WORDS.texts([text])[0], "<u4").tolist() == ENCODER.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize(
@@ -100,7 +100,7 @@ def test_words_give_the_ids_of_the_whole_text(text):
     ],
 )
 def test_special_texts(text):
-    assert np.frombuffer(WORDS.text(text), "<u4").tolist() == ENCODER.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(WORDS.texts([text])[0], "<u4").tolist() == ENCODER.encode(text, add_special_tokens=False).ids
 
 
 @given(st.lists(st.integers(1, 32), max_size=80))
@@ -139,3 +139,27 @@ def test_recipes_take_most_of_a_regular_histogram():
     plan = plan_windows(histogram)
     assert plan["used"][4096] == 7
     assert plan["used"].sum() >= 0.9 * histogram.sum()
+
+
+def test_recipes_carry_most_tokens(spark):
+    """The greedy rest is small where the histogram is that of real documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lengths = np.array([len(i) // 4 + 1 for i in WORDS.texts([r.text for r in docs.select("text").collect()])])
+    pieces = np.concatenate([lengths % 4096, np.full((lengths // 4096).sum(), 4096)])
+    histogram = np.bincount(pieces, minlength=4097)
+    histogram[0] = 0
+    plan = plan_windows(histogram)
+    share = (plan["used"] * np.arange(4097)).sum() / (histogram * np.arange(4097)).sum()
+    assert share > 0.7, share
+
+
+def test_words_beyond_those_held(monkeypatch):
+    from metrolens.llm import packing
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    monkeypatch.setattr(packing, "CACHED_PIECES", 20)
+    few = WordIds(PATH)
+    texts = [f"Some word{i}, other-{i % 7} thing und wörter{i}s!" for i in range(200)]
+    for at in range(0, 200, 20):
+        assert few.texts(texts[at : at + 20]) == WORDS.texts(texts[at : at + 20])
+    assert len(few) < 200 and len(few.pieces) < 200
