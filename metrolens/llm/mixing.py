@@ -13,7 +13,7 @@ depends on the rows and the seed alone, so reruns agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metrolens.llm.common import fresh, materialize, order_totals, table
@@ -65,7 +65,15 @@ def source_targets(
     """One row per source: ``source``, ``__size``, ``__before`` (words of the
     sources before it) and ``__target``."""
     sizes = docs.groupBy(source).agg(F.sum(size).alias("__size"))
-    ranked = order_totals(sizes, [F.col(source).asc_nulls_last()], "__size", "__rank", "__before")
+    # One row per source from here on: numbered in one task and written once, as the rounds below read it again.
+    in_order = Window.orderBy(F.col(source).asc_nulls_last())
+    ranked = sizes.coalesce(1).select(
+        source,
+        "__size",
+        (F.row_number().over(in_order) - 1).alias("__rank"),
+        (F.sum("__size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__size")).alias("__before"),
+    )
+    ranked = materialize(ranked, "mix-sources")
     repeating = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("__rank") % len(weights) + 1).cast("int"))
     weighted = ranked.withColumn("__weight", repeating)
     level, words, free = fill_level(weighted, "__size", "__weight", share, epochs)

@@ -29,7 +29,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import connected_components, fresh, lean, materialize, slices, sorted_runs, table, with_fields
+from metrolens.llm.common import (
+    connected_components,
+    fresh,
+    lean,
+    materialize,
+    materialize_observed,
+    slices,
+    sorted_runs,
+    table,
+    tasks_for,
+    with_fields,
+)
 
 SHINGLE = 3
 DISTANCE = 3
@@ -136,10 +147,13 @@ def spanning_links(prints: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return edges
 
 
-def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
+def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK, rows: int | None = None) -> DataFrame:
     """Edges ``(u, v)`` that connect exactly the fingerprints ``fp`` (distinct
-    rows) which chains of at most ``distance`` differing bits connect."""
+    rows) which chains of at most ``distance`` differing bits connect. ``rows``
+    is the number of fingerprints, or more: it sizes the tasks."""
     index = variants(prints, distance)
+    each = sum(w + 1 for w in segment_widths(distance))
+    sized = lambda df: df if rows is None else df.coalesce(tasks_for(each * rows))
     keys = index.groupBy("code", "value").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("fp").alias("u"),
@@ -148,7 +162,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Da
         F.max("bit").alias("high"),
     )
     # A key of one fingerprint, or a wildcard key without both bits, links nothing of its own.
-    keys = materialize(keys.filter("n > 1 AND (low IS NULL OR low <> high)").drop("low", "high"), "simhash-keys")
+    keys = sized(keys.filter("n > 1 AND (low IS NULL OR low <> high)").drop("low", "high"))
+    keys = materialize(keys, "simhash-keys")
     close = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance
     pairs = keys.filter("n = 2").filter(close).select("u", "v")
 
@@ -175,7 +190,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Da
         if edges:
             yield _edge_batch(edges)
 
-    found = members.repartition("task").sortWithinPartitions("task").mapInArrow(lean(run), "u long, v long")
+    dealt = sized(members.repartition("task")).sortWithinPartitions("task")
+    found = dealt.mapInArrow(lean(run), "u long, v long")
     return pairs.unionByName(found)
 
 
@@ -184,13 +200,16 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def components(rows: DataFrame, distance: int, block: int) -> DataFrame:
-    """``(fp, first)`` for every distinct ``fp`` of ``rows`` (``row``, ``id``,
+def components(rows: DataFrame, n: int, distance: int, block: int) -> DataFrame:
+    """``(fp, first)`` for every distinct ``fp`` of the ``n`` ``rows`` (``row``, ``id``,
     ``fp``): ``first.id`` is the smallest id of its component and ``first.row``
     the first row that has it."""
     own = F.struct(F.col("id").isNull().alias("nameless"), F.col("id"), F.col("row"))
-    firsts = materialize(rows.groupBy("fp").agg(F.min(own).alias("first")), "simhash-firsts")
-    roots = connected_components(links(firsts.select("fp"), distance, block))
+    firsts = rows.groupBy("fp").agg(F.min(own).alias("first")).coalesce(tasks_for(n))
+    firsts = materialize(firsts, "simhash-firsts")
+    # one file a task: dealt anew, as every fingerprint becomes many rows
+    edges = links(firsts.select("fp").repartition("fp"), distance, block, n)
+    roots = connected_components(edges.coalesce(tasks_for(n)))
     linked = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
@@ -198,9 +217,14 @@ def components(rows: DataFrame, distance: int, block: int) -> DataFrame:
     return linked.select("fp", "root").join(smallest, "root").select("fp", "first")
 
 
-def _fingerprinted(docs: DataFrame, row: Column, id_col: str, text_col: str, shingle: int, seed: int) -> DataFrame:
+def _fingerprinted(
+    docs: DataFrame, row: Column, id_col: str, text_col: str, shingle: int, seed: int
+) -> tuple[DataFrame, int]:
+    """``row``, ``id`` and ``fp`` of every document, written, and their number."""
     narrow = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return materialize(with_fingerprint(narrow, "text", "fp", shingle, seed), "simhash-prints")
+    printed = with_fingerprint(narrow, "text", "fp", shingle, seed)
+    done, seen = materialize_observed(printed, "simhash-prints", {"n": F.count(F.lit(1))})
+    return done, seen["n"]
 
 
 def near_duplicates(
@@ -213,8 +237,8 @@ def near_duplicates(
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``fingerprint`` (16 hex digits) and ``component_id``."""
-    rows = _fingerprinted(docs, F.monotonically_increasing_id(), id_col, text_col, shingle, seed)
-    return rows.join(components(rows, distance, block), "fp").select(
+    rows, n = _fingerprinted(docs, F.monotonically_increasing_id(), id_col, text_col, shingle, seed)
+    return rows.join(components(rows, n, distance, block), "fp").select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("first.id").alias("component_id"),
@@ -234,8 +258,8 @@ def keep_one(
     (of rows that share it, the first in scan order), columns unchanged."""
     (row,) = fresh(docs, "__row")
     held = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
-    rows = _fingerprinted(held, F.col(row), id_col, text_col, shingle, seed)
-    kept = components(rows, distance, block).groupBy("first.row").count().select("row")
+    rows, n = _fingerprinted(held, F.col(row), id_col, text_col, shingle, seed)
+    kept = components(rows, n, distance, block).groupBy("first.row").count().select("row")
     dropped = rows.select("row").join(kept, "row", "left_anti").select(F.col("row").alias(row))
     return held.join(dropped, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
