@@ -4,8 +4,10 @@ Every page is parsed into its element tree. Each element's subtree (tag, class,
 text and child subtrees) is hashed, Spark counts on how many different pages of
 a host a subtree stands, and subtrees that recur on many of them are deleted as
 parts of the site's template, with all they hold. Counts are folded in the scan
-tasks, so a host of any size is spread, and copies of one page count once. Only
-the text that is left inside the article is returned.
+tasks, so a host of any size is spread, and copies of one page count once. A
+subtree inside an article must recur in many different articles, and what is the
+larger part of an article is never taken for a template. Only the text that is
+left inside the article is returned.
 
 Some parts are no article on any page: navigation, headers, footers, asides,
 forms, scripts, styles, and elements whose class, id or role says so, by whole names or known compounds; in an
@@ -26,6 +28,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -96,17 +100,18 @@ OTHER_ROLES = frozenset(
 
 TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>])(?P<rawattr>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*|[^>]*)>"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)"
     r"|<[!?/][^>]*>"
-    r"|<[a-z!?/][^>]*\Z",
+    r"|<[!?/][^>]*\Z",
     re.S | re.I,
 )
+REST_OF_TAG = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW.split("|")}
 NESTED_TAG = {
     t: re.compile(
         r"<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?</\1(?=[\s/>])[^>]*>"
-        rf"|<(?P<end>/?){t}(?=[\s/>])(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*|[^>]*)>",
+        rf"|<(?P<end>/?){t}(?=[\s/>])",
         re.S | re.I,
     )
     for t in NESTED
@@ -165,17 +170,62 @@ def part_names(tag: str, given: dict[str, str], inside: bool) -> Iterator[tuple[
         yield named, inside and (is_id or tag in TEXT_BLOCKS) and len(words) == 1 and name in DOUBTFUL
 
 
-class RawEnds:
-    """Where the raw elements of a page end; each kind is looked for in one pass."""
+class TagEnds:
+    """Where tags end: at the first ``>`` outside quotes.
+
+    A quote that is never closed would have every tag before it look through the
+    rest of the page. After the first such tag the ends of all are worked out at
+    once, from the last quote or ``>`` to the first: what follows a quoted value
+    is known by then.
+    """
 
     def __init__(self, page: str):
         self.page = page
+        self.last = page.rfind(">")
+        self.marks: list[int] | None = None  # quotes and ``>``
+        self.ends: list[int] = []  # end of a tag that meets the mark outside quotes, -1: none
+
+    def of(self, at: int) -> int:
+        """End of the tag whose name ends at ``at``, -1 if it has none."""
+        if at > self.last:
+            return -1
+        if self.marks is None:
+            found = REST_OF_TAG.match(self.page, at)
+            if found:
+                return found.end()
+            self.work_out()
+        k = bisect_left(self.marks, at)
+        return self.ends[k] if k < len(self.marks) else -1
+
+    def work_out(self) -> None:
+        page = self.page
+        self.marks = [m.start() for m in re.finditer("[>\"']", page)]
+        self.ends = [-1] * (len(self.marks) + 1)
+        later: dict[str, int] = {}  # number of the next mark of the kind
+        for k in range(len(self.marks) - 1, -1, -1):
+            kind = page[self.marks[k]]
+            if kind == ">":
+                self.ends[k] = self.marks[k] + 1
+            elif kind in later:
+                self.ends[k] = self.ends[later[kind] + 1]
+            later[kind] = k
+
+    def any(self, at: int) -> int:
+        """End at the first ``>`` from ``at`` on, in quotes or not; -1 if there is none."""
+        return self.page.find(">", at) + 1 or -1 if at <= self.last else -1
+
+
+class RawEnds:
+    """Where the raw elements of a page end; each kind is looked for in one pass."""
+
+    def __init__(self, page: str, tags: TagEnds):
+        self.page, self.tags = page, tags
         self.none_after: dict[str, int] = {}  # no end tag of the kind from there on
         self.nested: dict[str, dict[int, int]] = {}
 
-    def of(self, tag: str, start: int, inner: int, attr: str) -> int:
+    def of(self, tag: str, start: int, inner: int) -> int:
         """End of the element whose tag is from ``start`` to ``inner``."""
-        if tag == "svg" and attr.endswith("/"):
+        if tag == "svg" and self.page[inner - 2] == "/":
             return inner
         if tag in NESTED:
             if tag not in self.nested:
@@ -190,13 +240,22 @@ class RawEnds:
 
     def pairs(self, tag: str) -> dict[int, int]:
         ends, open_at = {}, []
-        for found in NESTED_TAG[tag].finditer(self.page):
-            if found["end"] is None or (tag == "svg" and not found["end"] and found["attr"].endswith("/")):
+        at = 0
+        while found := NESTED_TAG[tag].search(self.page, at):
+            at = found.end()
+            if found["end"] is None:
+                continue
+            inner = self.tags.of(at)
+            inner = inner if inner >= 0 else self.tags.any(at)
+            if inner < 0:
+                break
+            at = inner
+            if tag == "svg" and not found["end"] and self.page[inner - 2] == "/":
                 continue
             if not found["end"]:
                 open_at.append(found.start())
             elif open_at:
-                ends[open_at.pop()] = found.end()
+                ends[open_at.pop()] = inner
         return ends
 
 
@@ -208,6 +267,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     elements: list[Element] = [Element("html", -1, False, b"html", False)]
     blocks: list[tuple[int, str]] = []
     open_at = [0]
+    open_tags: Counter = Counter()  # of the open elements but the first
     held: list[str] = []
     links = 0
     linked = 0
@@ -228,6 +288,7 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
     def close() -> None:
         flush()
         done = elements[open_at.pop()]
+        open_tags[done.tag] -= 1
         done.hash = xxhash.xxh64_intdigest(b"\x00".join(done.parts)) - (1 << 63)
         done.parts = []
         if open_at:
@@ -242,9 +303,11 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
         elements.append(Element(name, parent, other_part(tag, given, inside), head, inside))
         elements[-1].doubt = any(unsure for _, unsure in part_names(tag, given, inside))
         open_at.append(len(elements) - 1)
+        open_tags[name] += 1
 
     at = 0
-    ends = RawEnds(page)
+    tags = TagEnds(page)
+    ends = RawEnds(page, tags)
     while found := TAG.search(page, at):
         if found.start() > at:
             piece = page[at : found.start()]
@@ -255,14 +318,26 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
         tag = found["tag"]
         if tag is None:  # comments, raw elements and declarations hold no text
             if found["raw"]:
-                at = ends.of(found["raw"].lower(), found.start(), at, found["rawattr"])
+                inner = tags.of(at)
+                inner = inner if inner >= 0 else tags.any(at)
+                at = ends.of(found["raw"].lower(), found.start(), inner) if inner >= 0 else len(page)
             continue
+        inner = tags.of(at)
+        if inner < 0:
+            if tags.any(at) < 0:  # the page is cut off within the tag
+                at = len(page)
+            else:  # a quote is not closed: no tag, but a text with this sign
+                held.append("<")
+                linked += 1 if links else 0
+                at = found.start() + 1
+            continue
+        attr, at = page[at : inner - 1], inner
         tag = tag.lower()
         if found["end"]:
             if tag == "a":
                 links = max(0, links - 1)
             elif tag in BLOCKS or tag in NEVER_TEXT:
-                if any(elements[i].tag == tag or (tag == "div" and elements[i].tag == "main") for i in open_at[1:]):
+                if open_tags[tag] or (tag == "div" and open_tags["main"]):
                     while elements[open_at[-1]].tag not in (tag, "main" if tag == "div" else tag):
                         close()
                     close()
@@ -275,14 +350,14 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
             held.append(" ")
         elif tag == "hr":
             flush()
-        elif tag in ("html", "body") and any(elements[i].tag == tag for i in open_at[1:]):
+        elif tag in ("html", "body") and open_tags[tag]:
             flush()
         elif tag in BLOCKS or tag in NEVER_TEXT:
             flush()
             while len(open_at) > 1 and tag in ENDED_BY.get(elements[open_at[-1]].tag, ()):
                 close()
-            if tag not in VOID and not found["attr"].endswith("/"):
-                opened(tag, found["attr"])
+            if tag not in VOID and not attr.endswith("/"):
+                opened(tag, attr)
     if at < len(page):
         held.append(page[at:])
     while open_at:
@@ -300,6 +375,36 @@ def deletable(elements: list[Element]) -> list[int]:
     ]
 
 
+def articles(elements: list[Element]) -> list[int]:
+    """For each element the outermost article or main element it is in, -1 outside."""
+    tops: list[int] = []
+    for i, e in enumerate(elements):
+        up = tops[e.parent] if e.parent >= 0 else -1
+        tops.append(up if up >= 0 else i if e.inside else -1)
+    return tops
+
+
+def own_text(elements: list[Element], gone: list[bool]) -> list[int]:
+    """Characters below each element that are in no other part of it."""
+    own = [e.text for e in elements]
+    for i in range(len(elements) - 1, 0, -1):  # parents come first
+        if not gone[i]:
+            own[elements[i].parent] += own[i]
+    return own
+
+
+def templates_of(elements: list[Element], template: set[int]) -> set[int]:
+    """The elements that go as ``template`` subtrees. Those of an article stay if
+    they are the larger part of its own text: then they are the article."""
+    found = {i for i in deletable(elements) if elements[i].hash in template}
+    tops = articles(elements)
+    if not any(tops[i] >= 0 for i in found):
+        return found
+    whole = own_text(elements, [e.other or (i in found and tops[i] < 0) for i, e in enumerate(elements)])
+    cut = own_text(elements, [e.other or i in found for i, e in enumerate(elements)])
+    return {i for i in found if tops[i] < 0 or 2 * cut[tops[i]] >= whole[tops[i]]}
+
+
 def menu(e: Element) -> bool:
     """Whether it is an entry of a menu that no element names."""
     return e.tag == "li" and e.text > 0 and e.linked >= e.text
@@ -309,27 +414,21 @@ def main_text(page: str | None, template: Iterable[int] = ()) -> str:
     """The article's blocks without other parts and the given ``template`` subtrees."""
     elements, blocks = parse(page or "")
     template = set(template)
-    deleted = {i for i in deletable(elements) if elements[i].hash in template} if template else set()
-    own: dict[int, int] = {}  # characters below an element that are in no other part of it
-    hidden: list[bool] = []  # in another part, such as an article in the comments; parents come first
+    deleted = templates_of(elements, template) if template else set()
+    gone = [e.other or i in deleted for i, e in enumerate(elements)]
+    own = own_text(elements, gone)
+    # entries of unnamed menus count for all but the page
+    menus = [e.text if menu(e) else 0 for e in elements]
+    for i in range(len(elements) - 1, 0, -1):
+        if not gone[i]:
+            menus[elements[i].parent] += menus[i]
+    own[0] -= menus[0]
+    hidden: list[bool] = []  # in another part, such as an article in the comments
     for e in elements:
-        up = e.parent
-        hidden.append(up >= 0 and (hidden[up] or elements[up].other or up in deleted))
-    chains = []
-    for at, text in blocks:
-        chain, up = [], at
-        while up >= 0:
-            chain.append(up)
-            up = elements[up].parent
-        chains.append(chain)
-        for i in chain:
-            if i or not menu(elements[at]):
-                own[i] = own.get(i, 0) + len(text)
-            if elements[i].other or i in deleted:
-                break
+        hidden.append(e.parent >= 0 and (hidden[e.parent] or gone[e.parent]))
 
     def longest(tag: str, shown: bool) -> int:
-        found = [i for i, e in enumerate(elements) if e.tag == tag and own.get(i) and not (shown and hidden[i])]
+        found = [i for i, e in enumerate(elements) if e.tag == tag and own[i] and not (shown and hidden[i])]
         return max(found, key=lambda i: (own[i], -i), default=0)
 
     def roots(shown: bool) -> set[int]:
@@ -344,66 +443,73 @@ def main_text(page: str | None, template: Iterable[int] = ()) -> str:
             found = {
                 i
                 for i, e in enumerate(elements)
-                if e.tag == "article" and e.parent == beside and own.get(i) and not (shown and hidden[i])
+                if e.tag == "article" and e.parent == beside and own[i] and not (shown and hidden[i])
             }
             if body and own[body] > sum(own[i] for i in found):
                 found = {body}
         else:
             found = {body}
         # Where most of the page's own text lies outside, no element marks its article.
-        return {0} if shown and own.get(0, 0) > 2 * sum(own.get(i, 0) for i in found) else found
+        return {0} if shown and own[0] > 2 * sum(own[i] for i in found) else found
 
     def words(roots: set[int]) -> list[str]:
-        out = []
-        for (at, text), chain in zip(blocks, chains):
-            root = next((k for k, i in enumerate(chain) if i in roots), None)
-            if root is None or any(elements[i].other or i in deleted for i in chain[:root]):
-                continue
-            if 0 in roots and menu(elements[at]):
-                continue
-            out.append(text)
-        return out
+        within: list[bool] = []  # of a root, with no other part between
+        for i, e in enumerate(elements):
+            within.append(i in roots or (not gone[i] and e.parent >= 0 and within[e.parent]))
+        return [text for at, text in blocks if within[at] and not (0 in roots and menu(elements[at]))]
 
     # A page whose every article stands in a part named like a sidebar is still no empty page.
     found = words(roots(True)) or words(roots(False))
     return "\n\n".join(found)
 
 
+SIDES = ("outer", "inner")
+
+
+def sides(elements: list[Element]) -> tuple[int, dict[str, tuple[list[int], int, int]]]:
+    """The page's article as a number, and its different subtrees outside and
+    inside of it: the deletable ones first (their number comes last), and of
+    these the lone pieces last (from the second value on)."""
+    tops = articles(elements)
+    heads = [elements[i].hash for i, top in enumerate(tops) if top == i]
+    may = set(deletable(elements))
+    out, seen = {}, set()
+    for side, inside in zip(SIDES, (False, True)):
+        own = [i for i, top in enumerate(tops) if (top >= 0) == inside and elements[i].hash not in seen]
+        found = dict.fromkeys(elements[i].hash for i in own if i in may and elements[i].tag not in LONE)
+        whole = len(found)
+        found.update(dict.fromkeys(elements[i].hash for i in own if i in may))
+        free = len(found)
+        found.update(dict.fromkeys(elements[i].hash for i in own))
+        out[side] = (list(found), whole, free)
+        seen = set(found)
+    return hash(tuple(heads)), out
+
+
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``(host, page, whole, free, subtrees)`` of ``pages`` (``host``, ``page``,
-    ``html``): the different subtrees of a page, the deletable ones first (up to
-    ``free``), and of these the lone pieces last (from ``whole`` on)."""
+    """``host``, ``page``, ``article`` of ``pages`` (``host``, ``page``, ``html``) and, for
+    either of :data:`SIDES`, the subtrees and the two numbers of :func:`sides`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            whole, free, ends, hashes = [], [], [0], []
-            for text in batch.column(2).to_pylist():
-                elements, _ = parse(text or "")
-                may = [elements[i] for i in deletable(elements)]
-                found = dict.fromkeys(e.hash for e in may if e.tag not in LONE)
-                whole.append(len(found))
-                found.update(dict.fromkeys(e.hash for e in may))
-                free.append(len(found))
-                found.update(dict.fromkeys(e.hash for e in elements))
-                hashes.extend(found)
-                ends.append(len(hashes))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:2],
-                    pa.array(whole, pa.int32()),
-                    pa.array(free, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes, pa.int64())),
-                ],
-                names=["host", "page", "whole", "free", "subtrees"],
-            )
-
-    schema = "host long, page long, whole int, free int, subtrees array<long>"
+            found = [sides(parse(text or "")[0]) for text in batch.column(2).to_pylist()]
+            columns = [*batch.columns[:2], pa.array([article for article, _ in found], pa.int64())]
+            for side in SIDES:
+                columns.append(pa.array([of[side][0] for _, of in found], pa.list_(pa.int64())))
+                columns += [pa.array([of[side][k] for _, of in found], pa.int32()) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["host", "page", "article", *[f"{side}{part}" for side in SIDES for part in ("", "_whole", "_free")]]
+    schema = "host long, page long, article long, " + ", ".join(
+        f"{side} array<long>, {side}_whole int, {side}_free int" for side in SIDES
+    )
     return pages.select("host", "page", "html").mapInArrow(lean(run), schema)
 
 
 def templates(pages: DataFrame, share: float = MOST_PAGES, least: int = LEAST_PAGES) -> DataFrame:
     """``(host, page, template)``: for each page that has any, its deletable
-    subtrees that stand on many different pages of its host.
+    subtrees that stand on many different pages of its host; those inside of an
+    article, in many different articles.
 
     ``least`` pages are many on a host of any size; fewer are if they are the
     ``share`` of a small one. Lone pieces of text, and pages without a host,
@@ -411,19 +517,29 @@ def templates(pages: DataFrame, share: float = MOST_PAGES, least: int = LEAST_PA
     """
     few = min(FEWEST_PAGES, least)
     seen = materialize(subtrees(pages).dropDuplicates(["host", "page"]), "html-subtrees")
-    counted = seen.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree")
+    # Pages that share an article, as its print version does, share all its parts: one of them counts.
+    speakers = seen.groupBy("host", "article").agg(F.min("page").alias("page")).select("host", "page")
+    inner = seen.select("host", "page", "inner").filter(F.size("inner") > 0).join(speakers, ["host", "page"], "left_semi")
+    standing = seen.select("host", F.explode("outer").alias("subtree")).unionByName(
+        inner.select("host", F.explode("inner").alias("subtree"))
+    )
     totals = seen.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     shared = F.col("n") >= F.col("pages") * share
     recurring = (
-        counted.agg(F.count(F.lit(1)).alias("n"))
+        standing.groupBy("host", "subtree")
+        .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= few)
         .join(totals, "host")
         .filter(shared | ((F.col("n") >= least) & (F.col("host") != F.xxhash64(F.lit("")))))
         .select("host", "subtree", shared.alias("shared"))
     )
-    listed = seen.select("host", "page", "whole", F.posexplode(F.slice("subtrees", F.lit(1), F.col("free"))))
+    may = lambda side: F.transform(
+        F.slice(side, F.lit(1), F.col(f"{side}_free")),
+        lambda h, at: F.struct(h.alias("subtree"), (at >= F.col(f"{side}_whole")).alias("lone")),
+    )
+    listed = seen.select("host", "page", F.explode(F.concat(*map(may, SIDES))).alias("s"))
     return (
-        listed.select("host", "page", F.col("col").alias("subtree"), (F.col("pos") >= F.col("whole")).alias("lone"))
+        listed.select("host", "page", "s.subtree", "s.lone")
         .join(recurring, ["host", "subtree"])
         .filter(F.col("shared") | ~F.col("lone"))
         .groupBy("host", "page")

@@ -176,3 +176,110 @@ def test_pages_of_the_smallest_table(spark):
         parts = [" ".join(html.unescape(re.sub("</?b>|<br>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", body)]
         assert r.text == "\n\n".join(p for p in parts if p)
         assert r.n_chars == len(r.text)
+
+
+def test_pages_with_one_article_keep_it(spark):
+    """Print versions and copies under other menus: the article's parts stand on many pages, in one article."""
+    article = (
+        "<article><h1>Same story</h1><div class='body'><p>First paragraph of it.</p><p>Second one.</p></div>"
+        "<ul><li>Salt</li><li>Pepper</li></ul><table><tr><td>1</td><td>2</td></tr></table></article>"
+    )
+    want = "Same story\n\nFirst paragraph of it.\n\nSecond one.\n\nSalt\n\nPepper\n\n1\n\n2"
+    rows = [(i, f"http://a/{i}", f"<div><p>Menu {i}</p></div>{article}", "t", "h") for i in range(9)]
+    rows += [(100 + i, f"http://b/{i}", f"<div><p>Menu {i}</p></div>{article}", "t", "h") for i in range(3)]
+    # another title each, one body: it is the larger part
+    rows += [(200 + i, f"http://c/{i}", article.replace("Same story", f"Story {i}"), "t", "h") for i in range(9)]
+    # an unnamed box in different articles goes, also where no name gives it away
+    box = "<div class='q7'><p>Read our other pages</p></div>"
+    rows += [
+        (300 + i, f"http://d/{i}", f"<article><p>An article of its own, number {i}</p>{box}</article>{box}", "t", "h")
+        for i in range(9)
+    ]
+    got = {r.page_id: r.text for r in extract_text(pages_of(spark, rows), keep=["page_id"]).collect()}
+    assert {got[i] for i in [*range(9), 100, 101, 102]} == {want}
+    for i in range(9):
+        assert "First paragraph of it.\n\nSecond one." in got[200 + i]
+        assert got[300 + i] == f"An article of its own, number {i}"
+
+
+def plain_templates(rows, share=0.3, least=8, fewest=3):
+    """Templates of each page by counting in plain Python."""
+    from metrolens.llm.html_text import LONE, articles, deletable, parse
+
+    trees, hosts = {}, {}
+    for _, url, page in rows:
+        host = (url or "").split("//")[-1].split("/")[0] if "//" in (url or "") else ""
+        trees.setdefault((host, page), parse(page)[0])
+        hosts.setdefault(host, set()).add(page)
+    out = {}
+    for host, pages in hosts.items():
+        standing: dict[int, set] = {}
+        for page in pages:
+            elements = trees[host, page]
+            tops = articles(elements)
+            name = tuple(elements[i].hash for i, t in enumerate(tops) if t == i)
+            outer = {e.hash for e, t in zip(elements, tops) if t < 0}
+            for e, top in zip(elements, tops):
+                standing.setdefault(e.hash, set()).add(("page", page) if e.hash in outer else ("article", name))
+        for page in pages:
+            elements, found = trees[host, page], set()
+            for i in deletable(elements):
+                n = len(standing[elements[i].hash])
+                many = n >= least and host and elements[i].tag not in LONE
+                if n >= fewest and (n >= share * len(pages) or many):
+                    found.add(elements[i].hash)
+            out[host, page] = found
+    return out
+
+
+def test_counts_against_plain_python(spark):
+    import random
+
+    rnd = random.Random(6)
+    boxes = [f"<div class='b{i}'><p>box {i}</p><p>more</p></div>" for i in range(6)]
+    boxes += ["<ul><li>one</li><li>two</li></ul>", "<h2>News</h2>", "<p>Same line</p>", "<table><tr><td>x</td></tr></table>"]
+    rows = []
+    for i in range(160):
+        host = rnd.choice(["http://a/", "http://a/", "http://b/", "http://c/", None])
+        pick = lambda n: "".join(rnd.sample(boxes, rnd.randint(0, n)))
+        article = f"<article><h1>Title {rnd.randint(0, 40)}</h1>{pick(2)}<p>words of text {rnd.randint(0, 60)}</p></article>"
+        page = f"<body>{pick(3)}{article if rnd.random() < 0.8 else pick(2) + 'plain ' + str(i)}{pick(2)}</body>"
+        rows.append((i, host and host + str(i), page))
+    template = plain_templates(rows)
+    assert sum(map(bool, template.values())) > 50
+    docs = spark.createDataFrame([(*r, "t", "h") for r in rows], "page_id long, url string, html string, text string, host string")
+    got = {r.page_id: r.text for r in extract_text(docs.repartition(5), keep=["page_id"]).collect()}
+    for page_id, url, page in rows:
+        host = url.split("//")[1].split("/")[0] if url else ""
+        assert got[page_id] == main_text(page, template[host, page]), page
+
+
+@pytest.mark.parametrize(
+    "bad",
+    ["<a b='" * 170_000 + "\">", "<div>" * 100_000 + "</p>" * 120_000, "<div>x" * 60_000, "<svg a='" * 120_000 + ">",
+     "<" * 1_000_000, "</div>" * 170_000, "<p a" + " " * 1_000_000 + ">x", "<!--" * 250_000, "<template a=\"" * 80_000],
+)
+def test_a_megabyte_of_bad_markup_takes_seconds(bad):
+    import time
+
+    start = time.process_time()
+    assert main_text("<article><p>one</p>" + bad).startswith("one")
+    assert time.process_time() - start < 15
+
+
+def test_tag_ends():
+    import random
+    import re
+
+    from metrolens.llm.html_text import TagEnds
+
+    whole = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>")
+    rnd = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rnd.choice("ab>>\"'") for _ in range(rnd.randint(0, 12)))
+        slow = TagEnds(text)
+        slow.work_out()
+        for at in range(len(text) + 1):
+            found = whole.match(text, at)
+            want = found.end() if found else -1
+            assert slow.of(at) == want and TagEnds(text).of(at) == want, (text, at)
