@@ -289,7 +289,7 @@ ODD_KEYS = {"fea}tures": [{"a": 1}], "b[": {"x": {"y": [1, {"z": "}"}]}}, "c\\":
 def _odd_document():
     """Strings with brackets, quotes and escapes, keys that hold braces, a feature over many
     blocks, and other members with nested arrays before and after the features."""
-    features = [_feature(i) for i in range(150)]
+    features = [_feature(i) for i in range(60)]
     for i, f in enumerate(features):
         f["properties"]["note"] = ('}{][\\",\n' * (i % 5)) + "x" * (i % 7) + "\\" * (i % 3) + "é"
     features[9]["geometry"] = {"type": "Polygon", "coordinates": [[[j, j + 0.5] for j in range(400)]]}
@@ -299,8 +299,7 @@ def _odd_document():
     return doc
 
 
-@pytest.mark.parametrize("size", [64, 300, 1 << 20])
-@pytest.mark.parametrize("text", ["one", "indented", "followed"])
+@pytest.mark.parametrize("text,size", [("one", 150), ("one", 1 << 20), ("indented", 400), ("followed", 300)])
 def test_geojson_on_one_line_splits(spark, size, text):
     from metrolens.sources import read_features
     from metrolens.sources.json_split import read_records
