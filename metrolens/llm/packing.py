@@ -21,7 +21,7 @@ import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import chain, combinations_with_replacement, filterfalse
+from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metrolens.llm.common import lean, order_totals, slices, stage, table, worker_cache
+from metrolens.llm.common import (
+    lean,
+    order_totals,
+    slices,
+    span_hashes,
+    span_numbers,
+    stage,
+    table,
+    worker_cache,
+)
 
 WINDOW = 4096
 CLOSING_ID = 2
@@ -40,7 +49,8 @@ BROADCAST_BYTES = 32 << 20  # the list of cut pieces is broadcast up to this siz
 CACHED_WORDS = 300_000
 CACHED_PIECES = 200_000
 
-# Fixed value: the vocabulary file's own pattern of sub-words.
+# White space and controls, and the vocabulary file's own pattern of sub-words.
+UNUSUAL = "\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SUBWORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -74,9 +84,9 @@ class WordIds(dict):
         self.plain = re.compile("[\x21-\x7e\xa1-ɏ]+").fullmatch
         self.letters = byte_letters()
         self.pieces: dict[str, bytes] = {}
-        # special strings, and the controls that only Python takes for white space
+        # special strings, and white space and controls but the space and the line feed
         special = [re.escape(t.content) for t in self.encoder.get_added_tokens_decoder().values()]
-        self.unusual = re.compile("|".join(["[\x1c-\x1f]", *special])).search
+        self.unusual = re.compile("|".join([f"[{UNUSUAL}]", *special])).search
 
     @staticmethod
     def pack(ids: Sequence[int]) -> bytes:
@@ -102,19 +112,37 @@ class WordIds(dict):
         return ids
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of whole texts."""
-        split = [None if self.unusual(t) else t.split() for t in texts]
-        new = self.learned(set(filterfalse(self.__contains__, chain.from_iterable(s for s in split if s is not None))))
+        """Packed ids of whole texts. The words of all of them are found and told
+        apart as arrays of bytes; only different ones are looked up."""
+        odd = [bool(self.unusual(t)) for t in texts]
+        # a line feed between texts: it ends a word
+        plain = [t.encode() + b"\n" for t, o in zip(texts, odd) if not o]
+        whole = b"".join(plain)
+        raw = np.frombuffer(whole, np.uint8)
+        inside = (raw != 32) & (raw != 10)
+        cuts = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        begins, ends = cuts[::2], cuts[1::2]
+        first, number = span_numbers(raw, begins, ends, span_hashes(raw, begins, ends))
+        words = [whole[a:b].decode() for a, b in zip(begins[first].tolist(), ends[first].tolist())]
+        new = self.learned({w for w in words if w not in self})
         self.update(new)
-        find = self.__getitem__
-        out = [
-            self.pack(self.encoder.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(find, s))
-            for t, s in zip(texts, split)
-        ]
+        ids = [self[w] for w in words]
         if len(self) > CACHED_WORDS:
             for word in new:
                 del self[word]
-        return out
+        # the ids of all words one after another, then those of each text
+        size = np.array([len(i) // 4 for i in ids], np.int64)
+        held = np.frombuffer(b"".join(ids), "<u4")
+        base, many = (np.cumsum(size) - size)[number], size[number]
+        after = np.cumsum(many)
+        flat = held[np.arange(int(many.sum())) + np.repeat(base - (after - many), many)].tobytes()
+        edges = np.cumsum([0, *map(len, plain)])
+        at = 4 * np.concatenate([[0], after])[np.searchsorted(begins, edges)]
+        spans = iter(zip(at[:-1].tolist(), at[1:].tolist()))
+        return [
+            self.pack(self.encoder.encode(t, add_special_tokens=False).ids) if o else flat[slice(*next(spans))]
+            for t, o in zip(texts, odd)
+        ]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -156,7 +184,7 @@ def tokenize_pieces(
         closing = np.array([closing_id], "<u4").tobytes()
         small = words.encoder.get_vocab_size() <= 1 << 16
         piece = TaskContext.get().partitionId() << 33
-        for batch in slices(batches, 128):
+        for batch in slices(batches, 512):
             rows, size = [], 0
             texts = words.texts([t or "" for t in batch.column(1).to_pylist()])
             for doc, packed in zip(batch.column(0), texts):
