@@ -47,6 +47,7 @@ UNITS = ("location", "event")
 
 FAN = 64  # children of a node, and sites of a leaf
 BLOCK = 256  # points that walk together
+PIECE = 1 << 16  # points that a step hands on at a time
 
 # Steps that spread 21 bits to every third bit (shift, mask).
 SPREAD = (
@@ -253,6 +254,7 @@ def descend(met: DataFrame, marked: bool) -> DataFrame:
             boxes = [(_flat(batch, f"lo_{a}"), _flat(batch, f"hi_{a}")) for a in AXES]
             taken: list[np.ndarray] = []
             nodes: list[int | None] = []
+            held = 0
             for i in range(batch.num_rows):
                 a, b, c, d = points[i], points[i + 1], children[i], children[i + 1]
                 if marked or c == d:
@@ -267,6 +269,10 @@ def descend(met: DataFrame, marked: bool) -> DataFrame:
                 for j in np.flatnonzero(need.any(axis=0)).tolist():
                     taken.append(a + np.flatnonzero(need[:, j]))
                     nodes.append(int(child[c + j]))
+                    held += len(taken[-1])
+                if held > PIECE:
+                    yield _block_rows(batch, taken, nodes)
+                    taken, nodes, held = [], [], 0
             yield _block_rows(batch, taken, nodes)
 
     return met.mapInArrow(run, BLOCK_SCHEMA)
@@ -280,26 +286,33 @@ def meet_sites(met: DataFrame, site: T.DataType) -> DataFrame:
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            reach = _flat(batch, "reach")
-            points, sites = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for a, b, c, _, far in _to_sites(batch):
-                if far is None:
-                    points.append(np.arange(a, b))
-                    sites.append(np.full(b - a, -1))
-                    continue
-                least = np.minimum(far.min(axis=1) + MARGIN, reach[a:b])
-                p, q = np.nonzero(far <= least[:, None])
-                points.append(a + p)
-                sites.append(c + q)
+        def met_rows(batch: pa.RecordBatch, points: list[np.ndarray], sites: list[np.ndarray]) -> pa.RecordBatch:
             at, of = np.concatenate(points), np.concatenate(sites)
             of = pa.array(of, mask=of < 0)
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [_get(batch, c).values.take(pa.array(at)) for c in names[:3]]
                 + [_get(batch, c).values.take(of) for c in names[3:]],
                 names=names,
             )
 
+        for batch in batches:
+            reach = _flat(batch, "reach")
+            points, sites, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+            for a, b, c, _, far in _to_sites(batch):
+                if far is None:
+                    points.append(np.arange(a, b))
+                    sites.append(np.full(b - a, -1))
+                else:
+                    least = np.minimum(far.min(axis=1) + MARGIN, reach[a:b])
+                    p, q = np.nonzero(far <= least[:, None])
+                    points.append(a + p)
+                    sites.append(c + q)
+                held += len(points[-1])
+                if held > PIECE:
+                    yield met_rows(batch, points, sites)
+                    points, sites, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+            yield met_rows(batch, points, sites)
+
     return met.mapInArrow(run, schema)
 
 
@@ -337,7 +350,9 @@ def assign_nearest(
         spark = pts.sparkSession
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
         pts = pts.withColumn("along", curve(*AXES)).repartitionByRange(tasks, "along").sortWithinPartitions("along")
-        walk = make_blocks(pts, root)
+        # A stage for every step in Python: steps of one stage run side by side, each with workers of its own.
+        dealt = lambda df: df.repartition(tasks)
+        walk = dealt(make_blocks(pts, root))
         # Down to one leaf: the child nearest to the block's middle each time.
         away = lambda c: sum(
             (F.greatest(c[f"lo_{a}"] - F.col(f"m_{a}"), F.col(f"m_{a}") - c[f"hi_{a}"], F.lit(0.0)) ** 2 for a in AXES),
@@ -348,10 +363,10 @@ def assign_nearest(
                 F.transform(F.arrays_zip("child", *BOX), lambda c: F.struct(away(c).alias("d"), c["child"].alias("child")))
             )
             walk = walk.join(level, "node", "left").withColumn("node", near["child"]).drop("child", *BOX)
-        walk = bound(walk.join(leaves, "node", "left"), root)
+        walk = dealt(bound(walk.join(leaves, "node", "left"), root))
         # Down again, into every child that could hold a site as near for any point.
         for i, level in enumerate(upper):
-            walk = descend(walk.join(level, "node", "left"), marked=i == 0)
+            walk = dealt(descend(walk.join(level, "node", "left"), marked=i == 0))
     else:
         walk = make_blocks(pts, root)
     scored = meet_sites(walk.join(leaves, "node", "left"), key)

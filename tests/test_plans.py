@@ -115,3 +115,21 @@ def test_empty_side_fits_broadcast(spark):
     from metrolens.operators.joins import fits_broadcast
 
     assert fits_broadcast(spark.range(10).filter("id < 0"), max_rows=0, max_bytes=0)
+
+
+def test_every_python_step_of_the_nearest_walk_is_a_stage_of_its_own(spark, monkeypatch):
+    # Python steps of one stage run side by side, each in a worker of its own per core.
+    from pyspark.sql import functions as F
+
+    from metrolens.operators import assign_nearest, nearest
+
+    monkeypatch.setattr(nearest, "FAN", 4)
+    monkeypatch.setattr(nearest, "PIECE", 5)  # results handed on in pieces are whole
+    sites = spark.range(60).select("id", (F.col("id") % 83).cast("double").alias("la"), (F.col("id") / 7).alias("lo"))
+    points = spark.range(300).select((F.col("id") % 90).cast("double").alias("a"), (F.col("id") * 1.1).alias("o"))
+    df = assign_nearest(points, sites, "a", "o", "id", "la", "lo", strategy="broadcast")
+    assert len(df.collect()) == 300
+    lines = plan_text(df, "simple").split("== Initial Plan ==")[0].splitlines()
+    nodes = [n for line in lines for n in ("MapInArrow", "Exchange") if n in line and "BroadcastExchange" not in line]
+    assert nodes.count("MapInArrow") >= 4
+    assert all(nodes[i + 1] == "Exchange" for i, n in enumerate(nodes[:-1]) if n == "MapInArrow")
