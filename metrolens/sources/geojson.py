@@ -4,8 +4,10 @@ Three layouts are read:
 
 * ``"document"``: each file is one FeatureCollection (pretty or single-line).
   The JSON reader parses it with ``multiLine`` and ``inline(features)`` turns
-  the array into rows. A multi-line document cannot be split, so one file is
-  one task: write many files (see :func:`write_geojson`) rather than one.
+  the array into rows, one task a file. Files of more than ``WHOLE`` bytes are
+  cut at bytes across tasks as in the ``"split"`` layout, by this layout's rules;
+  properties read as a string are then without the file's white space, as in the
+  other layouts.
 * ``"lines"``: one feature per line, between a header and a footer line. Lines
   are read as text, trailing commas removed and parsed with ``from_json``; the
   files split freely across tasks. A line holding a whole single-line
@@ -29,6 +31,8 @@ from pyspark.sql.types import DataType
 from metrolens.sources.json_split import member_elements
 
 LAYOUTS = ("document", "lines", "split")
+WHOLE = 4 << 20  # bytes of a document that one task parses; a compressed one cannot be cut
+_COMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|lz4|snappy|zst|xz)$"
 
 
 def _feature_type(properties_type: str) -> str:
@@ -47,6 +51,20 @@ def _holds(condition: Column, message: str) -> Column:
 
 
 def _features_from_document(spark: SparkSession, paths: Sequence[str], properties_type: str) -> DataFrame:
+    # Names and sizes only: the content is not selected.
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
+    cut = (F.col("length") > WHOLE) & ~F.col("path").rlike(_COMPRESSED)
+    large = [r.path for r in files.filter(cut).collect()]
+    if not large:
+        return _features_from_whole_documents(spark, paths, properties_type)
+    texts = member_elements(spark, large, "features", _holds, "FeatureCollection")
+    parsed = F.from_json("text", _feature_type(properties_type), {"mode": "FAILFAST"})
+    features = texts.select(F.when(F.col("text") != "null", parsed).alias("f")).select("f.type", "f.geometry", "f.properties")
+    small = [r.path for r in files.filter(~cut).collect()]
+    return features.unionByName(_features_from_whole_documents(spark, small, properties_type)) if small else features
+
+
+def _features_from_whole_documents(spark: SparkSession, paths: Sequence[str], properties_type: str) -> DataFrame:
     schema = f"type string, features array<{_feature_type(properties_type)}>"
     docs = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(list(paths))
     whole = (F.col("type") == "FeatureCollection") & F.col("features").isNotNull()

@@ -338,3 +338,48 @@ def test_geojson_on_one_line_cut_anywhere_fails(spark, size):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def _collection(n, head='"type": "FeatureCollection", ', tail="", extra=""):
+    features = ",\n".join(
+        '{"type": "Feature", "geometry": {"type": "Point"}, "properties": {"ZCTA20": "9%04d", "POP20": %d, "t": "a}\\"{["}}' % (i % 50, i)
+        for i in range(1, n + 1)
+    )
+    return "{" + head + '"crs": {"type": "name", "properties": {"name": "x"}}, "features": [' + features + extra + "]" + tail + "}\n"
+
+
+def test_a_large_document_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    from metrolens.sources import geojson, read_features
+
+    props = "struct<ZCTA20:string, POP20:bigint, t:string>"
+    path = tmp_path / "d"
+    path.mkdir()
+    (path / "a.json").write_text(_collection(3000, extra=", null"))
+    (path / "b.json").write_text(_collection(2, head="", tail=', "type": "FeatureCollection"'))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        whole = read_features(spark, str(path), props)
+        want = sorted(map(repr, whole.collect()))
+        assert len(want) == 3003
+        for size in (10_000, 10):  # one file of two, both
+            monkeypatch.setattr(geojson, "WHOLE", size)
+            got = read_features(spark, str(path), props)
+            assert sorted(map(repr, got.collect())) == want
+            assert got.rdd.getNumPartitions() > 2
+        for bad in (
+            _collection(9, head=""),
+            _collection(9, head='"type": "Feature", '),
+            _collection(9, extra=", 5"),
+            _collection(9, extra=", [{}]"),
+            _collection(9).replace('"features": [', '"other": ['),
+            _collection(9)[:-3],
+        ):
+            (tmp_path / "bad.json").write_text(bad)
+            monkeypatch.setattr(geojson, "WHOLE", 10)
+            with pytest.raises(Exception):
+                read_features(spark, str(tmp_path / "bad.json"), "string").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
