@@ -75,6 +75,17 @@ def test_a_hot_key_spreads_over_the_tasks(spark):
             spark.conf.set(k, v)
 
 
+def test_skew_join_deals_cells_by_their_pairs(spark):
+    """Few rows of many pairs: cells and tasks follow the pairs, whatever the number of tasks."""
+    left, right = _sides(spark, 3000, 1500)
+    dealt = skew_join(left, right, ["k"], tasks=4, pairs=10_000)  # 500,000 pairs of the key 7
+    want = left.join(right, ["k"])
+    totals = [F.count(F.lit(1)), F.sum("a"), F.sum("b"), F.sum(F.col("a") * F.col("b"))]
+    assert dealt.agg(*totals).first() == want.agg(*totals).first()
+    per_task = dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) > 20 and max(r["count"] for r in per_task) < 10_000 * 10
+
+
 # ---------------------------------------------------------------- ranks of all rows
 
 
