@@ -3,15 +3,18 @@
 Rows are sorted along a curve through the ranks of the chosen columns, so a file
 covers a small range of each of them; the number of files follows from the
 bytes a row takes, measured on a written sample. The table is written beside its
-place and published by one rename. Readers take the ranges of every file from
-its footer and leave out the files that cannot hold a wanted row.
+place and published by one rename, with an index in it: a small table with the
+ranges of every file, found by one aggregate over the written files. Readers
+filter the index and leave out the files that cannot hold a wanted row.
 """
 
 from __future__ import annotations
 
+import posixpath
 import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,7 @@ from metrolens.session import staging_path
 
 RANK_BITS = 6  # ranks of a column: 64 of about equal size
 SAMPLE_ROWS = 100_000  # about so many rows are written to measure their size
+INDEX = "_ranges/files"  # place of a table's index; Spark reads no folder of such a name with the table
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -69,7 +73,7 @@ def bytes_per_row(df: DataFrame, rows: int) -> float:
     """Parquet bytes a row takes, measured on a written sample of about ``SAMPLE_ROWS``."""
     path = staging_path(df.sparkSession, "row-size")
     share = min(1.0, SAMPLE_ROWS / max(1, rows))
-    df.sample(fraction=share, seed=1).coalesce(1).write.parquet(path)
+    df.sample(fraction=share, seed=1).repartition(1).write.parquet(path)
     seen = df.sparkSession.read.parquet(path).count()
     return _bytes(df.sparkSession, path) / seen if seen else 1.0
 
@@ -87,6 +91,7 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], file_bytes
     spread = [F.col(key), *[F.col(f"`{c}`") for c in columns], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     made = f"{path.rstrip('/')}.making-{uuid.uuid4().hex[:8]}"
     keyed.repartitionByRange(files, *spread).sortWithinPartitions(*spread[:-1]).drop(key).write.parquet(made)
+    _measured(spark.read.schema(df.schema).parquet(made)).write.parquet(f"{made}/{INDEX}")
     fs, new = _hadoop(spark, made)
     _, place = _hadoop(spark, path)
     old = None
@@ -100,46 +105,69 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], file_bytes
     return path
 
 
+def _ranged(schema: T.StructType) -> list[str]:
+    """Columns whose ranges are kept: numbers, dates and timestamps."""
+    kinds = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return [f.name for f in schema if isinstance(f.dataType, kinds)]
+
+
+def _measured(table: DataFrame) -> DataFrame:
+    """A row per file of a Parquet table that holds rows: ``file`` (its name), ``rows``,
+    ``bytes``, and ``least`` and ``greatest`` of its columns."""
+    found = table.metadataColumn("_metadata")
+    kept = _ranged(table.schema)
+    held = table.select(
+        found["file_name"].alias("file"), found["file_size"].alias("size"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    )
+    ends = [
+        F.struct(*[how(F.col(f"row.`{c}`")).alias(c) for c in kept]).alias(name)
+        for name, how in (("least", F.min), ("greatest", F.max))
+        if kept
+    ]
+    return held.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("bytes"), *ends)
+
+
+def _indexed(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame | None, list[str]]:
+    """A table's index, if it has one, and its files that the index does not list."""
+    files = [unquote(posixpath.basename(f)) for f in spark.read.schema(schema).parquet(path).inputFiles()]
+    fs, at = _hadoop(spark, f"{path.rstrip('/')}/{INDEX}")
+    if not fs.exists(at):
+        return None, files
+    index = spark.read.parquet(f"{path.rstrip('/')}/{INDEX}")
+    listed = {row.file for row in index.select("file").toLocalIterator()}
+    return index, [f for f in files if f not in listed]
+
+
 def file_ranges(spark: SparkSession, path: str) -> list[dict]:
-    """What the footers say: a row per file with ``file``, ``rows``, ``bytes`` and
-    ``ranges``, ``{column: (least, greatest)}`` of the columns whose footers tell.
-    Reads the footers only, one call per file."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    fs, at = _hadoop(spark, path)
+    """What the index says: a row per file that holds rows with ``file``, ``rows``, ``bytes`` and
+    ``ranges``, ``{column: (least, greatest)}``; None for columns without ranges, nothing
+    for columns of NULLs. Files that are not in the index are measured."""
+    root = path.rstrip("/")
+    schema = spark.read.parquet(path).schema
+    kept = _ranged(schema)
+    index, others = _indexed(spark, path, schema)
+    parts = [] if index is None else [index]
+    if others:
+        parts.append(_measured(spark.read.schema(schema).parquet(*[f"{root}/{f}" for f in others])))
+
+    def end(side: str, c: str) -> Column:
+        value = F.col(f"{side}.`{c}`")
+        return F.unix_micros(value) if isinstance(schema[c].dataType, T.TimestampType) else value
+
     found = []
-    for status in fs.listStatus(at):
-        name = status.getPath().getName()
-        if not name.endswith(".parquet"):
-            continue
-        held = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromStatus(status, conf)
-        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(held)
-        try:
-            ranges: dict[str, tuple | None] = {}
-            rows = 0
-            for block in reader.getFooter().getBlocks():
-                rows += block.getRowCount()
-                for column in block.getColumns():
-                    c = column.getPath().toDotString()
-                    stats = column.getStatistics()
-                    if stats is None or not stats.hasNonNullValue():
-                        if stats is None or stats.getNumNulls() != column.getValueCount():
-                            ranges[c] = None  # not told: nothing can be ruled out
-                        continue
-                    low, high = stats.genericGetMin(), stats.genericGetMax()
-                    if not isinstance(low, (int, float)):
-                        ranges[c] = None
-                    elif c not in ranges:
-                        ranges[c] = (low, high)
-                    elif ranges[c] is not None:
-                        ranges[c] = (min(ranges[c][0], low), max(ranges[c][1], high))
-        finally:
-            reader.close()
-        found.append({"file": status.getPath().toString(), "rows": rows, "bytes": status.getLen(), "ranges": ranges})
+    for part in parts:
+        ends = [end(side, c) for c in kept for side in ("least", "greatest")]
+        for file, rows, size, *values in part.select("file", "rows", "bytes", *ends).collect():
+            ranges: dict[str, tuple | None] = {c: None for c in schema.names if c not in kept}
+            for c, low, high in zip(kept, values[::2], values[1::2]):
+                if low is not None:
+                    ranges[c] = (_stored(low), _stored(high))
+            found.append({"file": f"{root}/{file}", "rows": rows, "bytes": size, "ranges": ranges})
     return sorted(found, key=lambda f: f["file"])
 
 
 def _stored(value) -> float:
-    """A bound as Parquet stores such values: days of a date, microseconds of a timestamp."""
+    """A value as Parquet stores it: days of a date, microseconds of a timestamp."""
     if isinstance(value, datetime):
         given = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
         since = given - datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -151,21 +179,18 @@ def _stored(value) -> float:
 
 def read_range(spark: SparkSession, path: str, ranges: dict[str, tuple]) -> DataFrame:
     """Rows of a clustered table with every column within its ``(least, greatest)``,
-    bounds included; files whose footers rule that out are not opened."""
-    files = file_ranges(spark, path)
-
-    def may_hold(found: dict) -> bool:
-        for c, (low, high) in ranges.items():
-            if c not in found["ranges"]:  # only NULLs
-                return False
-            own = found["ranges"][c]
-            if own is not None and (own[1] < _stored(low) or own[0] > _stored(high)):
-                return False
-        return True
-
+    bounds included; files whose ranges in the index rule that out are not opened."""
+    root = path.rstrip("/")
     schema = spark.read.parquet(path).schema
-    wanted = [f["file"] for f in files if f["rows"] and may_hold(f)]
-    held = spark.read.schema(schema).parquet(*wanted) if wanted else spark.createDataFrame([], schema)
+    kept = set(_ranged(schema))
+    index, wanted = _indexed(spark, path, schema)
+    if index is not None:
+        for c, (low, high) in ranges.items():
+            if c in kept:  # a file that has only NULLs goes too
+                index = index.filter((F.col(f"greatest.`{c}`") >= F.lit(low)) & (F.col(f"least.`{c}`") <= F.lit(high)))
+        wanted = wanted + [row.file for row in index.select("file").orderBy("file").collect()]
+    files = [f"{root}/{f}" for f in wanted]
+    held = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
     for c, (low, high) in ranges.items():
         held = held.filter(F.col(f"`{c}`").between(F.lit(low), F.lit(high)))
     return held

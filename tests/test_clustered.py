@@ -54,6 +54,36 @@ def test_dates_strings_and_one_heavy_value(spark, tmp_path):
         write_clustered(df, path, ["text"])
 
 
+def test_files_are_picked_by_the_index_written_with_the_table(spark, tmp_path, monkeypatch):
+    from metrolens.sources import clustered
+
+    path = str(tmp_path / "t")
+    price = F.when(F.col("id") % 50 != 0, (F.col("id") * 31 % 997).cast("decimal(9,2)"))
+    df = _table(spark).withColumns({"price": price, "at": F.col("day").cast("timestamp"), "x y": F.col("a")})
+    write_clustered(df, path, ["price", "at"], file_bytes=60_000)
+    index = spark.read.parquet(f"{path}/_ranges/files")
+    assert index.count() == len(spark.read.parquet(path).inputFiles()) > 4
+    assert index.agg(F.sum("rows")).first()[0] == spark.read.parquet(path).count() == 20_000
+
+    calls = []
+    hadoop = clustered._hadoop
+    monkeypatch.setattr(clustered, "_hadoop", lambda spark, at: calls.append(at) or hadoop(spark, at))
+    low, high = datetime.datetime(2020, 3, 1), datetime.datetime(2020, 8, 1)
+    ranges = {"price": (100, 300), "at": (low, high), "x y": (0, 10_000)}
+    got = read_range(spark, path, ranges)
+    assert calls == [f"{path}/_ranges/files"]  # no file is looked into by the driver
+    want = df.filter(F.col("price").between(100, 300) & F.col("at").between(F.lit(low), F.lit(high)))
+    assert sorted(got.collect()) == sorted(want.collect()) != []
+    assert len(got.inputFiles()) < index.count()
+
+    # a file that came later, and a table without an index
+    df.filter("id = 7").withColumn("price", F.lit(250).cast("decimal(9,2)")).write.mode("append").parquet(path)
+    assert read_range(spark, path, {"price": (250, 250), "id": (7, 7)}).count() == 1
+    assert sum(f["rows"] for f in file_ranges(spark, path)) == 20_001
+    df.write.parquet(str(tmp_path / "plain"))
+    assert read_range(spark, str(tmp_path / "plain"), ranges).count() == want.count()
+
+
 def test_a_table_is_replaced_whole(spark, tmp_path):
     path, df = str(tmp_path / "t"), _table(spark, 500)
     write_clustered(df, path, ["a"])
