@@ -21,7 +21,7 @@ import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import combinations_with_replacement
+from itertools import chain, combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metrolens.llm.common import (
+    STEP,
     lean,
     order_totals,
+    scrambled,
     slices,
-    span_hashes,
-    span_numbers,
     stage,
     table,
     worker_cache,
@@ -45,12 +45,14 @@ CLOSING_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 BROADCAST_BYTES = 32 << 20  # the list of cut pieces is broadcast up to this size, else joined by shuffle
 
-# Words and sub-words a Python worker remembers; others are encoded in each batch they come in.
-CACHED_WORDS = 300_000
-CACHED_PIECES = 200_000
+# Long words and short sub-words a Python worker remembers; others are encoded in each batch they come in.
+CACHED_WORDS = 50_000
+CACHED_PIECES = 500_000
+JOINED = 1 << 18  # characters of texts that are worked on together, more only where one text has more
 
 # White space and controls, and the vocabulary file's own pattern of sub-words.
-UNUSUAL = "\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+UNUSUAL = "\\x00\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+UNUSUAL_BYTES = b"\0\t\x0b\x0c\r\x1c\x1d\x1e\x1f"  # those of ASCII
 SUBWORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -62,14 +64,105 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b if b in keep else next(spare)) for b in range(256)}
 
 
+def byte_kinds() -> np.ndarray:
+    """What a byte of a text is: 0 blank, 1 letter, 2 digit, 3 other sign, 4 what only whole words are read with."""
+    kinds = np.full(256, 4, np.uint8)
+    for b in range(0x21, 0x7F):
+        kinds[b] = 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3
+    kinds[ord("'")] = 4
+    kinds[[32, 10]] = 0
+    return kinds
+
+
+def small_letters() -> np.ndarray:
+    """A table that lower-cases A-Z."""
+    return np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+def runs_of(values: np.ndarray, at: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """``many[i]`` values from ``at[i]`` on, for every i, one after another."""
+    after = np.cumsum(many)
+    return values[np.arange(int(many.sum())) + np.repeat(at - (after - many), many)]
+
+
+class SpanTable:
+    """Ids of byte spans of at most 16 bytes, none of them zero, held as arrays.
+
+    A span's bytes are two 64-bit numbers, compared whole. It stands in one of two
+    slots; a span that finds both taken is not held. Ids are kept one span after another.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.n, self.used = most, 0, 0
+        self.bits = max(8, (4 * most - 1).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        self.keys = np.zeros((2, most), np.uint64)
+        self.at, self.many = np.zeros(most, np.int64), np.zeros(most, np.int64)
+        self.ids = np.zeros(1 << 10, np.uint32)
+
+    def __len__(self) -> int:
+        return self.n
+
+    @staticmethod
+    def mixed(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return scrambled(one * np.uint64(STEP) + two)
+
+    def _slot(self, mix: np.ndarray, way: int) -> np.ndarray:
+        return (mix >> np.uint64(64 - self.bits) if way == 0 else mix & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def find(self, one: np.ndarray, two: np.ndarray, mix: np.ndarray) -> np.ndarray:
+        """The number of each span, -1 if it is not held."""
+        found = np.full(len(mix), -1, np.int32)
+        left = np.arange(len(mix))
+        for way in (0, 1):
+            number = self.slots[self._slot(mix[left], way)]
+            # number -1 looks at the last entry, and is dropped
+            same = (self.keys[0][number] == one[left]) & (self.keys[1][number] == two[left]) & (number >= 0)
+            found[left[same]] = number[same]
+            left = left[~same]
+        return found
+
+    def kept(self, ids: np.ndarray) -> int:
+        """Write ids behind the others; returns their place."""
+        place = self.used
+        if place + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:place], np.zeros(place + 2 * len(ids), np.uint32)])
+        self.ids[place : place + len(ids)] = ids
+        self.used = place + len(ids)
+        return place
+
+    def hold(self, one: np.ndarray, two: np.ndarray, mix: np.ndarray, at: np.ndarray, many: np.ndarray) -> None:
+        """Hold different spans that are not held yet, as far as there is room; their ids
+        stand at ``at``, before or behind the end."""
+        left = np.arange(len(mix))[: self.most - self.n]
+        for way in (0, 1):
+            slot, first = np.unique(self._slot(mix[left], way), return_index=True)
+            free = self.slots[slot] < 0
+            slot, first = slot[free], first[free]
+            taken = np.sort(left[first])
+            slot = self._slot(mix[taken], way)
+            numbers = np.arange(self.n, self.n + len(taken))
+            self.slots[slot] = numbers
+            self.keys[0][numbers], self.keys[1][numbers] = one[taken], two[taken]
+            self.n += len(taken)
+            left = np.delete(left, first)
+            if way == 0:
+                kept = taken
+        kept = np.concatenate([kept, taken])
+        n, numbers = many[kept], np.arange(self.n - len(kept), self.n)
+        self.at[numbers], self.many[numbers] = self.kept(runs_of(self.ids, at[kept], n)) + np.cumsum(n) - n, n
+
+
 class WordIds(dict):
-    """Packed ids (little-endian 32-bit) of words free of white space, kept from
-    one batch to the next.
+    """Packed ids (little-endian 32-bit) of texts, put together from those of
+    their sub-words, kept from one batch to the next.
 
     Equal to encoding the whole text, since no sub-word of this vocabulary
-    spans white space. Words of plain Latin letters are split here and their
-    sub-words go to the vocabulary's merges; any other word goes through the
-    whole encoder.
+    spans white space. Words of printable ASCII without an apostrophe are split
+    as arrays of bytes, and their sub-words go to the vocabulary's merges. Words
+    of other plain Latin letters are split by the vocabulary's pattern; any
+    other word goes through the whole encoder. Sub-words and words of at most 16
+    bytes are held in ``pieces``, longer ones in the dictionary itself.
     """
 
     def __init__(self, path: str):
@@ -83,64 +176,136 @@ class WordIds(dict):
         self.subwords = regex.compile(SUBWORD).findall
         self.plain = re.compile("[\x21-\x7e\xa1-ɏ]+").fullmatch
         self.letters = byte_letters()
-        self.pieces: dict[str, bytes] = {}
-        # special strings, and white space and controls but the space and the line feed
-        special = [re.escape(t.content) for t in self.encoder.get_added_tokens_decoder().values()]
-        self.unusual = re.compile("|".join([f"[{UNUSUAL}]", *special])).search
+        self.kinds, self.small = byte_kinds(), small_letters()
+        self.masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+        self.pieces = SpanTable(CACHED_PIECES)
+        self.special = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
+        self.blanks = re.compile(f"[{UNUSUAL}]").search
 
     @staticmethod
     def pack(ids: Sequence[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def learned(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not held yet: their new sub-words are encoded together."""
-        cut = {}
-        for word in filter(self.plain, words):
-            low = word.lower()
-            cut[word] = (low,) if low.isalpha() else self.subwords(low)
-        new = list({one for found in cut.values() for one in found} - self.pieces.keys())
-        shown = [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in new]
-        coded = self.merges.encode_batch_fast(shown, add_special_tokens=False)
-        self.pieces.update((p, self.pack(c.ids)) for p, c in zip(new, coded))
-        find = self.pieces.__getitem__
-        ids = {word: b"".join(map(find, found)) for word, found in cut.items()}
-        for word in words.difference(cut):
-            ids[word] = self.pack(self.encoder.encode(word, add_special_tokens=False).ids)
-        if len(self.pieces) > CACHED_PIECES:
-            for piece in new:
-                del self.pieces[piece]
-        return ids
+    def unusual(self, text: str, raw: bytes) -> bool:
+        """Whether a text has special strings, or white space or controls but the space and the line feed."""
+        if any(s in text for s in self.special):
+            return True
+        return len(raw.translate(None, UNUSUAL_BYTES)) < len(raw) if len(raw) == len(text) else bool(self.blanks(text))
+
+    def merged(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of sub-words."""
+        shown = [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in pieces]
+        return [c.ids for c in self.merges.encode_batch_fast(shown, add_special_tokens=False)]
+
+    def learned(self, spans: list[bytes], odd: list[bool]) -> list[list[int]]:
+        """Ids of spans: sub-words, and where ``odd`` whole words."""
+        ids = self.merged([b.decode() for b, o in zip(spans, odd) if not o])
+        if len(ids) == len(spans):
+            return ids
+        words = [b.decode() for b, o in zip(spans, odd) if o]
+        cut = [self.subwords(w.lower()) if self.plain(w) else () for w in words]
+        found = iter(self.merged([p for parts in cut for p in parts]))
+        own = [
+            [i for _ in parts for i in next(found)] if parts else self.encoder.encode(w, add_special_tokens=False).ids
+            for w, parts in zip(words, cut)
+        ]
+        ids, own = iter(ids), iter(own)
+        return [next(own) if o else next(ids) for o in odd]
+
+    def _spans(self, raw: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``(bytes, begins, ends, odd)`` of the sub-words of plain ASCII words, lower-cased, and of whole odd words."""
+        kinds = self.kinds[raw]
+        strange = np.flatnonzero(kinds == 4)
+        low = self.small[raw]
+        inside = None
+        if len(strange):
+            cuts = np.flatnonzero(np.diff(kinds != 0, prepend=False, append=False))
+            words = np.unique(np.searchsorted(cuts[::2], strange, side="right") - 1)
+            mark = np.zeros(len(raw) + 1, np.int8)
+            mark[cuts[::2][words]] = 1
+            mark[cuts[1::2][words]] = -1
+            inside = np.cumsum(mark[:-1], dtype=np.int8).view(bool)
+            kinds[inside] = 4
+            low = np.where(inside, raw, low)
+        change = np.diff(kinds, prepend=0, append=0) != 0
+        digit = kinds == 2
+        begins = np.flatnonzero((change[:-1] | digit) & (kinds != 0))
+        ends = np.flatnonzero((change[1:] | digit) & (kinds != 0)) + 1
+        return low, begins, ends, np.zeros(len(begins), bool) if inside is None else inside[begins]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of whole texts. The words of all of them are found and told
-        apart as arrays of bytes; only different ones are looked up."""
-        odd = [bool(self.unusual(t)) for t in texts]
+        """Packed ids of whole texts, some of them worked on together."""
+        out, held, size = [], [], 0
+        for t in texts:
+            held.append(t)
+            size += len(t)
+            if size > JOINED:
+                out += self._together(held)
+                held, size = [], 0
+        return out + self._together(held)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        coded = [t.encode() for t in texts]
+        odd = [self.unusual(t, raw) for t, raw in zip(texts, coded)]
         # a line feed between texts: it ends a word
-        plain = [t.encode() + b"\n" for t, o in zip(texts, odd) if not o]
-        whole = b"".join(plain)
-        raw = np.frombuffer(whole, np.uint8)
-        inside = (raw != 32) & (raw != 10)
-        cuts = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-        begins, ends = cuts[::2], cuts[1::2]
-        first, number = span_numbers(raw, begins, ends, span_hashes(raw, begins, ends))
-        words = [whole[a:b].decode() for a, b in zip(begins[first].tolist(), ends[first].tolist())]
-        new = self.learned({w for w in words if w not in self})
-        self.update(new)
-        ids = [self[w] for w in words]
-        if len(self) > CACHED_WORDS:
-            for word in new:
-                del self[word]
-        # the ids of all words one after another, then those of each text
-        size = np.array([len(i) // 4 for i in ids], np.int64)
-        held = np.frombuffer(b"".join(ids), "<u4")
-        base, many = (np.cumsum(size) - size)[number], size[number]
-        after = np.cumsum(many)
-        flat = held[np.arange(int(many.sum())) + np.repeat(base - (after - many), many)].tobytes()
+        plain = [raw + b"\n" for raw, o in zip(coded, odd) if not o]
+        raw = np.frombuffer(b"".join(plain), np.uint8)
+        low, begins, ends, strange = self._spans(raw)
+        size = ends - begins
+        table = self.pieces
+        base = table.used  # what this step writes behind it is dropped again
+        # a span of 16 bytes as two numbers
+        low = np.concatenate([low, np.zeros(16, np.uint8)])
+        pairs = np.lib.stride_tricks.sliding_window_view(low, 16)[begins].view("<u8")
+        one = pairs[:, 0] & self.masks[np.minimum(size, 8)]
+        two = pairs[:, 1] & self.masks[np.clip(size - 8, 0, 8)]
+        mix = table.mixed(one, two)
+        number = table.find(one, two, mix)
+        short = size <= 16
+        number[~short] = -1
+        at, many = table.at[number], table.many[number]
+        whole = low.tobytes()
+
+        def cut(places: np.ndarray) -> list[bytes]:
+            return [whole[a:b] for a, b in zip(begins[places].tolist(), ends[places].tolist())]
+
+        long = np.flatnonzero(~short)
+        if len(long):
+            spans = cut(long)
+            kind = dict(zip(spans, strange[long].tolist()))
+            fresh = [w for w in kind if w not in self]
+            self.update(zip(fresh, map(self.pack, self.learned(fresh, [kind[w] for w in fresh]))))
+            held = [np.frombuffer(self[w], "<u4") for w in kind]
+            order = dict(zip(kind, range(len(kind))))
+            index = np.array([order[w] for w in spans])
+            n = np.array([len(h) for h in held], np.int64)
+            at[long], many[long] = (table.kept(np.concatenate(held)) + np.cumsum(n) - n)[index], n[index]
+            if len(self) > CACHED_WORDS:
+                for w in fresh:
+                    del self[w]
+        missed = np.flatnonzero((number < 0) & short)
+        if len(missed):
+            _, first, kinds = np.unique(mix[missed], return_index=True, return_inverse=True)
+            like = missed[first][kinds]
+            if (one[missed] != one[like]).any() or (two[missed] != two[like]).any():  # two spans share a hash
+                both = np.stack([one[missed], two[missed]], 1)
+                _, first, kinds = np.unique(both, axis=0, return_index=True, return_inverse=True)
+                kinds = kinds.reshape(-1)
+            new = missed[first]
+            ids = self.learned(cut(new), strange[new].tolist())
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            place = table.kept(np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum()))) + np.cumsum(n) - n
+            at[missed], many[missed] = place[kinds], n[kinds]
+        flat = runs_of(table.ids, at, many).tobytes()
+        after = np.concatenate([[0], np.cumsum(many)])
+        table.used = base
+        if len(missed):
+            table.hold(one[new], two[new], mix[new], place, n)
         edges = np.cumsum([0, *map(len, plain)])
-        at = 4 * np.concatenate([[0], after])[np.searchsorted(begins, edges)]
-        spans = iter(zip(at[:-1].tolist(), at[1:].tolist()))
+        parts = 4 * after[np.searchsorted(begins, edges)]
+        cuts = iter(zip(parts[:-1].tolist(), parts[1:].tolist()))
         return [
-            self.pack(self.encoder.encode(t, add_special_tokens=False).ids) if o else flat[slice(*next(spans))]
+            self.pack(self.encoder.encode(t, add_special_tokens=False).ids) if o else flat[slice(*next(cuts))]
             for t, o in zip(texts, odd)
         ]
 

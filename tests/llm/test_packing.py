@@ -163,3 +163,32 @@ def test_words_beyond_those_held(monkeypatch):
     for at in range(0, 200, 20):
         assert few.texts(texts[at : at + 20]) == WORDS.texts(texts[at : at + 20])
     assert len(few) < 200 and len(few.pieces) < 200
+
+
+def test_words_are_put_together_from_held_parts(monkeypatch):
+    """Different words of the same sub-words are no work of their own, whichever way their bytes are cut."""
+    parts = WordIds(PATH)
+    texts = [f"one{a}two{b}-THREE{a}.{b} don't{a % 3} naïve " + "x" * (b % 20) + f" {'=' * (a + b)}" for a in range(40) for b in range(40)]
+    got = parts.texts(texts)
+    assert len(parts) < 100 and len(parts.pieces) < 200
+    seen = []
+    monkeypatch.setattr(parts, "learned", lambda spans, odd: seen.extend(spans) or [])
+    assert parts.texts(texts) == got and seen == []
+    for text, ids in list(zip(texts, got))[::97]:
+        assert ids == np.array(ENCODER.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aB'sStT .-\x00\x01\t\n\x7f19éÀß́  漢İΣ<|>"), max_size=40), max_size=5))
+def test_odd_words_beside_plain_ones(texts):
+    for got, text in zip(WORDS.texts(texts), texts):
+        assert got == np.array(ENCODER.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
+def test_spans_of_one_hash(monkeypatch):
+    from metrolens.llm.packing import SpanTable
+
+    monkeypatch.setattr(SpanTable, "mixed", staticmethod(lambda one, two: one * np.uint64(0)))
+    few = WordIds(PATH)
+    texts = ["some words of one hash", "and some others, 12 of them", "some words of others"]
+    assert few.texts(texts) == WORDS.texts(texts) == few.texts(texts)
