@@ -5,6 +5,8 @@ text. Documents are dealt to a few shards by a hash of their id. Every shard is
 mined completely, level by level, with the support lowered to the shard's share
 of all words: a phrase that reaches the support overall reaches the lowered one
 in some shard, so the union of what the shards find holds every frequent phrase.
+Of these, hashes whose counts in all shards are below the support together are
+dropped: all parts of a frequent phrase are frequent, so every shard has counted it.
 One more pass counts all found phrases over all documents, by their words, and
 the support is applied to those counts.
 
@@ -170,7 +172,8 @@ def _places(words: Words, filters: list[Filter], sizes: range) -> Iterator[tuple
 
 def local_counts(texts: DataFrame, filters: list[Filter], sizes: range) -> DataFrame:
     """``(shard, size, hash, n)``: how often phrases of the given ``sizes`` stand in
-    each shard, where all their parts pass the ``filters`` of one word, two words, ..."""
+    each shard, where all their parts pass the ``filters`` of one word, two words, ...;
+    a task's counts are rows of their own, to be summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list[np.ndarray]] = {}
@@ -200,27 +203,30 @@ def local_counts(texts: DataFrame, filters: list[Filter], sizes: range) -> DataF
                 held, n = {}, 0
         yield from written()
 
-    counted = texts.mapInArrow(lean(run), "shard int, size int, hash long, n long")
-    return counted.groupBy("shard", "size", "hash").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(lean(run), "shard int, size int, hash long, n long")
 
 
 def frequent_in_shards(counts: DataFrame, share: dict[int, tuple[int, int]], support: int) -> DataFrame:
-    """``(size, hash)`` of the phrases that reach the support lowered to the share ``(words, of all words)`` of a shard."""
-    shard, n = F.col("shard"), F.col("n").cast("decimal(38,0)")
-    least = None
-    for one, (words, total) in share.items():
-        enough = n * F.lit(total).cast("decimal(19,0)") >= F.lit(support * words).cast("decimal(30,0)")
-        least = F.when(shard == one, enough) if least is None else least.when(shard == one, enough)
-    if least is None:
+    """``(size, hash)`` of the phrases that reach the support lowered to the share ``(words, of all words)``
+    of some shard, and the support itself over all shards: every shard counts the same phrases."""
+    if not share:
         return counts.select("size", "hash").limit(0)
-    return counts.filter(least).select("size", "hash").distinct()
+    per_shard = [F.coalesce(F.sum(F.when(F.col("shard") == one, F.col("n"))), F.lit(0)).alias(f"n{one}") for one in share]
+    reached, every = F.lit(False), F.lit(0).cast("long")
+    for one, (words, total) in share.items():
+        n = F.col(f"n{one}").cast("decimal(38,0)") * F.lit(total).cast("decimal(19,0)")
+        reached = reached | (n >= F.lit(support * words).cast("decimal(30,0)"))
+        every = every + F.col(f"n{one}")
+    folded = counts.groupBy("size", "hash").agg(*per_shard)
+    return folded.filter(every >= support).filter(reached).select("size", "hash")
 
 
 def mine(
     texts: DataFrame, support: int = SUPPORT, longest: int = LONGEST, filter_bits: int = FILTER_BITS
 ) -> tuple[list[Filter], dict[int, int]]:
     """Filters of the phrases of one word, two words, ... found in any shard, and the words of each shard."""
-    words = materialize(local_counts(texts, [], range(1, 2)), "phrase-words")
+    words = local_counts(texts, [], range(1, 2)).groupBy("shard", "size", "hash").agg(F.sum("n").alias("n"))
+    words = materialize(words, "phrase-words")
     own = dict(words.groupBy("shard").agg(F.sum("n")).collect())  # one row per shard
     share = {shard: (n, sum(own.values())) for shard, n in own.items()}
     filters = [Filter.of(frequent_in_shards(words, share, support), filter_bits)]

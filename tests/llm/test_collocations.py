@@ -74,6 +74,16 @@ def test_shards_find_every_frequent_phrase(spark, documents):
         assert counted[lang, phrase] == a
 
 
+def test_only_phrases_that_reach_the_support_are_counted_again(spark, documents):
+    """A phrase that is frequent in one shard alone is dropped by the counts of all shards."""
+    rows = corpus(80, seed=9) + [(1000 + i, f"rare words{i} rare words{i} rare words{i}. " * 2, "en") for i in range(40)]
+    texts = collocations._texts(documents(rows), "doc_id", "text", "lang", 8)
+    support = 30
+    filters, _ = collocations.mine(texts, support=support, filter_bits=1 << 20)
+    counted = [r.n for r in collocations.count_phrases(texts, filters).collect() if r.words]
+    assert counted and min(counted) >= support
+
+
 def test_long_words_and_blocks():
     text = b"A" * 3000 + b" b " + b"c" * 5000 + b", d e\tf." + b" A" * 4000
     whole, cut = collocations.Words(text), collocations.Words(text, block=100)
