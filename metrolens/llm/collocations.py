@@ -13,8 +13,8 @@ the support is applied to those counts.
 While mining, a phrase is a 64-bit hash (two phrases of one hash only make a
 candidate too many), and a level looks at places whose shorter phrases were
 found in some shard. The found hashes reach the tasks as a bit filter of fixed
-size: where it fills up it lets more phrases through to be counted, and loses
-none. Counts of a shard are summed by Spark, so a shard of any size is spread
+size at most: where it fills up it lets more phrases through to be counted, and
+loses none. Counts of a shard are summed by Spark, so a shard of any size is spread
 over many tasks.
 
 Null text has no words; a null language is ``und``, in one class with that
@@ -23,7 +23,6 @@ name. Repeated rows are documents of their own. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,9 +46,12 @@ SUPPORT = 100
 LONGEST = 5
 TOP = 2000
 SHARDS = 4
-FILTER_BITS = 1 << 26  # of the filter a level passes on: 8 MiB whatever the corpus
-HELD = 1 << 22  # hashes that a task counts before it hands them on, or eight times the phrases
-JOINED = 1 << 22  # bytes of texts that are cut into words together, more only where one text has more
+FILTER_BITS = 1 << 26  # of the filter a level passes on: 8 MiB at most whatever the corpus
+ROOM = 256  # bits that a filter keeps for each found phrase, as long as it has so many
+LEAST_BITS = 1 << 20  # smaller filters are left as they are
+HELD = 1 << 22  # hashes that a task counts before it hands them on, or a quarter of the bytes of phrases
+JOINED = 1 << 22  # bytes of texts that are cut into words together, or four times those whose phrases are cut out
+PENDING = 1 << 20  # bytes of counted phrases that wait to be summed with those of earlier texts, more only where these have more
 
 # The characters that end a piece, and the blanks between words.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -105,6 +107,13 @@ class Filter:
         at = hashes & np.uint64(64 * len(self.bits) - 1)
         return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
+    def folded(self) -> Filter:
+        """The same set in fewer bits where they are many for what it holds: its halves laid upon each other."""
+        bits = self.bits
+        while 64 * len(bits) > LEAST_BITS and 32 * len(bits) >= ROOM * int(np.bitwise_count(bits).sum()):
+            bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+        return Filter(bits)
+
     @staticmethod
     def of(found: DataFrame, size: int) -> Filter:
         """The filter of the ``hash`` column: at most ``size / 64`` rows reach the driver."""
@@ -114,7 +123,7 @@ class Filter:
         rows = words.toArrow()
         bits = np.zeros(size // 64, np.uint64)
         bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-        return Filter(bits)
+        return Filter(bits).folded()
 
 
 def shard_of(doc_id: Column, shards: int) -> Column:
@@ -136,9 +145,10 @@ def _seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
 
 
-def _joined(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, bytes]]:
+def _joined(batches: Iterator[pa.RecordBatch], keys: int, upto: int) -> Iterator[tuple[tuple, bytes]]:
     """Texts of one key (the first ``keys`` columns; the text is the last one) put
-    together, a line feed between them: it ends a piece, so no phrase runs on."""
+    together, a line feed between them: it ends a piece, so no phrase runs on.
+    Texts of all keys are held up to ``upto`` bytes, or the text that passes them."""
     held: dict[tuple, list[bytes]] = {}
     total = 0
     for batch in slices(batches):
@@ -147,11 +157,15 @@ def _joined(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
             text = text.as_py()
             held.setdefault(key, []).append(text)
             total += len(text)
-        if total > JOINED:
-            for key, texts in held.items():
-                yield key, b"\n".join(texts)
-            held, total = {}, 0
-    for key, texts in held.items():
+            if total > upto:
+                yield from _together(held)
+                total = 0
+    yield from _together(held)
+
+
+def _together(held: dict[tuple, list[bytes]]) -> Iterator[tuple[tuple, bytes]]:
+    while held:
+        key, texts = held.popitem()
         yield key, b"\n".join(texts)
 
 
@@ -193,7 +207,7 @@ def local_counts(texts: DataFrame, filters: list[Filter], sizes: range) -> DataF
                     names=["shard", "size", "hash", "n"],
                 )
 
-        for (shard, lang), text in _joined(batches, 2):
+        for (shard, lang), text in _joined(batches, 2, JOINED):
             for size, hashes, at in _places(Words(text, _seed(lang)), filters, sizes):
                 if len(at):
                     held.setdefault((shard, size), []).append(hashes[at])
@@ -260,36 +274,78 @@ def phrase_counts(words: Words, filters: list[Filter]) -> Iterator[tuple[int, li
         yield size, phrases, n.tolist()
 
 
+class PhraseCounts:
+    """Counts of the phrases of a language and size, kept as arrays: a table of different
+    phrases takes little more than their bytes."""
+
+    def __init__(self) -> None:
+        self.summed = pa.table({"phrase": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
+        self.waiting: list[pa.Table] = []
+        self.pending = 0
+
+    def add(self, phrases: list[bytes], counts: list[int]) -> None:
+        self.waiting.append(pa.table({"phrase": pa.array(phrases, pa.binary()), "n": pa.array(counts, pa.int64())}))
+        self.pending += self.waiting[-1].nbytes
+        if self.pending > max(PENDING, self.summed.nbytes) or len(self.waiting) > 256:
+            self.total()
+
+    def total(self) -> pa.Table:
+        """One row for each phrase."""
+        if self.waiting:
+            rows = pa.concat_tables([self.summed, *self.waiting])
+            self.waiting, self.pending = [], 0
+            rows = rows.group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+            self.summed = rows.select(["phrase", "n_sum"]).rename_columns(["phrase", "n"])
+        return self.summed
+
+
+def _as_strings(phrases: pa.ChunkedArray) -> pa.ChunkedArray:
+    try:
+        return phrases.cast(pa.string())
+    except pa.ArrowInvalid:  # not UTF-8
+        return pa.chunked_array([pa.array([p.decode("utf-8", "replace") for p in phrases.to_pylist()], pa.string())])
+
+
+def phrase_rows(batches: Iterator[pa.RecordBatch], filters: list[Filter]) -> Iterator[pa.RecordBatch]:
+    """A task's ``(lang, words, phrase, n)`` of batches of ``(lang, text)``, to be summed."""
+    held: dict[tuple[str, int], PhraseCounts] = {}
+
+    def full() -> bool:
+        if len(held) > 4096:
+            return True
+        if sum(c.summed.nbytes + c.pending for c in held.values()) <= 4 * HELD:
+            return False
+        return sum(c.total().nbytes for c in held.values()) > 4 * HELD
+
+    def written() -> Iterator[pa.RecordBatch]:
+        while held:
+            (lang, size), counts = held.popitem()
+            rows = counts.total()
+            yield from pa.table(
+                {
+                    "lang": pa.repeat(pa.scalar(lang, pa.string()), rows.num_rows),
+                    "words": pa.repeat(pa.scalar(size, pa.int32()), rows.num_rows),
+                    "phrase": _as_strings(rows.column("phrase")),
+                    "n": rows.column("n"),
+                }
+            ).to_batches()
+
+    for (lang,), text in _joined(batches, 1, JOINED // 4):
+        words = Words(text, _seed(lang))
+        held.setdefault((lang, 0), PhraseCounts()).add([b""], [len(words.starts)])
+        for size, phrases, counts in phrase_counts(words, filters):
+            held.setdefault((lang, size), PhraseCounts()).add(phrases, counts)
+        if full():
+            yield from written()
+    yield from written()
+
+
 def count_phrases(texts: DataFrame, filters: list[Filter]) -> DataFrame:
     """``(lang, words, phrase, n)``: exact counts over all documents of the phrases that pass
     the filter of their size, and all words of a language with ``words`` 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], Counter] = {}
-
-        def written() -> Iterator[pa.RecordBatch]:
-            for (lang, size), counter in held.items():
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(counter)),
-                        pa.array(np.full(len(counter), size, np.int32)),
-                        pa.array([p.decode("utf-8", "replace") for p in counter]),
-                        pa.array(list(counter.values()), pa.int64()),
-                    ],
-                    names=["lang", "words", "phrase", "n"],
-                )
-
-        for (lang,), text in _joined(batches, 1):
-            words = Words(text, _seed(lang))
-            held.setdefault((lang, 0), Counter())[b""] += len(words.starts)
-            for size, phrases, counts in phrase_counts(words, filters):
-                counter = held.setdefault((lang, size), Counter())
-                for phrase, n in zip(phrases, counts):
-                    counter[phrase] += n
-            if sum(map(len, held.values())) > HELD // 8:
-                yield from written()
-                held = {}
-        yield from written()
+        return phrase_rows(batches, filters)
 
     counted = texts.select("lang", "text").mapInArrow(lean(run), "lang string, words int, phrase string, n long")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))

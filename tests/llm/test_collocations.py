@@ -1,10 +1,15 @@
 """Collocations against plain counting of all phrases."""
 
+import pickle
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from metrolens.llm import collocations
 
@@ -84,6 +89,67 @@ def test_only_phrases_that_reach_the_support_are_counted_again(spark, documents)
     assert counted and min(counted) >= support
 
 
+class Captured:
+    """Stands in for a table of texts; keeps what its tasks would run."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def select(self, *columns):
+        return self
+
+    groupBy = agg = select
+
+
+def test_counting_holds_little_memory(spark):
+    """A task's working memory is that of its tables of phrases and of a piece of its texts."""
+    rnd = random.Random(3)
+    words = [f"word{i}" for i in range(20_000)]
+    texts = [" ".join(rnd.choices(words, k=240)).encode() for _ in range(1600)]
+    every = collocations.Filter(np.full(1, -1, np.int64).view(np.uint64))
+    plan = Captured()
+    collocations.count_phrases(plan, [every, every])
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts, pa.binary())], names=["lang", "text"])
+    counted, arrow = {}, 0
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        for rows in plan.run(iter([batch])):
+            arrow = max(arrow, pa.total_allocated_bytes() - before)
+        peak = tracemalloc.get_traced_memory()[1] + arrow
+    finally:
+        tracemalloc.stop()
+    assert peak < 100e6
+    for rows in plan.run(iter([batch])):
+        for size, phrase, n in zip(*(rows.column(c).to_pylist() for c in ("words", "phrase", "n"))):
+            counted[size, phrase] = counted.get((size, phrase), 0) + n
+    want = Counter()
+    for text in texts:
+        one = text.decode().split()
+        want.update((1, w) for w in one)
+        want.update((2, f"{a} {b}") for a, b in zip(one, one[1:]))
+        want[0, ""] += len(one)
+    assert counted == want
+
+
+def test_a_filter_takes_the_room_of_what_it_holds(spark):
+    hashes = spark.range(1000).select(F.xxhash64("id").alias("hash"))
+    sieve = collocations.Filter.of(hashes, 1 << 26)
+    assert len(pickle.dumps(sieve)) < 1 << 18
+    inside = np.array([r.hash for r in hashes.collect()], np.int64).view(np.uint64)
+    assert sieve.holds(inside).all()
+    others = np.random.default_rng(1).integers(0, 1 << 63, 100_000, dtype=np.uint64)
+    assert sieve.holds(others).mean() < 1 / collocations.ROOM
+
+
+def test_phrases_that_are_not_utf8():
+    every = collocations.Filter(np.full(1, -1, np.int64).view(np.uint64))
+    texts = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([b"\xff a \xff"], pa.binary())], names=["lang", "text"])
+    found = [r for rows in collocations.phrase_rows(iter([texts]), [every]) for r in rows.to_pylist()]
+    assert sorted((r["words"], r["phrase"], r["n"]) for r in found) == [(0, "", 3), (1, "a", 1), (1, "\ufffd", 2)]
+
+
 def test_long_words_and_blocks():
     text = b"A" * 3000 + b" b " + b"c" * 5000 + b", d e\tf." + b" A" * 4000
     whole, cut = collocations.Words(text), collocations.Words(text, block=100)
