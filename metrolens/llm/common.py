@@ -33,6 +33,7 @@ __all__ = [
     "stage",
     "table",
     "tasks_for",
+    "unscrambled",
     "worker_cache",
     "with_fields",
 ]
@@ -187,6 +188,13 @@ def scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def unscrambled(x: np.ndarray) -> np.ndarray:
+    """The numbers that :func:`scrambled` has mixed: no two of them become the same."""
+    for shift, factor in ((31, 0x94D049BB133111EB), (27, 0xBF58476D1CE4E5B9)):
+        x = (x ^ (x >> np.uint64(shift)) ^ (x >> np.uint64(2 * shift))) * np.uint64(pow(factor, -1, 1 << 64))
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0, block: int = 1 << 20) -> np.ndarray:
     """64-bit hashes of byte spans in order (``ends[i] <= starts[i + 1]``), ``block`` bytes at a time."""
     numbers = worker_cache("byte-numbers", byte_numbers)

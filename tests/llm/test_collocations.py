@@ -89,6 +89,73 @@ def test_only_phrases_that_reach_the_support_are_counted_again(spark, documents)
     assert counted and min(counted) >= support
 
 
+def test_phrases_are_not_counted_again_in_every_task(spark, documents, monkeypatch):
+    """Tasks hand on no row for each found phrase that they meet: found hashes carry exact counts already."""
+
+    def again(*args):
+        raise AssertionError("all texts read again for phrases that share no hash")
+
+    monkeypatch.setattr(collocations, "count_phrases", again)
+    rows = corpus(40, seed=3)
+    assert found(documents(rows).repartition(8), support=4, filter_bits=1 << 20) == slow(rows, 4)
+
+
+def mined(spark, documents, rows, support):
+    texts = collocations._texts(documents(rows), "doc_id", "text", "lang", 3)
+    filters, _, words, levels = collocations._mined(texts, support, 5, 1 << 20)
+    return texts, filters, words, levels
+
+
+def plain(rows, support):
+    counts = Counter()
+    for _, text, lang in rows:
+        for piece in text.split("."):
+            w = piece.split()
+            counts.update((lang, n, " ".join(w[i : i + n])) for n in range(1, 6) for i in range(len(w) - n + 1))
+    return {k: n for k, n in counts.items() if n >= support}
+
+
+@pytest.mark.parametrize("which", ["phrase", "word"])
+def test_phrases_that_share_a_hash_are_counted_by_their_words(spark, documents, which):
+    rnd = random.Random(8)
+    words = "red green blue the of and".split()
+    rows = [(i, " ".join(rnd.choices([*words, "and."], k=40)), rnd.choice(["en", "fr"])) for i in range(30)]
+    texts, filters, every, levels = mined(spark, documents, rows, 5)
+    if which == "phrase":  # places of half of the hashes have two prefixes, and count too many
+        other = F.col("hash") % 2 == 0
+        levels[1] = levels[1].withColumn("lo", F.when(other, F.lit(-(1 << 63))).otherwise(F.col("lo")))
+        levels[1] = levels[1].withColumn("n", F.when(other, F.col("n") + 1000).otherwise(F.col("n")))
+        assert 0 < levels[1].filter("lo = hi").count() < levels[1].count()
+    else:  # a rare word has the hash of a frequent one
+        rare = every.filter("lang = 'en' AND word = CAST('the' AS BINARY)").limit(1)
+        every = every.unionByName(rare.selectExpr("shard", "lang", "CAST('rare' AS BINARY) word", "1L n", "hash"))
+    counts = collocations.exact_counts(texts, filters, every, levels, 1 << 20).filter("n >= 5").collect()
+    assert {(r.lang, r.words, r.phrase): r.n for r in counts} == plain(rows, 5)
+    assert len(counts) == len({(r.lang, r.words, r.phrase) for r in counts})
+
+
+def test_every_count_carries_its_prefix():
+    hashes, prefixes = np.array([7, 3, 7, 3, 7], np.uint64), np.array([1, 2, 1, 2, 5], np.uint64)
+    counted = Counter()
+    for h, p, n in zip(*(x.tolist() for x in collocations._counted(hashes, prefixes))):
+        counted[h, p] += n
+    assert counted == {(3, 2): 2, (7, 1): 2, (7, 5): 1}
+
+
+def test_hash_and_prefix_give_the_last_word(spark):
+    words = collocations.Words(b"new york city hall of the dead")
+    pairs = words.longer(words.hashes, 2)
+    back = collocations.unscrambled(pairs) - words.hashes[:-1] * np.uint64(collocations.STEP)
+    assert (back == words.hashes[1:]).all()
+
+
+def test_words_that_are_not_utf8_keep_their_phrases(spark, documents):
+    docs = documents([(i, "x b c. x b c", "en") for i in range(6)])
+    docs = docs.withColumn("text", F.expr("CAST(concat(X'FF', CAST(substring(text, 2) AS BINARY)) AS STRING)"))
+    got = {(r.phrase, r.a) for r in collocations.collocations(docs, support=6).collect()}
+    assert got == {("\ufffd b c", 6), ("b c", 12), ("x b c", 6)}
+
+
 class Captured:
     """Stands in for a table of texts; keeps what its tasks would run."""
 
