@@ -19,6 +19,10 @@ A word's form is its commonest near word, if that is at least twice as common;
 roots follow the forms. Forms rise in frequency by a factor of two or more, so
 chains are short and doubling their steps ends after a few joins.
 
+All joins are sort-merge joins by hint. Their sides grow with the vocabulary,
+and the planner would guess a size from files of packed words, or from a table
+before each of its words became many rows, and send such a side to the driver.
+
 Null and empty texts have no words. A null id is written as nothing before the
 colon. Repeated rows count again. An empty table gives no words.
 """
@@ -159,7 +163,7 @@ def near_words(words: DataFrame) -> DataFrame:
     # the word whose prefix ends earlier looks the other one up
     alike = (F.col("ends") <= F.col("last")) & (F.bit_count(F.col("letters").bitwiseXOR(F.col("marks"))) <= 2)
     near = F.levenshtein("word", "seeker", 1) == 1
-    pairs = index.join(looked, "key").filter(alike).filter(near)
+    pairs = index.join(looked.hint("merge"), "key").filter(alike).filter(near)
     return pairs.select(F.least("word", "seeker").alias("u"), F.greatest("word", "seeker").alias("v")).distinct()
 
 
@@ -170,7 +174,7 @@ def follow(forms: DataFrame) -> DataFrame:
     step = materialize(forms.select("word", F.coalesce("form", "word").alias("root")), "spelling-roots")
     while True:
         onward = step.select(F.col("word").alias("at"), F.col("root").alias("next"))
-        moved = step.join(onward, F.col("root") == F.col("at")).select("word", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved"))
+        moved = step.join(onward.hint("merge"), F.col("root") == F.col("at")).select("word", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved"))
         moved = materialize(moved, "spelling-roots")
         step = moved.drop("moved")
         if moved.filter("moved").isEmpty():
@@ -196,12 +200,12 @@ def variants(
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
     common = words.select(F.col("word").alias("v"), F.col("n").alias("v_n"))
     best = (
-        both.join(common, "v")
+        both.join(common.hint("merge"), "v")
         .groupBy(F.col("u").alias("word"))
         .agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("v_n")).alias("down"), F.col("v"))).alias("best"))
     )
     enough = -F.col("best.down") >= factor * F.col("n")
-    named = words.join(best, "word", "left").select(
+    named = words.join(best.hint("merge"), "word", "left").select(
         "word",
         F.when(enough, F.col("best.v")).alias("form"),
         "n",
@@ -209,7 +213,7 @@ def variants(
         F.when(enough, -F.col("best.down")).alias("form_n"),
     )
     named = materialize(named, "spelling-forms")
-    return named.join(follow(named), "word").select("word", "form", "root", "n", "n_near", "form_n")
+    return named.join(follow(named).hint("merge"), "word").select("word", "form", "root", "n", "n_near", "form_n")
 
 
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

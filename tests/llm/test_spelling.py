@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from metrolens.llm import spelling
+from metrolens.plans import executed_join_nodes
 
 
 def slow_words(rows, dropped=97):
@@ -91,6 +92,24 @@ def test_pivots_come_from_the_prefix_and_do_not_overlap():
         assert {a, b} <= set(prefix) and b - a >= 2 and rank(a) + rank(b) == min(pairs)
 
 
+def test_no_table_of_words_is_broadcast(spark, documents, monkeypatch):
+    """However small the planner takes a side to be: what it sees are packed files, and no rows per word."""
+    joins = []
+
+    def staged(df, name):
+        rows = df.collect()
+        joins.append((name, executed_join_nodes(df)))
+        return spark.createDataFrame(rows, df.schema)
+
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    monkeypatch.setattr(spelling, "materialize", staged)
+    out = spelling.variants(documents([(1, "letter " * 20 + "lettter " * 8 + "leter " * 4 + "other " * 3)]), dropped=None)
+    assert [r.root for r in out.collect()].count("letter") == 3
+    joins.append(("out", executed_join_nodes(out)))
+    assert {"spelling-pairs", "spelling-forms", "spelling-roots", "out"} == {name for name, nodes in joins if nodes}
+    assert {node for _, nodes in joins for node in nodes} == {"SortMergeJoin"}
+
+
 def test_short_words_are_refused(documents):
     with pytest.raises(ValueError):
         spelling.variants(documents([]), shortest=4)
