@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from metrolens.operators import bucket_diff, diff_tables, exact_stats, rank_all, skew_join
 from metrolens.plans import executed_join_nodes, moved, node_runs, plan_text
+from metrolens.plans.explain import final_plan
 
 
 # ---------------------------------------------------------------- joins with a key hot on both sides
@@ -86,6 +87,19 @@ def test_skew_join_deals_cells_by_their_pairs(spark):
     assert len(per_task) > 20 and max(r["count"] for r in per_task) < 10_000 * 10
 
 
+def test_skew_join_makes_all_pairs_in_one_join(spark):
+    """No pair passes a union, and no side is broadcast once its rows are copied."""
+    left, right = _sides(spark, 3000, 1500)
+    dealt = skew_join(left, right, ["k"], tasks=4, pairs=10_000)
+    want = left.join(right, ["k"])
+    total = lambda df: df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("a") * F.col("b")).alias("ab"))
+    got = total(dealt)
+    assert Counter(got.collect()) == Counter(total(want).collect())
+    plan = final_plan(got)
+    assert executed_join_nodes(got)[0] == "SortMergeJoin" and plan.count("SortMergeJoin") == 1
+    assert 0 <= plan.index("SortMergeJoin") < plan.index("Union")
+
+
 # ---------------------------------------------------------------- ranks of all rows
 
 
